@@ -35,7 +35,7 @@ def parse_mdy(col: Column | str) -> Column:
     d = F.regexp_extract(c, _MDY, 2)
     y = F.regexp_extract(c, _MDY, 3)
     text = F.concat(F.lit("20"), y, F.lit("-"), F.lpad(m, 2, "0"), F.lit("-"), F.lpad(d, 2, "0"))
-    return F.when(c.rlike(_MDY), F.try_to_date(text, F.lit("yyyy-MM-dd")))
+    return F.when(c.rlike(_MDY), F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def is_valid_mdy(col: Column | str) -> Column:

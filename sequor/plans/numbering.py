@@ -49,7 +49,7 @@ def time_key(df: DataFrame, col: str) -> Column:
     dt = df.schema[col].dataType
     c = F.col(col)
     if isinstance(dt, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+        return ntz_micros(c)
     if isinstance(dt, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dt, T.DateType):
@@ -61,6 +61,21 @@ def time_key(df: DataFrame, col: str) -> Column:
     raise TypeError(f"order column {col!r} of type {dt.simpleString()} has no numeric key")
 
 
+def ntz_micros(c: Column) -> Column:
+    """Microseconds since 1970-01-01 of a ``timestamp_ntz``, without any time zone.
+
+    (A cast to ``timestamp`` would go through the session zone, where a DST
+    gap can reorder wall-clock times.)
+    """
+    seconds = F.date_part(F.lit("SECOND"), c)  # decimal(8,6): seconds with micros
+    return (
+        F.unix_date(c.cast("date")).cast("long") * F.lit(86_400_000_000)
+        + F.hour(c).cast("long") * F.lit(3_600_000_000)
+        + F.minute(c).cast("long") * F.lit(60_000_000)
+        + (seconds * F.lit(1_000_000)).cast("long")
+    )
+
+
 def series_stats(df: DataFrame, series: Sequence[str], time_col: str) -> DataFrame:
     """``(series..., _sq_n, _sq_lo, _sq_hi)``: one row per series."""
     k = time_key(df, time_col)
@@ -102,17 +117,24 @@ def number_bucketed(
     series: Sequence[str],
     order: Sequence[str],
     rn: str = "rn",
+    total: str | None = None,
 ) -> DataFrame:
     """Number rows of ``tagged`` that already carry a ``_sq_b`` bucket column.
 
     Offsets come from per-(series, bucket) counts; the offset join and the
     numbering window share the ``(series, bucket)`` distribution, so the data
-    side is shuffled once.
+    side is shuffled once. ``total`` optionally names a column receiving the
+    group's row count, taken from the same small count table.
     """
     keys = list(series) + [BUCKET]
     counts = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sq_c"))
-    before = Window.partitionBy(*series).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("_sq_c").over(before), F.lit(0)).cast("long").alias(OFFSET))
+    by_series = Window.partitionBy(*series).orderBy(BUCKET)
+    before = by_series.rowsBetween(Window.unboundedPreceding, -1)
+    cols = [*keys, F.coalesce(F.sum("_sq_c").over(before), F.lit(0)).cast("long").alias(OFFSET)]
+    if total is not None:
+        whole = by_series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        cols.append(F.sum("_sq_c").over(whole).cast("long").alias(total))
+    offsets = counts.select(*cols)
     joined = tagged.join(offsets, keys, "inner")
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     return joined.withColumn(rn, (F.col(OFFSET) + F.row_number().over(w)).cast("long")).drop(OFFSET)

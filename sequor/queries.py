@@ -348,3 +348,518 @@ def q_arr_wrap(spark, sf):
         F.aggregate("w", F.lit(0).cast("bigint"), lambda acc, v: acc + F.size(v)).alias("inner_total"),
         rounded(F.try_element_at(F.try_element_at("w", F.lit(1)), F.lit(1))).alias("first_inner"),
     )
+
+
+# ---------------------------------------------------------------------------
+# T1 split, P6-P8 selection, F3/F4 dates
+# ---------------------------------------------------------------------------
+
+from .functions.dates import format_mdy, is_valid_mdy  # noqa: E402
+from .operators import dataset as DS  # noqa: E402
+from .operators import forecast as FC  # noqa: E402
+from .operators import projections as PJ  # noqa: E402
+from .operators import registry as RG  # noqa: E402
+from .operators.split import split_chronological  # noqa: E402
+from .params import TrainingParams  # noqa: E402
+from .session import scratch_path  # noqa: E402
+from .sources.csv_series import series_schema  # noqa: E402
+from .sources.layout import read_layout  # noqa: E402
+from .sources.sinks import to_record_layout, write_sequences, write_series_csv  # noqa: E402
+from .sources.tables import table  # noqa: E402
+
+_SPLIT_SQL = f"""
+WITH src AS ({EVENTS_SERIES_SQL}),
+num AS (SELECT *, row_number() OVER ({_WO}) AS rn, count(*) OVER (PARTITION BY symbol) AS n FROM src),
+split AS (SELECT *, CASE WHEN rn > n - (n * 20) // 100 THEN 'test'
+                         WHEN rn > n - (n * 20) // 100 - (n * 20) // 100 THEN 'eval'
+                         ELSE 'train' END AS channel FROM num)
+"""
+_DIR_CASE = "CASE channel WHEN 'train' THEN 'train' WHEN 'eval' THEN 'evaluation' WHEN 'test' THEN 'validation' ELSE channel END"
+
+
+def _split_events(spark, sf, **kw):
+    ev = events_series(spark, sf)
+    return split_chronological(ev, ["symbol"], EV_ORDER, TrainingParams(), **kw)
+
+
+@query("split_chronological", _SPLIT_SQL + "SELECT symbol, event_id, channel FROM split")
+def q_split_chronological(spark, sf):
+    """Last 20 % of each series -> test, the 20 % before -> eval, rest train."""
+    return _split_events(spark, sf).select("symbol", "event_id", "channel")
+
+
+@query("split_chronological_bucketed", _SPLIT_SQL + "SELECT symbol, event_id, channel FROM split")
+def q_split_chronological_bucketed(spark, sf):
+    """T1 with every series over 40 rows numbered in time buckets (skew-safe path)."""
+    return _split_events(spark, sf, hot_rows=40, bucket_rows=8).select("symbol", "event_id", "channel")
+
+
+@query("proj_channel_alias", _SPLIT_SQL + f"SELECT symbol, event_id, channel, {_DIR_CASE} AS channel_dir FROM split")
+def q_proj_channel_alias(spark, sf):
+    """Channel alias -> directory name (train / evaluation / validation)."""
+    out = _split_events(spark, sf)
+    return out.select("symbol", "event_id", "channel", PJ.channel_dir("channel").alias("channel_dir"))
+
+
+def _layout_frame(spark, sf):
+    """Events split into channels, in the raw-series column layout + tree columns."""
+    sp = _split_events(spark, sf)
+    return sp.select(
+        "s_ts", *FEATS,
+        PJ.channel_dir("channel").alias("channel"),
+        F.lit("price").alias("data_type"), F.lit("bn").alias("exchange"),
+        format_mdy("s_ts").alias("date"), F.col("symbol").cast("string").alias("symbol"),
+    )
+
+
+_TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _write_layout(spark, sf) -> str:
+    root = scratch_path(spark, "series-tree")
+    write_series_csv(_layout_frame(spark, sf), root, ts_format=_TS_FMT)
+    return root
+
+
+_LAYOUT_SQL = _SPLIT_SQL + f""", lay AS (
+  SELECT {_DIR_CASE} AS channel, 'price' AS data_type, 'bn' AS exchange,
+         strftime(s_ts, '%m-%d-%y') AS date, symbol, s_ts,
+         CAST(CAST(ohlc_close AS FLOAT) AS DOUBLE) AS close32,
+         CAST(CAST(ohlc_pcr AS FLOAT) AS DOUBLE) AS pcr32
+  FROM split)
+"""
+
+
+@query(
+    "src_csv_series",
+    _LAYOUT_SQL + f"SELECT CAST(symbol AS VARCHAR) AS symbol, date, epoch_us(s_ts) AS ts_us, "
+    f"round(close32, {D}) AS close, round(pcr32, {D}) AS pcr FROM lay",
+)
+def q_src_csv_series(spark, sf):
+    """Raw series written as header CSV, read back with the fixed
+    float32 schema and timestamp format (malformed rows would be quarantined)."""
+    root = _write_layout(spark, sf)
+    df = read_layout(spark, root, layout="hive", schema=series_schema(quarantine=True), ts_format=_TS_FMT)
+    return df.select(
+        "symbol", "date", micros("s_ts").alias("ts_us"),
+        rounded(F.col("ohlc_close")).alias("close"), rounded(F.col("ohlc_pcr")).alias("pcr"),
+    )
+
+
+@query(
+    "src_layout_discovery",
+    _LAYOUT_SQL + "SELECT channel, data_type, exchange, date, CAST(symbol AS VARCHAR) AS symbol, "
+    "count(*) AS n, min(epoch_us(s_ts)) AS first_us FROM lay GROUP BY ALL",
+)
+def q_src_layout_discovery(spark, sf):
+    """One scan of the whole tree; the five tree parts come from paths."""
+    root = _write_layout(spark, sf)
+    df = read_layout(spark, root, layout="hive", ts_format=_TS_FMT)
+    return df.groupBy("channel", "data_type", "exchange", "date", "symbol").agg(
+        F.count(F.lit(1)).alias("n"), F.min(micros("s_ts")).alias("first_us")
+    )
+
+
+@query(
+    "flt_channel",
+    _LAYOUT_SQL + "SELECT CAST(symbol AS VARCHAR) AS symbol, epoch_us(s_ts) AS ts_us FROM lay "
+    "WHERE channel = 'evaluation' AND data_type = 'price' AND exchange = 'bn'",
+)
+def q_flt_channel(spark, sf):
+    """Channel 'eval' (alias) of data type 'price' on exchange 'bn' - partition-pruned."""
+    root = _write_layout(spark, sf)
+    df = read_layout(spark, root, layout="hive", ts_format=_TS_FMT)
+    out = PJ.select_source(df, channel="eval", data_type="price", exchange="bn")
+    return out.select("symbol", micros("s_ts").alias("ts_us"))
+
+
+@query(
+    "flt_train_dates",
+    _LAYOUT_SQL + "SELECT CAST(symbol AS VARCHAR) AS symbol, date, epoch_us(s_ts) AS ts_us FROM lay "
+    "WHERE channel = 'train' AND date = '01-15-24'",
+)
+def q_flt_train_dates(spark, sf):
+    """Train on one mm-dd-yy date (a partition filter on the date directory)."""
+    root = _write_layout(spark, sf)
+    df = read_layout(spark, root, layout="hive", channel="train", ts_format=_TS_FMT)
+    out = PJ.training_dates(df, how="01-15-24")
+    return out.select("symbol", "date", micros("s_ts").alias("ts_us"))
+
+
+@query(
+    "sink_csv_roundtrip",
+    _LAYOUT_SQL + f"SELECT CAST(symbol AS VARCHAR) AS symbol, count(*) AS n, round(sum(close32), 4) AS close_sum, "
+    f"round(sum(pcr32), 4) AS pcr_sum FROM lay GROUP BY symbol",
+)
+def q_sink_csv_roundtrip(spark, sf):
+    """Per symbol, count and sums survive a CSV write + read."""
+    root = _write_layout(spark, sf)
+    df = read_layout(spark, root, layout="hive", ts_format=_TS_FMT)
+    return df.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.sum(F.col("ohlc_close").cast("double")), 4).alias("close_sum"),
+        F.round(F.sum(F.col("ohlc_pcr").cast("double")), 4).alias("pcr_sum"),
+    )
+
+
+_F32_SQL = EVENTS_SERIES_SQL.replace("value AS ohlc_close", "CAST(CAST(value AS FLOAT) AS DOUBLE) AS ohlc_close")
+
+
+@query(
+    "sink_seq_parquet",
+    f"SELECT symbol, strftime(make_timestamp(ts_us), '%m-%d-%y') AS date, ts_us, x_len, y_len, "
+    f"round(y_sum, 4) AS y_sum, round(sum_ohlc_close, 4) AS close_sum FROM ("
+    + window_summary_sql(_F32_SQL, ["symbol"], EV_ORDER, "s_ts", ["ohlc_close"], "ohlc_close", 60, 3)
+    + ")",
+)
+def q_sink_seq_parquet(spark, sf):
+    """float32 nested records written as Parquet partitioned by anchor date
+    (dynamic overwrite), read back and summarised."""
+    spec = events_spec(60, 3)
+    win = W.sequence_windows(events_series(spark, sf), spec, plan="auto")
+    rec = to_record_layout(win, spec, keep=["symbol", "s_ts"]).withColumn("date", format_mdy("s_ts"))
+    path = scratch_path(spark, "sequences")
+    write_sequences(rec, path, partition_cols=["date"])
+    back = spark.read.parquet(path)
+    x = F.flatten("ohlc_close")
+    y = F.flatten(spec.label_col)
+    return back.select(
+        F.col("symbol"), F.col("date"), micros("s_ts").alias("ts_us"),
+        array_len(x).alias("x_len"), array_len(y).alias("y_len"),
+        F.round(array_sum(y), 4).alias("y_sum"), F.round(array_sum(x), 4).alias("close_sum"),
+    )
+
+
+@query(
+    "date_format_mdy",
+    "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%m-%d-%y') AS mdy FROM events",
+)
+def q_date_format_mdy(spark, sf):
+    """dates as mm-dd-yy text (the date directory names)."""
+    ev = table(spark, sf, "events")
+    return ev.select(F.date_format("ts", "yyyy-MM-dd").alias("day"), format_mdy("ts").alias("mdy")).distinct()
+
+
+_VALID_SQL = (
+    "coalesce(regexp_matches(t, '^([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})$') AND "
+    "try_strptime('20' || regexp_extract(t, '^([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})$', 3) || '-' || "
+    "lpad(regexp_extract(t, '^([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})$', 1), 2, '0') || '-' || "
+    "lpad(regexp_extract(t, '^([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})$', 2), 2, '0'), '%Y-%m-%d') IS NOT NULL, false)"
+)
+
+
+@query(
+    "date_validate",
+    "WITH texts AS (SELECT DISTINCT strftime(ts, '%m-%d-%y') AS t FROM events "
+    "UNION SELECT DISTINCT strftime(ts, '%d-%m-%y') FROM events "
+    "UNION SELECT DISTINCT strftime(ts, '%m-%d-%Y') FROM events "
+    "UNION SELECT DISTINCT event_type FROM events) "
+    f"SELECT t AS text, {_VALID_SQL} AS valid FROM texts",
+)
+def q_date_validate(spark, sf):
+    """mm-dd-yy validity of date texts derived from the data (month/day
+    swapped and four-digit years are invalid, as are non-dates)."""
+    ev = table(spark, sf, "events")
+    texts = (
+        ev.select(F.date_format("ts", "MM-dd-yy").alias("t"))
+        .union(ev.select(F.date_format("ts", "dd-MM-yy")))
+        .union(ev.select(F.date_format("ts", "MM-dd-yyyy")))
+        .union(ev.select("event_type"))
+        .distinct()
+    )
+    return texts.select(F.col("t").alias("text"), is_valid_mdy("t").alias("valid"))
+
+
+# ---------------------------------------------------------------------------
+# A2-A4 sizing
+# ---------------------------------------------------------------------------
+
+_LEN_SQL = _SPLIT_SQL + """, lens AS (
+  SELECT channel, strftime(s_ts, '%m-%d-%y') AS date, symbol, count(*) AS ds_len FROM split GROUP BY ALL)
+"""
+
+
+def _lengths(spark, sf):
+    sp = _split_events(spark, sf).withColumn("date", format_mdy("s_ts"))
+    return DS.dataset_lengths(sp, ("channel", "date", "symbol"))
+
+
+@query("agg_dataset_length", _LEN_SQL + "SELECT * FROM lens")
+def q_agg_dataset_length(spark, sf):
+    """A2: rows per (channel, date, symbol), all series in one aggregation."""
+    return _lengths(spark, sf)
+
+
+@query(
+    "agg_max_steps",
+    _LEN_SQL + "SELECT channel, date, symbol, ds_len, "
+    "CAST(floor(10.0 * ((ds_len / 10.0) / 64.0)) AS BIGINT) AS max_steps, "
+    "CAST(10 * (ds_len // 64) AS BIGINT) AS epoch_steps FROM lens",
+)
+def q_agg_max_steps(spark, sf):
+    """A3: reference step formula (epochs cancel) next to true epochs x batches."""
+    sz = DS.sizing(_lengths(spark, sf), TrainingParams())
+    return sz.select("channel", "date", "symbol", "ds_len", "max_steps", "epoch_steps")
+
+
+@query(
+    "agg_shuffle_buffer",
+    _LEN_SQL + "SELECT channel, date, symbol, ds_len, CAST(floor(ds_len * 0.1) AS BIGINT) AS shuffle_buffer FROM lens",
+)
+def q_agg_shuffle_buffer(spark, sf):
+    """A4: shuffle buffer = int(10 % of the dataset length)."""
+    sz = DS.sizing(_lengths(spark, sf), TrainingParams())
+    return sz.select("channel", "date", "symbol", "ds_len", "shuffle_buffer")
+
+
+# ---------------------------------------------------------------------------
+# D1-D4 dataset feeding (records = P=8, F=3 windows of every series)
+# ---------------------------------------------------------------------------
+
+_ANCHORS_SQL = f"""
+WITH src AS ({EVENTS_SERIES_SQL}),
+num AS (SELECT symbol, epoch_us(s_ts) AS ts_us, ohlc_close AS last,
+               lead(ohlc_close, 1) OVER ({_WO}) AS y1, lead(ohlc_close, 2) OVER ({_WO}) AS y2,
+               lead(ohlc_close, 3) OVER ({_WO}) AS y3,
+               row_number() OVER ({_WO}) AS rn, count(*) OVER (PARTITION BY symbol) AS n FROM src),
+anchors AS (SELECT * FROM num WHERE rn >= 8 AND rn <= n - 3)
+"""
+_SHUF_SQL = _ANCHORS_SQL + """, rep AS (
+  SELECT symbol, ts_us, epoch, md5(concat_ws('|', '13', CAST(epoch AS VARCHAR), CAST(symbol AS VARCHAR),
+         CAST(ts_us AS VARCHAR))) AS shuffle_key
+  FROM anchors, range(1, 3) AS e(epoch)),
+pos AS (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY shuffle_key, symbol, ts_us) AS pos,
+               count(*) OVER (PARTITION BY epoch) AS en FROM rep),
+bat AS (SELECT *, (pos - 1) // 64 AS batch_id, (epoch - 1) * (en // 64) + (pos - 1) // 64 AS step
+        FROM pos WHERE (pos - 1) // 64 < en // 64)
+"""
+
+
+def _records(spark, sf):
+    spec = events_spec(8, 3)
+    win = W.sequence_windows(events_series(spark, sf), spec, plan="auto")
+    return win.select("symbol", micros("s_ts").alias("ts_us"))
+
+
+@query("ds_repeat", _SHUF_SQL + "SELECT symbol, ts_us, epoch FROM rep")
+def q_ds_repeat(spark, sf):
+    """Every record once per epoch (2 epochs)."""
+    return DS.repeat_epochs(_records(spark, sf), 2).select("symbol", "ts_us", "epoch")
+
+
+@query("ds_epoch_shuffle", _SHUF_SQL + "SELECT symbol, ts_us, epoch, shuffle_key FROM rep")
+def q_ds_epoch_shuffle(spark, sf):
+    """Per-epoch md5 shuffle key with seed 13 (same in any engine)."""
+    out = DS.epoch_shuffle(_records(spark, sf), ["symbol", "ts_us"], TrainingParams(), epochs=2)
+    return out.select("symbol", "ts_us", "epoch", "shuffle_key")
+
+
+@query("ds_batch", _SHUF_SQL + "SELECT symbol, ts_us, epoch, pos, batch_id, step FROM bat")
+def q_ds_batch(spark, sf):
+    """D3: global positions per epoch without a single task; batches of 64,
+    the incomplete last batch of each epoch dropped."""
+    out = DS.batches(_records(spark, sf), ["symbol", "ts_us"], TrainingParams(), epochs=2)
+    return out.select("symbol", "ts_us", "epoch", "pos", "batch_id", "step")
+
+
+@query("ds_step_cap", _SHUF_SQL + "SELECT symbol, ts_us, epoch, pos, batch_id, step FROM bat WHERE step < 50")
+def q_ds_step_cap(spark, sf):
+    """Debug cap of 50 global steps."""
+    out = DS.batches(_records(spark, sf), ["symbol", "ts_us"], TrainingParams(), epochs=2, debug=True)
+    return out.select("symbol", "ts_us", "epoch", "pos", "batch_id", "step")
+
+
+# ---------------------------------------------------------------------------
+# M1-M6, A5 forecasting and registry
+# ---------------------------------------------------------------------------
+
+_HZ_SQL = _ANCHORS_SQL + """, hz AS (
+  SELECT symbol, ts_us, last, 1 AS horizon, y1 AS y FROM anchors
+  UNION ALL SELECT symbol, ts_us, last, 2, y2 FROM anchors
+  UNION ALL SELECT symbol, ts_us, last, 3, y3 FROM anchors)
+"""
+
+
+def _windows8(spark, sf):
+    spec = events_spec(8, 3)
+    win = W.sequence_windows(events_series(spark, sf), spec, plan="auto")
+    return spec, win.withColumn("ts_us", micros("s_ts"))
+
+
+@query(
+    "predict_persistence",
+    _HZ_SQL + f"SELECT symbol, ts_us, horizon, round(y, {D}) AS y, round(last, {D}) AS pred FROM hz",
+)
+def q_predict_persistence(spark, sf):
+    """M2: persistence forecast for every horizon of every window."""
+    spec, win = _windows8(spark, sf)
+    p = FC.predict_persistence(win, spec, keys=["ts_us"])
+    return p.select("symbol", "ts_us", "horizon", rounded(F.col("y")).alias("y"), rounded(F.col("pred")).alias("pred"))
+
+
+@query(
+    "eval_regression_metrics",
+    _HZ_SQL + f"""
+SELECT 'horizon' AS scope, horizon, round(avg((y - last) * (y - last)), 4) AS mse,
+       round(avg(abs(y - last)), 4) AS mae, round(avg(y), 4) AS label_mean,
+       round(avg(last), 4) AS pred_mean, count(*) AS n FROM hz GROUP BY horizon
+UNION ALL
+SELECT 'all', 0, round(avg((y - last) * (y - last)), 4), round(avg(abs(y - last)), 4),
+       round(avg(y), 4), round(avg(last), 4), count(*) FROM hz
+""",
+)
+def q_eval_regression_metrics(spark, sf):
+    """A5: MSE, MAE, label mean and prediction mean of the persistence forecast,
+    per horizon and overall (sf0.01 overall MSE 4907.6297)."""
+    spec, win = _windows8(spark, sf)
+    p = FC.predict_persistence(win, spec, keys=["ts_us"])
+    m = FC.regression_metrics(p, ["horizon"], rollup=True)
+    return m.select(
+        F.when(F.col("horizon").isNull(), F.lit("all")).otherwise(F.lit("horizon")).alias("scope"),
+        F.coalesce(F.col("horizon"), F.lit(0)).cast("int").alias("horizon"),
+        F.round("mse", 4).alias("mse"), F.round("mae", 4).alias("mae"),
+        F.round("label_mean", 4).alias("label_mean"), F.round("pred_mean", 4).alias("pred_mean"), "n",
+    )
+
+
+_FIT_SQL = _HZ_SQL + """, fit AS (
+  SELECT symbol, horizon, regr_slope(y, last) AS slope, regr_intercept(y, last) AS intercept,
+         regr_count(y, last) AS n_obs FROM hz GROUP BY symbol, horizon)
+"""
+
+
+@query(
+    "fit_linear_per_series",
+    _FIT_SQL + f"SELECT symbol, horizon, round(slope, {D}) AS slope, round(intercept, {D}) AS intercept, n_obs FROM fit",
+)
+def q_fit_linear_per_series(spark, sf):
+    """M1 v1: y_h = a + b * last per (series, horizon) for every series at once."""
+    spec, win = _windows8(spark, sf)
+    m = FC.fit_linear(win, spec)
+    return m.select("symbol", "horizon", rounded(F.col("slope")).alias("slope"),
+                    rounded(F.col("intercept")).alias("intercept"), F.col("n_obs").cast("bigint").alias("n_obs"))
+
+
+_SPLIT_ANCHORS_SQL = _SPLIT_SQL + f""",
+cw AS (SELECT symbol, channel, epoch_us(s_ts) AS ts_us, ohlc_close AS last,
+         lead(ohlc_close, 1) OVER wc AS y1, lead(ohlc_close, 2) OVER wc AS y2, lead(ohlc_close, 3) OVER wc AS y3,
+         row_number() OVER wc AS crn, count(*) OVER (PARTITION BY symbol, channel) AS cn
+       FROM split WINDOW wc AS (PARTITION BY symbol, channel ORDER BY s_ts ASC NULLS FIRST, event_id ASC NULLS FIRST)),
+ca AS (SELECT * FROM cw WHERE crn >= 8 AND crn <= cn - 3),
+chz AS (SELECT symbol, channel, ts_us, last, 1 AS horizon, y1 AS y FROM ca
+        UNION ALL SELECT symbol, channel, ts_us, last, 2, y2 FROM ca
+        UNION ALL SELECT symbol, channel, ts_us, last, 3, y3 FROM ca),
+trfit AS (SELECT symbol, horizon, regr_slope(y, last) AS slope, regr_intercept(y, last) AS intercept
+          FROM chz WHERE channel = 'train' GROUP BY symbol, horizon),
+scored AS (SELECT h.symbol, h.ts_us, h.horizon, h.y,
+                  CASE WHEN f.slope IS NOT NULL AND f.intercept IS NOT NULL
+                       THEN f.intercept + f.slope * h.last ELSE h.last END AS pred
+           FROM chz h LEFT JOIN trfit f ON h.symbol = f.symbol AND h.horizon = f.horizon
+           WHERE h.channel = 'test')
+"""
+
+
+def _split_windows(spark, sf):
+    """Windows built per (series, channel) after the chronological split."""
+    spec = events_spec(8, 3).with_(series=("symbol", "channel"))
+    sp = _split_events(spark, sf)
+    win = W.sequence_windows(sp, spec, plan="auto").withColumn("ts_us", micros("s_ts"))
+    return spec, win
+
+
+@query(
+    "predict_batch",
+    _SPLIT_ANCHORS_SQL + f"SELECT symbol, ts_us, horizon, round(y, {D}) AS y, round(pred, {D}) AS pred FROM scored",
+)
+def q_predict_batch(spark, sf):
+    """M3/M4: fit per series on the train channel, score the test channel."""
+    spec, win = _split_windows(spark, sf)
+    fspec = spec.with_(series=("symbol",))
+    train = win.filter(F.col("channel") == "train")
+    test = win.filter(F.col("channel") == "test")
+    model = FC.fit_linear(train, fspec)
+    p = FC.predict_linear(test, model, fspec, keys=["ts_us"])
+    return p.select("symbol", "ts_us", "horizon", rounded(F.col("y")).alias("y"), rounded(F.col("pred")).alias("pred"))
+
+
+@query(
+    "eval_split_metrics",
+    _SPLIT_ANCHORS_SQL + """
+SELECT round(avg((y - pred) * (y - pred)), 4) AS mse, round(avg(abs(y - pred)), 4) AS mae,
+       round(avg(y), 4) AS label_mean, round(avg(pred), 4) AS pred_mean, count(*) AS n FROM scored
+""",
+)
+def q_eval_split_metrics(spark, sf):
+    """A5 on held-out data: metrics of the train-fitted linear model on test."""
+    spec, win = _split_windows(spark, sf)
+    fspec = spec.with_(series=("symbol",))
+    model = FC.fit_linear(win.filter(F.col("channel") == "train"), fspec)
+    p = FC.predict_linear(win.filter(F.col("channel") == "test"), model, fspec, keys=["ts_us"])
+    m = FC.regression_metrics(p)
+    return m.select(*[F.round(c, 4).alias(c) for c in ("mse", "mae", "label_mean", "pred_mean")], "n")
+
+
+@query(
+    "model_export",
+    _FIT_SQL + f"""SELECT symbol, horizon, round(slope, {D}) AS slope, round(intercept, {D}) AS intercept,
+    (SELECT CAST(epoch(max(ts)) AS BIGINT) FROM events) AS version FROM fit""",
+)
+def q_model_export(spark, sf):
+    """M5: fitted models appended to a versioned model table and read back.
+    The version is the data's last event time in epoch seconds."""
+    spec, win = _windows8(spark, sf)
+    model = FC.fit_linear(win, spec)
+    version = table(spark, sf, "events").agg(F.max(F.unix_timestamp(F.col("ts").cast("timestamp")))).first()[0]
+    path = scratch_path(spark, "models")
+    back = RG.export_models(model, path, int(version))
+    return back.select("symbol", "horizon", rounded(F.col("slope")).alias("slope"),
+                       rounded(F.col("intercept")).alias("intercept"), F.col("version").cast("bigint").alias("version"))
+
+
+_ARTIFACTS_SQL = """
+WITH listing AS (SELECT o_custkey AS symbol, o_orderkey AS version,
+                        CASE WHEN o_orderstatus = 'F' THEN 'saved_model.pb' ELSE NULL END AS file_name
+                 FROM orders)
+"""
+
+
+def _listing(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.select(
+        F.col("o_custkey").alias("symbol"), F.col("o_orderkey").alias("version"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("saved_model.pb")).alias("file_name"),
+    )
+
+
+@query(
+    "flt_complete_artifacts",
+    _ARTIFACTS_SQL + "SELECT symbol FROM listing GROUP BY symbol HAVING bool_or(coalesce(file_name = 'saved_model.pb', false))",
+)
+def q_flt_complete_artifacts(spark, sf):
+    """Symbols with at least one complete saved model (orders stand-in)."""
+    return RG.complete_symbols(_listing(spark, sf))
+
+
+@query(
+    "model_latest_version",
+    _ARTIFACTS_SQL + "SELECT symbol, max(version) AS version, count(*) AS complete_versions "
+    "FROM listing WHERE file_name = 'saved_model.pb' GROUP BY symbol",
+)
+def q_model_latest_version(spark, sf):
+    """M6: the highest complete version of each symbol (versions as numbers)."""
+    lat = RG.latest_complete_versions(_listing(spark, sf))
+    counts = _listing(spark, sf).filter(F.col("file_name") == "saved_model.pb").groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("complete_versions"))
+    return lat.join(counts, "symbol").select(
+        "symbol", F.col("artifact.version").cast("bigint").alias("version"), "complete_versions")
+
+
+@query("fit_lagged_ridge")
+def q_fit_lagged_ridge(spark, sf):
+    """M1 v2: ridge regression on the last 4 values per (series, horizon);
+    sums in Spark, 5x5 solves in mapInPandas. Rows-only check (tests compare
+    with numpy on the raw windows)."""
+    spec, win = _windows8(spark, sf)
+    model = FC.fit_lagged_ridge(win, spec, lags=4)
+    return model.select("symbol", "horizon", "n_obs",
+                        F.transform("coef", lambda c: F.round(c, 6)).alias("coef"))

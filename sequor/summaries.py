@@ -18,8 +18,10 @@ DIGITS = 6
 
 def micros(col: str | Column) -> Column:
     """Microseconds since the epoch of a ``timestamp_ntz`` column (DuckDB: epoch_us)."""
+    from .plans.numbering import ntz_micros
+
     c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    return ntz_micros(c.cast("timestamp_ntz"))
 
 
 def rounded(c: Column, digits: int = DIGITS) -> Column:
