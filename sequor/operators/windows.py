@@ -105,21 +105,38 @@ def trim_head(df: DataFrame, spec: SequenceSpec, rn: str = RN) -> DataFrame:
 # --- the flagship -----------------------------------------------------------
 
 
-def window_expressions(spec: SequenceSpec, w: WindowSpec) -> dict[str, Column]:
-    """Label, features, rn and n over one shared window ordering ``w``.
+PAST = "_sq_past"
+
+
+def _field(name: str):
+    return lambda v: v[name]
+
 
-    The label is taken from the *input* label column, so it is right even when
-    the label base is also a feature that becomes a window.
+def window_expressions(spec: SequenceSpec, w: WindowSpec) -> dict[str, Column]:
+    """Label, past rows, rn and n over one shared window ordering ``w``.
+
+    The past window is ONE ``collect_list`` of a struct of all features (a
+    sliding frame re-aggregates its rows for every anchor, so one aggregate
+    instead of one per feature cuts that work by the number of features);
+    :func:`split_past` turns it into one array per feature. The label is taken
+    from the *input* label column, so it is right even when the label base is
+    also a feature.
     """
     exprs = {spec.label_col: F.collect_list(spec.label).over(future_frame(spec, w))}
-    pw = past_frame(spec, w)
-    for f in spec.features:
-        exprs[f] = F.collect_list(f).over(pw)
+    exprs[PAST] = F.collect_list(F.struct(*[F.col(f) for f in spec.features])).over(past_frame(spec, w))
     exprs[RN] = F.row_number().over(w)
     exprs[N] = F.count(F.lit(1)).over(whole_frame(w))
     return exprs
 
 
+def split_past(spec: SequenceSpec) -> list[Column]:
+    """Per feature: its values in the past frame, NULLs skipped (as ``collect_list`` does)."""
+    return [
+        F.filter(F.transform(PAST, _field(f)), lambda x: x.isNotNull()).alias(f)
+        for f in spec.features
+    ]
+
+
 def full_windows(spec: SequenceSpec) -> Column:
     """True when every feature window has ``past`` and the label ``future`` values."""
     cond = F.size(spec.label_col) == spec.future
@@ -166,6 +183,7 @@ def sequence_windows_direct(df: DataFrame, spec: SequenceSpec) -> DataFrame:
         *[c for c in base.columns if c not in spec.features],
         *[e.alias(name) for name, e in window_expressions(spec, w).items()],
     )
+    windowed = windowed.select(*[c for c in windowed.columns if c != PAST], *split_past(spec))
     trimmed = apply_trims(windowed, spec)
     return trimmed.select(*output_columns(trimmed, spec))
 
@@ -187,4 +205,6 @@ def sequence_windows(df: DataFrame, spec: SequenceSpec, plan: str = "auto", **pl
         return blocked.sequence_windows_blocked(df, spec, **plan_options)
     if plan == "auto":
         return blocked.sequence_windows_auto(df, spec, **plan_options)
+    if plan == "auto_lazy":
+        return blocked.sequence_windows_auto_lazy(df, spec, **plan_options)
     raise ValueError(f"unknown plan {plan!r}")

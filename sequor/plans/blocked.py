@@ -14,8 +14,8 @@ only its own anchors. Block partitions hold at most ``block_rows + past +
 future`` rows, whatever the size of the series.
 
 :func:`sequence_windows_auto` routes only hot series (``n > hot_rows``) here;
-the rest take the one-shuffle direct plan. The hot list is broadcast: it has at
-most ``N / hot_rows`` entries.
+the rest take the one-shuffle direct plan. The hot list has at most
+``N / hot_rows`` entries and is broadcast only after a size check.
 """
 
 from __future__ import annotations
@@ -57,6 +57,7 @@ def block_windows(numbered: DataFrame, spec: SequenceSpec, block_rows: int = DEF
         *[c for c in copied.columns if c not in spec.features],
         *[e.alias(name) for name, e in exprs.items()],
     )
+    windowed = windowed.select(*[c for c in windowed.columns if c != W.PAST], *W.split_past(spec))
     own = windowed.filter(F.floor((rn - 1) / B).cast("long") == F.col(BLOCK))
     trimmed = W.apply_trims(own, spec)
     return trimmed.select(*W.output_columns(trimmed, spec))
@@ -89,17 +90,42 @@ def sequence_windows_auto(
     hot_rows: int = NB.DEFAULT_HOT_ROWS,
     block_rows: int = DEFAULT_BLOCK_ROWS,
     bucket_rows: int = NB.DEFAULT_BUCKET_ROWS,
+    max_hot_keys: int = NB.MAX_BROADCAST_HOT,
 ) -> DataFrame:
     """Direct plan for ordinary series, blocks with halo for hot ones.
 
-    The hot list (at most ``N / hot_rows`` series) is broadcast; the anti join
-    removes hot rows *before* the direct plan's exchange, so a hot series is
-    never hashed into one partition. When no series is hot, AQE sees an empty
-    broadcast and drops the blocked branch.
+    A small pre-pass (series keys and time only, partially aggregated) finds
+    the series with more than ``hot_rows`` rows behind an explicit size check
+    (:func:`sequor.plans.numbering.checked_hot`). With none, the result is the
+    plain direct plan. Otherwise the anti join removes hot rows *before* the
+    direct plan's exchange, so a hot series is never hashed into one
+    partition, and the hot rows take the blocked plan.
     """
     base = _needed(df, spec)
     stats = NB.series_stats(base, spec.series, spec.time_col)
-    hot = F.broadcast(NB.hot_stats(stats, hot_rows))
+    hot, small = NB.checked_hot(stats, hot_rows, max_hot_keys)
+    if hot is None:
+        return W.sequence_windows_direct(base, spec)
+    hot = F.broadcast(hot) if small else hot
+    return _route(base, spec, hot, block_rows, bucket_rows)
+
+
+def sequence_windows_auto_lazy(
+    df: DataFrame,
+    spec: SequenceSpec,
+    hot_rows: int = NB.DEFAULT_HOT_ROWS,
+    block_rows: int = DEFAULT_BLOCK_ROWS,
+    bucket_rows: int = NB.DEFAULT_BUCKET_ROWS,
+) -> DataFrame:
+    """Same routing without the eager check: the hot list is broadcast on the
+    bound ``N / hot_rows`` alone and AQE drops the blocked branch when it is
+    empty. One lazy plan (no job at definition time)."""
+    base = _needed(df, spec)
+    stats = NB.series_stats(base, spec.series, spec.time_col)
+    return _route(base, spec, F.broadcast(NB.hot_stats(stats, hot_rows)), block_rows, bucket_rows)
+
+
+def _route(base: DataFrame, spec: SequenceSpec, hot: DataFrame, block_rows: int, bucket_rows: int) -> DataFrame:
     cold = W.sequence_windows_direct(base.join(hot.select(*spec.series), list(spec.series), "left_anti"), spec)
     hot_base = base.join(hot, list(spec.series), "inner")
     key = NB.time_key(base, spec.time_col)

@@ -8,8 +8,11 @@ into one task:
 1. per-series statistics ``(n, lo, hi)`` of a monotone numeric key of the time
    column (partial aggregation, one small row per series per map task);
 2. series with more than ``hot_rows`` rows are *hot*. There can be at most
-   ``N / hot_rows`` of them, a proven size bound, so their statistics are
-   broadcast. Every other series is one bucket (bounded by ``hot_rows`` rows);
+   ``N / hot_rows`` of them; :func:`checked_hot` collects at most
+   ``MAX_BROADCAST_HOT + 1`` of them and broadcasts the list only when it is
+   within that bound (otherwise a shuffle join). With no hot series the plan
+   is the plain per-series window. Every other series is one bucket (bounded
+   by ``hot_rows`` rows);
 3. rows of a hot series fall into ``ceil(n / bucket_rows)`` equal-width time
    buckets; the bucket is a monotone function of the time key, so buckets are
    contiguous ranges in row order. NULL times get bucket -1 (they sort first);
@@ -91,6 +94,29 @@ def hot_stats(stats: DataFrame, hot_rows: int) -> DataFrame:
     return stats.filter(F.col(N_) > F.lit(hot_rows))
 
 
+MAX_BROADCAST_HOT = 100_000
+
+
+def checked_hot(stats: DataFrame, hot_rows: int, max_keys: int = MAX_BROADCAST_HOT) -> tuple[DataFrame | None, bool]:
+    """The hot-series statistics, behind an explicit size check.
+
+    Collects at most ``max_keys + 1`` rows (a small job over the
+    pre-aggregated statistics; never more than that reaches the driver):
+
+    * none  -> ``(None, True)``: no series needs splitting;
+    * ``<= max_keys`` -> a local relation of known size, safe to broadcast;
+    * more  -> ``(lazy hot table, False)``: join it with a shuffle join
+      (AQE splits skewed partitions of that join at run time).
+    """
+    hot = hot_stats(stats, hot_rows)
+    rows = hot.limit(max_keys + 1).collect()
+    if not rows:
+        return None, True
+    if len(rows) <= max_keys:
+        return stats.sparkSession.createDataFrame(rows, hot.schema), True
+    return hot, False
+
+
 def bucket_of(key: Column, n: Column, lo: Column, hi: Column, bucket_rows: int, integral: bool) -> Column:
     """Equal-width time bucket in ``[0, ceil(n / bucket_rows))``; -1 for NULL keys."""
     # Division goes through double; rounding is monotone, so buckets stay
@@ -157,7 +183,15 @@ def number_rows(
     series, order = list(series), list(order)
     time_col = order[0]
     stats = series_stats(df, series, time_col)
-    hot = F.broadcast(hot_stats(stats, hot_rows))
+    hot, small = checked_hot(stats, hot_rows)
+    if hot is None:
+        # No hot series: one bucket per series is the plain window numbering.
+        w = Window.partitionBy(*series).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        return df.withColumns({
+            rn: F.row_number().over(w).cast("long"),
+            n: F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        }).withColumn(BUCKET, F.lit(0).cast("long"))
+    hot = F.broadcast(hot) if small else hot
     k = time_key(df, time_col)
     tagged = df.withColumn(KEY, k).join(hot, series, "left")
     is_hot = F.col(N_).isNotNull()
