@@ -106,47 +106,57 @@ def trim_head(df: DataFrame, spec: SequenceSpec, rn: str = RN) -> DataFrame:
 
 
 PAST = "_sq_past"
-
-
-def _field(name: str):
-    return lambda v: v[name]
+NULLS = "_sq_nulls"
 
 
 def window_expressions(spec: SequenceSpec, w: WindowSpec) -> dict[str, Column]:
-    """Label, past rows, rn and n over one shared window ordering ``w``.
+    """Label, past rows, NULL count, rn and n over one shared ordering ``w``.
 
     The past window is ONE ``collect_list`` of a struct of all features (a
     sliding frame re-aggregates its rows for every anchor, so one aggregate
-    instead of one per feature cuts that work by the number of features);
-    :func:`split_past` turns it into one array per feature. The label is taken
-    from the *input* label column, so it is right even when the label base is
-    also a feature.
+    instead of one per feature divides that work by the number of features).
+    ``_sq_nulls`` counts the rows of the past frame holding a NULL feature,
+    which is all the NULL policy needs. The label is taken from the *input*
+    label column, so it is right even when the label base is also a feature.
     """
     exprs = {spec.label_col: F.collect_list(spec.label).over(future_frame(spec, w))}
-    exprs[PAST] = F.collect_list(F.struct(*[F.col(f) for f in spec.features])).over(past_frame(spec, w))
+    pw = past_frame(spec, w)
+    exprs[PAST] = F.collect_list(F.struct(*[F.col(f) for f in spec.features])).over(pw)
+    any_null = F.lit(False)
+    for f in spec.features:
+        any_null = any_null | F.col(f).isNull()
+    exprs[NULLS] = F.sum(F.when(any_null, F.lit(1)).otherwise(F.lit(0))).over(pw)
     exprs[RN] = F.row_number().over(w)
     exprs[N] = F.count(F.lit(1)).over(whole_frame(w))
     return exprs
 
 
-def split_past(spec: SequenceSpec) -> list[Column]:
-    """Per feature: its values in the past frame, NULLs skipped (as ``collect_list`` does)."""
-    return [
-        F.filter(F.transform(PAST, _field(f)), lambda x: x.isNotNull()).alias(f)
-        for f in spec.features
-    ]
+def split_past(spec: SequenceSpec, compact: bool) -> list[Column]:
+    """Per feature, its values in the past frame.
+
+    ``past.<feature>`` is a native array-of-struct field extraction (codegen,
+    no lambda). Where a frame may hold NULLs (``compact=True``), they are
+    removed as ``collect_list`` would; anchors whose frames hold no NULL
+    need no such pass.
+    """
+    out = []
+    for f in spec.features:
+        arr = F.col(PAST).getField(f)
+        out.append((F.array_compact(arr) if compact else arr).alias(f))
+    return out
 
 
 def full_windows(spec: SequenceSpec) -> Column:
-    """True when every feature window has ``past`` and the label ``future`` values."""
-    cond = F.size(spec.label_col) == spec.future
-    for f in spec.features:
-        cond = cond & (F.size(f) == spec.past)
-    return cond
+    """True when no past frame holds a NULL and the label has ``future`` values."""
+    return (F.col(NULLS) == 0) & (F.size(spec.label_col) == spec.future)
 
 
 def apply_trims(df: DataFrame, spec: SequenceSpec, rn: str = RN, n: str = N) -> DataFrame:
-    """Head, tail and stride trims plus the NULL policy, as one filter."""
+    """Head, tail and stride trims, the NULL policy, then the per-feature arrays.
+
+    The trims only read ``rn`` and ``n``, so they run before any array is
+    materialised per feature.
+    """
     keep = head_keep(spec, rn) & tail_keep(spec, rn, n) & stride_keep(spec, rn)
     if spec.on_null == "drop":
         keep = keep & full_windows(spec)
@@ -158,7 +168,9 @@ def apply_trims(df: DataFrame, spec: SequenceSpec, rn: str = RN, n: str = N) ->
             ),
         ).otherwise(F.lit(True))
         keep = keep & guard
-    return df.filter(keep)
+    kept = df.filter(keep)
+    compact = spec.on_null == "keep"
+    return kept.select(*[c for c in kept.columns if c not in (PAST, NULLS)], *split_past(spec, compact))
 
 
 def output_columns(df: DataFrame, spec: SequenceSpec) -> list[str]:
@@ -183,7 +195,6 @@ def sequence_windows_direct(df: DataFrame, spec: SequenceSpec) -> DataFrame:
         *[c for c in base.columns if c not in spec.features],
         *[e.alias(name) for name, e in window_expressions(spec, w).items()],
     )
-    windowed = windowed.select(*[c for c in windowed.columns if c != PAST], *split_past(spec))
     trimmed = apply_trims(windowed, spec)
     return trimmed.select(*output_columns(trimmed, spec))
 

@@ -57,7 +57,6 @@ def block_windows(numbered: DataFrame, spec: SequenceSpec, block_rows: int = DEF
         *[c for c in copied.columns if c not in spec.features],
         *[e.alias(name) for name, e in exprs.items()],
     )
-    windowed = windowed.select(*[c for c in windowed.columns if c != W.PAST], *W.split_past(spec))
     own = windowed.filter(F.floor((rn - 1) / B).cast("long") == F.col(BLOCK))
     trimmed = W.apply_trims(own, spec)
     return trimmed.select(*W.output_columns(trimmed, spec))
