@@ -863,3 +863,29 @@ def q_fit_lagged_ridge(spark, sf):
     model = FC.fit_lagged_ridge(win, spec, lags=4)
     return model.select("symbol", "horizon", "n_obs",
                         F.transform("coef", lambda c: F.round(c, 6)).alias("coef"))
+
+
+@query(
+    "sink_tfrecord_roundtrip",
+    "SELECT symbol, ts_us, x_len, y_len, round(y_sum, 4) AS y_sum, round(sum_ohlc_close, 4) AS close_sum, "
+    "round(sum_cmmc_max, 4) AS cmmc_sum FROM ("
+    + window_summary_sql(_F32_SQL, ["symbol"], EV_ORDER, "s_ts", FEATS, "ohlc_close", 60, 3)
+    + ")",
+)
+def q_sink_tfrecord_roundtrip(spark, sf):
+    """float32 sequence examples written as TFRecord part files by
+    every task, committed through a manifest, read back one partition per file."""
+    from .sources.tfrecord import read_tfrecords, write_tfrecords
+
+    spec = events_spec(60, 3)
+    win = W.sequence_windows(events_series(spark, sf), spec, plan="auto")
+    rec = to_record_layout(win.withColumn("ts_us", micros("s_ts")), spec, keep=["symbol", "ts_us"])
+    path = scratch_path(spark, "tfrecords")
+    write_tfrecords(rec, path)
+    back = read_tfrecords(spark, path, rec.schema)
+    x, y, c = F.flatten("ohlc_close"), F.flatten(spec.label_col), F.flatten("cmmc_max")
+    return back.select(
+        "symbol", "ts_us", array_len(x).alias("x_len"), array_len(y).alias("y_len"),
+        F.round(array_sum(y), 4).alias("y_sum"), F.round(array_sum(x), 4).alias("close_sum"),
+        F.round(array_sum(c), 4).alias("cmmc_sum"),
+    )
