@@ -219,3 +219,25 @@ def sequence_windows(df: DataFrame, spec: SequenceSpec, plan: str = "auto", **pl
     if plan == "auto_lazy":
         return blocked.sequence_windows_auto_lazy(df, spec, **plan_options)
     raise ValueError(f"unknown plan {plan!r}")
+
+
+def sequence_windows_observed(df: DataFrame, spec: SequenceSpec, plan: str = "auto", name: str = "seqwin",
+                              **plan_options):
+    """:func:`sequence_windows` plus run metrics collected during the action.
+
+    Returns ``(result, metrics_in, metrics_out)``; after the result is written,
+    ``metrics_in.get`` holds ``rows_in`` / ``null_time`` and ``metrics_out.get``
+    holds ``windows_out``. ``DataFrame.observe`` aggregates inside the same job,
+    so no extra pass over the data is made.
+    """
+    from pyspark.sql import Observation
+
+    obs_in, obs_out = Observation(f"{name}_in"), Observation(f"{name}_out")
+    src = df.observe(
+        obs_in,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.sum(F.when(F.col(spec.time_col).isNull(), 1).otherwise(0)).alias("null_time"),
+    )
+    out = sequence_windows(src, spec, plan=plan, **plan_options)
+    out = out.observe(obs_out, F.count(F.lit(1)).alias("windows_out"))
+    return out, obs_in, obs_out

@@ -131,3 +131,11 @@ def test_auto_plan_hot_rows_never_hashed_by_series_alone(spark):
     # cold rows: anti join against the broadcast hot list *before* the series exchange
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
     assert "_sq_blk" in plan
+
+
+def test_observed_run_metrics(spark):
+    ev = events_series(spark, SF001)
+    out, m_in, m_out = W.sequence_windows_observed(ev, events_spec(60, 3), plan="direct")
+    out.write.format("noop").mode("overwrite").save()
+    assert m_in.get["rows_in"] == 1000 and m_in.get["null_time"] == 0
+    assert m_out.get["windows_out"] == 93
