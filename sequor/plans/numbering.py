@@ -153,6 +153,10 @@ def number_bucketed(
     group's row count, taken from the same small count table.
     """
     keys = list(series) + [BUCKET]
+    # One exchange on (series, bucket) feeds both the bucket counts (no further
+    # exchange: the data is already clustered) and the numbering; Spark reuses
+    # it, so the input is computed and shuffled once.
+    tagged = tagged.repartition(*[F.col(k) for k in keys])
     counts = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sq_c"))
     by_series = Window.partitionBy(*series).orderBy(BUCKET)
     before = by_series.rowsBetween(Window.unboundedPreceding, -1)
