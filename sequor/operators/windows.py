@@ -107,32 +107,46 @@ def trim_head(df: DataFrame, spec: SequenceSpec, rn: str = RN) -> DataFrame:
 
 PAST = "_sq_past"
 NULLS = "_sq_nulls"
+# From this many features on, one struct list beats one list per feature
+# (measured: per-feature lists are ~10 % faster for 2 features, the struct
+# list is faster from about 4 on).
+STRUCT_MIN_FEATURES = 4
+
+
+def _use_struct(spec: SequenceSpec) -> bool:
+    return len(spec.features) >= STRUCT_MIN_FEATURES
 
 
 def window_expressions(spec: SequenceSpec, w: WindowSpec) -> dict[str, Column]:
-    """Label, past rows, NULL count, rn and n over one shared ordering ``w``.
-
-    The past window is ONE ``collect_list`` of a struct of all features (a
-    sliding frame re-aggregates its rows for every anchor, so one aggregate
-    instead of one per feature divides that work by the number of features).
-    ``_sq_nulls`` counts the rows of the past frame holding a NULL feature,
-    which is all the NULL policy needs. The label is taken from the *input*
-    label column, so it is right even when the label base is also a feature.
+    """Label, past windows, rn and n over one shared ordering ``w``.
+
+    A sliding row frame re-aggregates its rows for every anchor. With many
+    features the past window is therefore ONE ``collect_list`` of a struct of
+    all features (one aggregate instead of one per feature) plus ``_sq_nulls``,
+    the number of rows in the frame holding a NULL feature, which is all the
+    NULL policy needs; :func:`apply_trims` extracts per-feature arrays after
+    trimming. With few features each gets its own ``collect_list``. The label
+    is taken from the *input* label column, so it is right even when the label
+    base is also a feature.
     """
     exprs = {spec.label_col: F.collect_list(spec.label).over(future_frame(spec, w))}
     pw = past_frame(spec, w)
-    exprs[PAST] = F.collect_list(F.struct(*[F.col(f) for f in spec.features])).over(pw)
-    any_null = F.lit(False)
-    for f in spec.features:
-        any_null = any_null | F.col(f).isNull()
-    exprs[NULLS] = F.sum(F.when(any_null, F.lit(1)).otherwise(F.lit(0))).over(pw)
+    if _use_struct(spec):
+        exprs[PAST] = F.collect_list(F.struct(*[F.col(f) for f in spec.features])).over(pw)
+        any_null = F.lit(False)
+        for f in spec.features:
+            any_null = any_null | F.col(f).isNull()
+        exprs[NULLS] = F.sum(F.when(any_null, F.lit(1)).otherwise(F.lit(0))).over(pw)
+    else:
+        for f in spec.features:
+            exprs[f] = F.collect_list(f).over(pw)
     exprs[RN] = F.row_number().over(w)
     exprs[N] = F.count(F.lit(1)).over(whole_frame(w))
     return exprs
 
 
 def split_past(spec: SequenceSpec, compact: bool) -> list[Column]:
-    """Per feature, its values in the past frame.
+    """Per feature, its values in the struct past frame.
 
     ``past.<feature>`` is a native array-of-struct field extraction (codegen,
     no lambda). Where a frame may hold NULLs (``compact=True``), they are
@@ -146,9 +160,14 @@ def split_past(spec: SequenceSpec, compact: bool) -> list[Column]:
     return out
 
 
-def full_windows(spec: SequenceSpec) -> Column:
+def full_windows(spec: SequenceSpec, struct_form: bool) -> Column:
     """True when no past frame holds a NULL and the label has ``future`` values."""
-    return (F.col(NULLS) == 0) & (F.size(spec.label_col) == spec.future)
+    cond = F.size(spec.label_col) == spec.future
+    if struct_form:
+        return cond & (F.col(NULLS) == 0)
+    for f in spec.features:
+        cond = cond & (F.size(f) == spec.past)
+    return cond
 
 
 def apply_trims(df: DataFrame, spec: SequenceSpec, rn: str = RN, n: str = N) -> DataFrame:
@@ -157,18 +176,21 @@ def apply_trims(df: DataFrame, spec: SequenceSpec, rn: str = RN, n: str = N) ->
     The trims only read ``rn`` and ``n``, so they run before any array is
     materialised per feature.
     """
+    struct_form = PAST in df.columns
     keep = head_keep(spec, rn) & tail_keep(spec, rn, n) & stride_keep(spec, rn)
     if spec.on_null == "drop":
-        keep = keep & full_windows(spec)
+        keep = keep & full_windows(spec, struct_form)
     elif spec.on_null == "fail":
         guard = F.when(
-            ~full_windows(spec),
+            ~full_windows(spec, struct_form),
             F.raise_error(
                 F.lit("sequence window shorter than requested: NULL inside a frame (on_null='fail')")
             ),
         ).otherwise(F.lit(True))
         keep = keep & guard
     kept = df.filter(keep)
+    if not struct_form:
+        return kept
     compact = spec.on_null == "keep"
     return kept.select(*[c for c in kept.columns if c not in (PAST, NULLS)], *split_past(spec, compact))
 
