@@ -784,19 +784,24 @@ def q_predict_batch(spark, sf):
 
 @query(
     "eval_split_metrics",
-    _SPLIT_ANCHORS_SQL + """
-SELECT round(avg((y - pred) * (y - pred)), 4) AS mse, round(avg(abs(y - pred)), 4) AS mae,
-       round(avg(y), 4) AS label_mean, round(avg(pred), 4) AS pred_mean, count(*) AS n FROM scored
+    _SPLIT_ANCHORS_SQL.replace("WHERE h.channel = 'test'", "WHERE h.channel IN ('eval', 'test')").replace(
+        "SELECT h.symbol, h.ts_us,", "SELECT h.channel, h.symbol, h.ts_us,")
+    + """
+SELECT channel, round(avg((y - pred) * (y - pred)), 4) AS mse, round(avg(abs(y - pred)), 4) AS mae,
+       round(avg(y), 4) AS label_mean, round(avg(pred), 4) AS pred_mean, count(*) AS n
+FROM scored GROUP BY channel
 """,
 )
 def q_eval_split_metrics(spark, sf):
-    """A5 on held-out data: metrics of the train-fitted linear model on test."""
+    """M3 + A5: the train-fitted linear model evaluated once per row on the
+    eval channel and on the test channel."""
     spec, win = _split_windows(spark, sf)
     fspec = spec.with_(series=("symbol",))
     model = FC.fit_linear(win.filter(F.col("channel") == "train"), fspec)
-    p = FC.predict_linear(win.filter(F.col("channel") == "test"), model, fspec, keys=["ts_us"])
-    m = FC.regression_metrics(p)
-    return m.select(*[F.round(c, 4).alias(c) for c in ("mse", "mae", "label_mean", "pred_mean")], "n")
+    held_out = win.filter(F.col("channel").isin("eval", "test"))
+    p = FC.predict_linear(held_out, model, fspec, keys=["ts_us", "channel"])
+    m = FC.regression_metrics(p, ["channel"])
+    return m.select("channel", *[F.round(c, 4).alias(c) for c in ("mse", "mae", "label_mean", "pred_mean")], "n")
 
 
 @query(
