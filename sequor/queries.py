@@ -625,9 +625,9 @@ num AS (SELECT symbol, epoch_us(s_ts) AS ts_us, ohlc_close AS last,
 anchors AS (SELECT * FROM num WHERE rn >= 8 AND rn <= n - 3)
 """
 _SHUF_SQL = _ANCHORS_SQL + """, rep AS (
-  SELECT symbol, ts_us, epoch, md5(concat_ws('|', '13', CAST(epoch AS VARCHAR), CAST(symbol AS VARCHAR),
-         CAST(ts_us AS VARCHAR))) AS shuffle_key
-  FROM anchors, range(1, 3) AS e(epoch)),
+  SELECT symbol, ts_us, CAST(e AS INTEGER) AS epoch, md5(concat_ws('|', '13', CAST(e AS VARCHAR),
+         CAST(symbol AS VARCHAR), CAST(ts_us AS VARCHAR))) AS shuffle_key
+  FROM anchors, range(1, 3) AS r(e)),
 pos AS (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY shuffle_key, symbol, ts_us) AS pos,
                count(*) OVER (PARTITION BY epoch) AS en FROM rep),
 bat AS (SELECT *, (pos - 1) // 64 AS batch_id, (epoch - 1) * (en // 64) + (pos - 1) // 64 AS step
@@ -724,7 +724,7 @@ def q_eval_regression_metrics(spark, sf):
 
 _FIT_SQL = _HZ_SQL + """, fit AS (
   SELECT symbol, horizon, regr_slope(y, last) AS slope, regr_intercept(y, last) AS intercept,
-         regr_count(y, last) AS n_obs FROM hz GROUP BY symbol, horizon)
+         CAST(regr_count(y, last) AS BIGINT) AS n_obs FROM hz GROUP BY symbol, horizon)
 """
 
 
@@ -807,14 +807,15 @@ def q_eval_split_metrics(spark, sf):
 @query(
     "model_export",
     _FIT_SQL + f"""SELECT symbol, horizon, round(slope, {D}) AS slope, round(intercept, {D}) AS intercept,
-    (SELECT CAST(epoch(max(ts)) AS BIGINT) FROM events) AS version FROM fit""",
+    (SELECT epoch_us(max(ts)) // 1000000 FROM events) AS version FROM fit""",
 )
 def q_model_export(spark, sf):
     """M5: fitted models appended to a versioned model table and read back.
     The version is the data's last event time in epoch seconds."""
     spec, win = _windows8(spark, sf)
     model = FC.fit_linear(win, spec)
-    version = table(spark, sf, "events").agg(F.max(F.unix_timestamp(F.col("ts").cast("timestamp")))).first()[0]
+    last_us = table(spark, sf, "events").agg(F.max(micros("ts"))).first()[0]  # one scalar
+    version = last_us // 1_000_000
     path = scratch_path(spark, "models")
     back = RG.export_models(model, path, int(version))
     return back.select("symbol", "horizon", rounded(F.col("slope")).alias("slope"),
