@@ -83,7 +83,9 @@ def q_batches(spark):
     spec = events_spec(8, 3)
     win = W.sequence_windows(events_series(spark, SF_DIR), spec, plan="auto")
     rec = win.select("symbol", micros("s_ts").alias("ts_us"))
-    return DS.batches(rec, ["symbol", "ts_us"], TrainingParams())
+    # 85 000 records per epoch: 2 hex digits = 256 buckets (the default would
+    # size this from a count job, which here would recompute the windows).
+    return DS.batches(rec, ["symbol", "ts_us"], TrainingParams(), prefix_digits=2)
 
 
 def q_fit_predict_metrics(spark):

@@ -57,16 +57,22 @@ def batches(
     key_cols: Sequence[str],
     params: TrainingParams = TrainingParams(),
     epochs: int | None = None,
-    prefix_digits: int = 3,
+    prefix_digits: int | None = None,
     max_steps: int | None = None,
     debug: bool = False,
+    rows_per_bucket: int = 1_000_000,
 ) -> DataFrame:
     """``epoch, shuffle_key, pos, batch_id, step`` for every kept row.
 
     ``prefix_digits`` hex digits of the shuffle key make ``16 ** prefix_digits``
-    uniform buckets per epoch for the two-phase numbering. ``max_steps`` (or
-    ``debug=True`` for the debug cap) bounds the global step.
+    uniform buckets per epoch for the two-phase numbering. By default they are
+    sized from the record count (one count job) so a bucket holds about
+    ``rows_per_bucket`` rows - which also keeps the per-epoch offsets table at
+    about ``records / rows_per_bucket`` rows. ``max_steps`` (or ``debug=True``
+    for the debug cap) bounds the global step.
     """
+    if prefix_digits is None:
+        prefix_digits = bucket_digits(df.count(), rows_per_bucket)
     if not 1 <= prefix_digits <= 8:
         raise ValueError("prefix_digits must be in 1..8")
     shuffled = epoch_shuffle(df, key_cols, params, epochs)
@@ -87,6 +93,14 @@ def batches(
     return out.drop(BUCKET, "_sq_epoch_n")
 
 
+def bucket_digits(records: int, rows_per_bucket: int = 1_000_000) -> int:
+    """Hex digits so that ``records / 16 ** digits`` is about ``rows_per_bucket`` (1..8)."""
+    digits = 1
+    while digits < 8 and records / (16 ** digits) > rows_per_bucket:
+        digits += 1
+    return digits
+
+
 # --- sizing (A2-A4) ---------------------------------------------------------
 
 

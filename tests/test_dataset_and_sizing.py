@@ -82,3 +82,11 @@ def test_step_cap(spark):
     p = TrainingParams(batch_size=2, epochs=3)
     out = DS.batches(_recs(spark, 10), ["key"], p, max_steps=7)
     assert sorted({r["step"] for r in out.collect()}) == list(range(7))
+
+
+def test_bucket_digits():
+    assert DS.bucket_digits(10) == 1
+    assert DS.bucket_digits(16 * 1_000_000) == 1
+    assert DS.bucket_digits(16 * 1_000_000 + 1) == 2
+    assert DS.bucket_digits(10**12) == 5  # 10**12 / 16**5 = 0.95 M rows per bucket
+    assert DS.bucket_digits(10**18) == 8
