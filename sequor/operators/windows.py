@@ -56,20 +56,35 @@ def whole_frame(w: WindowSpec) -> WindowSpec:
 # --- single building blocks -------------------------------------------------
 
 
-def feature_sequences(df: DataFrame, spec: SequenceSpec) -> DataFrame:
-    """Replace each feature by its trailing window (one projection)."""
-    w = past_frame(spec)
-    return df.withColumns({f: F.collect_list(f).over(w) for f in spec.features})
+def all_windows(df: DataFrame, spec: SequenceSpec, plan: str = "auto", **plan_options) -> DataFrame:
+    """Every row with its past windows, label window and ``rn`` - no trims.
 
+    Same plans as :func:`sequence_windows` (hot series split into blocks)."""
+    return sequence_windows(df, spec, plan=plan, trim=False, **plan_options)
 
-def label_sequence(df: DataFrame, spec: SequenceSpec) -> DataFrame:
-    """Add the leading label window of the label base column."""
-    return df.withColumn(spec.label_col, F.collect_list(spec.label).over(future_frame(spec)))
 
+def feature_sequences(df: DataFrame, spec: SequenceSpec, plan: str = "auto", **plan_options) -> DataFrame:
+    """Series keys, order columns and each feature's trailing window, every row."""
+    out = all_windows(df, spec, plan, **plan_options)
+    return out.drop(spec.label_col, RN)
 
-def row_numbers(df: DataFrame, spec: SequenceSpec, name: str = RN) -> DataFrame:
-    """1-based row number inside each series."""
-    return df.withColumn(name, F.row_number().over(series_window(spec)))
+
+def label_sequence(df: DataFrame, spec: SequenceSpec, plan: str = "auto", **plan_options) -> DataFrame:
+    """Series keys, order columns and the leading label window, every row."""
+    label_only = spec.with_(features=(spec.label,))
+    out = all_windows(df, label_only, plan, **plan_options)
+    return out.select(*[c for c in out.columns if c not in (spec.label, RN)])
+
+
+def row_numbers(df: DataFrame, spec: SequenceSpec, name: str = RN, n_name: str | None = None,
+                **numbering_options) -> DataFrame:
+    """1-based row number inside each series (skew-safe two-phase numbering;
+    the plain per-series window when no series is hot). ``n_name`` also adds
+    the series size (A1)."""
+    from ..plans.numbering import BUCKET, number_rows
+
+    out = number_rows(df, spec.series, spec.order, rn=name, n=n_name or "_sq_n_tmp", **numbering_options)
+    return out.drop(BUCKET) if n_name else out.drop(BUCKET, "_sq_n_tmp")
 
 
 def series_count(df: DataFrame, spec: SequenceSpec, name: str = N) -> DataFrame:
@@ -170,13 +185,18 @@ def full_windows(spec: SequenceSpec, struct_form: bool) -> Column:
     return cond
 
 
-def apply_trims(df: DataFrame, spec: SequenceSpec, rn: str = RN, n: str = N) -> DataFrame:
+def apply_trims(df: DataFrame, spec: SequenceSpec, rn: str = RN, n: str = N, trim: bool = True) -> DataFrame:
     """Head, tail and stride trims, the NULL policy, then the per-feature arrays.
 
     The trims only read ``rn`` and ``n``, so they run before any array is
-    materialised per feature.
+    materialised per feature. ``trim=False`` keeps every row with its (possibly
+    short) windows, NULLs skipped - the W1 / W2 building blocks.
     """
     struct_form = PAST in df.columns
+    if not trim:
+        if not struct_form:
+            return df
+        return df.select(*[c for c in df.columns if c not in (PAST, NULLS)], *split_past(spec, True))
     keep = head_keep(spec, rn) & tail_keep(spec, rn, n) & stride_keep(spec, rn)
     if spec.on_null == "drop":
         keep = keep & full_windows(spec, struct_form)
@@ -203,7 +223,7 @@ def output_columns(df: DataFrame, spec: SequenceSpec) -> list[str]:
     return cols
 
 
-def sequence_windows_direct(df: DataFrame, spec: SequenceSpec) -> DataFrame:
+def sequence_windows_direct(df: DataFrame, spec: SequenceSpec, trim: bool = True) -> DataFrame:
     """W4 (and W6): one Window node per series partition.
 
     Cost: one hash exchange on the series keys, one sort, O(rows x past) window
@@ -217,7 +237,7 @@ def sequence_windows_direct(df: DataFrame, spec: SequenceSpec) -> DataFrame:
         *[c for c in base.columns if c not in spec.features],
         *[e.alias(name) for name, e in window_expressions(spec, w).items()],
     )
-    trimmed = apply_trims(windowed, spec)
+    trimmed = apply_trims(windowed, spec, trim=trim)
     return trimmed.select(*output_columns(trimmed, spec))
 
 
@@ -231,15 +251,13 @@ def sequence_windows(df: DataFrame, spec: SequenceSpec, plan: str = "auto", **pl
                   plan, all others through the direct plan.
     """
     if plan == "direct":
-        return sequence_windows_direct(df, spec)
+        return sequence_windows_direct(df, spec, trim=plan_options.get("trim", True))
     from ..plans import blocked
 
     if plan == "blocked":
         return blocked.sequence_windows_blocked(df, spec, **plan_options)
     if plan == "auto":
         return blocked.sequence_windows_auto(df, spec, **plan_options)
-    if plan == "auto_lazy":
-        return blocked.sequence_windows_auto_lazy(df, spec, **plan_options)
     raise ValueError(f"unknown plan {plan!r}")
 
 

@@ -36,7 +36,8 @@ def _needed(df: DataFrame, spec: SequenceSpec) -> DataFrame:
     return df.select(*[c for c in df.columns if c in needed])
 
 
-def block_windows(numbered: DataFrame, spec: SequenceSpec, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+def block_windows(numbered: DataFrame, spec: SequenceSpec, block_rows: int = DEFAULT_BLOCK_ROWS,
+                  trim: bool = True) -> DataFrame:
     """Windows over a frame that already has global ``rn`` and ``n`` columns."""
     if block_rows < 1:
         raise ValueError("block_rows must be >= 1")
@@ -58,7 +59,7 @@ def block_windows(numbered: DataFrame, spec: SequenceSpec, block_rows: int = DEF
         *[e.alias(name) for name, e in exprs.items()],
     )
     own = windowed.filter(F.floor((rn - 1) / B).cast("long") == F.col(BLOCK))
-    trimmed = W.apply_trims(own, spec)
+    trimmed = W.apply_trims(own, spec, trim=trim)
     return trimmed.select(*W.output_columns(trimmed, spec))
 
 
@@ -68,6 +69,7 @@ def sequence_windows_blocked(
     block_rows: int = DEFAULT_BLOCK_ROWS,
     bucket_rows: int = NB.DEFAULT_BUCKET_ROWS,
     hot_rows: int | None = None,
+    trim: bool = True,
 ) -> DataFrame:
     """W5 for every series of ``df``: skew-safe numbering, then blocks.
 
@@ -80,7 +82,7 @@ def sequence_windows_blocked(
         hot_rows=hot_rows if hot_rows is not None else bucket_rows,
         bucket_rows=bucket_rows, rn=W.RN, n=W.N,
     )
-    return block_windows(numbered, spec, block_rows)
+    return block_windows(numbered, spec, block_rows, trim=trim)
 
 
 def sequence_windows_auto(
@@ -90,6 +92,7 @@ def sequence_windows_auto(
     block_rows: int = DEFAULT_BLOCK_ROWS,
     bucket_rows: int = NB.DEFAULT_BUCKET_ROWS,
     max_hot_keys: int = NB.MAX_BROADCAST_HOT,
+    trim: bool = True,
 ) -> DataFrame:
     """Direct plan for ordinary series, blocks with halo for hot ones.
 
@@ -104,28 +107,15 @@ def sequence_windows_auto(
     stats = NB.series_stats(base, spec.series, spec.time_col)
     hot, small = NB.checked_hot(stats, hot_rows, max_hot_keys)
     if hot is None:
-        return W.sequence_windows_direct(base, spec)
+        return W.sequence_windows_direct(base, spec, trim=trim)
     hot = F.broadcast(hot) if small else hot
-    return _route(base, spec, hot, block_rows, bucket_rows)
+    return _route(base, spec, hot, block_rows, bucket_rows, trim)
 
 
-def sequence_windows_auto_lazy(
-    df: DataFrame,
-    spec: SequenceSpec,
-    hot_rows: int = NB.DEFAULT_HOT_ROWS,
-    block_rows: int = DEFAULT_BLOCK_ROWS,
-    bucket_rows: int = NB.DEFAULT_BUCKET_ROWS,
-) -> DataFrame:
-    """Same routing without the eager check: the hot list is broadcast on the
-    bound ``N / hot_rows`` alone and AQE drops the blocked branch when it is
-    empty. One lazy plan (no job at definition time)."""
-    base = _needed(df, spec)
-    stats = NB.series_stats(base, spec.series, spec.time_col)
-    return _route(base, spec, F.broadcast(NB.hot_stats(stats, hot_rows)), block_rows, bucket_rows)
-
-
-def _route(base: DataFrame, spec: SequenceSpec, hot: DataFrame, block_rows: int, bucket_rows: int) -> DataFrame:
-    cold = W.sequence_windows_direct(base.join(hot.select(*spec.series), list(spec.series), "left_anti"), spec)
+def _route(base: DataFrame, spec: SequenceSpec, hot: DataFrame, block_rows: int, bucket_rows: int,
+           trim: bool = True) -> DataFrame:
+    cold = W.sequence_windows_direct(
+        base.join(hot.select(*spec.series), list(spec.series), "left_anti"), spec, trim=trim)
     hot_base = base.join(hot, list(spec.series), "inner")
     key = NB.time_key(base, spec.time_col)
     tagged = hot_base.withColumn(NB.KEY, key).withColumn(
@@ -135,5 +125,5 @@ def _route(base: DataFrame, spec: SequenceSpec, hot: DataFrame, block_rows: int,
     )
     numbered = NB.number_bucketed(tagged, spec.series, spec.order, rn=W.RN)
     numbered = numbered.withColumnRenamed(NB.N_, W.N).drop(NB.KEY, NB.LO, NB.HI, NB.BUCKET)
-    hot_part = block_windows(numbered, spec, block_rows)
+    hot_part = block_windows(numbered, spec, block_rows, trim=trim)
     return cold.unionByName(hot_part)

@@ -270,7 +270,7 @@ num AS (SELECT symbol, event_id, row_number() OVER ({_WO}) AS rn,
 def q_flt_tail_trim(spark, sf):
     """Drop anchors without 3 future rows."""
     spec = events_spec(60, 3)
-    df = W.series_count(W.row_numbers(events_series(spark, sf), spec), spec)
+    df = W.row_numbers(events_series(spark, sf), spec, n_name="n")
     out = W.trim_tail(df, spec)
     return out.select("symbol", "event_id", F.col("rn").cast("bigint").alias("rn"), F.col("n").cast("bigint").alias("n"))
 
@@ -279,7 +279,7 @@ def q_flt_tail_trim(spark, sf):
 def q_flt_head_trim(spark, sf):
     """P5: drop anchors without 59 past rows."""
     spec = events_spec(60, 3)
-    df = W.series_count(W.row_numbers(events_series(spark, sf), spec), spec)
+    df = W.row_numbers(events_series(spark, sf), spec, n_name="n")
     out = W.trim_head(df, spec)
     return out.select("symbol", "event_id", F.col("rn").cast("bigint").alias("rn"), F.col("n").cast("bigint").alias("n"))
 

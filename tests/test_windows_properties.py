@@ -53,8 +53,7 @@ def test_auto_with_hot_series_equals_direct(spark):
     spec = events_spec(8, 3)
     direct = _set(W.sequence_windows(ev, spec, plan="direct"), spec)
     auto = _set(W.sequence_windows(ev, spec, plan="auto", hot_rows=60, block_rows=5, bucket_rows=9), spec)
-    lazy = _set(W.sequence_windows(ev, spec, plan="auto_lazy", hot_rows=60, block_rows=5, bucket_rows=9), spec)
-    assert direct == auto == lazy
+    assert direct == auto
 
 
 def test_auto_over_broadcast_bound_uses_shuffle_join(spark):
@@ -139,3 +138,17 @@ def test_observed_run_metrics(spark):
     out.write.format("noop").mode("overwrite").save()
     assert m_in.get["rows_in"] == 1000 and m_in.get["null_time"] == 0
     assert m_out.get["windows_out"] == 93
+
+
+def test_building_blocks_skew_safe_equal_direct(spark):
+    ev = events_series(spark, SF001)
+    spec = events_spec(8, 3)
+    hot = {"hot_rows": 50, "block_rows": 7, "bucket_rows": 11}
+    for fn, col in ((W.feature_sequences, "ohlc_pcr"), (W.label_sequence, spec.label_col)):
+        a = {(r["symbol"], r["event_id"]): r[col] for r in fn(ev, spec, plan="direct").collect()}
+        b = {(r["symbol"], r["event_id"]): r[col] for r in fn(ev, spec, plan="auto", **hot).collect()}
+        assert a == b and len(a) == 1000
+    rn_a = {(r["symbol"], r["event_id"]): (r["rn"], r["n"]) for r in W.row_numbers(ev, spec, n_name="n").collect()}
+    rn_b = {(r["symbol"], r["event_id"]): (r["rn"], r["n"])
+            for r in W.row_numbers(ev, spec, n_name="n", hot_rows=50, bucket_rows=11).collect()}
+    assert rn_a == rn_b
