@@ -104,3 +104,16 @@ def test_null_time_sorts_first(spark):
     for plan, kw in (("direct", {}), ("blocked", {"block_rows": 2, "bucket_rows": 2})):
         got = rows_by_rn(W.sequence_windows(df, spec, plan=plan, **kw))
         assert got[2]["v"] == [100.0, 0.0], plan
+
+
+def test_duplicate_times_ordered_by_tie_break(spark):
+    # four rows share one timestamp; the tie-break column makes the order total
+    rows = [("s", "2020-01-01 00:00:00", k, float(k)) for k in (3, 1, 2, 0)]
+    rows += [("s", "2020-01-01 00:00:01", 4, 4.0)]
+    df = spark.createDataFrame(rows, "sym string, t string, k long, v double").select(
+        "sym", F.col("t").cast("timestamp_ntz").alias("t"), "k", "v")
+    spec = SequenceSpec(series=("sym",), order=("t", "k"), features=("v",), label="v", past=2, future=1)
+    for plan, kw in (("direct", {}), ("blocked", {"block_rows": 1, "bucket_rows": 1})):
+        got = rows_by_rn(W.sequence_windows(df.repartition(3), spec, plan=plan, **kw))
+        assert {rn: (r["v"], r["v_label"]) for rn, r in got.items()} == {
+            2: ([0.0, 1.0], [2.0]), 3: ([1.0, 2.0], [3.0]), 4: ([2.0, 3.0], [4.0])}, plan
