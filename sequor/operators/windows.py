@@ -132,6 +132,15 @@ def _use_struct(spec: SequenceSpec) -> bool:
     return len(spec.features) >= STRUCT_MIN_FEATURES
 
 
+def _elem(spec: SequenceSpec, name: str) -> Column:
+    """The value a window collects: the column, or ``[float(x)]`` in nested
+    layout (NULL stays NULL so ``collect_list`` still skips it)."""
+    c = F.col(name)
+    if not spec.nested:
+        return c
+    return F.when(c.isNotNull(), F.array(c.cast("float")))
+
+
 def window_expressions(spec: SequenceSpec, w: WindowSpec) -> dict[str, Column]:
     """Label, past windows, rn and n over one shared ordering ``w``.
 
@@ -144,17 +153,17 @@ def window_expressions(spec: SequenceSpec, w: WindowSpec) -> dict[str, Column]:
     is taken from the *input* label column, so it is right even when the label
     base is also a feature.
     """
-    exprs = {spec.label_col: F.collect_list(spec.label).over(future_frame(spec, w))}
+    exprs = {spec.label_col: F.collect_list(_elem(spec, spec.label)).over(future_frame(spec, w))}
     pw = past_frame(spec, w)
     if _use_struct(spec):
-        exprs[PAST] = F.collect_list(F.struct(*[F.col(f) for f in spec.features])).over(pw)
+        exprs[PAST] = F.collect_list(F.struct(*[_elem(spec, f).alias(f) for f in spec.features])).over(pw)
         any_null = F.lit(False)
         for f in spec.features:
             any_null = any_null | F.col(f).isNull()
         exprs[NULLS] = F.sum(F.when(any_null, F.lit(1)).otherwise(F.lit(0))).over(pw)
     else:
         for f in spec.features:
-            exprs[f] = F.collect_list(f).over(pw)
+            exprs[f] = F.collect_list(_elem(spec, f)).over(pw)
     exprs[RN] = F.row_number().over(w)
     exprs[N] = F.count(F.lit(1)).over(whole_frame(w))
     return exprs

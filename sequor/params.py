@@ -68,6 +68,9 @@ class SequenceSpec:
               "keep" reproduces the reference (NULLs vanish from windows, short
               windows survive); "fail" raises at run time on a short window.
     keep_keys: keep series keys, the anchor time and ``rn`` in the output.
+    nested:   build windows directly in the float32 record layout
+              ``array<array<float>>`` (``[[x], ...]``) inside the window
+              aggregate, instead of converting afterwards.
     """
 
     series: tuple[str, ...] = ("symbol",)
@@ -80,6 +83,7 @@ class SequenceSpec:
     shift: int = DEFAULT_SHIFT
     on_null: str = "drop"
     keep_keys: bool = True
+    nested: bool = False
 
     def __post_init__(self):
         for name in ("series", "order", "features"):

@@ -515,7 +515,7 @@ _F32_SQL = EVENTS_SERIES_SQL.replace("value AS ohlc_close", "CAST(CAST(value AS
 def q_sink_seq_parquet(spark, sf):
     """float32 nested records written as Parquet partitioned by anchor date
     (dynamic overwrite), read back and summarised."""
-    spec = events_spec(60, 3)
+    spec = events_spec(60, 3, nested=True)
     win = W.sequence_windows(events_series(spark, sf), spec, plan="auto")
     rec = to_record_layout(win, spec, keep=["symbol", "s_ts"]).withColumn("date", format_mdy("s_ts"))
     path = scratch_path(spark, "sequences")
@@ -883,7 +883,7 @@ def q_sink_tfrecord_roundtrip(spark, sf):
     every task, committed through a manifest, read back one partition per file."""
     from .sources.tfrecord import read_tfrecords, write_tfrecords
 
-    spec = events_spec(60, 3)
+    spec = events_spec(60, 3, nested=True)
     win = W.sequence_windows(events_series(spark, sf), spec, plan="auto")
     rec = to_record_layout(win.withColumn("ts_us", micros("s_ts")), spec, keep=["symbol", "ts_us"])
     path = scratch_path(spark, "tfrecords")

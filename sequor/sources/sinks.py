@@ -57,12 +57,27 @@ def write_series_csv(
     )
 
 
+RECORD_TYPE = T.ArrayType(T.ArrayType(T.FloatType()))
+
+
 def to_record_layout(df: DataFrame, spec: SequenceSpec, keep: Sequence[str] = ()) -> DataFrame:
-    """Features and label as ``array<array<float>>`` (F1 + F6), plus ``keep`` columns."""
+    """Features and label as ``array<array<float>>`` (F1 + F6), plus ``keep`` columns.
+
+    Columns already in that layout (windows built with ``nested=True``) pass
+    through untouched.
+    """
     ftype = T.FloatType()
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def rec(name: str):
+        dt = types[name]
+        if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.ArrayType):
+            return F.col(name).cast(RECORD_TYPE).alias(name)
+        return wrap_elements(name, ftype).alias(name)
+
     cols = [F.col(c) for c in keep]
-    cols += [wrap_elements(f, ftype).alias(f) for f in spec.features]
-    cols.append(wrap_elements(spec.label_col, ftype).alias(spec.label_col))
+    cols += [rec(f) for f in spec.features]
+    cols.append(rec(spec.label_col))
     return df.select(*cols)
 
 

@@ -54,7 +54,7 @@ def start_transform_stream(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what exists and stops."""
-    spec = spec.with_(series=LAYOUT_COLS)
+    spec = spec.with_(series=LAYOUT_COLS, nested=True)
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/sequor-streams/{name}"
     sink_root = sink_root.rstrip("/")
 

@@ -117,3 +117,17 @@ def test_duplicate_times_ordered_by_tie_break(spark):
         got = rows_by_rn(W.sequence_windows(df.repartition(3), spec, plan=plan, **kw))
         assert {rn: (r["v"], r["v_label"]) for rn, r in got.items()} == {
             2: ([0.0, 1.0], [2.0]), 3: ([1.0, 2.0], [3.0]), 4: ([2.0, 3.0], [4.0])}, plan
+
+
+@pytest.mark.parametrize("mode", ["keep", "drop"])
+def test_nested_layout_equals_converted(spark, tmp_dir, mode):
+    from sequor.sources.sinks import to_record_layout
+
+    df = micro(spark, tmp_dir)
+    for feats in (("a", "b"), ("a", "b", "a2", "b2")):
+        d2 = df.withColumn("a2", F.col("a") * 2).withColumn("b2", F.col("b") * 2)
+        spec = SPEC.with_(features=feats, on_null=mode)
+        flat = to_record_layout(W.sequence_windows(d2, spec, plan="direct"), spec, keep=["rn"])
+        nest = to_record_layout(W.sequence_windows(d2, spec.with_(nested=True), plan="direct"), spec, keep=["rn"])
+        assert nest.schema.simpleString() == flat.schema.simpleString()
+        assert sorted(map(tuple, nest.collect())) == sorted(map(tuple, flat.collect()))
