@@ -32,7 +32,7 @@ from sequor.summaries import micros  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 
 def q_flagship(spark):
@@ -123,17 +123,16 @@ def main() -> None:
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cores)))
     spark = local_session(CPUS, shuffle_partitions=parts)
     only = [a for a in sys.argv[1:] if a in QUERIES]
-    times: dict[str, float] = {}
-    for name, fn in QUERIES.items():
-        if only and name not in only:
-            continue
-        run(fn(spark))  # warm-up: JIT, file listing, python workers
-        samples = []
-        for _ in range(RUNS):
+    chosen = {k: v for k, v in QUERIES.items() if not only or k in only}
+    for fn in chosen.values():
+        run(fn(spark))  # warm-up pass over every query: JIT, file listing, python workers
+    samples: dict[str, list[float]] = {k: [] for k in chosen}
+    for _ in range(RUNS):  # round-robin, so host noise spreads over all queries
+        for name, fn in chosen.items():
             t0 = time.perf_counter()
             run(fn(spark))
-            samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 4)
+            samples[name].append(time.perf_counter() - t0)
+    times = {k: round(statistics.median(v), 4) for k, v in samples.items()}
     sf = os.path.basename(SF_DIR).replace("sf", "")
     print(json.dumps({
         "metric": "total_median_sec",
