@@ -9,9 +9,12 @@
 * :func:`to_record_layout` - float32 nested arrays ``[[x], ...]`` per feature
   and label, the per-step layout a sequence-example consumer expects.
 
-No extra shuffle is added before a write: rows arrive partitioned by series
-from the window stage and each task writes its own files; ``maxRecordsPerFile``
-bounds file size.
+Partitioned writes go through Spark's ``REBALANCE`` hint on the partition
+columns: rows arriving hash-partitioned by series would otherwise make every
+task write a file into every date directory (tasks x dates small files). The
+rebalance shuffle groups rows by directory while AQE splits directories that
+are too large (a hot date never becomes one task) and coalesces small ones;
+``maxRecordsPerFile`` bounds file size. ``rebalance=False`` skips that shuffle.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ def write_series_csv(
     partition_cols: Sequence[str] = TREE_COLS,
     mode: str = "overwrite",
     max_records_per_file: int = 5_000_000,
+    rebalance: bool = True,
 ) -> None:
     """Header CSV, index column first, partitioned into the series tree.
 
@@ -45,8 +49,11 @@ def write_series_csv(
     and day - the single-machine layout - and millions of files at scale.)
     """
     cols = [index_col, *features, "symbol", *partition_cols]
+    out = df.select(*cols)
+    if rebalance and partition_cols:
+        out = out.hint("rebalance", *partition_cols)
     (
-        df.select(*cols).write.mode(mode)
+        out.write.mode(mode)
         .option("header", True)
         .option("timestampFormat", ts_format)
         .option("timestampNTZFormat", ts_format)
@@ -88,8 +95,11 @@ def write_sequences(
     mode: str = "overwrite",
     fmt: str = "parquet",
     max_records_per_file: int = 1_000_000,
+    rebalance: bool = True,
 ) -> None:
     """Partition-parallel dataset write with dynamic partition overwrite."""
+    if rebalance and partition_cols:
+        df = df.hint("rebalance", *partition_cols)
     writer = (
         df.write.mode(mode)
         .format(fmt)
