@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from sequor.operators import forecast as FC
 from sequor.operators import registry as RG

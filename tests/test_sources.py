@@ -1,6 +1,5 @@
 """Sources and sinks: plain and hive series trees, CSV quarantine, Parquet records, errors."""
 
-import os
 
 import pytest
 from pyspark.sql import functions as F

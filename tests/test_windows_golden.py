@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from sequor.operators import windows as W
 from sequor.params import SequenceSpec
-from sequor.plans import blocked
 from sequor.sources.csv_series import read_series_csv, series_schema
 
 from .conftest import write_micro_csv
