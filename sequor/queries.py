@@ -895,3 +895,25 @@ def q_sink_tfrecord_roundtrip(spark, sf):
         F.round(array_sum(y), 4).alias("y_sum"), F.round(array_sum(x), 4).alias("close_sum"),
         F.round(array_sum(c), 4).alias("cmmc_sum"),
     )
+
+
+@query(
+    "eval_batch_loss",
+    _ANCHORS_SQL + """, rec AS (
+  SELECT symbol, ts_us, (y1 - last) * (y1 - last) + (y2 - last) * (y2 - last) + (y3 - last) * (y3 - last) AS sse
+  FROM anchors),
+pos AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '13', '1', CAST(symbol AS VARCHAR),
+               CAST(ts_us AS VARCHAR))), symbol, ts_us) AS pos, count(*) OVER () AS en FROM rec),
+bat AS (SELECT (pos - 1) // 64 AS batch_id, sse FROM pos WHERE (pos - 1) // 64 < en // 64)
+SELECT round(avg(bl), 4) AS loss, count(*) AS batches
+FROM (SELECT batch_id, sum(sse) / (3.0 * count(*)) AS bl FROM bat GROUP BY batch_id)
+""",
+)
+def q_eval_batch_loss(spark, sf):
+    """A5: mean loss per batch (the estimator's ``loss``): persistence forecast,
+    records in md5-shuffled batches of 64 (one epoch, last batch dropped)."""
+    spec, win = _windows8(spark, sf)
+    b = DS.batches(win, ["symbol", "ts_us"], TrainingParams(epochs=1))
+    preds = FC.predict_persistence(b, spec, keys=["ts_us", "epoch", "batch_id"])
+    out = FC.batch_losses(preds)
+    return out.select(F.round("loss", 4).alias("loss"), "batches")
