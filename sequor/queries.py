@@ -917,3 +917,26 @@ def q_eval_batch_loss(spark, sf):
     preds = FC.predict_persistence(b, spec, keys=["ts_us", "epoch", "batch_id"])
     out = FC.batch_losses(preds)
     return out.select(F.round("loss", 4).alias("loss"), "batches")
+
+
+_RIDGE_SQL = f"""
+WITH src AS ({EVENTS_SERIES_SQL}),
+num AS (SELECT symbol, lag(ohlc_close, 3) OVER ({_WO}) AS x1, lag(ohlc_close, 2) OVER ({_WO}) AS x2, lag(ohlc_close, 1) OVER ({_WO}) AS x3, ohlc_close AS x4,
+               lead(ohlc_close, 1) OVER ({_WO}) AS y1, lead(ohlc_close, 2) OVER ({_WO}) AS y2,
+               lead(ohlc_close, 3) OVER ({_WO}) AS y3,
+               row_number() OVER ({_WO}) AS rn, count(*) OVER (PARTITION BY symbol) AS n FROM src),
+anchors AS (SELECT * FROM num WHERE rn >= 8 AND rn <= n - 3),
+hz AS (SELECT symbol, x1, x2, x3, x4, 1 AS horizon, y1 AS y FROM anchors
+       UNION ALL SELECT symbol, x1, x2, x3, x4, 2, y2 FROM anchors
+       UNION ALL SELECT symbol, x1, x2, x3, x4, 3, y3 FROM anchors)
+SELECT symbol, horizon, round(sum(1.0 * 1.0), 4) AS xx_0_0, round(sum(1.0 * x1), 4) AS xx_0_1, round(sum(1.0 * x2), 4) AS xx_0_2, round(sum(1.0 * x3), 4) AS xx_0_3, round(sum(1.0 * x4), 4) AS xx_0_4, round(sum(1.0 * y), 4) AS xy_0, round(sum(x1 * x1), 4) AS xx_1_1, round(sum(x1 * x2), 4) AS xx_1_2, round(sum(x1 * x3), 4) AS xx_1_3, round(sum(x1 * x4), 4) AS xx_1_4, round(sum(x1 * y), 4) AS xy_1, round(sum(x2 * x2), 4) AS xx_2_2, round(sum(x2 * x3), 4) AS xx_2_3, round(sum(x2 * x4), 4) AS xx_2_4, round(sum(x2 * y), 4) AS xy_2, round(sum(x3 * x3), 4) AS xx_3_3, round(sum(x3 * x4), 4) AS xx_3_4, round(sum(x3 * y), 4) AS xy_3, round(sum(x4 * x4), 4) AS xx_4_4, round(sum(x4 * y), 4) AS xy_4, count(*) AS n_obs FROM hz GROUP BY symbol, horizon
+"""
+
+
+@query("fit_lagged_ridge_stats", _RIDGE_SQL)
+def q_fit_lagged_ridge_stats(spark, sf):
+    """M1 v2, the Spark half: normal-equation sums X'X, X'y per (series, horizon)
+    for X = [1, last 4 values], all plain sums with partial aggregation."""
+    spec, win = _windows8(spark, sf)
+    st = FC.normal_equations(win, spec, lags=4)
+    return st.select(*[F.round(c, 4).alias(c) if c.startswith(("xx_", "xy_")) else F.col(c) for c in st.columns])
