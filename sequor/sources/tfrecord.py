@@ -14,7 +14,7 @@ through ``pyspark.sql.datasource``:
 Record layout: ``array<array<float>>`` columns (``[steps][1]``) and
 ``array<float>`` columns become feature lists (one ``Feature`` per step);
 scalar columns become context features (string -> bytes, integral -> int64,
-float -> float). Framing per record: little-endian uint64 length, masked
+float -> float, timestamp -> int64 epoch microseconds, date -> int64 days). Framing per record: little-endian uint64 length, masked
 CRC-32C of the length, payload, masked CRC-32C of the payload.
 
 CRC-32C is computed with numpy over all records of a batch in lockstep (the
@@ -36,16 +36,28 @@ from pyspark.sql.datasource import (
     InputPartition,
     WriterCommitMessage,
 )
+import datetime as _dt
+
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    DateType,
     DoubleType,
     FloatType,
     IntegralType,
     StringType,
     StructType,
+    TimestampNTZType,
+    TimestampType,
 )
 
+_EPOCH = _dt.datetime(1970, 1, 1)
+_EPOCH_DAY = _dt.date(1970, 1, 1)
+
+
+def _micros(v: _dt.datetime) -> int:
+    return (v - _EPOCH) // _dt.timedelta(microseconds=1)
+
 FORMAT = "tfrecord_seq"
 MANIFEST = "_MANIFEST"
 
@@ -339,6 +351,12 @@ def _encode_row(row, schema: StructType) -> bytes:
             context[field.name] = _int_feature([v])
         elif isinstance(dt, (FloatType, DoubleType)):
             context[field.name] = _float_feature([v])
+        elif isinstance(dt, TimestampNTZType):
+            context[field.name] = _int_feature([_micros(v)])
+        elif isinstance(dt, TimestampType):
+            context[field.name] = _int_feature([round(v.timestamp() * 1_000_000)])
+        elif isinstance(dt, DateType):
+            context[field.name] = _int_feature([(v - _EPOCH_DAY).days])
         else:
             raise TypeError(f"column {field.name}: type {dt.simpleString()} not supported")
     return encode_sequence_example(context, lists)
@@ -461,6 +479,12 @@ class TFRecordReader(DataSourceReader):
                         out.append(vals[0].decode())
                     elif isinstance(dt, BinaryType):
                         out.append(bytes(vals[0]))
+                    elif isinstance(dt, TimestampNTZType):
+                        out.append(_EPOCH + _dt.timedelta(microseconds=vals[0]))
+                    elif isinstance(dt, TimestampType):
+                        out.append(_dt.datetime.fromtimestamp(vals[0] / 1_000_000))
+                    elif isinstance(dt, DateType):
+                        out.append(_EPOCH_DAY + _dt.timedelta(days=vals[0]))
                     else:
                         out.append(vals[0])
             yield tuple(out)
