@@ -20,6 +20,8 @@ the rest take the one-shuffle direct plan. The hot list has at most
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,6 +106,9 @@ def sequence_windows_auto(
     partition, and the hot rows take the blocked plan.
     """
     base = _needed(df, spec)
+    if not NB.has_time_key(base, spec.time_col):
+        warnings.warn(f"order column {spec.time_col!r} has no numeric key; using the direct plan")
+        return W.sequence_windows_direct(base, spec, trim=trim)
     stats = NB.series_stats(base, spec.series, spec.time_col)
     hot, small = NB.checked_hot(stats, hot_rows, max_hot_keys)
     if hot is None:

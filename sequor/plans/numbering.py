@@ -30,6 +30,7 @@ stays in one bucket (ties are ordered by the remaining order columns).
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -47,6 +48,13 @@ BUCKET = "_sq_b"
 OFFSET = "_sq_off"
 
 
+def has_time_key(df: DataFrame, col: str) -> bool:
+    """Whether ``col`` has a numeric key usable for time buckets."""
+    dt = df.schema[col].dataType
+    return isinstance(dt, (T.TimestampNTZType, T.TimestampType, T.DateType, T.IntegralType,
+                           T.FractionalType, T.DecimalType))
+
+
 def time_key(df: DataFrame, col: str) -> Column:
     """A numeric key with the same ascending order as ``col`` (NULL stays NULL)."""
     dt = df.schema[col].dataType
@@ -186,8 +194,12 @@ def number_rows(
     """
     series, order = list(series), list(order)
     time_col = order[0]
-    stats = series_stats(df, series, time_col)
-    hot, small = checked_hot(stats, hot_rows)
+    if not has_time_key(df, time_col):
+        warnings.warn(f"order column {time_col!r} has no numeric key; numbering per series in one task")
+        hot = None
+    else:
+        stats = series_stats(df, series, time_col)
+        hot, small = checked_hot(stats, hot_rows)
     if hot is None:
         # No hot series: one bucket per series is the plain window numbering.
         w = Window.partitionBy(*series).orderBy(*[F.col(c).asc_nulls_first() for c in order])

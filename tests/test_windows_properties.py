@@ -152,3 +152,14 @@ def test_building_blocks_skew_safe_equal_direct(spark):
     rn_b = {(r["symbol"], r["event_id"]): (r["rn"], r["n"])
             for r in W.row_numbers(ev, spec, n_name="n", hot_rows=50, bucket_rows=11).collect()}
     assert rn_a == rn_b
+
+
+def test_string_order_falls_back_to_direct(spark):
+    rows = [("s", f"k{i:02d}", float(i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "symbol string, key string, v double")
+    from sequor.params import SequenceSpec
+
+    spec = SequenceSpec(series=("symbol",), order=("key",), features=("v",), label="v", past=3, future=2)
+    with pytest.warns(UserWarning):
+        out = W.sequence_windows(df, spec, plan="auto")
+    assert out.count() == 6
