@@ -87,9 +87,13 @@ def row_numbers(df: DataFrame, spec: SequenceSpec, name: str = RN, n_name: str |
     return out.drop(BUCKET) if n_name else out.drop(BUCKET, "_sq_n_tmp")
 
 
-def series_count(df: DataFrame, spec: SequenceSpec, name: str = N) -> DataFrame:
-    """A1: whole-series row count on every row (taken before any trim)."""
-    return df.withColumn(name, F.count(F.lit(1)).over(whole_frame(series_window(spec))))
+def series_count(df: DataFrame, spec: SequenceSpec, name: str = N, **numbering_options) -> DataFrame:
+    """A1: whole-series row count on every row (taken before any trim).
+
+    Hot series take their count from the partially aggregated statistics, so
+    no series is counted inside one task. (For one row per series use
+    ``groupBy(series).count()``.)"""
+    return row_numbers(df, spec, name="_sq_rn_tmp", n_name=name, **numbering_options).drop("_sq_rn_tmp")
 
 
 def tail_keep(spec: SequenceSpec, rn: str = RN, n: str = N) -> Column:

@@ -163,3 +163,12 @@ def test_string_order_falls_back_to_direct(spark):
     with pytest.warns(UserWarning):
         out = W.sequence_windows(df, spec, plan="auto")
     assert out.count() == 6
+
+
+def test_series_count_skew_safe(spark):
+    ev = events_series(spark, SF001)
+    spec = events_spec()
+    sizes = {r["symbol"]: r["c"] for r in ev.groupBy("symbol").agg(F.count("*").alias("c")).collect()}
+    for kw in ({}, {"hot_rows": 40, "bucket_rows": 9}):
+        rows = W.series_count(ev, spec, **kw).collect()
+        assert len(rows) == 1000 and all(r["n"] == sizes[r["symbol"]] for r in rows)
