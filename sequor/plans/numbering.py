@@ -24,8 +24,11 @@ No ``spark_partition_id`` or ``monotonically_increasing_id`` is used, so the
 numbering is the same on every retry. Data is shuffled once, on
 ``(series, bucket)``; all other exchanges carry small aggregate rows.
 
-Limit: equal time keys cannot be split, so a burst of identical timestamps
-stays in one bucket (ties are ordered by the remaining order columns).
+Buckets that still hold more than twice ``bucket_rows`` rows (a burst of
+equal or NULL timestamps, very uneven density) are split again on the first
+order key that varies inside them (:func:`refine_buckets`), so ties are split
+by the tie-break columns. Only rows equal on every numeric order key (in the
+numeric prefix of the order) stay together.
 """
 
 from __future__ import annotations
@@ -146,6 +149,80 @@ def _is_integral(df: DataFrame, col: str) -> bool:
     return not isinstance(dt, (T.FractionalType, T.DecimalType))
 
 
+MAX_REFINE_LEVELS = 4
+SPLIT_FACTOR = 2
+MAX_ORDER_KEYS = 4
+
+
+def order_keys(df: DataFrame, order: Sequence[str]) -> list[tuple[Column, bool]]:
+    """Numeric keys of the longest prefix of ``order`` whose columns have one."""
+    out = []
+    for c in order:
+        if len(out) == MAX_ORDER_KEYS or not has_time_key(df, c):
+            break
+        out.append((time_key(df, c), _is_integral(df, c)))
+    return out
+
+
+def refine_buckets(
+    tagged: DataFrame,
+    series: Sequence[str],
+    order: Sequence[str],
+    bucket_rows: int,
+    max_keys: int = MAX_BROADCAST_HOT,
+    levels: int = MAX_REFINE_LEVELS,
+    eligible: Column | None = None,
+) -> DataFrame:
+    """Split buckets that are still too large (``_sq_b`` is an ``array<long>``).
+
+    Equal-width time buckets cannot split a burst of equal (or NULL) times, and
+    a very uneven time density leaves some buckets large. Each level counts
+    rows per (series, bucket) with partial aggregation, collects the buckets
+    above ``SPLIT_FACTOR * bucket_rows`` rows (at most ``max_keys`` of them,
+    beyond that a shuffle join) and splits each on the FIRST order key that
+    varies inside it: every earlier key is constant there, so the sub-buckets
+    are contiguous ranges of the full order. Buckets whose numeric order keys
+    are all constant cannot be split further. Stops when nothing is oversized.
+    ``eligible`` restricts splitting to some rows (e.g. hot series only).
+    """
+    keys = order_keys(tagged, order)
+    kcols = [f"_sq_k{i}" for i in range(len(keys))]
+    tagged = tagged.withColumns({kc: k for kc, (k, _) in zip(kcols, keys)})
+    group = [*series, BUCKET]
+    spark = tagged.sparkSession
+    for _ in range(levels):
+        aggs = [F.count(F.lit(1)).alias("_sq_rc")]
+        for kc in kcols:
+            aggs += [F.min(kc).alias(f"{kc}_lo"), F.max(kc).alias(f"{kc}_hi"), F.count(kc).alias(f"{kc}_nn")]
+        source = tagged if eligible is None else tagged.filter(eligible)
+        stats = source.groupBy(*group).agg(*aggs)
+
+        def varies(kc: str) -> Column:
+            lo, hi, nn = F.col(f"{kc}_lo"), F.col(f"{kc}_hi"), F.col(f"{kc}_nn")
+            return (lo < hi) | ((nn > 0) & (nn < F.col("_sq_rc")))
+
+        splittable = F.lit(False)
+        for kc in kcols:
+            splittable = splittable | varies(kc)
+        big = stats.filter((F.col("_sq_rc") > F.lit(SPLIT_FACTOR * bucket_rows)) & splittable)
+        rows = big.limit(max_keys + 1).collect()
+        if not rows:
+            break
+        big_df = F.broadcast(spark.createDataFrame(rows, big.schema)) if len(rows) <= max_keys else big
+        sub = None
+        for kc, (_, integral) in zip(kcols, keys):
+            part = bucket_of(F.col(kc), F.col("_sq_rc"), F.col(f"{kc}_lo"), F.col(f"{kc}_hi"), bucket_rows, integral)
+            sub = F.when(varies(kc), part) if sub is None else sub.when(varies(kc), part)
+        sub = sub.otherwise(F.lit(0).cast("long"))
+        stat_cols = [c for c in big.columns if c not in group]
+        tagged = (
+            tagged.join(big_df, group, "left")
+            .withColumn(BUCKET, F.concat(F.col(BUCKET), F.array(sub.cast("long"))))
+            .drop(*stat_cols)
+        )
+    return tagged.drop(*kcols)
+
+
 def number_bucketed(
     tagged: DataFrame,
     series: Sequence[str],
@@ -206,7 +283,7 @@ def number_rows(
         return df.withColumns({
             rn: F.row_number().over(w).cast("long"),
             n: F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        }).withColumn(BUCKET, F.lit(0).cast("long"))
+        }).withColumn(BUCKET, F.array(F.lit(0).cast("long")))
     hot = F.broadcast(hot) if small else hot
     k = time_key(df, time_col)
     tagged = df.withColumn(KEY, k).join(hot, series, "left")
@@ -214,12 +291,9 @@ def number_rows(
     bucket = bucket_of(
         F.col(KEY), F.col(N_), F.col(LO), F.col(HI), bucket_rows, _is_integral(df, time_col)
     )
-    tagged = tagged.withColumn(BUCKET, F.when(is_hot, bucket).otherwise(F.lit(0).cast("long")))
-    numbered = number_bucketed(tagged, series, order, rn=rn)
-    # n: hot series carry it from the statistics; a cold series is one bucket.
-    whole = Window.partitionBy(*series, BUCKET).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    whole = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    numbered = numbered.withColumn(
-        n, F.coalesce(F.col(N_), F.count(F.lit(1)).over(whole)).cast("long")
-    )
+    tagged = tagged.withColumn(BUCKET, F.array(F.when(is_hot, bucket).otherwise(F.lit(0).cast("long"))))
+    # cold series hold at most hot_rows rows: only hot ones need further splits
+    tagged = refine_buckets(tagged, series, order, bucket_rows, eligible=F.col(N_).isNotNull())
+    # n: the series total of the small bucket-count table
+    numbered = number_bucketed(tagged, series, order, rn=rn, total=n)
     return numbered.drop(KEY, N_, LO, HI)

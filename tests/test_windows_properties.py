@@ -172,3 +172,40 @@ def test_series_count_skew_safe(spark):
     for kw in ({}, {"hot_rows": 40, "bucket_rows": 9}):
         rows = W.series_count(ev, spec, **kw).collect()
         assert len(rows) == 1000 and all(r["n"] == sizes[r["symbol"]] for r in rows)
+
+
+def test_refinement_splits_equal_timestamps(spark):
+    """A hot series whose rows share few timestamps: buckets split on the tie-break."""
+    from sequor.params import SequenceSpec
+    from sequor.plans import numbering as NB
+
+    rows = [("hot", f"2020-01-0{1 + i // 400} 00:00:00", i, float(i)) for i in range(1200)]
+    rows += [("hot", None, 5000 + i, -1.0) for i in range(30)]
+    rows += [("cold", f"2020-01-01 00:00:{i:02d}", i, float(i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "s string, t string, k long, v double").select(
+        "s", F.col("t").cast("timestamp_ntz").alias("t"), "k", "v")
+    out = number_rows(df, ["s"], ["t", "k"], hot_rows=100, bucket_rows=50)
+    ref = {(r["s"], r["k"]): r["rn"] for r in W.row_numbers(df, SequenceSpec(series=("s",), order=("t", "k")),
+                                                             hot_rows=10**9).collect()}
+    got = out.collect()
+    assert {(r["s"], r["k"]): r["rn"] for r in got} == ref
+    sizes = {}
+    for r in got:
+        sizes[(r["s"], tuple(r[NB.BUCKET]))] = sizes.get((r["s"], tuple(r[NB.BUCKET])), 0) + 1
+    assert max(sizes.values()) <= 2 * 50, max(sizes.values())  # 400-row same-time bursts were split
+    spec = SequenceSpec(series=("s",), order=("t", "k"), features=("v",), label="v", past=5, future=2)
+    a = {(r["s"], r["rn"]): r["v"] for r in W.sequence_windows(df, spec, plan="direct").collect()}
+    b = {(r["s"], r["rn"]): r["v"] for r in W.sequence_windows(df, spec, plan="auto", hot_rows=100,
+                                                                block_rows=64, bucket_rows=50).collect()}
+    assert a == b
+
+
+def test_number_rows_mixed_hot_and_cold_sizes(spark):
+    """Series of 51-88 rows with hot_rows=60, bucket_rows=16: cold series larger
+    than twice bucket_rows keep one bucket and their true size."""
+    ev = events_series(spark, SF001)
+    spec = events_spec()
+    ref = {(r["symbol"], r["event_id"]): (r["rn"], r["n"])
+           for r in W.row_numbers(ev, spec, n_name="n", hot_rows=10**9).collect()}
+    got = number_rows(ev, ["symbol"], ["s_ts", "event_id"], hot_rows=60, bucket_rows=16).collect()
+    assert {(r["symbol"], r["event_id"]): (r["rn"], r["n"]) for r in got} == ref
