@@ -128,8 +128,8 @@ def _route(base: DataFrame, spec: SequenceSpec, hot: DataFrame, block_rows: int,
         F.array(NB.bucket_of(F.col(NB.KEY), F.col(NB.N_), F.col(NB.LO), F.col(NB.HI), bucket_rows,
                              NB._is_integral(base, spec.time_col))),
     )
-    tagged = NB.refine_buckets(tagged, spec.series, spec.order, bucket_rows)
-    numbered = NB.number_bucketed(tagged, spec.series, spec.order, rn=W.RN)
+    tagged, counts = NB.refine_buckets(tagged, spec.series, spec.order, bucket_rows)
+    numbered = NB.number_bucketed(tagged, spec.series, spec.order, rn=W.RN, counts=counts)
     numbered = numbered.withColumnRenamed(NB.N_, W.N).drop(NB.KEY, NB.LO, NB.HI, NB.BUCKET)
     hot_part = block_windows(numbered, spec, block_rows, trim=trim)
     return cold.unionByName(hot_part)

@@ -172,55 +172,76 @@ def refine_buckets(
     max_keys: int = MAX_BROADCAST_HOT,
     levels: int = MAX_REFINE_LEVELS,
     eligible: Column | None = None,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame | None]:
     """Split buckets that are still too large (``_sq_b`` is an ``array<long>``).
 
     Equal-width time buckets cannot split a burst of equal (or NULL) times, and
     a very uneven time density leaves some buckets large. Each level counts
-    rows per (series, bucket) with partial aggregation, collects the buckets
-    above ``SPLIT_FACTOR * bucket_rows`` rows (at most ``max_keys`` of them,
-    beyond that a shuffle join) and splits each on the FIRST order key that
-    varies inside it: every earlier key is constant there, so the sub-buckets
-    are contiguous ranges of the full order. Buckets whose numeric order keys
-    are all constant cannot be split further. Stops when nothing is oversized.
-    ``eligible`` restricts splitting to some rows (e.g. hot series only).
+    rows per (series, bucket) with partial aggregation and splits the buckets
+    above ``SPLIT_FACTOR * bucket_rows`` rows on the FIRST order key that
+    varies inside them: every earlier key is constant there, so the
+    sub-buckets are contiguous ranges of the full order. Buckets whose numeric
+    order keys are all constant cannot be split further. ``eligible``
+    restricts splitting (and the counts) to some rows, e.g. hot series.
+
+    Size checks: a level collects its bucket statistics only up to
+    ``max_keys + 1`` rows. Within that bound the final per-bucket counts are
+    returned as a small local table (so offsets need no further pass);
+    beyond it only the oversized buckets are collected (again bounded, else a
+    shuffle join) and ``None`` is returned for the counts.
     """
     keys = order_keys(tagged, order)
     kcols = [f"_sq_k{i}" for i in range(len(keys))]
     tagged = tagged.withColumns({kc: k for kc, (k, _) in zip(kcols, keys)})
     group = [*series, BUCKET]
     spark = tagged.sparkSession
-    for _ in range(levels):
+    threshold = SPLIT_FACTOR * bucket_rows
+
+    def varies(kc: str) -> Column:
+        lo, hi, nn = F.col(f"{kc}_lo"), F.col(f"{kc}_hi"), F.col(f"{kc}_nn")
+        return (lo < hi) | ((nn > 0) & (nn < F.col("_sq_rc")))
+
+    def varies_py(row, kc: str) -> bool:
+        lo, hi, nn = row[f"{kc}_lo"], row[f"{kc}_hi"], row[f"{kc}_nn"]
+        return (lo is not None and hi is not None and lo < hi) or (0 < nn < row["_sq_rc"])
+
+    for level in range(levels + 1):
         aggs = [F.count(F.lit(1)).alias("_sq_rc")]
         for kc in kcols:
             aggs += [F.min(kc).alias(f"{kc}_lo"), F.max(kc).alias(f"{kc}_hi"), F.count(kc).alias(f"{kc}_nn")]
         source = tagged if eligible is None else tagged.filter(eligible)
         stats = source.groupBy(*group).agg(*aggs)
-
-        def varies(kc: str) -> Column:
-            lo, hi, nn = F.col(f"{kc}_lo"), F.col(f"{kc}_hi"), F.col(f"{kc}_nn")
-            return (lo < hi) | ((nn > 0) & (nn < F.col("_sq_rc")))
-
-        splittable = F.lit(False)
-        for kc in kcols:
-            splittable = splittable | varies(kc)
-        big = stats.filter((F.col("_sq_rc") > F.lit(SPLIT_FACTOR * bucket_rows)) & splittable)
-        rows = big.limit(max_keys + 1).collect()
-        if not rows:
-            break
-        big_df = F.broadcast(spark.createDataFrame(rows, big.schema)) if len(rows) <= max_keys else big
+        rows = stats.limit(max_keys + 1).collect()
+        if len(rows) <= max_keys:
+            big_rows = [r for r in rows if r["_sq_rc"] > threshold and any(varies_py(r, kc) for kc in kcols)]
+            if not big_rows or level == levels:
+                counts = None
+                if not big_rows:
+                    schema = T.StructType([stats.schema[c] for c in group] + [T.StructField("_sq_c", T.LongType())])
+                    counts = spark.createDataFrame([(*[r[c] for c in group], r["_sq_rc"]) for r in rows], schema)
+                return tagged.drop(*kcols), counts
+            big_df = F.broadcast(spark.createDataFrame(big_rows, stats.schema))
+        else:
+            splittable = F.lit(False)
+            for kc in kcols:
+                splittable = splittable | varies(kc)
+            big = stats.filter((F.col("_sq_rc") > F.lit(threshold)) & splittable)
+            big_rows = big.limit(max_keys + 1).collect()
+            if not big_rows or level == levels:
+                return tagged.drop(*kcols), None
+            big_df = F.broadcast(spark.createDataFrame(big_rows, big.schema)) if len(big_rows) <= max_keys else big
         sub = None
         for kc, (_, integral) in zip(kcols, keys):
             part = bucket_of(F.col(kc), F.col("_sq_rc"), F.col(f"{kc}_lo"), F.col(f"{kc}_hi"), bucket_rows, integral)
             sub = F.when(varies(kc), part) if sub is None else sub.when(varies(kc), part)
         sub = sub.otherwise(F.lit(0).cast("long"))
-        stat_cols = [c for c in big.columns if c not in group]
+        stat_cols = [c for c in stats.columns if c not in group]
         tagged = (
             tagged.join(big_df, group, "left")
             .withColumn(BUCKET, F.concat(F.col(BUCKET), F.array(sub.cast("long"))))
             .drop(*stat_cols)
         )
-    return tagged.drop(*kcols)
+    return tagged.drop(*kcols), None
 
 
 def number_bucketed(
@@ -229,15 +250,36 @@ def number_bucketed(
     order: Sequence[str],
     rn: str = "rn",
     total: str | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Number rows of ``tagged`` that already carry a ``_sq_b`` bucket column.
 
-    Offsets come from per-(series, bucket) counts; the offset join and the
+    With ``counts`` (a small, size-checked local table of per-bucket counts,
+    see :func:`refine_buckets`) the offsets are broadcast and joined before the
+    one exchange of the numbering window; rows of buckets missing from it are
+    whole series (offset 0, size from the window). Without it, offsets come
+    from per-(series, bucket) counts computed here; the offset join and the
     numbering window share the ``(series, bucket)`` distribution, so the data
     side is shuffled once. ``total`` optionally names a column receiving the
-    group's row count, taken from the same small count table.
+    group's row count.
     """
     keys = list(series) + [BUCKET]
+    if counts is not None:
+        by_series = Window.partitionBy(*series).orderBy(BUCKET)
+        cols = [*keys, F.coalesce(F.sum("_sq_c").over(by_series.rowsBetween(Window.unboundedPreceding, -1)),
+                                  F.lit(0)).cast("long").alias(OFFSET)]
+        if total is not None:
+            whole_s = by_series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            cols.append(F.sum("_sq_c").over(whole_s).cast("long").alias("_sq_tot"))
+        offsets = F.broadcast(counts.select(*cols))
+        joined = tagged.join(offsets, keys, "left")
+        w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        out = joined.withColumn(rn, (F.coalesce(F.col(OFFSET), F.lit(0)) + F.row_number().over(w)).cast("long"))
+        if total is not None:
+            whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            out = out.withColumn(total, F.coalesce(F.col("_sq_tot"), F.count(F.lit(1)).over(whole)).cast("long"))
+            out = out.drop("_sq_tot")
+        return out.drop(OFFSET)
     # One exchange on (series, bucket) feeds both the bucket counts (no further
     # exchange: the data is already clustered) and the numbering; Spark reuses
     # it, so the input is computed and shuffled once.
@@ -293,7 +335,7 @@ def number_rows(
     )
     tagged = tagged.withColumn(BUCKET, F.array(F.when(is_hot, bucket).otherwise(F.lit(0).cast("long"))))
     # cold series hold at most hot_rows rows: only hot ones need further splits
-    tagged = refine_buckets(tagged, series, order, bucket_rows, eligible=F.col(N_).isNotNull())
-    # n: the series total of the small bucket-count table
-    numbered = number_bucketed(tagged, series, order, rn=rn, total=n)
+    tagged, counts = refine_buckets(tagged, series, order, bucket_rows, eligible=F.col(N_).isNotNull())
+    # n: series totals from the bucket counts (cold series: one whole bucket)
+    numbered = number_bucketed(tagged, series, order, rn=rn, total=n, counts=counts)
     return numbered.drop(KEY, N_, LO, HI)
