@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MDY_FORMAT = "MM-dd-yy"
+from ..params import DATE_CENTURY_PREFIX, DATE_DIR_FORMAT
+
+MDY_FORMAT = DATE_DIR_FORMAT
 _MDY = r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})$"
 
 
@@ -34,7 +36,7 @@ def parse_mdy(col: Column | str) -> Column:
     m = F.regexp_extract(c, _MDY, 1)
     d = F.regexp_extract(c, _MDY, 2)
     y = F.regexp_extract(c, _MDY, 3)
-    text = F.concat(F.lit("20"), y, F.lit("-"), F.lpad(m, 2, "0"), F.lit("-"), F.lpad(d, 2, "0"))
+    text = F.concat(F.lit(DATE_CENTURY_PREFIX), y, F.lit("-"), F.lpad(m, 2, "0"), F.lit("-"), F.lpad(d, 2, "0"))
     return F.when(c.rlike(_MDY), F.try_to_date(text, "yyyy-MM-dd"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import is_valid_mdy, parse_mdy
-from ..params import CHANNEL_DIRS, DEFAULT_DATA_TYPE, DEFAULT_EXCHANGE, SequenceSpec
+from ..params import CHANNEL_DIRS, DATE_CENTURY_PREFIX, DEFAULT_DATA_TYPE, DEFAULT_EXCHANGE, SequenceSpec
 
 
 def drop_keys(df: DataFrame, spec: SequenceSpec) -> DataFrame:
@@ -90,7 +90,7 @@ def _is_valid_mdy_py(text: str) -> bool:
     if not head:
         return False
     try:
-        _dt.datetime.strptime(f"{head}-20{tail}", "%m-%d-%Y")
+        _dt.datetime.strptime(f"{head}-{DATE_CENTURY_PREFIX}{tail}", "%m-%d-%Y")
     except ValueError:
         return False
     return True

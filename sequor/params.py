@@ -47,6 +47,10 @@ CHANNEL_DIRS = {"train": "train", "eval": "evaluation", "test": "validation"}
 DEFAULT_DATA_TYPE = "price"
 DEFAULT_EXCHANGE = "bn"
 SAVED_MODEL_FILE = "saved_model.pb"
+# Date directories: two-digit month, day and year; the year is read with
+# the century "20" in front of it.
+DATE_DIR_FORMAT = "MM-dd-yy"
+DATE_CENTURY_PREFIX = "20"
 
 NULL_MODES = ("drop", "keep", "fail")
 
