@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..params import DATE_CENTURY_PREFIX, DATE_DIR_FORMAT
 
 MDY_FORMAT = DATE_DIR_FORMAT
-_MDY = r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})$"
+MDY_PATTERN = r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})"
+_MDY = "^" + MDY_PATTERN + "$"
 
 
 def _c(col: Column | str) -> Column:

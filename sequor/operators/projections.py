@@ -8,12 +8,13 @@ neighbouring projections and, on partitioned layouts, turns the predicates on
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import is_valid_mdy, parse_mdy
+from ..functions.dates import MDY_PATTERN, is_valid_mdy, parse_mdy
 from ..params import CHANNEL_DIRS, DATE_CENTURY_PREFIX, DEFAULT_DATA_TYPE, DEFAULT_EXCHANGE, SequenceSpec
 
 
@@ -85,12 +86,14 @@ def training_dates(df: DataFrame, how: str = "today", date_col: str = "date",
 
 
 def _is_valid_mdy_py(text: str) -> bool:
-    """Driver-side check of a parameter (not data): same rule as :func:`is_valid_mdy`."""
-    head, _, tail = text.rpartition("-")
-    if not head:
+    """Driver-side check of a parameter (not data): same rule as :func:`is_valid_mdy`
+    (1-2 digit month and day, 2-digit year in the 2000s, a real calendar date)."""
+    m = re.fullmatch(MDY_PATTERN, text)
+    if not m:
         return False
+    month, day, year = (int(g) for g in m.groups())
     try:
-        _dt.datetime.strptime(f"{head}-{DATE_CENTURY_PREFIX}{tail}", "%m-%d-%Y")
+        _dt.date(int(DATE_CENTURY_PREFIX) * 100 + year, month, day)
     except ValueError:
         return False
     return True
