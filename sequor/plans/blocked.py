@@ -11,7 +11,8 @@ future - 1`` in their label. So a row goes to the blocks of
 
 The window then runs per ``(series, block)`` ordered by ``rn``; each block keeps
 only its own anchors. Block partitions hold at most ``block_rows + past +
-future`` rows, whatever the size of the series.
+future`` rows, whatever the size of the series; a series that would give few
+blocks gets smaller ones (:func:`block_size`), so blocks outnumber cores.
 
 :func:`sequence_windows_auto` routes only hot series (``n > hot_rows``) here;
 the rest take the one-shuffle direct plan. The hot list has at most
@@ -38,13 +39,29 @@ def _needed(df: DataFrame, spec: SequenceSpec) -> DataFrame:
     return df.select(*[c for c in df.columns if c in needed])
 
 
+BLOCKS_PER_PARTITION = 4
+MIN_BLOCK_FACTOR = 10
+
+
+def block_size(spark, spec: SequenceSpec, n, block_rows: int):
+    """Anchors per block for a series of ``n`` rows: at most ``block_rows``;
+    smaller for series that would otherwise give fewer than
+    ``BLOCKS_PER_PARTITION`` blocks per shuffle partition (hash placement and
+    AQE coalescing of few large blocks leave cores idle); never below
+    ``MIN_BLOCK_FACTOR * (past + future)`` so halo copies stay under 10 %."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    floor_rows = max(1, min(block_rows, MIN_BLOCK_FACTOR * (spec.past + spec.future)))
+    spread = F.ceil(n / F.lit(BLOCKS_PER_PARTITION * parts)).cast("long")
+    return F.least(F.lit(block_rows).cast("long"), F.greatest(F.lit(floor_rows).cast("long"), spread))
+
+
 def block_windows(numbered: DataFrame, spec: SequenceSpec, block_rows: int = DEFAULT_BLOCK_ROWS,
                   trim: bool = True) -> DataFrame:
     """Windows over a frame that already has global ``rn`` and ``n`` columns."""
     if block_rows < 1:
         raise ValueError("block_rows must be >= 1")
     rn, n = F.col(W.RN), F.col(W.N)
-    B = F.lit(block_rows)
+    B = block_size(numbered.sparkSession, spec, n, block_rows)
     first_anchor = F.greatest(rn - F.lit(spec.shift + spec.future - 1), F.lit(1))
     last_anchor = F.least(rn + F.lit(spec.past - 1), n)
     blocks = F.sequence(

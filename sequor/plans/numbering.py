@@ -177,22 +177,22 @@ def refine_buckets(
 
     Equal-width time buckets cannot split a burst of equal (or NULL) times, and
     a very uneven time density leaves some buckets large. Each level counts
-    rows per (series, bucket) with partial aggregation and splits the buckets
-    above ``SPLIT_FACTOR * bucket_rows`` rows on the FIRST order key that
-    varies inside them: every earlier key is constant there, so the
-    sub-buckets are contiguous ranges of the full order. Buckets whose numeric
-    order keys are all constant cannot be split further. ``eligible``
-    restricts splitting (and the counts) to some rows, e.g. hot series.
-
-    Size checks: a level collects its bucket statistics only up to
-    ``max_keys + 1`` rows. Within that bound the final per-bucket counts are
-    returned as a small local table (so offsets need no further pass);
-    beyond it only the oversized buckets are collected (again bounded, else a
-    shuffle join) and ``None`` is returned for the counts.
+    rows per (series, bucket) with partial aggregation; only when some bucket
+    holds more than ``SPLIT_FACTOR * bucket_rows`` rows does a second pass take
+    the min / max of the numeric order keys of those buckets, and each is split
+    on the FIRST order key that varies inside it: every earlier key is constant
+    there, so the sub-buckets are contiguous ranges of the full order. Buckets
+    whose numeric order keys are all constant cannot be split further.
+    ``eligible`` restricts splitting (and the counts) to some rows.
+
+    Size checks: the counts are collected only up to ``max_keys + 1`` rows.
+    Within that bound the final per-bucket counts are returned as a small
+    local table (so offsets need no further pass); beyond it only the
+    oversized buckets are collected (bounded again, else a shuffle join) and
+    ``None`` is returned for the counts.
     """
     keys = order_keys(tagged, order)
     kcols = [f"_sq_k{i}" for i in range(len(keys))]
-    tagged = tagged.withColumns({kc: k for kc, (k, _) in zip(kcols, keys)})
     group = [*series, BUCKET]
     spark = tagged.sparkSession
     threshold = SPLIT_FACTOR * bucket_rows
@@ -201,47 +201,53 @@ def refine_buckets(
         lo, hi, nn = F.col(f"{kc}_lo"), F.col(f"{kc}_hi"), F.col(f"{kc}_nn")
         return (lo < hi) | ((nn > 0) & (nn < F.col("_sq_rc")))
 
-    def varies_py(row, kc: str) -> bool:
-        lo, hi, nn = row[f"{kc}_lo"], row[f"{kc}_hi"], row[f"{kc}_nn"]
-        return (lo is not None and hi is not None and lo < hi) or (0 < nn < row["_sq_rc"])
+    def local(rows, schema) -> DataFrame:
+        return spark.createDataFrame(rows, schema)
 
     for level in range(levels + 1):
-        aggs = [F.count(F.lit(1)).alias("_sq_rc")]
-        for kc in kcols:
-            aggs += [F.min(kc).alias(f"{kc}_lo"), F.max(kc).alias(f"{kc}_hi"), F.count(kc).alias(f"{kc}_nn")]
         source = tagged if eligible is None else tagged.filter(eligible)
-        stats = source.groupBy(*group).agg(*aggs)
-        rows = stats.limit(max_keys + 1).collect()
+        counts_df = source.groupBy(*group).agg(F.count(F.lit(1)).alias("_sq_rc"))
+        rows = counts_df.limit(max_keys + 1).collect()
+        counts = None
         if len(rows) <= max_keys:
-            big_rows = [r for r in rows if r["_sq_rc"] > threshold and any(varies_py(r, kc) for kc in kcols)]
-            if not big_rows or level == levels:
-                counts = None
-                if not big_rows:
-                    schema = T.StructType([stats.schema[c] for c in group] + [T.StructField("_sq_c", T.LongType())])
-                    counts = spark.createDataFrame([(*[r[c] for c in group], r["_sq_rc"]) for r in rows], schema)
-                return tagged.drop(*kcols), counts
-            big_df = F.broadcast(spark.createDataFrame(big_rows, stats.schema))
+            schema = T.StructType([counts_df.schema[c] for c in group] + [T.StructField("_sq_c", T.LongType())])
+            counts = local([(*[r[c] for c in group], r["_sq_rc"]) for r in rows], schema)
+            big_rows = [r for r in rows if r["_sq_rc"] > threshold]
+            big = F.broadcast(local(big_rows, counts_df.schema)) if big_rows else None
         else:
-            splittable = F.lit(False)
-            for kc in kcols:
-                splittable = splittable | varies(kc)
-            big = stats.filter((F.col("_sq_rc") > F.lit(threshold)) & splittable)
-            big_rows = big.limit(max_keys + 1).collect()
-            if not big_rows or level == levels:
-                return tagged.drop(*kcols), None
-            big_df = F.broadcast(spark.createDataFrame(big_rows, big.schema)) if len(big_rows) <= max_keys else big
+            big_q = counts_df.filter(F.col("_sq_rc") > F.lit(threshold))
+            big_rows = big_q.limit(max_keys + 1).collect()
+            big = None
+            if big_rows:
+                big = F.broadcast(local(big_rows, big_q.schema)) if len(big_rows) <= max_keys else big_q
+        if big is None or level == levels or not kcols:
+            return tagged, counts
+        # second pass, oversized buckets only: where do their order keys vary?
+        aggs = [F.count(F.lit(1)).alias("_sq_rc")]
+        for kc, (k, _) in zip(kcols, keys):
+            aggs += [F.min(k).alias(f"{kc}_lo"), F.max(k).alias(f"{kc}_hi"), F.count(k).alias(f"{kc}_nn")]
+        splittable = F.lit(False)
+        for kc in kcols:
+            splittable = splittable | varies(kc)
+        kstats_q = (source.join(big.select(*group), group, "left_semi")
+                    .groupBy(*group).agg(*aggs).filter(splittable))
+        krows = kstats_q.limit(max_keys + 1).collect()
+        if not krows:
+            return tagged, counts
+        kstats = F.broadcast(local(krows, kstats_q.schema)) if len(krows) <= max_keys else kstats_q
+        tagged = tagged.withColumns({kc: k for kc, (k, _) in zip(kcols, keys)})
         sub = None
         for kc, (_, integral) in zip(kcols, keys):
             part = bucket_of(F.col(kc), F.col("_sq_rc"), F.col(f"{kc}_lo"), F.col(f"{kc}_hi"), bucket_rows, integral)
             sub = F.when(varies(kc), part) if sub is None else sub.when(varies(kc), part)
         sub = sub.otherwise(F.lit(0).cast("long"))
-        stat_cols = [c for c in stats.columns if c not in group]
+        stat_cols = [c for c in kstats_q.columns if c not in group]
         tagged = (
-            tagged.join(big_df, group, "left")
+            tagged.join(kstats, group, "left")
             .withColumn(BUCKET, F.concat(F.col(BUCKET), F.array(sub.cast("long"))))
-            .drop(*stat_cols)
+            .drop(*stat_cols, *kcols)
         )
-    return tagged.drop(*kcols), None
+    return tagged, None
 
 
 def number_bucketed(

@@ -940,3 +940,25 @@ def q_fit_lagged_ridge_stats(spark, sf):
     spec, win = _windows8(spark, sf)
     st = FC.normal_equations(win, spec, lags=4)
     return st.select(*[F.round(c, 4).alias(c) if c.startswith(("xx_", "xy_")) else F.col(c) for c in st.columns])
+
+
+_SKEW_ORDER = ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+               "l_extendedprice", "l_discount", "l_tax", "l_linestatus"]
+
+
+@query(
+    "sequence_windows_skewed_lineitem",
+    window_summary_sql(
+        "SELECT * FROM lineitem", ["l_returnflag"], _SKEW_ORDER, "l_shipdate",
+        ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "l_extendedprice", 60, 3,
+    ),
+)
+def q_sequence_windows_skewed_lineitem(spark, sf):
+    """W4 under skew: ``lineitem`` keyed by return flag - one key holds about
+    half of all rows, dates have day resolution. Keys above 10 000 rows take
+    the hot path (size-checked hot list, time buckets of ~4 000 rows split
+    further on the tie-break columns, blocks of 8 000 anchors with halo)."""
+    spec = lineitem_spec(60, 3).with_(series=("l_returnflag",), order=tuple(_SKEW_ORDER))
+    out = W.sequence_windows(lineitem_series(spark, sf), spec, plan="auto",
+                             hot_rows=10_000, bucket_rows=4_000, block_rows=8_000)
+    return window_summary(out, spec)
