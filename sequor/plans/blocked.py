@@ -126,8 +126,7 @@ def sequence_windows_auto(
     if not NB.has_time_key(base, spec.time_col):
         warnings.warn(f"order column {spec.time_col!r} has no numeric key; using the direct plan")
         return W.sequence_windows_direct(base, spec, trim=trim)
-    stats = NB.series_stats(base, spec.series, spec.time_col)
-    hot, small = NB.checked_hot(stats, hot_rows, max_hot_keys)
+    hot, small = NB.find_hot(base, spec.series, spec.time_col, hot_rows, max_hot_keys)
     if hot is None:
         return W.sequence_windows_direct(base, spec, trim=trim)
     hot = F.broadcast(hot) if small else hot

@@ -128,6 +128,34 @@ def checked_hot(stats: DataFrame, hot_rows: int, max_keys: int = MAX_BROADCAST_H
     return hot, False
 
 
+def find_hot(
+    df: DataFrame, series: Sequence[str], time_col: str, hot_rows: int, max_keys: int = MAX_BROADCAST_HOT
+) -> tuple[DataFrame | None, bool]:
+    """Hot-series statistics ``(series..., _sq_n, _sq_lo, _sq_hi)`` behind a size check.
+
+    The common case pays only a count per series (partial aggregation over the
+    key columns); the time range is then taken for the hot series alone. With
+    more than ``max_keys`` hot series the lazy statistics are returned for a
+    shuffle join instead (see :func:`checked_hot`).
+    """
+    if hot_rows < 1:
+        raise ValueError("hot_rows must be >= 1")
+    counts = df.groupBy(*series).agg(F.count(F.lit(1)).alias(N_))
+    hot_q = counts.filter(F.col(N_) > F.lit(hot_rows))
+    rows = hot_q.limit(max_keys + 1).collect()
+    if not rows:
+        return None, True
+    if len(rows) > max_keys:
+        return hot_stats(series_stats(df, series, time_col), hot_rows), False
+    spark = df.sparkSession
+    hot_counts = spark.createDataFrame(rows, hot_q.schema)
+    k = time_key(df, time_col)
+    ranges_q = (df.join(F.broadcast(hot_counts.select(*series)), list(series), "left_semi")
+                .groupBy(*series).agg(F.min(k).alias(LO), F.max(k).alias(HI)))
+    ranges = spark.createDataFrame(ranges_q.collect(), ranges_q.schema)  # one row per hot series
+    return hot_counts.join(ranges, list(series), "left"), True
+
+
 def bucket_of(key: Column, n: Column, lo: Column, hi: Column, bucket_rows: int, integral: bool) -> Column:
     """Equal-width time bucket in ``[0, ceil(n / bucket_rows))``; -1 for NULL keys."""
     # Division goes through double; rounding is monotone, so buckets stay
@@ -323,8 +351,7 @@ def number_rows(
         warnings.warn(f"order column {time_col!r} has no numeric key; numbering per series in one task")
         hot = None
     else:
-        stats = series_stats(df, series, time_col)
-        hot, small = checked_hot(stats, hot_rows)
+        hot, small = find_hot(df, series, time_col, hot_rows)
     if hot is None:
         # No hot series: one bucket per series is the plain window numbering.
         w = Window.partitionBy(*series).orderBy(*[F.col(c).asc_nulls_first() for c in order])
