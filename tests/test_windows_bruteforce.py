@@ -54,3 +54,25 @@ def test_plans_equal_brute_force(spark, rows, past, future, shift, step, mode, s
         got = {(r["s"], r["rn"]): (r["v"], r["u"], r["v_label"])
                for r in W.sequence_windows(df, spec, plan=plan, **kw).collect()}
         assert got == expect, (plan, kw)
+
+
+tie_rows = st.lists(
+    st.tuples(st.sampled_from(["a", "b"]), st.one_of(st.none(), st.integers(0, 3))),
+    min_size=1, max_size=120,
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=tie_rows, hot=st.integers(1, 40), bucket=st.integers(1, 10))
+def test_numbering_with_ties_equals_sort(spark, rows, hot, bucket):
+    from sequor.plans.numbering import number_rows
+
+    data = [(s, t, k) for k, (s, t) in enumerate(rows)]
+    df = spark.createDataFrame(data, "s string, t long, k long")
+    expect = {}
+    for s in {r[0] for r in data}:
+        ordered = sorted((r for r in data if r[0] == s), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        for i, r in enumerate(ordered, 1):
+            expect[r[2]] = (i, len(ordered))
+    got = {r["k"]: (r["rn"], r["n"]) for r in number_rows(df, ["s"], ["t", "k"], hot_rows=hot, bucket_rows=bucket).collect()}
+    assert got == expect
