@@ -26,7 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import DEBUG_STEPS, TrainingParams
-from ..plans.numbering import BUCKET, number_bucketed
+from ..plans.numbering import BUCKET, MAX_BROADCAST_HOT, number_bucketed
+
+PROBE_DIGITS = 3
 
 SHUFFLE_KEY = "shuffle_key"
 
@@ -65,21 +67,41 @@ def batches(
     """``epoch, shuffle_key, pos, batch_id, step`` for every kept row.
 
     ``prefix_digits`` hex digits of the shuffle key make ``16 ** prefix_digits``
-    uniform buckets per epoch for the two-phase numbering. By default they are
-    sized from the record count (one count job) so a bucket holds about
-    ``rows_per_bucket`` rows - which also keeps the per-epoch offsets table at
-    about ``records / rows_per_bucket`` rows. ``max_steps`` (or ``debug=True``
-    for the debug cap) bounds the global step.
+    uniform buckets per epoch for the two-phase numbering. By default one small
+    job counts rows per (epoch, 3-digit bucket): within the collect bound and
+    with buckets of at most ``rows_per_bucket`` rows those counts give the
+    offsets directly; otherwise the digits are sized so a bucket holds about
+    ``rows_per_bucket`` rows, which also keeps the per-epoch offsets table at
+    about ``records / rows_per_bucket`` rows. ``max_steps`` (or
+    ``debug=True`` for the debug cap) bounds the global step.
     """
-    if prefix_digits is None:
-        prefix_digits = bucket_digits(df.count(), rows_per_bucket)
-    if not 1 <= prefix_digits <= 8:
-        raise ValueError("prefix_digits must be in 1..8")
     shuffled = epoch_shuffle(df, key_cols, params, epochs)
-    tagged = shuffled.withColumn(
-        BUCKET, F.conv(F.substring(SHUFFLE_KEY, 1, prefix_digits), 16, 10).cast("long")
-    )
-    numbered = number_bucketed(tagged, ["epoch"], [SHUFFLE_KEY, *key_cols], rn="pos", total="_sq_epoch_n")
+    order = [SHUFFLE_KEY, *key_cols]
+
+    def tag(digits: int) -> DataFrame:
+        return shuffled.withColumn(BUCKET, F.conv(F.substring(SHUFFLE_KEY, 1, digits), 16, 10).cast("long"))
+
+    numbered = None
+    if prefix_digits is None:
+        # One small job: counts per (epoch, 3-hex-digit bucket). When that
+        # table is within the collect bound and its buckets are not too big,
+        # it gives the offsets directly (broadcast, one data shuffle);
+        # otherwise it sizes the buckets for the general path.
+        tagged = tag(PROBE_DIGITS)
+        counts_q = tagged.groupBy("epoch", BUCKET).agg(F.count(F.lit(1)).alias("_sq_c"))
+        rows = counts_q.limit(MAX_BROADCAST_HOT + 1).collect()
+        if len(rows) <= MAX_BROADCAST_HOT:
+            per_epoch_n = max([0] + [sum(r["_sq_c"] for r in rows if r["epoch"] == e) for e in {r["epoch"] for r in rows}])
+            if per_epoch_n <= rows_per_bucket * 16 ** PROBE_DIGITS:
+                counts = df.sparkSession.createDataFrame(rows, counts_q.schema)
+                numbered = number_bucketed(tagged, ["epoch"], order, rn="pos", total="_sq_epoch_n", counts=counts)
+            prefix_digits = bucket_digits(per_epoch_n, rows_per_bucket)
+        else:
+            prefix_digits = 8
+    if numbered is None:
+        if not 1 <= prefix_digits <= 8:
+            raise ValueError("prefix_digits must be in 1..8")
+        numbered = number_bucketed(tag(prefix_digits), ["epoch"], order, rn="pos", total="_sq_epoch_n")
     B = params.batch_size
     per_epoch = F.floor(F.col("_sq_epoch_n") / F.lit(B)).cast("long")
     batch_id = F.floor((F.col("pos") - F.lit(1)) / F.lit(B)).cast("long")
