@@ -12,9 +12,10 @@ that Spark fits for all series at once:
   of products, aggregated by Spark like v1; only the small per-(series,
   horizon) systems are solved with numpy in ``mapInPandas``.
 
-Scoring (M4) joins the model table to the windows on (series, horizon). No
-broadcast hint: AQE broadcasts the model table when its measured size is
-small and otherwise keeps a sort-merge join whose skewed partitions it splits.
+Scoring (M4) joins the model table to the windows on (series, horizon). The
+model table is collected only up to ``MAX_BROADCAST_HOT`` rows and then
+broadcast, so the (anchor x horizon) rows are never shuffled; beyond that
+bound it is a plain join that AQE broadcasts or splits when skewed.
 """
 
 from __future__ import annotations
@@ -31,6 +32,14 @@ from ..functions.arrays import array_last
 from ..params import SequenceSpec
 
 
+def _bounded_model(model: DataFrame) -> DataFrame:
+    """Broadcast the model table after a size check; otherwise leave the join to AQE."""
+    from ..plans.numbering import bounded_local
+
+    local = bounded_local(model)
+    return F.broadcast(local) if local is not None else model
+
+
 def _last(spec: SequenceSpec) -> Column:
     if spec.label not in spec.features:
         raise ValueError("the label base must be one of the features to use its last value")
@@ -68,7 +77,7 @@ def predict_linear(windows: DataFrame, model: DataFrame, spec: SequenceSpec,
     to persistence, so every horizon row gets a prediction.
     """
     h = horizon_rows(windows, spec, keys)
-    m = model.select(*spec.series, "horizon", "slope", "intercept")
+    m = _bounded_model(model.select(*spec.series, "horizon", "slope", "intercept"))
     scored = h.join(m, [*spec.series, "horizon"], "left")
     pred = F.when(
         F.col("slope").isNotNull() & F.col("intercept").isNotNull(),
@@ -193,7 +202,7 @@ def predict_lagged_ridge(windows: DataFrame, model: DataFrame, spec: SequenceSpe
         *keep, _last(spec).alias("last"), F.array(F.lit(1.0), *lag_cols).alias("_xv"),
         F.posexplode(spec.label_col).alias("horizon", "y"),
     ).withColumn("horizon", (F.col("horizon") + 1).cast("int"))
-    scored = h.join(model.select(*spec.series, "horizon", "coef"), [*spec.series, "horizon"], "left")
+    scored = h.join(_bounded_model(model.select(*spec.series, "horizon", "coef")), [*spec.series, "horizon"], "left")
     dot = F.aggregate(
         F.zip_with("_xv", "coef", lambda a, c: a * c), F.lit(0.0), lambda acc, v: acc + v
     )

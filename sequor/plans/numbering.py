@@ -156,6 +156,15 @@ def find_hot(
     return hot_counts.join(ranges, list(series), "left"), True
 
 
+def bounded_local(df: DataFrame, max_rows: int = MAX_BROADCAST_HOT) -> DataFrame | None:
+    """``df`` as a local relation when it has at most ``max_rows`` rows (a
+    collect of at most ``max_rows + 1`` rows), else ``None``."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def bucket_of(key: Column, n: Column, lo: Column, hi: Column, bucket_rows: int, integral: bool) -> Column:
     """Equal-width time bucket in ``[0, ceil(n / bucket_rows))``; -1 for NULL keys."""
     # Division goes through double; rounding is monotone, so buckets stay
