@@ -60,8 +60,11 @@ def has_time_key(df: DataFrame, col: str) -> bool:
 
 def time_key(df: DataFrame, col: str) -> Column:
     """A numeric key with the same ascending order as ``col`` (NULL stays NULL)."""
-    dt = df.schema[col].dataType
-    c = F.col(col)
+    return key_of(F.col(col), df.schema[col].dataType, col)
+
+
+def key_of(c: Column, dt: T.DataType, name: str = "column") -> Column:
+    """:func:`time_key` for any expression of type ``dt``."""
     if isinstance(dt, T.TimestampNTZType):
         return ntz_micros(c)
     if isinstance(dt, T.TimestampType):
@@ -72,7 +75,7 @@ def time_key(df: DataFrame, col: str) -> Column:
         return c.cast("long")
     if isinstance(dt, (T.FractionalType, T.DecimalType)):
         return c.cast("double")
-    raise TypeError(f"order column {col!r} of type {dt.simpleString()} has no numeric key")
+    raise TypeError(f"order column {name!r} of type {dt.simpleString()} has no numeric key")
 
 
 def ntz_micros(c: Column) -> Column:
@@ -140,20 +143,20 @@ def find_hot(
     """
     if hot_rows < 1:
         raise ValueError("hot_rows must be >= 1")
-    counts = df.groupBy(*series).agg(F.count(F.lit(1)).alias(N_))
-    hot_q = counts.filter(F.col(N_) > F.lit(hot_rows))
+    # min / max of the raw time column (no per-row key arithmetic); only the
+    # aggregated values are turned into numeric keys
+    dt = df.schema[time_col].dataType
+    raw = df.groupBy(*series).agg(
+        F.count(F.lit(1)).alias(N_), F.min(time_col).alias("_sq_tmin"), F.max(time_col).alias("_sq_tmax"))
+    hot_q = raw.filter(F.col(N_) > F.lit(hot_rows)).select(
+        *series, N_, key_of(F.col("_sq_tmin"), dt, time_col).alias(LO),
+        key_of(F.col("_sq_tmax"), dt, time_col).alias(HI))
     rows = hot_q.limit(max_keys + 1).collect()
     if not rows:
         return None, True
     if len(rows) > max_keys:
-        return hot_stats(series_stats(df, series, time_col), hot_rows), False
-    spark = df.sparkSession
-    hot_counts = spark.createDataFrame(rows, hot_q.schema)
-    k = time_key(df, time_col)
-    ranges_q = (df.join(F.broadcast(hot_counts.select(*series)), list(series), "left_semi")
-                .groupBy(*series).agg(F.min(k).alias(LO), F.max(k).alias(HI)))
-    ranges = spark.createDataFrame(ranges_q.collect(), ranges_q.schema)  # one row per hot series
-    return hot_counts.join(ranges, list(series), "left"), True
+        return hot_q, False
+    return df.sparkSession.createDataFrame(rows, hot_q.schema), True
 
 
 def bounded_local(df: DataFrame, max_rows: int = MAX_BROADCAST_HOT) -> DataFrame | None:
