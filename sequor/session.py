@@ -21,6 +21,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Window stages expand every row into past x features values, so shuffle
+    # bytes understate their CPU work; keep AQE from merging small shuffles
+    # into fewer tasks than cores (no effect once partitions are large).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
