@@ -117,7 +117,7 @@ def sequence_windows_auto(
 
     A small pre-pass (series keys and time only, partially aggregated) finds
     the series with more than ``hot_rows`` rows behind an explicit size check
-    (:func:`sequor.plans.numbering.checked_hot`). With none, the result is the
+    (:func:`sequor.plans.numbering.find_hot`). With none, the result is the
     plain direct plan. Otherwise the anti join removes hot rows *before* the
     direct plan's exchange, so a hot series is never hashed into one
     partition, and the hot rows take the blocked plan.

@@ -8,7 +8,7 @@ into one task:
 1. per-series statistics ``(n, lo, hi)`` of a monotone numeric key of the time
    column (partial aggregation, one small row per series per map task);
 2. series with more than ``hot_rows`` rows are *hot*. There can be at most
-   ``N / hot_rows`` of them; :func:`checked_hot` collects at most
+   ``N / hot_rows`` of them; :func:`find_hot` collects at most
    ``MAX_BROADCAST_HOT + 1`` of them and broadcasts the list only when it is
    within that bound (otherwise a shuffle join). With no hot series the plan
    is the plain per-series window. Every other series is one bucket (bounded
@@ -93,44 +93,9 @@ def ntz_micros(c: Column) -> Column:
     )
 
 
-def series_stats(df: DataFrame, series: Sequence[str], time_col: str) -> DataFrame:
-    """``(series..., _sq_n, _sq_lo, _sq_hi)``: one row per series."""
-    k = time_key(df, time_col)
-    return df.groupBy(*series).agg(
-        F.count(F.lit(1)).alias(N_), F.min(k).alias(LO), F.max(k).alias(HI)
-    )
-
-
-def hot_stats(stats: DataFrame, hot_rows: int) -> DataFrame:
-    """Series with more than ``hot_rows`` rows: at most N / hot_rows of them."""
-    if hot_rows < 1:
-        raise ValueError("hot_rows must be >= 1")
-    return stats.filter(F.col(N_) > F.lit(hot_rows))
-
-
 MAX_BROADCAST_HOT = 100_000
 
 
-def checked_hot(stats: DataFrame, hot_rows: int, max_keys: int = MAX_BROADCAST_HOT) -> tuple[DataFrame | None, bool]:
-    """The hot-series statistics, behind an explicit size check.
-
-    Collects at most ``max_keys + 1`` rows (a small job over the
-    pre-aggregated statistics; never more than that reaches the driver):
-
-    * none  -> ``(None, True)``: no series needs splitting;
-    * ``<= max_keys`` -> a local relation of known size, safe to broadcast;
-    * more  -> ``(lazy hot table, False)``: join it with a shuffle join
-      (AQE splits skewed partitions of that join at run time).
-    """
-    hot = hot_stats(stats, hot_rows)
-    rows = hot.limit(max_keys + 1).collect()
-    if not rows:
-        return None, True
-    if len(rows) <= max_keys:
-        return stats.sparkSession.createDataFrame(rows, hot.schema), True
-    return hot, False
-
-
 def find_hot(
     df: DataFrame, series: Sequence[str], time_col: str, hot_rows: int, max_keys: int = MAX_BROADCAST_HOT
 ) -> tuple[DataFrame | None, bool]:
@@ -139,7 +104,7 @@ def find_hot(
     The common case pays only a count per series (partial aggregation over the
     key columns); the time range is then taken for the hot series alone. With
     more than ``max_keys`` hot series the lazy statistics are returned for a
-    shuffle join instead (see :func:`checked_hot`).
+    shuffle join instead (AQE splits skewed partitions of that join).
     """
     if hot_rows < 1:
         raise ValueError("hot_rows must be >= 1")
