@@ -198,7 +198,22 @@ def full_windows(spec: SequenceSpec, struct_form: bool) -> Column:
     return cond
 
 
-def apply_trims(df: DataFrame, spec: SequenceSpec, rn: str = RN, n: str = N, trim: bool = True) -> DataFrame:
+def _metrics(spec: SequenceSpec, struct_form: bool, rn: str = RN, n: str = N) -> list[Column]:
+    """A6 metrics over a windowed frame (before trimming): series, series too
+    short for any window, anchors with a full range and how many of those hold
+    a NULL in a frame (dropped under ``on_null="drop"``)."""
+    in_range = head_keep(spec, rn) & tail_keep(spec, rn, n) & stride_keep(spec, rn)
+    short = (F.col(rn) == 1) & (F.col(n) < F.lit(spec.past + spec.future + spec.shift - 1))
+    return [
+        F.sum(F.when(F.col(rn) == 1, 1).otherwise(0)).alias("series"),
+        F.sum(F.when(short, 1).otherwise(0)).alias("short_series"),
+        F.sum(F.when(in_range, 1).otherwise(0)).alias("anchors_in_range"),
+        F.sum(F.when(in_range & ~full_windows(spec, struct_form), 1).otherwise(0)).alias("anchors_with_null"),
+    ]
+
+
+def apply_trims(df: DataFrame, spec: SequenceSpec, rn: str = RN, n: str = N, trim: bool = True,
+                observation=None) -> DataFrame:
     """Head, tail and stride trims, the NULL policy, then the per-feature arrays.
 
     The trims only read ``rn`` and ``n``, so they run before any array is
@@ -206,6 +221,8 @@ def apply_trims(df: DataFrame, spec: SequenceSpec, rn: str = RN, n: str = N, tri
     short) windows, NULLs skipped - the W1 / W2 building blocks.
     """
     struct_form = PAST in df.columns
+    if observation is not None:
+        df = df.observe(observation, *_metrics(spec, struct_form, rn, n))
     if not trim:
         if not struct_form:
             return df
@@ -236,7 +253,7 @@ def output_columns(df: DataFrame, spec: SequenceSpec) -> list[str]:
     return cols
 
 
-def sequence_windows_direct(df: DataFrame, spec: SequenceSpec, trim: bool = True) -> DataFrame:
+def sequence_windows_direct(df: DataFrame, spec: SequenceSpec, trim: bool = True, observation=None) -> DataFrame:
     """W4 (and W6): one Window node per series partition.
 
     Cost: one hash exchange on the series keys, one sort, O(rows x past) window
@@ -250,7 +267,7 @@ def sequence_windows_direct(df: DataFrame, spec: SequenceSpec, trim: bool = True
         *[c for c in base.columns if c not in spec.features],
         *[e.alias(name) for name, e in window_expressions(spec, w).items()],
     )
-    trimmed = apply_trims(windowed, spec, trim=trim)
+    trimmed = apply_trims(windowed, spec, trim=trim, observation=observation)
     return trimmed.select(*output_columns(trimmed, spec))
 
 
@@ -264,7 +281,8 @@ def sequence_windows(df: DataFrame, spec: SequenceSpec, plan: str = "auto", **pl
                   plan, all others through the direct plan.
     """
     if plan == "direct":
-        return sequence_windows_direct(df, spec, trim=plan_options.get("trim", True))
+        return sequence_windows_direct(df, spec, trim=plan_options.get("trim", True),
+                                       observation=plan_options.get("observation"))
     from ..plans import blocked
 
     if plan == "blocked":
@@ -280,8 +298,11 @@ def sequence_windows_observed(df: DataFrame, spec: SequenceSpec, plan: str = "au
 
     Returns ``(result, metrics_in, metrics_out)``; after the result is written,
     ``metrics_in.get`` holds ``rows_in`` / ``null_time`` and ``metrics_out.get``
-    holds ``windows_out``. ``DataFrame.observe`` aggregates inside the same job,
-    so no extra pass over the data is made.
+    holds ``windows_out``; with ``plan="direct"`` ``metrics_in.get`` also holds
+    ``series``, ``short_series``, ``anchors_in_range`` and
+    ``anchors_with_null`` (the windows the NULL policy drops).
+    ``DataFrame.observe`` aggregates inside the same job, so no extra pass over
+    the data is made.
     """
     from pyspark.sql import Observation
 
@@ -291,6 +312,26 @@ def sequence_windows_observed(df: DataFrame, spec: SequenceSpec, plan: str = "au
         F.count(F.lit(1)).alias("rows_in"),
         F.sum(F.when(F.col(spec.time_col).isNull(), 1).otherwise(0)).alias("null_time"),
     )
+    obs_win = None
+    if plan == "direct":
+        obs_win = Observation(f"{name}_windows")
+        plan_options = {**plan_options, "observation": obs_win}
     out = sequence_windows(src, spec, plan=plan, **plan_options)
     out = out.observe(obs_out, F.count(F.lit(1)).alias("windows_out"))
+    if obs_win is not None:
+        return out, _Merged(obs_in, obs_win), obs_out
     return out, obs_in, obs_out
+
+
+class _Merged:
+    """Two observations read as one: ``.get`` merges their metrics."""
+
+    def __init__(self, *parts):
+        self.parts = parts
+
+    @property
+    def get(self) -> dict:
+        merged = {}
+        for p in self.parts:
+            merged.update(p.get)
+        return merged

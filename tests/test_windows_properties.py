@@ -138,6 +138,14 @@ def test_observed_run_metrics(spark):
     out.write.format("noop").mode("overwrite").save()
     assert m_in.get["rows_in"] == 1000 and m_in.get["null_time"] == 0
     assert m_out.get["windows_out"] == 93
+    sizes = [r["c"] for r in ev.groupBy("symbol").agg(F.count("*").alias("c")).collect()]
+    assert m_in.get["series"] == 15 and m_in.get["short_series"] == sum(1 for n in sizes if n < 60 + 3) > 0
+    assert m_in.get["anchors_in_range"] == 93 and m_in.get["anchors_with_null"] == 0
+    nully = events_series(spark, SF001, error_value_missing=True)
+    out, m_in, m_out = W.sequence_windows_observed(nully, events_spec(8, 3), plan="direct", name="nully")
+    out.write.format("noop").mode("overwrite").save()
+    assert m_in.get["anchors_in_range"] == 850
+    assert m_in.get["anchors_with_null"] == 850 - m_out.get["windows_out"] > 0
 
 
 def test_building_blocks_skew_safe_equal_direct(spark):
