@@ -962,3 +962,31 @@ def q_sequence_windows_skewed_lineitem(spark, sf):
     out = W.sequence_windows(lineitem_series(spark, sf), spec, plan="auto",
                              hot_rows=10_000, bucket_rows=4_000, block_rows=8_000)
     return window_summary(out, spec)
+
+
+@query(
+    "win_null_fail_clean",
+    window_summary_sql(EVENTS_SERIES_SQL, ["symbol"], EV_ORDER, "s_ts", FEATS, "ohlc_close", 8, 3),
+)
+def q_win_null_fail_clean(spark, sf):
+    """on_null="fail" on data without NULLs: no error, same rows as "drop"."""
+    spec = events_spec(8, 3, on_null="fail")
+    return window_summary(W.sequence_windows(events_series(spark, sf), spec, plan="auto"), spec)
+
+
+_ORDERS_SQL = "SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM orders"
+
+
+@query(
+    "sequence_windows_short_orders",
+    window_summary_sql(_ORDERS_SQL, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate",
+                       ["o_totalprice"], "o_totalprice", 3, 2),
+)
+def q_sequence_windows_short_orders(spark, sf):
+    """Trimming edges on short series: orders per customer (1-25 rows each),
+    P=3, F=2 - customers with fewer than 5 orders give no window."""
+    from .params import SequenceSpec
+
+    spec = SequenceSpec(series=("o_custkey",), order=("o_orderdate", "o_orderkey"), features=("o_totalprice",),
+                        label="o_totalprice", past=3, future=2)
+    return window_summary(W.sequence_windows(table(spark, sf, "orders"), spec, plan="auto"), spec)
