@@ -217,3 +217,18 @@ def test_number_rows_mixed_hot_and_cold_sizes(spark):
            for r in W.row_numbers(ev, spec, n_name="n", hot_rows=10**9).collect()}
     got = number_rows(ev, ["symbol"], ["s_ts", "event_id"], hot_rows=60, bucket_rows=16).collect()
     assert {(r["symbol"], r["event_id"]): (r["rn"], r["n"]) for r in got} == ref
+
+
+def test_null_series_key_kept_whole(spark):
+    """A NULL series key never matches a join; its rows must still be windowed once."""
+    ev = events_series(spark, SF001).withColumn(
+        "symbol", F.when(F.col("symbol") < 3, F.lit(None).cast("long")).otherwise(F.col("symbol")))
+    spec = events_spec(8, 3)
+    direct = _set(W.sequence_windows(ev, spec, plan="direct"), spec)
+    assert any(k[0] is None for k in direct)
+    auto = _set(W.sequence_windows(ev, spec, plan="auto", hot_rows=60, block_rows=5, bucket_rows=9), spec)
+    assert direct == auto
+    rn = {(r["symbol"], r["event_id"]): (r["rn"], r["n"]) for r in W.row_numbers(ev, spec, n_name="n").collect()}
+    rn_hot = {(r["symbol"], r["event_id"]): (r["rn"], r["n"])
+              for r in W.row_numbers(ev, spec, n_name="n", hot_rows=60, bucket_rows=9).collect()}
+    assert rn == rn_hot
