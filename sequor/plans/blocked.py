@@ -129,15 +129,15 @@ def sequence_windows_auto(
     hot, small = NB.find_hot(base, spec.series, spec.time_col, hot_rows, max_hot_keys)
     if hot is None:
         return W.sequence_windows_direct(base, spec, trim=trim)
-    hot = F.broadcast(hot) if small else hot
-    return _route(base, spec, hot, block_rows, bucket_rows, trim)
+    return _route(base, spec, hot, block_rows, bucket_rows, trim, broadcast=small)
 
 
 def _route(base: DataFrame, spec: SequenceSpec, hot: DataFrame, block_rows: int, bucket_rows: int,
-           trim: bool = True) -> DataFrame:
+           trim: bool = True, broadcast: bool = True) -> DataFrame:
+    series = list(spec.series)
     cold = W.sequence_windows_direct(
-        base.join(hot.select(*spec.series), list(spec.series), "left_anti"), spec, trim=trim)
-    hot_base = base.join(hot, list(spec.series), "inner")
+        NB.join_on(base, hot.select(*series), series, "left_anti", broadcast=broadcast), spec, trim=trim)
+    hot_base = NB.join_on(base, hot, series, "inner", broadcast=broadcast)
     key = NB.time_key(base, spec.time_col)
     tagged = hot_base.withColumn(NB.KEY, key).withColumn(
         NB.BUCKET,

@@ -96,6 +96,29 @@ def ntz_micros(c: Column) -> Column:
 MAX_BROADCAST_HOT = 100_000
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
+            broadcast: bool = False) -> DataFrame:
+    """Equi-join on ``keys`` where NULL keys match each other (``<=>``).
+
+    A NULL series key is a series like any other (and a classic source of
+    skew), so it must neither be dropped by an inner join nor escape the hot
+    path. The right side's key columns are dropped from the result.
+    """
+    keys = list(keys)
+    renamed = right.select(*[F.col(k).alias(f"_sq_r_{k}") for k in keys],
+                           *[F.col(c) for c in right.columns if c not in keys])
+    if broadcast:
+        renamed = F.broadcast(renamed)
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(renamed[f"_sq_r_{k}"])
+        cond = c if cond is None else cond & c
+    out = left.join(renamed, cond, how)
+    if how in ("left_anti", "left_semi", "anti", "semi", "leftanti", "leftsemi"):
+        return out
+    return out.drop(*[f"_sq_r_{k}" for k in keys])
+
+
 def find_hot(
     df: DataFrame, series: Sequence[str], time_col: str, hot_rows: int, max_keys: int = MAX_BROADCAST_HOT
 ) -> tuple[DataFrame | None, bool]:
@@ -218,13 +241,15 @@ def refine_buckets(
             schema = T.StructType([counts_df.schema[c] for c in group] + [T.StructField("_sq_c", T.LongType())])
             counts = local([(*[r[c] for c in group], r["_sq_rc"]) for r in rows], schema)
             big_rows = [r for r in rows if r["_sq_rc"] > threshold]
-            big = F.broadcast(local(big_rows, counts_df.schema)) if big_rows else None
+            big = local(big_rows, counts_df.schema) if big_rows else None
+            big_small = True
         else:
             big_q = counts_df.filter(F.col("_sq_rc") > F.lit(threshold))
             big_rows = big_q.limit(max_keys + 1).collect()
             big = None
+            big_small = len(big_rows) <= max_keys
             if big_rows:
-                big = F.broadcast(local(big_rows, big_q.schema)) if len(big_rows) <= max_keys else big_q
+                big = local(big_rows, big_q.schema) if big_small else big_q
         if big is None or level == levels or not kcols:
             return tagged, counts
         # second pass, oversized buckets only: where do their order keys vary?
@@ -234,12 +259,13 @@ def refine_buckets(
         splittable = F.lit(False)
         for kc in kcols:
             splittable = splittable | varies(kc)
-        kstats_q = (source.join(big.select(*group), group, "left_semi")
+        kstats_q = (join_on(source, big.select(*group), group, "left_semi", broadcast=big_small)
                     .groupBy(*group).agg(*aggs).filter(splittable))
         krows = kstats_q.limit(max_keys + 1).collect()
         if not krows:
             return tagged, counts
-        kstats = F.broadcast(local(krows, kstats_q.schema)) if len(krows) <= max_keys else kstats_q
+        k_small = len(krows) <= max_keys
+        kstats = local(krows, kstats_q.schema) if k_small else kstats_q
         tagged = tagged.withColumns({kc: k for kc, (k, _) in zip(kcols, keys)})
         sub = None
         for kc, (_, integral) in zip(kcols, keys):
@@ -248,7 +274,7 @@ def refine_buckets(
         sub = sub.otherwise(F.lit(0).cast("long"))
         stat_cols = [c for c in kstats_q.columns if c not in group]
         tagged = (
-            tagged.join(kstats, group, "left")
+            join_on(tagged, kstats, group, "left", broadcast=k_small)
             .withColumn(BUCKET, F.concat(F.col(BUCKET), F.array(sub.cast("long"))))
             .drop(*stat_cols, *kcols)
         )
@@ -282,8 +308,7 @@ def number_bucketed(
         if total is not None:
             whole_s = by_series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
             cols.append(F.sum("_sq_c").over(whole_s).cast("long").alias("_sq_tot"))
-        offsets = F.broadcast(counts.select(*cols))
-        joined = tagged.join(offsets, keys, "left")
+        joined = join_on(tagged, counts.select(*cols), keys, "left", broadcast=True)
         w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
         out = joined.withColumn(rn, (F.coalesce(F.col(OFFSET), F.lit(0)) + F.row_number().over(w)).cast("long"))
         if total is not None:
@@ -303,7 +328,7 @@ def number_bucketed(
         whole = by_series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         cols.append(F.sum("_sq_c").over(whole).cast("long").alias(total))
     offsets = counts.select(*cols)
-    joined = tagged.join(offsets, keys, "inner")
+    joined = join_on(tagged, offsets, keys, "inner")
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     return joined.withColumn(rn, (F.col(OFFSET) + F.row_number().over(w)).cast("long")).drop(OFFSET)
 
@@ -336,9 +361,8 @@ def number_rows(
             rn: F.row_number().over(w).cast("long"),
             n: F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
         }).withColumn(BUCKET, F.array(F.lit(0).cast("long")))
-    hot = F.broadcast(hot) if small else hot
     k = time_key(df, time_col)
-    tagged = df.withColumn(KEY, k).join(hot, series, "left")
+    tagged = join_on(df.withColumn(KEY, k), hot, series, "left", broadcast=small)
     is_hot = F.col(N_).isNotNull()
     bucket = bucket_of(
         F.col(KEY), F.col(N_), F.col(LO), F.col(HI), bucket_rows, _is_integral(df, time_col)

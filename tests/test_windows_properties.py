@@ -232,3 +232,19 @@ def test_null_series_key_kept_whole(spark):
     rn_hot = {(r["symbol"], r["event_id"]): (r["rn"], r["n"])
               for r in W.row_numbers(ev, spec, n_name="n", hot_rows=60, bucket_rows=9).collect()}
     assert rn == rn_hot
+
+
+def test_null_series_key_hot_path_and_fallback(spark):
+    from sequor.plans import numbering as NB
+
+    ev = events_series(spark, SF001).withColumn(
+        "symbol", F.when(F.col("symbol") < 4, F.lit(None).cast("long")).otherwise(F.col("symbol")))
+    out = NB.number_rows(ev, ["symbol"], ["s_ts", "event_id"], hot_rows=60, bucket_rows=9).collect()
+    assert len(out) == 1000
+    assert len({tuple(r[NB.BUCKET]) for r in out if r["symbol"] is None}) > 1  # the NULL series was split
+    # fallback offsets path (no collected counts): NULL-key rows kept and numbered
+    tagged = ev.withColumn(NB.BUCKET, F.array((F.col("event_id") % 3).cast("long")))
+    got = NB.number_bucketed(tagged, ["symbol"], ["s_ts", "event_id"], rn="rn", total="n").collect()
+    assert len(got) == 1000
+    nulls = sorted(r["rn"] for r in got if r["symbol"] is None)
+    assert nulls == list(range(1, len(nulls) + 1)) and len(nulls) > 0
