@@ -32,12 +32,17 @@ from ..functions.arrays import array_last
 from ..params import SequenceSpec
 
 
-def _bounded_model(model: DataFrame) -> DataFrame:
-    """Broadcast the model table after a size check; otherwise leave the join to AQE."""
-    from ..plans.numbering import bounded_local
+def _join_model(rows: DataFrame, model: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of scored rows to the model table on ``keys`` (NULL-safe).
+
+    The model table is broadcast after a size check; otherwise the join is
+    left to AQE."""
+    from ..plans.numbering import bounded_local, join_on
 
     local = bounded_local(model)
-    return F.broadcast(local) if local is not None else model
+    if local is not None:
+        return join_on(rows, local, keys, "left", broadcast=True)
+    return join_on(rows, model, keys, "left")
 
 
 def _last(spec: SequenceSpec) -> Column:
@@ -77,8 +82,7 @@ def predict_linear(windows: DataFrame, model: DataFrame, spec: SequenceSpec,
     to persistence, so every horizon row gets a prediction.
     """
     h = horizon_rows(windows, spec, keys)
-    m = _bounded_model(model.select(*spec.series, "horizon", "slope", "intercept"))
-    scored = h.join(m, [*spec.series, "horizon"], "left")
+    scored = _join_model(h, model.select(*spec.series, "horizon", "slope", "intercept"), [*spec.series, "horizon"])
     pred = F.when(
         F.col("slope").isNotNull() & F.col("intercept").isNotNull(),
         F.col("intercept") + F.col("slope") * F.col("last"),
@@ -202,7 +206,7 @@ def predict_lagged_ridge(windows: DataFrame, model: DataFrame, spec: SequenceSpe
         *keep, _last(spec).alias("last"), F.array(F.lit(1.0), *lag_cols).alias("_xv"),
         F.posexplode(spec.label_col).alias("horizon", "y"),
     ).withColumn("horizon", (F.col("horizon") + 1).cast("int"))
-    scored = h.join(_bounded_model(model.select(*spec.series, "horizon", "coef")), [*spec.series, "horizon"], "left")
+    scored = _join_model(h, model.select(*spec.series, "horizon", "coef"), [*spec.series, "horizon"])
     dot = F.aggregate(
         F.zip_with("_xv", "coef", lambda a, c: a * c), F.lit(0.0), lambda acc, v: acc + v
     )
