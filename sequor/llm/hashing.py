@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _rng = np.random.default_rng(20240601)
 _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
@@ -34,7 +35,7 @@ def text_buffer(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
 
 def chunks(column: pa.StringArray, most_bytes: int = 1 << 20) -> Iterator[tuple[int, pa.StringArray]]:
     """(first row, slice) of a column in slices of about ``most_bytes``, one row at least."""
-    sizes = np.r_[0, np.cumsum(pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy())] if len(column) else np.zeros(1)
+    sizes = np.r_[0, np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy())] if len(column) else np.zeros(1)
     lo = 0
     while lo < len(column):
         hi = max(lo + 1, int(np.searchsorted(sizes, sizes[lo] + most_bytes)))

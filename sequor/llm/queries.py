@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, divergence, jaccard, language, line_dedup, mixing, packing, toxicity, warc
+from . import ann, divergence, jaccard, language, line_dedup, mixing, packing, repeats, toxicity, warc
 from .common import load
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -48,9 +48,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(load(spark, sf_dir, "documents"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, QueryFn] = {
     f.__name__: f for f in (
         op1_toxicity, op2_warc, op3_line_dedup, op4_packing, op5_language, op6_ann, op7_divergence, op8_jaccard, op9_mixing,
+        op10_repeats,
     )
 }
 ORACLES: dict[str, str] = {"op2_warc": warc.SQL, "op3_line_dedup": line_dedup.SQL}
