@@ -168,10 +168,10 @@ def predictions(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col:
 
         for i in todo:
             w = windows(texts[i].encode())
-            for lo in range(0, len(w), 256):  # bounded batches, whatever a text's length
-                group.append((i, w[lo : lo + 256]))
+            for lo in range(0, len(w), 64):  # bounded batches, whatever a text's length
+                group.append((i, w[lo : lo + 64]))
                 held += len(group[-1][1])
-                if held >= 256:
+                if held >= 64:
                     flush()
                     held = 0
         flush()
