@@ -88,14 +88,14 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         F.regexp_count("t", F.lit(r"[0-9]")).cast("long").alias("digits"),
         F.regexp_count("t", F.lit(r"[.,;:!?'\"()-]")).cast("long").alias("marks"),
         F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-        F.filter("words", lambda w: F.lower(w).isin(sorted({x for v in COMMON_WORDS.values() for x in v}))).alias("hits"),
+        F.transform(F.filter("words", lambda w: F.lower(w).isin(sorted({x for v in COMMON_WORDS.values() for x in v}))), F.lower).alias("hits"),
         repeat_words(F.col("words")).cast("long").alias("n_repeat_words"))
     lists = F.lit(None).cast("array<string>")
     for lang, words in COMMON_WORDS.items():
         lists = F.when(F.col("lang") == lang, F.array(*map(F.lit, words))).otherwise(lists)
     space = F.col("n_chars") - F.col("word_chars")
     plain = F.greatest(F.lit(0), F.col("word_chars") - F.col("n_symbols") - F.col("upper") - F.col("digits") - F.col("marks") - F.col("beyond"))
-    t = t.withColumn("counts", F.transform(lists, lambda w: F.size(F.filter("hits", lambda h: F.lower(h) == w)).cast("long")))
+    t = t.withColumn("counts", F.transform(lists, lambda w: (F.size("hits") - F.size(F.array_remove("hits", w))).cast("long")))
     rest = F.col("n_words") - F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)
     return t.select(
         "doc", "lang", "n_words", "word_chars", "n_symbols",

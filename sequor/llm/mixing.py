@@ -106,7 +106,8 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     plan = plan.withColumns({"ahead": F.coalesce(F.sum("n").over(before), F.lit(0)), "all": F.sum("n").over(every)})
     chunks = plan.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(_CHUNK).cast("long"))))
-    chunks = chunks.repartition("sk", "c")
+    # few bytes, much work: a fixed number of partitions, which isn't coalesced by size
+    chunks = chunks.repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sk", "c")
     each = chunks.withColumn("slot", F.explode(F.sequence("c", F.least(F.col("c") + _CHUNK - 1, F.col("n") - 1))))
     each = each.withColumn("pass", F.floor(F.col("slot") / F.col("blocks")).cast("long"))
     block = permuted(F.pmod("slot", "blocks"), F.col("blocks"), F.xxhash64("sk", "pass"))

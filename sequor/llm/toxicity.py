@@ -134,16 +134,24 @@ def _plain(word: str) -> str:
     return kept if len(kept) >= 3 else ""
 
 
-def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Squared-hinge linear SVM by Newton steps on the rows within the margin; the last coefficient is the bias."""
-    x = np.c_[x, np.ones(len(x))]
-    w = np.zeros(x.shape[1])
-    reg = np.full(x.shape[1], ridge)
+def _hinge(x: np.ndarray, rows: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Squared-hinge linear SVM on some rows of x, by Newton steps on those within the margin; the
+    last coefficient is the bias. Sums are taken in chunks, so that no second copy of x is held."""
+    k = x.shape[1] + 1
+    w = np.zeros(k)
+    reg = np.full(k, ridge)
     reg[-1] = 1e-6
     for _ in range(20):
-        on = (y * (x @ w) < 1)
-        xa = x[on] * weight[on, None]
-        new = np.linalg.solve(xa.T @ x[on] + np.diag(reg), xa.T @ y[on])
+        square, right = np.diag(reg), np.zeros(k)
+        for lo in range(0, len(rows), 8192):
+            part = x[rows[lo : lo + 8192]].astype(float)
+            part = np.c_[part, np.ones(len(part))]
+            t, c = y[lo : lo + 8192], weight[lo : lo + 8192]
+            on = t * (part @ w) < 1
+            part, t = part[on] * np.sqrt(c[on, None]), t[on] * np.sqrt(c[on])
+            square += part.T @ part
+            right += part.T @ t
+        new = np.linalg.solve(square, right)
         if np.abs(new - w).max() < 1e-6:
             break
         w = new
@@ -180,8 +188,8 @@ def fit(bags: list[tuple[int, list[str]]], landmarks: int = LANDMARKS, rounds: i
     root = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)  # K_mm^(-1/2)
 
     x = np.zeros((len(vocab), root.shape[1]), np.float32)
-    for lo in range(0, len(vocab), 8192):
-        u, c, w = _features(vocab[lo : lo + 8192])
+    for lo in range(0, len(vocab), 2048):
+        u, c, w = _features(vocab[lo : lo + 2048])
         at = np.minimum(np.searchsorted(codes, c), len(codes) - 1)
         hit = codes[at] == c
         u, at, w = u[hit], at[hit], w[hit]
@@ -204,8 +212,8 @@ def fit(bags: list[tuple[int, list[str]]], landmarks: int = LANDMARKS, rounds: i
         rows = np.r_[ids, clean]
         y = np.r_[np.ones(len(ids)), -np.ones(len(clean))]
         weight = np.r_[3 * much, np.ones(len(clean))]
-        w = _hinge(x[rows].astype(float), y, weight)
-        new = x @ w[:-1] + w[-1]
+        w = _hinge(x, rows, y, weight)
+        new = x @ w[:-1].astype(np.float32) + w[-1]
         done = np.allclose(new, margin)
         margin = new
         if done:
@@ -263,7 +271,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         some = bounded_sample(marked.filter(F.col("y") == y), "doc", most // 2)
         words = F.array_distinct(words_array(F.coalesce(F.col(text_col), F.lit(""))))
         rows = docs.select(F.col(id_col).alias("doc"), words.alias("words")).join(F.broadcast(some), "doc")
-        bags += [(y, list(w)) for w in rows.orderBy("doc", F.xxhash64("words")).select("words").toPandas()["words"]]
+        got = rows.orderBy("doc", F.xxhash64("words")).select("words").toArrow().column("words")
+        names: dict[str, str] = {}  # one string object for each word, however many texts hold it
+        bags += [(y, [names.setdefault(w, w) for w in x.as_py()]) for x in got]
     return fit(bags)
 
 
