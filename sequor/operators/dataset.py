@@ -97,7 +97,8 @@ def batches(
                 numbered = number_bucketed(tagged, ["epoch"], order, rn="pos", total="_sq_epoch_n", counts=counts)
             prefix_digits = bucket_digits(per_epoch_n, rows_per_bucket)
         else:
-            prefix_digits = 8
+            # sized by the records of an epoch (each epoch holds them all), never by the probe's table
+            prefix_digits = bucket_digits(df.count(), rows_per_bucket)
     if numbered is None:
         if not 1 <= prefix_digits <= 8:
             raise ValueError("prefix_digits must be in 1..8")

@@ -166,7 +166,8 @@ def _solve_batch(pdf: pd.DataFrame, k: int, ridge: float) -> np.ndarray:
     reg[0, 0] = 0.0
     A = A + ridge * pdf["n_obs"].to_numpy(dtype=float)[:, None, None] * reg[None, :, :]
     coef = np.full((m, k), np.nan)
-    ok = np.linalg.matrix_rank(A) == k
+    ok = np.isfinite(A).all(axis=(1, 2)) & np.isfinite(b).all(axis=1)  # a NaN would stop all series
+    ok[ok] = np.linalg.matrix_rank(A[ok]) == k
     if ok.any():
         coef[ok] = np.linalg.solve(A[ok], b[ok][..., None])[..., 0]
     return coef

@@ -20,14 +20,15 @@ from pyspark.sql import functions as F
 from ..params import SAVED_MODEL_FILE
 
 
-def export_models(model: DataFrame, path: str, version: int, created_col=None, mode: str = "append") -> DataFrame:
-    """M5: append the fitted model table under ``path`` as version ``version``.
+def export_models(model: DataFrame, path: str, version: int, created_col=None) -> DataFrame:
+    """M5: write the fitted model table under ``path`` as version ``version``.
 
-    Returns the rows written (lazily re-read from ``path``).
+    Exporting a version again replaces it, so a retry doubles nothing. Returns
+    the table of all versions (lazily re-read from ``path``).
     """
     created = created_col if created_col is not None else F.current_timestamp()
     out = model.withColumn("version", F.lit(version).cast("long")).withColumn("created", created)
-    out.write.mode(mode).partitionBy("version").parquet(path)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path)
     return out.sparkSession.read.parquet(path)
 
 
@@ -47,8 +48,8 @@ def latest_complete_versions(listing: DataFrame, model_file: str = SAVED_MODEL_F
     ``max_by`` keeps the whole row of that version (path etc.) without a
     self-join; symbols without a complete version are absent.
     """
-    complete = listing.filter(F.col("file_name") == F.lit(model_file))
-    version_num = F.col("version").cast("long")
+    version_num = F.col("version").try_cast("long")  # an export that broke off may leave other folders
+    complete = listing.filter((F.col("file_name") == F.lit(model_file)) & version_num.isNotNull())
     return complete.groupBy("symbol").agg(
         F.max(version_num).alias("version"),
         F.max_by(F.struct(*[c for c in listing.columns if c != "symbol"]), version_num).alias("artifact"),

@@ -94,7 +94,8 @@ def read_layout(
              _glob_part(dates), f"*.{ext}"]
         )
         df = read_series_csv(spark, glob, schema=schema, ts_format=ts_format, quarantine=quarantine)
-        path = F.col("_metadata.file_path")
+        # the path is a URI: undo its percent-encoding, in which a plus stands for itself
+        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
         return df.withColumns(parts_from_path(path))
     if layout == "hive":
         data_fields = [f for f in schema.fields if f.name != "_corrupt_record"]

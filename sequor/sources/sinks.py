@@ -55,6 +55,8 @@ def write_series_csv(
     (
         out.write.mode(mode)
         .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampFormat", ts_format)
         .option("timestampNTZFormat", ts_format)
         .option("partitionOverwriteMode", "dynamic")

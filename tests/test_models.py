@@ -90,3 +90,13 @@ def test_export_appends_versions(spark, win8, tmp_dir):
     RG.export_models(model, f"{tmp_dir}/models", 1)
     back = RG.export_models(model, f"{tmp_dir}/models", 2)
     assert sorted(r[0] for r in back.select("version").distinct().collect()) == [1, 2]
+
+
+def test_export_twice_and_stray_folders(spark, tmp_dir):
+    model = spark.createDataFrame([("a", 1.0)], "symbol string, w double")
+    RG.export_models(model, f"{tmp_dir}/again", 1)
+    assert RG.export_models(model, f"{tmp_dir}/again", 1).count() == 1
+    listing = spark.createDataFrame([("a", "3", "saved_model.pb"), ("a", "temp-200", "saved_model.pb")], "symbol string, version string, file_name string")
+    got = RG.latest_complete_versions(listing, "saved_model.pb").collect()
+    assert [(r["symbol"], r["version"]) for r in got] == [("a", 3)]
+

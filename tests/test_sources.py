@@ -94,3 +94,10 @@ def test_record_layout_parquet_roundtrip(spark, tmp_dir):
     # dynamic partition overwrite replaces only the partitions written
     write_sequences(rec.filter("i % 2 = 0").withColumn("part", F.col("i") % 2), path, partition_cols=["part"])
     assert spark.read.parquet(path).count() == 15
+
+
+def test_plain_tree_symbols_with_blanks_percent_and_plus(spark, tmp_dir):
+    for sym in ("A B", "X%41", "C+D"):
+        write_micro_csv(f"{tmp_dir}/train/price/bn/05-13-20/{sym}.csv", blank_a=False, bad_b=False)
+    df = read_layout(spark, tmp_dir, layout="plain", schema=series_schema(("a", "b")))
+    assert {r["symbol"] for r in df.select("symbol").distinct().collect()} == {"A B", "X%41", "C+D"}
