@@ -148,6 +148,22 @@ def test_jaccard_blocks_and_tree(monkeypatch, docs):
         assert found == {i for i, t in enumerate(sets) if 100 * len(np.intersect1d(s, t)) >= 60 * len(np.union1d(s, t))}
 
 
+def test_jaccard_linked_sets_share_a_run():
+    rng = np.random.default_rng(3)
+    for percent in (50, 74, 75, 80, 85, 90):
+        links = 0
+        for _ in range(200):
+            base = rng.choice(400, rng.integers(1, 30), replace=False)
+            sets = [np.unique(np.r_[rng.permutation(base)[rng.integers(0, 3) :], rng.integers(0, 400, rng.integers(0, 3))]).astype(np.uint64) for _ in range(6)]
+            for s in sets:
+                for t in sets:
+                    both, either = len(np.intersect1d(s, t)), len(np.union1d(s, t))
+                    if both < either and 100 * both >= percent * either:
+                        links += 1
+                        assert len(np.intersect1d(jaccard.prefix_runs(s, percent), jaccard.prefix_runs(t, percent)))
+        assert links
+
+
 def test_repeats(docs, empty):
     rows = [(d, t.encode()) for d, t in _rows(docs)]
     seen = collections.Counter(b[i : i + 200] for _, b in rows for i in range(len(b) - 199))
