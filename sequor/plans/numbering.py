@@ -22,7 +22,8 @@ into one task:
 
 No ``spark_partition_id`` or ``monotonically_increasing_id`` is used, so the
 numbering is the same on every retry. Data is shuffled once, on
-``(series, bucket)``; all other exchanges carry small aggregate rows.
+``(series, bucket)``, where the offsets are broadcast; beyond that bound the
+null-safe offset join and the window shuffle it again (three times in all).
 
 Buckets that still hold more than twice ``bucket_rows`` rows (a burst of
 equal or NULL timestamps, very uneven density) are split again on the first
@@ -295,10 +296,9 @@ def number_bucketed(
     see :func:`refine_buckets`) the offsets are broadcast and joined before the
     one exchange of the numbering window; rows of buckets missing from it are
     whole series (offset 0, size from the window). Without it, offsets come
-    from per-(series, bucket) counts computed here; the offset join and the
-    numbering window share the ``(series, bucket)`` distribution, so the data
-    side is shuffled once. ``total`` optionally names a column receiving the
-    group's row count.
+    from per-(series, bucket) counts computed here, and the null-safe offset join
+    and the numbering window shuffle the data again. ``total`` optionally names a
+    column receiving the group's row count.
     """
     keys = list(series) + [BUCKET]
     if counts is not None:
@@ -316,9 +316,8 @@ def number_bucketed(
             out = out.withColumn(total, F.coalesce(F.col("_sq_tot"), F.count(F.lit(1)).over(whole)).cast("long"))
             out = out.drop("_sq_tot")
         return out.drop(OFFSET)
-    # One exchange on (series, bucket) feeds both the bucket counts (no further
-    # exchange: the data is already clustered) and the numbering; Spark reuses
-    # it, so the input is computed and shuffled once.
+    # The bucket counts need no exchange beyond this one; the null-safe join
+    # and the window add one each.
     tagged = tagged.repartition(*[F.col(k) for k in keys])
     counts = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sq_c"))
     by_series = Window.partitionBy(*series).orderBy(BUCKET)
