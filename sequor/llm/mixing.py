@@ -2,14 +2,18 @@
 
 The word streams of each source are packed into blocks of ``block_words`` words.
 A source whose target is t words fills about t / block_words slots of the mix.
-Which output shard a slot goes to comes from one pseudorandom permutation of all
-slots, so the source counts per shard are multinomial draws given that their
-totals meet the targets (drawn without replacement, so no source misses its
-target by sampling noise). Slot i of a source takes block perm(i mod blocks) of
-it, perm being a permutation of its own for each pass; slots and blocks are then
-joined by (source, block).
-
-Both kinds of permutation are swap-or-not shuffles: a few rounds, each a
+How many slots each source has in each output shard is drawn first
+(``shard_counts``): multinomial counts given that their totals meet the targets,
+so no source misses its target by sampling noise. The slots are mapped from
+these counts (``slots``): a source numbers its slots shard after shard, and its
+slot i takes block perm(i mod blocks) of it, perm being a permutation of its own
+for each pass; the sources' slots of a shard are permuted within it. Slots and
+blocks are then joined by (source, block).
+
+``mixed`` returns the shards with the words of their slots in place, ``mix`` the
+documents resampled by them, ``taken`` the words drawn of each row.
+
+All permutations are swap-or-not shuffles: a few rounds, each a
 reflection of the index decided by one hashed bit, hence a bijection on any
 range. Nothing depends on partitioning or time: reruns agree.
 
@@ -94,8 +98,11 @@ def placed(rows: DataFrame, n_rows: int) -> DataFrame:
     return rows.join(sums, ["sk", "b"]).withColumn("start", F.col("base") + F.col("inside")).drop("b", "base", "inside")
 
 
-def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """The mix: one row per slot with sk, slot, pass, block (of that source) and shard."""
+def shard_counts(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """The draw: one row per source and output shard that has slots of it, with sk, blocks (of the
+    source), shard, shard_n (slots of the shard) and count. All shards but the last have
+    ``shard_slots`` slots. The counts are those of dealing all slots to the shards by one
+    permutation, that is, multinomial given the totals."""
     size, target = F.col("source_size"), F.col("target")
     full = F.floor(target / size)
     rest = F.round((target - full * size) / block_words)
@@ -108,11 +115,29 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     chunks = plan.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(_CHUNK).cast("long"))))
     # few bytes, much work: a fixed number of partitions, which isn't coalesced by size
     chunks = chunks.repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sk", "c")
-    each = chunks.withColumn("slot", F.explode(F.sequence("c", F.least(F.col("c") + _CHUNK - 1, F.col("n") - 1))))
-    each = each.withColumn("pass", F.floor(F.col("slot") / F.col("blocks")).cast("long"))
-    block = permuted(F.pmod("slot", "blocks"), F.col("blocks"), F.xxhash64("sk", "pass"))
-    at = permuted(F.col("ahead") + F.col("slot"), F.col("all"), F.lit(9).cast("long"))
-    return each.select("sk", "slot", "pass", block.alias("block"), F.floor(at / shard_slots).cast("long").alias("shard"))
+    each = chunks.withColumn("i", F.explode(F.sequence("c", F.least(F.col("c") + _CHUNK - 1, F.col("n") - 1))))
+    at = permuted(F.col("ahead") + F.col("i"), F.col("all"), F.lit(9).cast("long"))
+    each = each.select("sk", "blocks", "all", F.floor(at / shard_slots).cast("long").alias("shard"))
+    counts = each.groupBy("sk", "blocks", "all", "shard").agg(F.count(F.lit(1)).alias("count"))
+    shard_n = F.least(F.lit(shard_slots).cast("long"), F.col("all") - F.col("shard") * shard_slots)
+    return counts.select("sk", "blocks", "shard", shard_n.alias("shard_n"), "count")
+
+
+def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """The mix: one row per slot with shard, slot (its place in the shard, from 0), sk, pass and
+    block (of that source)."""
+    counts = shard_counts(targets, block_words, shard_slots)
+    of_source = Window.partitionBy("sk").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    of_shard = Window.partitionBy("shard").orderBy("sk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumns({"first": F.coalesce(F.sum("count").over(of_source), F.lit(0)),
+                                 "ahead": F.coalesce(F.sum("count").over(of_shard), F.lit(0))})
+    counts = counts.repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sk", "shard")
+    each = counts.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)))
+    each = each.withColumn("i", F.col("first") + F.col("k"))
+    each = each.withColumn("pass", F.floor(F.col("i") / F.col("blocks")).cast("long"))
+    block = permuted(F.pmod("i", "blocks"), F.col("blocks"), F.xxhash64("sk", "pass"))
+    slot = permuted(F.col("ahead") + F.col("k"), F.col("shard_n"), F.xxhash64("shard", F.lit("slot")))
+    return each.select("shard", slot.alias("slot"), "sk", "pass", block.alias("block"))
 
 
 def pieces(places: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -140,28 +165,55 @@ def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     return both.join(targets, "sk").select("doc", "size", "source_size", "target", "taken")
 
 
+def _drawn(docs: DataFrame, got: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """The rows of ``docs`` (as ``_row``) with those of ``got`` for them; got has sk, doc, rk and start."""
+    # identical rows are alike: number them, so that each input row meets its own draws
+    got = got.withColumn("copy", F.dense_rank().over(Window.partitionBy("sk", "doc", "rk").orderBy("start"))).drop("start")
+    d = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_doc"), _with_source_key(docs, source_col).alias("_sk"),
+                    row_key(F.coalesce(F.col(text_col), F.lit(""))).alias("_rk"))
+    d = d.withColumn("_copy", F.row_number().over(Window.partitionBy("_sk", "_doc", "_rk").orderBy("_rk")))
+    on = F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_sk") == F.col("sk")) & (F.col("_rk") == F.col("rk")) & (F.col("_copy") == F.col("copy"))
+    return d.join(got, on)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         block_words: int = BLOCK_WORDS) -> DataFrame:
     """The mixed documents, with the columns of ``docs``: each row of the input comes out once
     per pass that draws words of it, its text being the drawn words of that pass in order,
     parted by single spaces (the whole text as it was where the pass draws all of it). Rows
-    without words aren't drawn."""
+    without words aren't drawn. ``mixed`` has the same words by shard and slot."""
     rows = stored(sized(docs, id_col, text_col, source_col), "mix-sizes")
     targets = stored(source_targets(rows), "mix-targets")
     got = pieces(placed(rows, rows.count()), block_words).join(slots(targets, block_words), ["sk", "block"])
     got = got.groupBy("sk", "doc", "rk", "start", "size", "pass").agg(
         F.sum("len").alias("n"), F.sort_array(F.collect_list(F.struct("lo", "len"))).alias("runs"))
-    # identical rows are alike: number them, so that each input row meets its own draws
-    got = got.select("sk", "doc", "rk", "pass", "n", "runs", F.dense_rank().over(Window.partitionBy("sk", "doc", "rk").orderBy("start")).alias("copy"), "size")
-    d = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_doc"), _with_source_key(docs, source_col).alias("_sk"),
-                    row_key(F.coalesce(F.col(text_col), F.lit(""))).alias("_rk"))
-    d = d.withColumn("_copy", F.row_number().over(Window.partitionBy("_sk", "_doc", "_rk").orderBy("_rk")))
-    on = F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_sk") == F.col("sk")) & (F.col("_rk") == F.col("rk")) & (F.col("_copy") == F.col("copy"))
     whole = F.col("_row")[text_col]
     words = words_array(whole)
     some = F.array_join(F.flatten(F.transform("runs", lambda r: F.slice(words, (r["lo"] + 1).cast("int"), r["len"].cast("int")))), " ")
     text = F.when(F.col("n") == F.col("size"), whole).otherwise(some)
-    return d.join(got, on).select(*[(text if c == text_col else F.col("_row")[c]).alias(c) for c in docs.columns])
+    d = _drawn(docs, got, id_col, text_col, source_col)
+    return d.select(*[(text if c == text_col else F.col("_row")[c]).alias(c) for c in docs.columns])
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """The shards of the mix: one row per slot and document in it, with shard, slot, part (order
+    in the slot), doc, source and text (the document's words there, parted by single spaces).
+    A slot is one block of one source, so its parts have at most ``block_words`` words."""
+    rows = stored(sized(docs, id_col, text_col, source_col), "mix-sizes")
+    targets = stored(source_targets(rows), "mix-targets")
+    parts = pieces(placed(rows, rows.count()), block_words)
+    # the words before it in the block: a row's place among the slot's parts
+    part = F.col("start") + F.col("lo") - F.col("block") * block_words
+    got = parts.withColumn("part", part).join(slots(targets, block_words, shard_slots), ["sk", "block"])
+    got = got.groupBy("sk", "doc", "rk", "start").agg(F.collect_list(F.struct("shard", "slot", "part", "lo", "len")).alias("runs"))
+    text = lambda w, r: F.array_join(F.slice(w, (r["lo"] + 1).cast("int"), r["len"].cast("int")), " ")
+    # the outer lambda binds the words, so that a text is split once and not for each of its runs
+    texts = F.transform(F.array(words_array(F.col("_row")[text_col])), lambda w: F.transform(
+        "runs", lambda r: F.struct(r["shard"], r["slot"], r["part"], text(w, r).alias("text"))))
+    d = _drawn(docs, got, id_col, text_col, source_col)
+    d = d.select("doc", F.col("_row")[source_col].alias("source"), F.explode(texts[0]).alias("run"))
+    return d.select("run.shard", "run.slot", "run.part", "doc", "source", "run.text")
 
 
 def report(docs: DataFrame) -> DataFrame:

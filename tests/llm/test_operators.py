@@ -287,6 +287,52 @@ def test_mixing_permutation_is_one_to_one_and_text_matches(spark, docs):
     assert sum(len(WORD.findall(r["text"])) for r in mixed.collect()) == mixing.report(docs).agg(F.sum("taken")).first()[0]
 
 
+def test_mixing_draws_source_counts_per_shard_and_maps_slots_from_them(spark, docs, empty):
+    targets = spark.createDataFrame([("0a", 4000, 6000.0), ("0b", 3000, 3000.0), ("1", 5000, 1000.0)], "sk string, source_size long, target double")
+    drawn = {(r["shard"], r["sk"]): (r["count"], r["shard_n"]) for r in mixing.shard_counts(targets, 4, 100).collect()}
+    slots = mixing.slots(targets, 4, 100).collect()
+    totals, in_shard = collections.Counter(), collections.Counter()
+    for (shard, sk), (n, _) in drawn.items():
+        totals[sk] += n
+        in_shard[shard] += n
+    assert totals == {"0a": 1500, "0b": 750, "1": 250}
+    assert in_shard == dict.fromkeys(range(25), 100) and {n for _, n in drawn.values()} == {100}
+    assert collections.Counter((r["shard"], r["sk"]) for r in slots) == {k: n for k, (n, _) in drawn.items()}
+    assert {(r["shard"], r["slot"]) for r in slots} == {(s, i) for s in range(25) for i in range(100)}
+    # without replacement the variance is 100 p (1 - p) 2400 / 2499; equal counts would have none
+    for sk, p in (("0a", 0.6), ("0b", 0.3), ("1", 0.1)):
+        spread = np.mean([(drawn.get((s, sk), (0,))[0] - 100 * p) ** 2 for s in range(25)]) / (100 * p * (1 - p))
+        assert 0.35 < spread < 2.2, (sk, spread)
+    passes = collections.Counter((r["sk"], r["pass"], r["block"]) for r in slots)
+    assert set(passes.values()) == {1} and len({b for k, p, b in passes if (k, p) == ("0a", 0)}) == 1000
+
+    words = {}
+    got = mixing.mixed(docs, block_words=16, shard_slots=50).collect()
+    for r in got:
+        words.setdefault((r["shard"], r["slot"]), []).append((r["part"], r["text"], r["source"]))
+    shards = collections.Counter(s for s, _ in words)
+    assert len(shards) > 3 and all(shards[s] == 50 for s in range(len(shards) - 1))
+    assert set(words) == {(s, i) for s in shards for i in range(shards[s])}
+    for own in words.values():
+        at = 0
+        for part, text, _ in sorted(own, key=lambda x: x[0]):
+            assert part == at
+            at += len(WORD.findall(text))
+        assert at <= 16 and len({s for _, _, s in own}) == 1
+    taken = collections.Counter()
+    for r in got:
+        taken[r["doc"]] += len(WORD.findall(r["text"]))
+    expected = collections.Counter()
+    for r in mixing.taken(docs, block_words=16).collect():
+        expected[r["doc"]] += r["taken"]
+    assert {d: n for d, n in expected.items() if n} == taken
+    source = {r["doc_id"]: " ".join(WORD.findall(r["text"] or "")) for r in docs.collect()}
+    assert all(f" {r['text']} " in f" {source[r['doc']]} " for r in got)
+    assert len({r["source"] for r in got if r["shard"] == 0}) == 3
+    assert sorted(map(str, mixing.mixed(docs.repartition(3), block_words=16, shard_slots=50).collect())) == sorted(map(str, got))
+    assert mixing.mixed(empty).count() == 0
+
+
 def test_warc_round_trip(spark):
     big, rows = "<p>é" + "x" * 1500, []
     rows += [(i, f"http://www.Example.org:80/a?{i}", big) for i in range(5)]
