@@ -7,10 +7,11 @@ that Spark fits for all series at once:
 * linear v1 (M1): per (series, horizon) ``y_h = a + b * last`` with
   ``regr_slope`` / ``regr_intercept`` - algebraic aggregates with map-side
   partial aggregation, so a huge series is combined in many tasks;
-* lagged ridge v2 (M1): per (series, horizon) ridge regression of ``y_h`` on
-  the last ``lags`` values of the label base. The normal equations are sums
-  of products, aggregated by Spark like v1; only the small per-(series,
-  horizon) systems are solved with numpy in ``mapInPandas``.
+* window ridge v2 (M1): per (series, horizon) ridge regression of ``y_h`` on
+  all values of the flattened past x features window. The normal equations
+  are sums of products, aggregated by Spark like v1; only the small
+  per-(series, horizon) systems are solved with numpy in ``mapInPandas``;
+* lagged ridge: the same on the last ``lags`` values of the label base only.
 
 Scoring (M4) joins the model table to the windows on (series, horizon). The
 model table is collected only up to ``MAX_BROADCAST_HOT`` rows and then
@@ -213,3 +214,94 @@ def predict_lagged_ridge(windows: DataFrame, model: DataFrame, spec: SequenceSpe
     )
     pred = F.when(F.col("coef").isNotNull(), dot).otherwise(F.col("last"))
     return scored.withColumn("pred", pred).drop("_xv", "coef")
+
+
+# --- v2: ridge regression on the whole window ---------------------------------
+
+
+def _window_values(spec: SequenceSpec) -> Column:
+    """All past x features values, feature by feature, oldest first; NULL where
+    one of them is missing (NULL, NaN, infinite or a short window)."""
+    values = F.concat(*[F.transform(F.col(c), lambda v: v.cast("double")) for c in spec.features])
+    bad = F.exists(values, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    return F.when((F.size(values) == spec.past * len(spec.features)) & ~bad, values)
+
+
+def window_normal_equations(windows: DataFrame, spec: SequenceSpec) -> DataFrame:
+    """Rows of the matrix ``Z'Z``, ``Z = [1, x_1 .. x_PK, y]``: one row per
+    (series, horizon, i) with ``z`` = the sums of ``z_i * z_j`` over all j.
+
+    Plain ``sum`` with partial aggregation, P*K + 2 narrow rows per anchor and
+    horizon. An anchor without all its values or without ``y_h`` is left out.
+    """
+    k = spec.past * len(spec.features) + 2
+    h = windows.select(*spec.series, _window_values(spec).alias("_x"),
+                       F.posexplode(spec.label_col).alias("horizon", "y"))
+    y = F.col("y").cast("double")
+    h = h.filter(F.col("_x").isNotNull() & y.isNotNull() & ~F.isnan(y) & (F.abs(y) < float("inf")))
+    h = h.select(*spec.series, (F.col("horizon") + 1).cast("int").alias("horizon"),
+                 F.concat(F.array(F.lit(1.0)), "_x", F.array(y)).alias("_z"))
+    h = h.select("*", F.posexplode("_z").alias("i", "_zi"))
+    sums = [F.sum(F.col("_zi") * F.get("_z", F.lit(j))).alias(f"z_{j}") for j in range(k)]
+    out = h.groupBy(*spec.series, "horizon", "i").agg(*sums)
+    return out.select(*spec.series, "horizon", "i", F.array(*[f"z_{j}" for j in range(k)]).alias("z"))
+
+
+def _solve_window(zz: np.ndarray, ridge: float) -> np.ndarray:
+    """Coefficients (intercept first) from ``Z'Z``. The penalty is ``ridge`` times
+    each value's variance, so scales don't matter; a constant value gets 0."""
+    n = zz[0, 0]
+    mean = zz[0, 1:] / n
+    cov = zz[1:, 1:] / n - np.outer(mean, mean)
+    var, square = np.diag(cov)[:-1], np.diag(zz)[1:-1] / n
+    varies = var > 1e-12 * square
+    scale = np.sqrt(np.where(varies, var, 1.0))
+    A = (cov[:-1, :-1] / np.outer(scale, scale))[np.ix_(varies, varies)]
+    coef = np.zeros(len(zz) - 1)
+    own = np.zeros(len(var))
+    own[varies] = np.linalg.solve(A + ridge * np.eye(len(A)), (cov[:-1, -1] / scale)[varies])
+    coef[1:] = own / scale
+    coef[0] = mean[-1] - coef[1:] @ mean[:-1]
+    return coef
+
+
+def fit_window_ridge(windows: DataFrame, spec: SequenceSpec, ridge: float = 1e-3) -> DataFrame:
+    """M1 v2 on the flattened window: ``(series..., horizon, coef array<double>, n_obs)``;
+    coef[0] is the intercept, then P values per feature in the order of ``spec.features``.
+
+    Minimises the mean squared error plus ``ridge`` x the squared slopes of the
+    standardised values. ``coef`` is NULL where the sums overflow."""
+    if ridge <= 0:
+        raise ValueError("ridge must be > 0")
+    stats = window_normal_equations(windows, spec)
+    keys = [*spec.series, "horizon"]
+    whole = stats.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("i", "z"))).alias("_m"))
+    whole = whole.select(*keys, F.flatten(F.transform("_m", lambda r: r["z"])).alias("_m"))
+    out_schema = T.StructType([f for f in whole.schema.fields if f.name in keys] + [
+        T.StructField("coef", T.ArrayType(T.DoubleType())),
+        T.StructField("n_obs", T.LongType()),
+    ])
+    k = spec.past * len(spec.features) + 2
+
+    def solve(batches):
+        for pdf in batches:
+            out = pdf[keys].copy()
+            mats = [np.asarray(m, dtype=float).reshape(k, k) for m in pdf["_m"]]
+            out["coef"] = [_solve_window(m, ridge).tolist() if np.isfinite(m).all() else None for m in mats]
+            out["n_obs"] = [round(m[0, 0]) for m in mats]
+            yield out[[f.name for f in out_schema.fields]]
+
+    return whole.mapInPandas(solve, out_schema)
+
+
+def predict_window_ridge(windows: DataFrame, model: DataFrame, spec: SequenceSpec,
+                         keys: Sequence[str] = ()) -> DataFrame:
+    """M4 for the window model: persistence where it or the window has no values."""
+    keep = list(dict.fromkeys([*spec.series, *keys]))
+    h = windows.select(
+        *keep, _last(spec).alias("last"), F.concat(F.array(F.lit(1.0)), _window_values(spec)).alias("_xv"),
+        F.posexplode(spec.label_col).alias("horizon", "y"),
+    ).withColumn("horizon", (F.col("horizon") + 1).cast("int"))
+    scored = _join_model(h, model.select(*spec.series, "horizon", "coef"), [*spec.series, "horizon"])
+    dot = F.aggregate(F.zip_with("_xv", "coef", lambda a, c: a * c), F.lit(0.0), lambda acc, v: acc + v)
+    return scored.withColumn("pred", F.coalesce(dot, F.col("last"))).drop("_xv", "coef")

@@ -862,11 +862,11 @@ def q_model_latest_version(spark, sf):
 
 @query("fit_lagged_ridge")
 def q_fit_lagged_ridge(spark, sf):
-    """M1 v2: ridge regression on the last 4 values per (series, horizon);
-    sums in Spark, 5x5 solves in mapInPandas. Rows-only check (tests compare
-    with numpy on the raw windows)."""
+    """M1 v2: ridge regression on all values of the flattened window (8 steps of
+    7 features) per (series, horizon); sums in Spark, 56x56 solves in mapInPandas.
+    Rows-only check (tests compare with numpy on the raw windows)."""
     spec, win = _windows8(spark, sf)
-    model = FC.fit_lagged_ridge(win, spec, lags=4)
+    model = FC.fit_window_ridge(win, spec)
     return model.select("symbol", "horizon", "n_obs",
                         F.transform("coef", lambda c: F.round(c, 6)).alias("coef"))
 
@@ -935,8 +935,8 @@ SELECT symbol, horizon, round(sum(1.0 * 1.0), 4) AS xx_0_0, round(sum(1.0 * x1),
 
 @query("fit_lagged_ridge_stats", _RIDGE_SQL)
 def q_fit_lagged_ridge_stats(spark, sf):
-    """M1 v2, the Spark half: normal-equation sums X'X, X'y per (series, horizon)
-    for X = [1, last 4 values], all plain sums with partial aggregation."""
+    """The lagged option of M1 v2, the Spark half: normal-equation sums X'X, X'y per (series,
+    horizon) for X = [1, last 4 values], all plain sums with partial aggregation."""
     spec, win = _windows8(spark, sf)
     st = FC.normal_equations(win, spec, lags=4)
     return st.select(*[F.round(c, 4).alias(c) if c.startswith(("xx_", "xy_")) else F.col(c) for c in st.columns])

@@ -50,6 +50,52 @@ def test_lagged_ridge_matches_numpy(win8):
     assert mse(preds) < mse(persist)  # in-sample fit beats persistence
 
 
+def test_window_ridge_fits_all_values_of_the_window(spark, win8):
+    from sequor.queries import q_fit_lagged_ridge
+
+    spec, win = win8
+    ridge, size = 1e-3, spec.past * len(spec.features)
+    fitted = FC.fit_window_ridge(win, spec, ridge).collect()
+    model = {(r["symbol"], r["horizon"]): r for r in fitted}
+    rows = win.select("symbol", *spec.features, spec.label_col).collect()
+    for sym in sorted({r["symbol"] for r in rows})[:3]:
+        mine = [r for r in rows if r["symbol"] == sym]
+        X = np.array([np.concatenate([r[c] for c in spec.features]) for r in mine], dtype=float)
+        assert X.shape[1] == size
+        mean, sd = X.mean(axis=0), X.std(axis=0)
+        varies = sd > 1e-6 * np.sqrt((X * X).mean(axis=0))
+        Z = (X[:, varies] - mean[varies]) / sd[varies]
+        for h in (1, 2, 3):
+            y = np.array([r[spec.label_col][h - 1] for r in mine])
+            slopes = np.zeros(size)
+            slopes[varies] = np.linalg.solve(Z.T @ Z / len(y) + ridge * np.eye(Z.shape[1]), Z.T @ (y - y.mean()) / len(y)) / sd[varies]
+            got = model[(sym, h)]
+            assert got["n_obs"] == len(y) and len(got["coef"]) == size + 1
+            assert np.allclose(got["coef"][0] + X @ got["coef"][1:], y.mean() + (X - mean) @ slopes, rtol=1e-7, atol=1e-7)
+            assert np.allclose(np.array(got["coef"][1:])[varies] * sd[varies], slopes[varies] * sd[varies], rtol=1e-5, atol=1e-6)
+    mse = lambda p: FC.regression_metrics(p).first()["mse"]
+    preds = FC.predict_window_ridge(win, spark.createDataFrame(fitted, FC.fit_window_ridge(win, spec).schema), spec)
+    assert preds.count() == FC.predict_persistence(win, spec).count()
+    assert mse(preds) < mse(FC.predict_lagged_ridge(win, FC.fit_lagged_ridge(win, spec), spec))
+    assert {len(r["coef"]) for r in q_fit_lagged_ridge(spark, SF001).collect()} == {size + 1}
+
+
+def test_window_ridge_leaves_out_windows_with_missing_values(spark):
+    from sequor.params import SequenceSpec
+
+    spec = SequenceSpec(series=("s",), order=("t",), features=("a", "b"), label="a", past=2, future=1)
+    whole = [("x", [float(i), float(i % 3)], [float(i * i % 7), 5.0], [float(2 * i)]) for i in range(20)]
+    odd = [("x", [1.0, None], [1.0, 5.0], [9.0]), ("x", [1.0], [1.0, 5.0], [9.0]), ("x", [1.0, float("nan")], [1.0, 5.0], [9.0]),
+           ("x", [1.0, 2.0], [1.0, 5.0], [None]), ("x", [1.0, 2.0], [float("inf"), 5.0], [9.0])]
+    schema = "s string, a array<double>, b array<double>, a_label array<double>"
+    got, same = ([(r["n_obs"], r["coef"]) for r in FC.fit_window_ridge(spark.createDataFrame(x, schema), spec).collect()]
+                 for x in (whole, whole + odd))
+    assert len(got) == 1 and got[0][0] == same[0][0] == 20 and np.allclose(got[0][1], same[0][1])
+    assert got[0][1][4] == 0.0  # a constant value
+    preds = FC.predict_window_ridge(spark.createDataFrame(odd[:1], schema), FC.fit_window_ridge(spark.createDataFrame(whole, schema), spec), spec)
+    assert preds.first()["pred"] == preds.first()["last"]
+
+
 def test_metrics_and_batch_loss(spark):
     df = spark.createDataFrame([(1, 0, 1.0, 2.0), (1, 0, 3.0, 3.0), (1, 1, 0.0, 2.0), (1, 1, 4.0, 2.0)],
                                "epoch int, batch_id int, y double, pred double")
