@@ -18,9 +18,10 @@ Files get a new name per attempt and only the rows that name them count, so a
 repeated task or a lost executor leaves orphans, never doubled records.
 
 Defined cases. Null html: empty payload. Null or malformed URL: the key is the URL
-as it is (null: empty). Null page ids are never responses to others. Rows alike in id,
-URL and payload each get a record of the same kind. Payloads under ``MIN_REVISIT``
-bytes are all responses. Extra input columns are ignored.
+as its header holds it, line breaks as blanks and none at the ends (null: empty). Null
+page ids are never responses to others. Rows alike in id, URL and payload each get a
+record of the same kind. Payloads under ``MIN_REVISIT`` bytes are all responses. Extra
+input columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,11 +50,17 @@ LEVEL = 3
 _DATE = "2020-01-01T00:00:00Z"  # fixed value: the pages carry no time
 
 
+def _one_line(value: object) -> str:
+    """A value as a header holds it and ``parse`` returns it."""
+    return str(value).replace("\r", " ").replace("\n", " ").strip()
+
+
 def surt(url: str | None) -> str:
-    """The reversed-host key of a URL: ``com,example,www)/path?query``."""
-    url = url or ""
+    """The reversed-host key of a URL: ``com,example,www)/path?query``. It is that of the URL
+    as a header holds it, so a key made from a header is the capture's."""
+    url = _one_line(url or "")
     try:
-        parts = urlsplit(url.strip())
+        parts = urlsplit(url)
         host, port = parts.hostname or "", parts.port
     except ValueError:
         return url
@@ -64,8 +71,7 @@ def surt(url: str | None) -> str:
 
 
 def _header(fields: list[tuple[str, object]]) -> bytes:
-    safe = lambda v: "".join(" " if c in "\r\n" else c for c in str(v))
-    return ("WARC/1.1\r\n" + "".join(f"{k}: {safe(v)}\r\n" for k, v in fields if v is not None) + "\r\n").encode()
+    return ("WARC/1.1\r\n" + "".join(f"{k}: {_one_line(v)}\r\n" for k, v in fields if v is not None) + "\r\n").encode()
 
 
 def record(page, url, payload: bytes, digest: str, refers: dict | None) -> bytes:

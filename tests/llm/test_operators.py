@@ -349,6 +349,16 @@ def test_warc_round_trip(spark):
     assert warc.surt("http://www.Example.org:80/a?b#c") == "org,example,www):80/a?b".replace("):80", ":80)")
 
 
+@pytest.mark.parametrize("url", ["http://c.example.org/a\r\nX: y", "http://c.example.org/a\nb?c", "  no host ", "\n\ttwo\r\nlines\u00a0", "", None])
+def test_warc_revisit_finds_a_response_with_an_odd_url(spark, url):
+    big = "<p>" + "x" * 1500
+    fields, body = warc.parse(warc.record(9, url, big.encode(), "d", None))
+    assert warc.surt(fields.get("warc-target-uri")) == warc.surt(url) and body == big.encode()
+    df = spark.createDataFrame([(1, "http://a.example.org/", big), (9, url, big)], "page_id long, url string, html string")
+    sha = hashlib.sha1(big.encode()).hexdigest()
+    _same(warc.round_trip(df).collect(), [(1, 1503, sha, "revisit", 9), (9, 1503, sha, "response", None)])
+
+
 def test_ann_recall_ties_and_unusable_vectors(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(1500, 24))
