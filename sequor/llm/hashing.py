@@ -34,11 +34,11 @@ def text_buffer(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(column: pa.StringArray, most_bytes: int = 1 << 20) -> Iterator[tuple[int, pa.StringArray]]:
-    """(first row, slice) of a column in slices of about ``most_bytes``, one row at least."""
+    """(first row, slice) of a column in slices of at most ``most_bytes``, a longer text being one of its own."""
     sizes = np.r_[0, np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy())] if len(column) else np.zeros(1)
     lo = 0
     while lo < len(column):
-        hi = max(lo + 1, int(np.searchsorted(sizes, sizes[lo] + most_bytes)))
+        hi = max(lo + 1, int(np.searchsorted(sizes, sizes[lo] + most_bytes, side="right")) - 1)
         yield lo, column.slice(lo, hi - lo)
         lo = hi
 

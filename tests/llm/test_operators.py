@@ -6,10 +6,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sequor.llm import ann, divergence, induced, jaccard, language, line_dedup, mixing, packing, repeats, toxicity, warc
+from sequor.llm import ann, divergence, hashing, induced, jaccard, language, line_dedup, mixing, packing, repeats, toxicity, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, doc string, n int"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -433,3 +434,18 @@ def test_language(spark, empty):
     assert [got[i]["lang_pred"] for i in (900, 901, 902)] == ["und"] * 3 and got[904]["lang_pred"] == "yy"
     assert all(0 <= r["score"] <= 1 for r in got.values())
     assert language.report(empty).count() == 0
+
+
+def test_chunks_keep_a_long_text_apart(monkeypatch):
+    texts = ["a" * 3, None, "b" * 4, "c" * 50, "d", "e" * 10, "", None, "f" * 11]
+    got = [(lo, part.to_pylist()) for lo, part in hashing.chunks(pa.array(texts), 10)]
+    assert got == [(0, texts[:3]), (3, texts[3:4]), (4, texts[4:5]), (5, texts[5:8]), (8, texts[8:])]
+    assert list(hashing.chunks(pa.array([], pa.string()))) == []
+    # op10: a long text behind a short one goes piece by piece, with the anchors it has alone
+    monkeypatch.setattr(repeats, "_PIECE", 5000)
+    text = "".join(np.random.default_rng(6).choice(list("abcdefgh "), 30_000))
+    sizes, inner = [], repeats.anchors
+    monkeypatch.setattr(repeats, "anchors", lambda data, ends: (sizes.append(len(data)), inner(data, ends))[1])
+    of = lambda *t: sorted(tuple(map(int, r[1:])) for x in repeats._of_batch(pa.record_batch({"t": pa.array(t)})) for r in zip(*x, strict=True) if r[0] == len(t) - 1)
+    assert of("short", text) == of(text) and len(of(text)) > 20
+    assert max(sizes) < 2 * 5000
