@@ -33,7 +33,7 @@ def _near_texts():
         texts += [" ".join(base), " ".join(base).upper()]
         for _ in range(12):
             w = list(base)
-            for _ in range(int(rng.integers(1, 2 + size // 12))):
+            for _ in range(int(rng.integers(1, 3 + size // 40))):
                 w[int(rng.integers(0, len(w)))] = str(rng.choice(words))
             texts.append(" ".join(w))
     texts += [" ".join(say(30)) for _ in range(10)]
