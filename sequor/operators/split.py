@@ -53,9 +53,6 @@ def split_chronological(
                            rn="_sq_rn", n="_sq_cnt")
     ch = channel_of(F.col("_sq_rn"), F.col("_sq_cnt"), _pct(params.test_size), _pct(params.val_size))
     out = numbered.withColumn(channel_col, ch)
-    drop = ["_sq_b"]
     if keep_positions:
-        out = out.withColumnRenamed("_sq_rn", "split_rn").withColumnRenamed("_sq_cnt", "split_n")
-    else:
-        drop += ["_sq_rn", "_sq_cnt"]
-    return out.drop(*drop)
+        return out.withColumnRenamed("_sq_rn", "split_rn").withColumnRenamed("_sq_cnt", "split_n")
+    return out.drop("_sq_rn", "_sq_cnt")

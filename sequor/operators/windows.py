@@ -28,6 +28,7 @@ from ..params import SequenceSpec
 
 RN = "rn"
 N = "n"
+SHORT_WINDOW = "sequence window shorter than requested: NULL inside a frame (on_null='fail')"
 
 
 def order_columns(spec: SequenceSpec) -> list[Column]:
@@ -81,10 +82,10 @@ def row_numbers(df: DataFrame, spec: SequenceSpec, name: str = RN, n_name: str |
     """1-based row number inside each series (skew-safe two-phase numbering;
     the plain per-series window when no series is hot). ``n_name`` also adds
     the series size (A1)."""
-    from ..plans.numbering import BUCKET, number_rows
+    from ..plans.numbering import number_rows
 
     out = number_rows(df, spec.series, spec.order, rn=name, n=n_name or "_sq_n_tmp", **numbering_options)
-    return out.drop(BUCKET) if n_name else out.drop(BUCKET, "_sq_n_tmp")
+    return out if n_name else out.drop("_sq_n_tmp")
 
 
 def series_count(df: DataFrame, spec: SequenceSpec, name: str = N, **numbering_options) -> DataFrame:
@@ -233,9 +234,7 @@ def apply_trims(df: DataFrame, spec: SequenceSpec, rn: str = RN, n: str = N, tri
     elif spec.on_null == "fail":
         guard = F.when(
             ~full_windows(spec, struct_form),
-            F.raise_error(
-                F.lit("sequence window shorter than requested: NULL inside a frame (on_null='fail')")
-            ),
+            F.raise_error(F.lit(SHORT_WINDOW)),
         ).otherwise(F.lit(True))
         keep = keep & guard
     kept = df.filter(keep)

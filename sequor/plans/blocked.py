@@ -1,37 +1,21 @@
-"""Blocks with halo (W5): sequence windows for series too long for one task.
+"""Sequence windows for series too long for one task (W5), and the plan that picks them out.
 
-After skew-safe numbering (:mod:`sequor.plans.numbering`) every row knows its
-position ``rn`` and its series size ``n``. A series is cut into blocks of
-``block_rows`` anchors. Each row is copied into every block holding an anchor
-whose window reaches it: anchors ``a`` with ``r <= a <= r + past - 1`` use row
-``r`` in their past window, anchors with ``a + shift <= r <= a + shift +
-future - 1`` in their label. So a row goes to the blocks of
-``[max(1, r - shift - future + 1), min(n, r + past - 1)]``: about
-``1 + (past + future - 1) / block_rows`` copies per row.
-
-The window then runs per ``(series, block)`` ordered by ``rn``; each block keeps
-only its own anchors. Block partitions hold at most ``block_rows + past +
-future`` rows, whatever the size of the series; a series that would give few
-blocks gets smaller ones (:func:`block_size`), so blocks outnumber cores.
-
-:func:`sequence_windows_auto` routes only hot series (``n > hot_rows``) here;
-the rest take the one-shuffle direct plan. The hot list has at most
-``N / hot_rows`` entries and is broadcast only after a size check.
+:func:`sequence_windows_blocked` takes every series through ranges and blocks of
+arrays (:mod:`sequor.plans.ranges`). :func:`sequence_windows_auto` sends only hot
+series (``n > hot_rows``) there; the rest take the one-shuffle direct plan. The hot
+list has at most ``N / hot_rows`` entries and is broadcast only after a size check.
 """
 
 from __future__ import annotations
 
-import warnings
-
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..operators import windows as W
 from ..params import SequenceSpec
 from . import numbering as NB
+from .ranges import range_windows
 
-DEFAULT_BLOCK_ROWS = 200_000
-BLOCK = "_sq_blk"
+DEFAULT_BLOCK_ROWS = 2_000
 
 
 def _needed(df: DataFrame, spec: SequenceSpec) -> DataFrame:
@@ -39,69 +23,16 @@ def _needed(df: DataFrame, spec: SequenceSpec) -> DataFrame:
     return df.select(*[c for c in df.columns if c in needed])
 
 
-BLOCKS_PER_PARTITION = 4
-MIN_BLOCK_FACTOR = 10
-
-
-def block_size(spark, spec: SequenceSpec, n, block_rows: int):
-    """Anchors per block for a series of ``n`` rows: at most ``block_rows``;
-    smaller for series that would otherwise give fewer than
-    ``BLOCKS_PER_PARTITION`` blocks per shuffle partition (hash placement and
-    AQE coalescing of few large blocks leave cores idle); never below
-    ``MIN_BLOCK_FACTOR * (past + future)`` so halo copies stay under 10 %."""
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    floor_rows = max(1, min(block_rows, MIN_BLOCK_FACTOR * (spec.past + spec.future)))
-    spread = F.ceil(n / F.lit(BLOCKS_PER_PARTITION * parts)).cast("long")
-    return F.least(F.lit(block_rows).cast("long"), F.greatest(F.lit(floor_rows).cast("long"), spread))
-
-
-def block_windows(numbered: DataFrame, spec: SequenceSpec, block_rows: int = DEFAULT_BLOCK_ROWS,
-                  trim: bool = True) -> DataFrame:
-    """Windows over a frame that already has global ``rn`` and ``n`` columns."""
-    if block_rows < 1:
-        raise ValueError("block_rows must be >= 1")
-    rn, n = F.col(W.RN), F.col(W.N)
-    B = block_size(numbered.sparkSession, spec, n, block_rows)
-    first_anchor = F.greatest(rn - F.lit(spec.shift + spec.future - 1), F.lit(1))
-    last_anchor = F.least(rn + F.lit(spec.past - 1), n)
-    blocks = F.sequence(
-        F.floor((first_anchor - 1) / B).cast("long"),
-        F.greatest(F.floor((last_anchor - 1) / B), F.floor((first_anchor - 1) / B)).cast("long"),
-    )
-    copied = numbered.withColumn(BLOCK, F.explode(blocks))
-    w = Window.partitionBy(*spec.series, BLOCK).orderBy(W.RN)
-    exprs = W.window_expressions(spec, w)
-    exprs.pop(W.RN)
-    exprs.pop(W.N)
-    windowed = copied.select(
-        *[c for c in copied.columns if c not in spec.features],
-        *[e.alias(name) for name, e in exprs.items()],
-    )
-    own = windowed.filter(F.floor((rn - 1) / B).cast("long") == F.col(BLOCK))
-    trimmed = W.apply_trims(own, spec, trim=trim)
-    return trimmed.select(*W.output_columns(trimmed, spec))
-
-
 def sequence_windows_blocked(
     df: DataFrame,
     spec: SequenceSpec,
     block_rows: int = DEFAULT_BLOCK_ROWS,
     bucket_rows: int = NB.DEFAULT_BUCKET_ROWS,
-    hot_rows: int | None = None,
     trim: bool = True,
 ) -> DataFrame:
-    """W5 for every series of ``df``: skew-safe numbering, then blocks.
-
-    ``hot_rows`` (default ``bucket_rows``) is the size above which a series is
-    split into time buckets for numbering.
-    """
-    base = _needed(df, spec)
-    numbered = NB.number_rows(
-        base, spec.series, spec.order,
-        hot_rows=hot_rows if hot_rows is not None else bucket_rows,
-        bucket_rows=bucket_rows, rn=W.RN, n=W.N,
-    )
-    return block_windows(numbered, spec, block_rows, trim=trim)
+    """W5 for every series of ``df``: ranges of at most about ``bucket_rows`` rows,
+    one task each, cut into blocks of ``block_rows`` anchors (one array per column)."""
+    return range_windows(_needed(df, spec), spec, block_rows, bucket_rows, trim)
 
 
 def sequence_windows_auto(
@@ -112,40 +43,24 @@ def sequence_windows_auto(
     bucket_rows: int = NB.DEFAULT_BUCKET_ROWS,
     max_hot_keys: int = NB.MAX_BROADCAST_HOT,
     trim: bool = True,
+    observation=None,
 ) -> DataFrame:
-    """Direct plan for ordinary series, blocks with halo for hot ones.
+    """Direct plan for ordinary series, blocks of arrays for hot ones.
 
-    A small pre-pass (series keys and time only, partially aggregated) finds
-    the series with more than ``hot_rows`` rows behind an explicit size check
+    A small pre-pass (series keys only, partially aggregated) finds the series
+    with more than ``hot_rows`` rows behind an explicit size check
     (:func:`sequor.plans.numbering.find_hot`). With none, the result is the
     plain direct plan. Otherwise the anti join removes hot rows *before* the
     direct plan's exchange, so a hot series is never hashed into one
-    partition, and the hot rows take the blocked plan.
+    partition. ``observation`` takes the run metrics of the direct branch.
     """
     base = _needed(df, spec)
-    if not NB.has_time_key(base, spec.time_col):
-        warnings.warn(f"order column {spec.time_col!r} has no numeric key; using the direct plan")
-        return W.sequence_windows_direct(base, spec, trim=trim)
-    hot, small = NB.find_hot(base, spec.series, spec.time_col, hot_rows, max_hot_keys)
-    if hot is None:
-        return W.sequence_windows_direct(base, spec, trim=trim)
-    return _route(base, spec, hot, block_rows, bucket_rows, trim, broadcast=small)
-
-
-def _route(base: DataFrame, spec: SequenceSpec, hot: DataFrame, block_rows: int, bucket_rows: int,
-           trim: bool = True, broadcast: bool = True) -> DataFrame:
     series = list(spec.series)
+    hot, small, rows = NB.find_hot(base, series, hot_rows, max_hot_keys)
+    if hot is None:
+        return W.sequence_windows_direct(base, spec, trim=trim, observation=observation)
+    keys = hot.select(*series)
     cold = W.sequence_windows_direct(
-        NB.join_on(base, hot.select(*series), series, "left_anti", broadcast=broadcast), spec, trim=trim)
-    hot_base = NB.join_on(base, hot, series, "inner", broadcast=broadcast)
-    key = NB.time_key(base, spec.time_col)
-    tagged = hot_base.withColumn(NB.KEY, key).withColumn(
-        NB.BUCKET,
-        F.array(NB.bucket_of(F.col(NB.KEY), F.col(NB.N_), F.col(NB.LO), F.col(NB.HI), bucket_rows,
-                             NB._is_integral(base, spec.time_col))),
-    )
-    tagged, counts = NB.refine_buckets(tagged, spec.series, spec.order, bucket_rows)
-    numbered = NB.number_bucketed(tagged, spec.series, spec.order, rn=W.RN, counts=counts)
-    numbered = numbered.withColumnRenamed(NB.N_, W.N).drop(NB.KEY, NB.LO, NB.HI, NB.BUCKET)
-    hot_part = block_windows(numbered, spec, block_rows, trim=trim)
-    return cold.unionByName(hot_part)
+        NB.join_on(base, keys, series, "left_anti", broadcast=small), spec, trim=trim, observation=observation)
+    hot_base = NB.join_on(base, keys, series, "left_semi", broadcast=small)
+    return cold.unionByName(range_windows(hot_base, spec, block_rows, bucket_rows, trim, rows))

@@ -1,84 +1,35 @@
-"""Deterministic, skew-safe row numbering inside series (two-phase).
+"""Deterministic, skew-safe row numbering inside series.
 
 ``row_number()`` over ``partitionBy(series)`` sends a whole series to one task.
 When one series holds a large share of all rows that task bounds the run time
-(and its memory). This plan numbers rows without ever grouping a hot series
-into one task:
-
-1. per-series statistics ``(n, lo, hi)`` of a monotone numeric key of the time
-   column (partial aggregation, one small row per series per map task);
-2. series with more than ``hot_rows`` rows are *hot*. There can be at most
-   ``N / hot_rows`` of them; :func:`find_hot` collects at most
-   ``MAX_BROADCAST_HOT + 1`` of them and broadcasts the list only when it is
-   within that bound (otherwise a shuffle join). With no hot series the plan
-   is the plain per-series window. Every other series is one bucket (bounded
-   by ``hot_rows`` rows);
-3. rows of a hot series fall into ``ceil(n / bucket_rows)`` equal-width time
-   buckets; the bucket is a monotone function of the time key, so buckets are
-   contiguous ranges in row order. NULL times get bucket -1 (they sort first);
-4. counts per (series, bucket) and their running sum give each bucket's
-   offset (a small table: at most ``N / bucket_rows`` + #hot rows);
-5. ``rn = offset + row_number()`` over ``partitionBy(series, bucket)``.
-
-No ``spark_partition_id`` or ``monotonically_increasing_id`` is used, so the
-numbering is the same on every retry. Data is shuffled once, on
-``(series, bucket)``, where the offsets are broadcast; beyond that bound the
-null-safe offset join and the window shuffle it again (three times in all).
-
-Buckets that still hold more than twice ``bucket_rows`` rows (a burst of
-equal or NULL timestamps, very uneven density) are split again on the first
-order key that varies inside them (:func:`refine_buckets`), so ties are split
-by the tie-break columns. Only rows equal on every numeric order key (in the
-numeric prefix of the order) stay together.
+(and its memory). :func:`number_rows` counts rows per series first (partial
+aggregation over the key columns): a series with more than ``hot_rows`` rows is
+*hot*. There can be at most ``N / hot_rows`` of them; :func:`find_hot` collects at
+most ``MAX_BROADCAST_HOT + 1`` and broadcasts the list only when it is within that
+bound (otherwise a shuffle join). With no hot series the plan is the plain
+per-series window. Hot series are numbered by ranges of the full order key, see
+:mod:`sequor.plans.ranges`: the order may start with any sortable type.
+
+:func:`number_bucketed` numbers rows whose buckets are given by their own key
+(the md5 digits of the epoch shuffle): uniform buckets, their counts as offsets.
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_BUCKET_ROWS = 1_000_000
+MAX_BROADCAST_HOT = 100_000
 
-KEY = "_sq_key"
 N_ = "_sq_n"
-LO = "_sq_lo"
-HI = "_sq_hi"
 BUCKET = "_sq_b"
 OFFSET = "_sq_off"
 
 
-def has_time_key(df: DataFrame, col: str) -> bool:
-    """Whether ``col`` has a numeric key usable for time buckets."""
-    dt = df.schema[col].dataType
-    return isinstance(dt, (T.TimestampNTZType, T.TimestampType, T.DateType, T.IntegralType,
-                           T.FractionalType, T.DecimalType))
-
-
-def time_key(df: DataFrame, col: str) -> Column:
-    """A numeric key with the same ascending order as ``col`` (NULL stays NULL)."""
-    return key_of(F.col(col), df.schema[col].dataType, col)
-
-
-def key_of(c: Column, dt: T.DataType, name: str = "column") -> Column:
-    """:func:`time_key` for any expression of type ``dt``."""
-    if isinstance(dt, T.TimestampNTZType):
-        return ntz_micros(c)
-    if isinstance(dt, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("long")
-    if isinstance(dt, T.IntegralType):
-        return c.cast("long")
-    if isinstance(dt, (T.FractionalType, T.DecimalType)):
-        return c.cast("double")
-    raise TypeError(f"order column {name!r} of type {dt.simpleString()} has no numeric key")
-
-
 def ntz_micros(c: Column) -> Column:
     """Microseconds since 1970-01-01 of a ``timestamp_ntz``, without any time zone.
 
@@ -94,9 +45,6 @@ def ntz_micros(c: Column) -> Column:
     )
 
 
-MAX_BROADCAST_HOT = 100_000
-
-
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
             broadcast: bool = False) -> DataFrame:
     """Equi-join on ``keys`` where NULL keys match each other (``<=>``).
@@ -120,32 +68,22 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return out.drop(*[f"_sq_r_{k}" for k in keys])
 
 
-def find_hot(
-    df: DataFrame, series: Sequence[str], time_col: str, hot_rows: int, max_keys: int = MAX_BROADCAST_HOT
-) -> tuple[DataFrame | None, bool]:
-    """Hot-series statistics ``(series..., _sq_n, _sq_lo, _sq_hi)`` behind a size check.
+def find_hot(df: DataFrame, series: Sequence[str], hot_rows: int,
+             max_keys: int = MAX_BROADCAST_HOT) -> tuple[DataFrame | None, bool, int | None]:
+    """Hot series ``(series..., _sq_n)`` behind a size check, whether they are few, and their rows in all.
 
-    The common case pays only a count per series (partial aggregation over the
-    key columns); the time range is then taken for the hot series alone. With
-    more than ``max_keys`` hot series the lazy statistics are returned for a
+    With more than ``max_keys`` hot series the lazy list is returned for a
     shuffle join instead (AQE splits skewed partitions of that join).
     """
     if hot_rows < 1:
         raise ValueError("hot_rows must be >= 1")
-    # min / max of the raw time column (no per-row key arithmetic); only the
-    # aggregated values are turned into numeric keys
-    dt = df.schema[time_col].dataType
-    raw = df.groupBy(*series).agg(
-        F.count(F.lit(1)).alias(N_), F.min(time_col).alias("_sq_tmin"), F.max(time_col).alias("_sq_tmax"))
-    hot_q = raw.filter(F.col(N_) > F.lit(hot_rows)).select(
-        *series, N_, key_of(F.col("_sq_tmin"), dt, time_col).alias(LO),
-        key_of(F.col("_sq_tmax"), dt, time_col).alias(HI))
-    rows = hot_q.limit(max_keys + 1).collect()
+    hot = df.groupBy(*series).agg(F.count(F.lit(1)).alias(N_)).filter(F.col(N_) > F.lit(hot_rows))
+    rows = hot.limit(max_keys + 1).collect()
     if not rows:
-        return None, True
+        return None, True, 0
     if len(rows) > max_keys:
-        return hot_q, False
-    return df.sparkSession.createDataFrame(rows, hot_q.schema), True
+        return hot, False, None
+    return df.sparkSession.createDataFrame(rows, hot.schema), True, sum(r[N_] for r in rows)
 
 
 def bounded_local(df: DataFrame, max_rows: int = MAX_BROADCAST_HOT) -> DataFrame | None:
@@ -157,131 +95,6 @@ def bounded_local(df: DataFrame, max_rows: int = MAX_BROADCAST_HOT) -> DataFrame
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def bucket_of(key: Column, n: Column, lo: Column, hi: Column, bucket_rows: int, integral: bool) -> Column:
-    """Equal-width time bucket in ``[0, ceil(n / bucket_rows))``; -1 for NULL keys."""
-    # Division goes through double; rounding is monotone, so buckets stay
-    # contiguous ranges of the order even where a quotient rounds.
-    nb = F.greatest(F.floor((n + F.lit(bucket_rows - 1)) / F.lit(bucket_rows)).cast("long"), F.lit(1).cast("long"))
-    if integral:
-        span = hi - lo + F.lit(1)
-        width = F.greatest(F.floor((span + nb - F.lit(1)) / nb).cast("long"), F.lit(1).cast("long"))
-        b = F.floor((key - lo) / width).cast("long")
-    else:
-        width = (hi - lo) / nb
-        b = F.when(width > 0, F.least(F.floor((key - lo) / width), nb - F.lit(1))).otherwise(F.lit(0))
-        b = b.cast("long")
-    return F.when(key.isNull(), F.lit(-1).cast("long")).otherwise(b)
-
-
-def _is_integral(df: DataFrame, col: str) -> bool:
-    dt = df.schema[col].dataType
-    return not isinstance(dt, (T.FractionalType, T.DecimalType))
-
-
-MAX_REFINE_LEVELS = 4
-SPLIT_FACTOR = 2
-MAX_ORDER_KEYS = 4
-
-
-def order_keys(df: DataFrame, order: Sequence[str]) -> list[tuple[Column, bool]]:
-    """Numeric keys of the longest prefix of ``order`` whose columns have one."""
-    out = []
-    for c in order:
-        if len(out) == MAX_ORDER_KEYS or not has_time_key(df, c):
-            break
-        out.append((time_key(df, c), _is_integral(df, c)))
-    return out
-
-
-def refine_buckets(
-    tagged: DataFrame,
-    series: Sequence[str],
-    order: Sequence[str],
-    bucket_rows: int,
-    max_keys: int = MAX_BROADCAST_HOT,
-    levels: int = MAX_REFINE_LEVELS,
-    eligible: Column | None = None,
-) -> tuple[DataFrame, DataFrame | None]:
-    """Split buckets that are still too large (``_sq_b`` is an ``array<long>``).
-
-    Equal-width time buckets cannot split a burst of equal (or NULL) times, and
-    a very uneven time density leaves some buckets large. Each level counts
-    rows per (series, bucket) with partial aggregation; only when some bucket
-    holds more than ``SPLIT_FACTOR * bucket_rows`` rows does a second pass take
-    the min / max of the numeric order keys of those buckets, and each is split
-    on the FIRST order key that varies inside it: every earlier key is constant
-    there, so the sub-buckets are contiguous ranges of the full order. Buckets
-    whose numeric order keys are all constant cannot be split further.
-    ``eligible`` restricts splitting (and the counts) to some rows.
-
-    Size checks: the counts are collected only up to ``max_keys + 1`` rows.
-    Within that bound the final per-bucket counts are returned as a small
-    local table (so offsets need no further pass); beyond it only the
-    oversized buckets are collected (bounded again, else a shuffle join) and
-    ``None`` is returned for the counts.
-    """
-    keys = order_keys(tagged, order)
-    kcols = [f"_sq_k{i}" for i in range(len(keys))]
-    group = [*series, BUCKET]
-    spark = tagged.sparkSession
-    threshold = SPLIT_FACTOR * bucket_rows
-
-    def varies(kc: str) -> Column:
-        lo, hi, nn = F.col(f"{kc}_lo"), F.col(f"{kc}_hi"), F.col(f"{kc}_nn")
-        return (lo < hi) | ((nn > 0) & (nn < F.col("_sq_rc")))
-
-    def local(rows, schema) -> DataFrame:
-        return spark.createDataFrame(rows, schema)
-
-    for level in range(levels + 1):
-        source = tagged if eligible is None else tagged.filter(eligible)
-        counts_df = source.groupBy(*group).agg(F.count(F.lit(1)).alias("_sq_rc"))
-        rows = counts_df.limit(max_keys + 1).collect()
-        counts = None
-        if len(rows) <= max_keys:
-            schema = T.StructType([counts_df.schema[c] for c in group] + [T.StructField("_sq_c", T.LongType())])
-            counts = local([(*[r[c] for c in group], r["_sq_rc"]) for r in rows], schema)
-            big_rows = [r for r in rows if r["_sq_rc"] > threshold]
-            big = local(big_rows, counts_df.schema) if big_rows else None
-            big_small = True
-        else:
-            big_q = counts_df.filter(F.col("_sq_rc") > F.lit(threshold))
-            big_rows = big_q.limit(max_keys + 1).collect()
-            big = None
-            big_small = len(big_rows) <= max_keys
-            if big_rows:
-                big = local(big_rows, big_q.schema) if big_small else big_q
-        if big is None or level == levels or not kcols:
-            return tagged, counts
-        # second pass, oversized buckets only: where do their order keys vary?
-        aggs = [F.count(F.lit(1)).alias("_sq_rc")]
-        for kc, (k, _) in zip(kcols, keys):
-            aggs += [F.min(k).alias(f"{kc}_lo"), F.max(k).alias(f"{kc}_hi"), F.count(k).alias(f"{kc}_nn")]
-        splittable = F.lit(False)
-        for kc in kcols:
-            splittable = splittable | varies(kc)
-        kstats_q = (join_on(source, big.select(*group), group, "left_semi", broadcast=big_small)
-                    .groupBy(*group).agg(*aggs).filter(splittable))
-        krows = kstats_q.limit(max_keys + 1).collect()
-        if not krows:
-            return tagged, counts
-        k_small = len(krows) <= max_keys
-        kstats = local(krows, kstats_q.schema) if k_small else kstats_q
-        tagged = tagged.withColumns({kc: k for kc, (k, _) in zip(kcols, keys)})
-        sub = None
-        for kc, (_, integral) in zip(kcols, keys):
-            part = bucket_of(F.col(kc), F.col("_sq_rc"), F.col(f"{kc}_lo"), F.col(f"{kc}_hi"), bucket_rows, integral)
-            sub = F.when(varies(kc), part) if sub is None else sub.when(varies(kc), part)
-        sub = sub.otherwise(F.lit(0).cast("long"))
-        stat_cols = [c for c in kstats_q.columns if c not in group]
-        tagged = (
-            join_on(tagged, kstats, group, "left", broadcast=k_small)
-            .withColumn(BUCKET, F.concat(F.col(BUCKET), F.array(sub.cast("long"))))
-            .drop(*stat_cols, *kcols)
-        )
-    return tagged, None
-
-
 def number_bucketed(
     tagged: DataFrame,
     series: Sequence[str],
@@ -343,32 +156,23 @@ def number_rows(
 ) -> DataFrame:
     """Add 1-based ``rn`` (order inside the series) and the series size ``n``.
 
-    Cold series (``n <= hot_rows``) form one bucket each; hot series are split
-    into time buckets of about ``bucket_rows`` rows.
-    """
+    Series of more than ``hot_rows`` rows are numbered in ranges of at most about
+    ``bucket_rows`` rows, all others by a window per series."""
+    from .ranges import number_ranges
+
     series, order = list(series), list(order)
-    time_col = order[0]
-    if not has_time_key(df, time_col):
-        warnings.warn(f"order column {time_col!r} has no numeric key; numbering per series in one task")
-        hot = None
-    else:
-        hot, small = find_hot(df, series, time_col, hot_rows)
-    if hot is None:
-        # No hot series: one bucket per series is the plain window numbering.
+
+    def plain(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*series).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-        return df.withColumns({
+        return rows.withColumns({
             rn: F.row_number().over(w).cast("long"),
             n: F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        }).withColumn(BUCKET, F.array(F.lit(0).cast("long")))
-    k = time_key(df, time_col)
-    tagged = join_on(df.withColumn(KEY, k), hot, series, "left", broadcast=small)
-    is_hot = F.col(N_).isNotNull()
-    bucket = bucket_of(
-        F.col(KEY), F.col(N_), F.col(LO), F.col(HI), bucket_rows, _is_integral(df, time_col)
-    )
-    tagged = tagged.withColumn(BUCKET, F.array(F.when(is_hot, bucket).otherwise(F.lit(0).cast("long"))))
-    # cold series hold at most hot_rows rows: only hot ones need further splits
-    tagged, counts = refine_buckets(tagged, series, order, bucket_rows, eligible=F.col(N_).isNotNull())
-    # n: series totals from the bucket counts (cold series: one whole bucket)
-    numbered = number_bucketed(tagged, series, order, rn=rn, total=n, counts=counts)
-    return numbered.drop(KEY, N_, LO, HI)
+        })
+
+    hot, small, rows = find_hot(df, series, hot_rows)
+    if hot is None:
+        return plain(df)
+    keys = hot.select(*series)
+    cold = plain(join_on(df, keys, series, "left_anti", broadcast=small))
+    numbered = number_ranges(join_on(df, keys, series, "left_semi", broadcast=small), series, order, bucket_rows, rn, n, rows)
+    return cold.unionByName(numbered)

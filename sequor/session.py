@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that make plans stable and scale-friendly. AQE coalesces the small
 # shuffles of this workload and splits skewed partitions at run time.
@@ -71,6 +71,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/sequor-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: later passes and
+    retries see the same rows, and a lost executor recomputes nothing before it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side file access in local tests."""
     if path.startswith("file:"):

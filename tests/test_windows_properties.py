@@ -129,7 +129,7 @@ def test_auto_plan_hot_rows_never_hashed_by_series_alone(spark):
     plan = _plan(W.sequence_windows(ev, events_spec(8, 3), plan="auto", hot_rows=60, block_rows=5, bucket_rows=9))
     # cold rows: anti join against the broadcast hot list *before* the series exchange
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
-    assert "_sq_blk" in plan
+    assert "_sq_pid" in plan and plan.count("Window ") == 1  # hot rows come as blocks of arrays
 
 
 def test_observed_run_metrics(spark):
@@ -162,15 +162,60 @@ def test_building_blocks_skew_safe_equal_direct(spark):
     assert rn_a == rn_b
 
 
-def test_string_order_falls_back_to_direct(spark):
-    rows = [("s", f"k{i:02d}", float(i)) for i in range(10)]
-    df = spark.createDataFrame(rows, "symbol string, key string, v double")
+def test_string_and_nan_orders_are_split(spark):
+    """Orders that begin with a string, or with a double that holds NaN and NULL, split like any other."""
+    rows = [("s" if i % 3 else None, f"k{i * 7 % 100:02d}", float("nan") if i % 5 == 0 else None if i % 7 == 0 else float(i % 4), i, float(i))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "symbol string, key string, t double, id long, v double").repartition(4)
     from sequor.params import SequenceSpec
-
-    spec = SequenceSpec(series=("symbol",), order=("key",), features=("v",), label="v", past=3, future=2)
-    with pytest.warns(UserWarning):
-        out = W.sequence_windows(df, spec, plan="auto")
-    assert out.count() == 6
+    from sequor.plans import ranges as RA
+
+    for order in (("key", "id"), ("t", "key", "id"), ("t", "id")):
+        spec = SequenceSpec(series=("symbol",), order=order, features=("v",), label="v", past=3, future=2)
+        ref = {r["id"]: (r["rn"], r["n"]) for r in W.row_numbers(df, spec, n_name="n").collect()}
+        got = {r["id"]: (r["rn"], r["n"]) for r in W.row_numbers(df, spec, n_name="n", hot_rows=20, bucket_rows=15).collect()}
+        assert got == ref
+        sizes = [r["c"] for r in RA.placed_rows(df, ["symbol"], order, 15).groupBy(F.shiftright(RA.PLACE, 33)).agg(F.count("*").alias("c")).collect()]
+        assert max(sizes) <= 2 * 15 and sum(sizes) == 300
+        direct = {(r["symbol"], r["rn"]): (r["v"], r["v_label"]) for r in W.sequence_windows(df, spec, plan="direct").collect()}
+        auto = W.sequence_windows(df, spec, plan="auto", hot_rows=20, block_rows=7, bucket_rows=15)
+        assert {(r["symbol"], r["rn"]): (r["v"], r["v_label"]) for r in auto.collect()} == direct
+
+
+def test_rows_move_once(spark):
+    """The block table takes one exchange of the rows; the windows of inner blocks take none."""
+    from sequor.plans import ranges as RA
+
+    spec = events_spec(8, 3).with_(series=("stream",))
+    ev = events_series(spark, SF001).withColumn("stream", F.lit("all"))
+    moved = RA.range_sorted(ev, spec.series, spec.order, 7)._jdf.queryExecution().executedPlan().toString()
+    assert moved.count("Exchange rangepartitioning") == 1 and moved.count("Exchange") == 1
+    blocks = RA.block_arrays(ev, spec, 7, 20)
+    keys = ["_s0"]
+    pieces = RA.with_offsets(blocks.groupBy(*keys, RA.PID).agg(F.sum("own").alias(RA.COUNT)), keys)
+    assert sum(r[RA.COUNT] for r in pieces.collect()) == 1000
+    border = blocks.filter("first or last")
+    assert border.count() <= 2 * pieces.count() < blocks.count()
+    local = RA.NB.bounded_local(pieces.drop(RA.COUNT))
+    inner = RA.NB.join_on(blocks.filter("not first and not last"), local, [*keys, RA.PID], "inner", broadcast=True)
+    plan = RA._slices(inner, spec, True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("BroadcastExchange", "") and "Python" not in plan and "Window" not in plan
+
+
+def test_block_cuts_leave_enough_rows():
+    from sequor.plans.ranges import cut_blocks
+
+    for past, ahead, block, n in ((5, 2, 4, 23), (1, 1, 3, 10), (3, 7, 8, 40), (60, 3, 100, 61)):
+        found, a = cut_blocks((0, n, 0, True), block, past, ahead)
+        assert a == n and [b[4] for b in found] == [False] * (len(found) - 1) + [True]
+        at = 0
+        for first, before, own, after, last in found:
+            assert first + before == at and before == min(at, past - 1)
+            assert after == (0 if last else ahead) and at + own + after <= n
+            at += own
+        assert at == n
+        held, _ = cut_blocks((0, n, 0, False), block, past, ahead)  # the piece may go on: nothing is cut that rows to come change
+        assert held == [b for b in found if not b[4]]
 
 
 def test_series_count_skew_safe(spark):
@@ -182,25 +227,25 @@ def test_series_count_skew_safe(spark):
         assert len(rows) == 1000 and all(r["n"] == sizes[r["symbol"]] for r in rows)
 
 
-def test_refinement_splits_equal_timestamps(spark):
+def test_equal_timestamps_are_split(spark):
     """A hot series whose rows share few timestamps: buckets split on the tie-break."""
     from sequor.params import SequenceSpec
-    from sequor.plans import numbering as NB
 
     rows = [("hot", f"2020-01-0{1 + i // 400} 00:00:00", i, float(i)) for i in range(1200)]
     rows += [("hot", None, 5000 + i, -1.0) for i in range(30)]
     rows += [("cold", f"2020-01-01 00:00:{i:02d}", i, float(i)) for i in range(20)]
     df = spark.createDataFrame(rows, "s string, t string, k long, v double").select(
         "s", F.col("t").cast("timestamp_ntz").alias("t"), "k", "v")
+    from sequor.plans import ranges as RA
+
     out = number_rows(df, ["s"], ["t", "k"], hot_rows=100, bucket_rows=50)
     ref = {(r["s"], r["k"]): r["rn"] for r in W.row_numbers(df, SequenceSpec(series=("s",), order=("t", "k")),
                                                              hot_rows=10**9).collect()}
     got = out.collect()
     assert {(r["s"], r["k"]): r["rn"] for r in got} == ref
-    sizes = {}
-    for r in got:
-        sizes[(r["s"], tuple(r[NB.BUCKET]))] = sizes.get((r["s"], tuple(r[NB.BUCKET])), 0) + 1
-    assert max(sizes.values()) <= 2 * 50, max(sizes.values())  # 400-row same-time bursts were split
+    placed = RA.placed_rows(df.filter("s = 'hot'"), ["s"], ["t", "k"], 50)
+    sizes = [r["c"] for r in placed.groupBy(F.shiftright(RA.PLACE, 33)).agg(F.count("*").alias("c")).collect()]
+    assert max(sizes) <= 2 * 50, max(sizes)  # 400-row same-time bursts were split
     spec = SequenceSpec(series=("s",), order=("t", "k"), features=("v",), label="v", past=5, future=2)
     a = {(r["s"], r["rn"]): r["v"] for r in W.sequence_windows(df, spec, plan="direct").collect()}
     b = {(r["s"], r["rn"]): r["v"] for r in W.sequence_windows(df, spec, plan="auto", hot_rows=100,
@@ -241,7 +286,10 @@ def test_null_series_key_hot_path_and_fallback(spark):
         "symbol", F.when(F.col("symbol") < 4, F.lit(None).cast("long")).otherwise(F.col("symbol")))
     out = NB.number_rows(ev, ["symbol"], ["s_ts", "event_id"], hot_rows=60, bucket_rows=9).collect()
     assert len(out) == 1000
-    assert len({tuple(r[NB.BUCKET]) for r in out if r["symbol"] is None}) > 1  # the NULL series was split
+    from sequor.plans import ranges as RA
+
+    placed = RA.placed_rows(ev.filter("symbol is null"), ["symbol"], ["s_ts", "event_id"], 9)
+    assert placed.select(F.shiftright(RA.PLACE, 33)).distinct().count() > 1  # the NULL series was split
     # fallback offsets path (no collected counts): NULL-key rows kept and numbered
     tagged = ev.withColumn(NB.BUCKET, F.array((F.col("event_id") % 3).cast("long")))
     got = NB.number_bucketed(tagged, ["symbol"], ["s_ts", "event_id"], rn="rn", total="n").collect()
