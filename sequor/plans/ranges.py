@@ -13,10 +13,10 @@ narrow row each) give the offsets of a running number (:func:`number_ranges`).
 For windows (:func:`range_windows`) a task turns its sorted range into *blocks*:
 one row per (piece, block) holding one array per column, its anchors plus the
 rows of the same piece that their windows reach. Windows are slices of those
-arrays by index. Only the first block of a piece lacks rows before it and only
-the last one rows after it: these border blocks, and the last ``past - 1`` and first
-``shift + future - 1`` rows of the pieces beside them, are joined by a small second
-exchange. All inner blocks stay where they are.
+arrays by index, in the task that reads the block. Only the first ``past - 1``
+anchors of a piece reach back over its start and only the last ``shift + future - 1``
+over its end. For these the boundary rows of both pieces move, by a small second
+exchange, and take the plain window plan.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,10 +81,24 @@ def with_offsets(pieces: DataFrame, series: Sequence[str]) -> DataFrame:
     )
 
 
-def _sized(pieces: DataFrame) -> tuple[DataFrame, bool]:
-    """The pieces as a local table to broadcast when there are at most ``MAX_BROADCAST_HOT``, else as they are."""
-    local = NB.bounded_local(pieces)
-    return (pieces, False) if local is None else (local, True)
+def located(counted: DataFrame, series: Sequence[str]) -> tuple[DataFrame, list | None]:
+    """:func:`with_offsets` of the pieces: as a local table, and its rows, when there are at most
+    ``MAX_BROADCAST_HOT`` (the driver adds up their counts), else as a plan and None."""
+    rows = counted.limit(NB.MAX_BROADCAST_HOT + 1).collect()
+    if len(rows) > NB.MAX_BROADCAST_HOT:
+        return with_offsets(counted, series), None
+    groups: dict[tuple, list] = {}
+    for r in sorted(rows, key=lambda r: r[PID]):
+        groups.setdefault(tuple("NaN" if r[c] != r[c] else r[c] for c in series), []).append(r)
+    out = []
+    for own in groups.values():
+        whole, before = sum(r[COUNT] for r in own), 0
+        for k, r in enumerate(own, 1):
+            out.append((*r, before, whole, k, len(own)))
+            before += r[COUNT]
+    fields = [T.StructField(NB.OFFSET, T.LongType()), T.StructField(NB.N_, T.LongType()), T.StructField(ORDINAL, T.IntegerType()), T.StructField(LAST_ORDINAL, T.IntegerType())]
+    kind = T.StructType([*counted.schema.fields, *fields])
+    return counted.sparkSession.createDataFrame(out, kind), [Row(*kind.names)(*r) for r in out]
 
 
 def placed_rows(df: DataFrame, series: Sequence[str], order: Sequence[str], rows_per_range: int, rows: int | None = None) -> DataFrame:
@@ -104,8 +118,8 @@ def number_ranges(df: DataFrame, series: Sequence[str], order: Sequence[str], ro
     Beyond ``MAX_BROADCAST_HOT`` pieces their offsets are joined by shuffle."""
     placed = placed_rows(df, series, order, rows_per_range, rows).withColumn(PID, F.shiftright(F.col(PLACE), 33))
     pieces = placed.groupBy(*series, PID).agg(F.count(F.lit(1)).alias(COUNT), F.min(PLACE).alias("_sq_first"))
-    pieces, small = _sized(with_offsets(pieces, series).drop(ORDINAL, LAST_ORDINAL, COUNT))
-    out = NB.join_on(placed, pieces, [*series, PID], "inner", broadcast=small)
+    pieces, known = located(pieces, series)
+    out = NB.join_on(placed, pieces.drop(ORDINAL, LAST_ORDINAL, COUNT), [*series, PID], "inner", broadcast=known is not None)
     out = out.withColumn(rn, F.col(NB.OFFSET) + F.col(PLACE) - F.col("_sq_first") + 1).withColumn(n, F.col(NB.N_))
     return out.select(*df.columns, rn, n)
 
@@ -128,7 +142,7 @@ def cut_blocks(lengths_open: tuple[int, int, int, bool], block: int, past: int,
     Returns ``(first row, rows before, own rows, rows after, ends the piece)`` per block, and the next ``a``. Every
     block but a last one has ``block`` anchors and leaves enough rows for its windows."""
     lo, hi, a, closed = lengths_open
-    reach = max(past - 1, ahead)
+    reach = past - 1 + ahead
     out = []
     while a < hi:
         last = hi - a < block + reach
@@ -224,48 +238,43 @@ def value_columns(spec: SequenceSpec) -> list[tuple[str, str]]:
     return keys + [("value", c) for c in dict.fromkeys([*spec.features, spec.label])]
 
 
-def _joined_borders(border: DataFrame, blocks: DataFrame, spec: SequenceSpec, keys: list[str], n_values: int) -> DataFrame:
-    """Border blocks with the rows of the neighbouring pieces that their windows reach."""
-    reach_back, ahead = spec.past - 1, spec.shift + spec.future - 1
-    arrays = [f"_v{j}" for j in range(n_values)]
-
-    def rows(first: Column, length: Column) -> list[Column]:
-        def since(z: str) -> Column:
-            return F.transform(F.slice(z, first, length + 1), lambda x: x - F.get(z, first - 1))
-
-        return [F.slice(c, first, length).alias(f"e{c}") for c in arrays] + [since(z).alias(f"e{z}") for z in ("zp", "zl")]
-
+def border_windows(blocks: DataFrame, spec: SequenceSpec, keys: list[str], trim: bool) -> DataFrame:
+    """The windows that reach over the boundary of two pieces, from the rows beside it alone."""
+    back, ahead = spec.past - 1, spec.shift + spec.future - 1
+    values = [f"_v{j}" for j in range(len(value_columns(spec)))]
     held = F.size("_v0")
-    tail, head = F.least(held, F.lit(reach_back)), F.least(held, F.lit(ahead))
-    tails = blocks.filter("last").select(*keys, (F.col(ORDINAL) + 1).alias(ORDINAL), *rows(held - tail + 1, tail))
-    heads = blocks.filter("first").select(*keys, (F.col(ORDINAL) - 1).alias(ORDINAL), *rows(F.lit(1), head))
-    out = border
-    for side, own in (("t", tails), ("h", heads)):
-        own = own.select(*keys, ORDINAL, *[F.col(f"e{c}").alias(f"{side}{c}") for c in [*arrays, "zp", "zl"]])
-        out = NB.join_on(out, own, [*keys, ORDINAL], "left")
-
-    def part(side: str, flag: str, c: str) -> Column:
-        kind = blocks.schema[c].dataType
-        return F.coalesce(F.when(F.col(flag), F.col(f"{side}{c}")), F.array().cast(kind))
-
-    def counts(z: str) -> Column:
-        t, h = part("t", "first", z), part("h", "last", z)
-        before = F.coalesce(F.when(F.col("first"), F.element_at(f"t{z}", -1)), F.lit(0))
-        upto = before + F.element_at(z, -1)
-        return F.concat(t, F.transform(F.slice(z, F.when(F.size(t) > 0, 2).otherwise(1), F.size(z)), lambda x: x + before),
-                        F.transform(F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0))), lambda x: x + upto))
-
-    keep = [c for c in border.columns if c not in (*arrays, "zp", "zl", "before")]
-    return out.select(*keep, (F.col("before") + F.size(part("t", "first", "_v0"))).alias("before"),
-                      *[F.concat(part("t", "first", c), F.col(c), part("h", "last", c)).alias(c) for c in arrays],
-                      *[counts(z).alias(z) for z in ("zp", "zl")])
+    near = F.least(held, F.lit(back + ahead))
+    first_rn = F.col(NB.OFFSET) + F.col("start") - F.col("before") + 1  # of the first row in the arrays
+
+    def side(flag: Column, first: Column, boundary: Column, border: Column) -> Column:
+        rows = F.arrays_zip(*[F.slice(c, first, near).alias(c) for c in values])
+        return F.when(flag, F.struct(boundary.alias("boundary"), (first_rn + first - 1).alias("rn0"), border.alias("border"), rows.alias("rows")))
+
+    # of what comes after a boundary the first ``back`` rows are anchors here, of what comes before it the last ``ahead``
+    after = side(F.col("first") & (F.col(ORDINAL) > 1), F.lit(1), F.col(ORDINAL), F.lit(back))
+    before = side(F.col("last") & (F.col(ORDINAL) < F.col(LAST_ORDINAL)), held - near + 1, F.col(ORDINAL) + 1, near - F.lit(ahead))
+    sides = blocks.filter("first or last").select(*keys, NB.N_, ORDINAL, F.explode(F.array_compact(F.array(after, before))).alias("e"))
+    rows = sides.select(*keys, F.col(NB.N_).alias(W.N), "e.boundary", "e.rn0", (F.col("e.boundary") == F.col(ORDINAL)).alias("later"), "e.border",
+                        F.posexplode("e.rows").alias("at", "r"))
+    anchor = F.when(F.col("later"), F.col("at") < F.col("border")).otherwise(F.col("at") >= F.col("border"))
+    named = {name: f"_v{j}" for j, (_, name) in enumerate(value_columns(spec))}
+    rows = rows.select(*[F.col(k).alias(c) for k, c in zip(keys, spec.series)], W.N, "boundary", (F.col("rn0") + F.col("at")).alias(W.RN),
+                       anchor.alias("anchor"), *[F.col(f"r.{v}").alias(c) for c, v in named.items() if c not in spec.series])
+    w = Window.partitionBy(*spec.series, "boundary").orderBy(W.RN)
+    exprs = W.window_expressions(spec.with_(nested=False), w)  # the values are in their final layout
+    windows = rows.select(*[c for c in rows.columns if c not in spec.features],
+                          *[e.alias(c) for c, e in exprs.items() if c not in (W.RN, W.N)]).filter("anchor")
+    trimmed = W.apply_trims(windows, spec, trim=trim)
+    return trimmed.select(*W.output_columns(trimmed, spec))
 
 
 def _slices(blocks: DataFrame, spec: SequenceSpec, trim: bool) -> DataFrame:
-    """Every anchor of ``blocks`` with its windows, cut from the block's arrays by index."""
+    """The anchors of ``blocks`` whose windows end inside the piece, cut from the block's arrays by index."""
     past, future, shift = spec.past, spec.future, spec.shift
     first_rn = F.col(NB.OFFSET) + F.col("start") + 1
-    lo, hi = F.lit(0).cast("long"), F.col("own").cast("long") - 1
+    lo = F.when(F.col("first") & (F.col(ORDINAL) > 1), F.lit(past - 1)).otherwise(F.lit(0)).cast("long")
+    over = F.when(F.col("last") & (F.col(ORDINAL) < F.col(LAST_ORDINAL)), F.lit(shift + future - 1)).otherwise(F.lit(0))
+    hi = F.col("own").cast("long") - 1 - over
     if trim:
         lo = F.greatest(lo, F.lit(past) - first_rn)
         hi = F.least(hi, F.col(NB.N_) - F.lit(future + shift - 1) - first_rn)
@@ -305,28 +314,26 @@ def range_windows(df: DataFrame, spec: SequenceSpec, block_rows: int, rows_per_r
     """Sequence windows of every series of ``df`` by ranges and blocks of arrays."""
     if block_rows < 1 or rows_per_range < 1:
         raise ValueError("rows per block and per range must be >= 1")
-    reach = max(spec.past - 1, spec.shift + spec.future - 1)
+    reach = spec.past + spec.shift + spec.future - 2
     ranges = range_count(df.count() if rows is None else rows, max(rows_per_range, 4 * reach))
     keys = [f"_s{i}" for i in range(len(spec.series))]
     while True:
         blocks = block_arrays(df, spec, ranges, max(block_rows, reach))
-        pieces = blocks.groupBy(*keys, PID).agg(F.sum("own").alias(COUNT))
-        pieces, small = _sized(with_offsets(pieces, keys))
+        pieces, known = located(blocks.groupBy(*keys, PID).agg(F.sum("own").alias(COUNT)), keys)
         # a piece between two others must hold all the rows that the windows beside it reach
-        inside = pieces.filter((F.col(ORDINAL) > 1) & (F.col(ORDINAL) < F.col(LAST_ORDINAL)) & (F.col(COUNT) < reach))
-        if ranges == 1 or inside.isEmpty():
+        inside = (F.col(ORDINAL) > 1) & (F.col(ORDINAL) < F.col(LAST_ORDINAL)) & (F.col(COUNT) < reach)
+        short = not pieces.filter(inside).isEmpty() if known is None else any(1 < r[ORDINAL] < r[LAST_ORDINAL] and r[COUNT] < reach for r in known)
+        if ranges == 1 or not short:
             break
         ranges = max(1, ranges // 2)
-    blocks = NB.join_on(blocks, pieces.drop(COUNT), [*keys, PID], "inner", broadcast=small)
-    border = (F.col("first") & (F.col(ORDINAL) > 1)) | (F.col("last") & (F.col(ORDINAL) < F.col(LAST_ORDINAL)))
-    parts = [blocks.filter(~border)]
-    if not pieces.filter(F.col(LAST_ORDINAL) > 1).isEmpty():
-        parts.append(_joined_borders(blocks.filter(border), blocks, spec, keys, len(value_columns(spec))))
+    blocks = NB.join_on(blocks, pieces.drop(COUNT), [*keys, PID], "inner", broadcast=known is not None)
     if trim and spec.on_null != "keep":
-        done = [_slices(p, spec, trim) for p in parts]
+        done = [_slices(blocks, spec, trim)]
     else:  # only blocks that hold a NULL pay for taking them out
         has = (F.element_at("zp", -1) > 0) | (F.element_at("zl", -1) > 0)
-        done = [x for p in parts for x in (_slices(p.filter(~has), spec, trim), _compacted(_slices(p.filter(has), spec, trim), spec))]
+        done = [_slices(blocks.filter(~has), spec, trim), _compacted(_slices(blocks.filter(has), spec, trim), spec)]
+    if known is None or any(r[LAST_ORDINAL] > 1 for r in known):
+        done.append(border_windows(blocks, spec, keys, trim))
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)

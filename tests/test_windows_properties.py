@@ -129,7 +129,7 @@ def test_auto_plan_hot_rows_never_hashed_by_series_alone(spark):
     plan = _plan(W.sequence_windows(ev, events_spec(8, 3), plan="auto", hot_rows=60, block_rows=5, bucket_rows=9))
     # cold rows: anti join against the broadcast hot list *before* the series exchange
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
-    assert "_sq_pid" in plan and plan.count("Window ") == 1  # hot rows come as blocks of arrays
+    assert "_sq_pid" in plan and plan.count("Window ") == 2 and "boundary" in plan  # hot rows come as blocks of arrays
 
 
 def test_observed_run_metrics(spark):
@@ -192,12 +192,13 @@ def test_rows_move_once(spark):
     assert moved.count("Exchange rangepartitioning") == 1 and moved.count("Exchange") == 1
     blocks = RA.block_arrays(ev, spec, 7, 20)
     keys = ["_s0"]
-    pieces = RA.with_offsets(blocks.groupBy(*keys, RA.PID).agg(F.sum("own").alias(RA.COUNT)), keys)
-    assert sum(r[RA.COUNT] for r in pieces.collect()) == 1000
+    counted = blocks.groupBy(*keys, RA.PID).agg(F.sum("own").alias(RA.COUNT))
+    pieces, known = RA.located(counted, keys)
+    assert sum(r[RA.COUNT] for r in known) == 1000
+    assert sorted(map(tuple, pieces.collect())) == sorted(map(tuple, RA.with_offsets(counted, keys).collect()))
     border = blocks.filter("first or last")
     assert border.count() <= 2 * pieces.count() < blocks.count()
-    local = RA.NB.bounded_local(pieces.drop(RA.COUNT))
-    inner = RA.NB.join_on(blocks.filter("not first and not last"), local, [*keys, RA.PID], "inner", broadcast=True)
+    inner = RA.NB.join_on(blocks, pieces.drop(RA.COUNT), [*keys, RA.PID], "inner", broadcast=True)
     plan = RA._slices(inner, spec, True)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan.replace("BroadcastExchange", "") and "Python" not in plan and "Window" not in plan
 
