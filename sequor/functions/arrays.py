@@ -45,3 +45,11 @@ def array_last(col: Column | str) -> Column:
 def array_len(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.size(c).cast("bigint")
+
+
+def array_moment(c: str | Column) -> Column:
+    """Sum of i * x_i over the elements, counted from 1 (NULL if there are none): tells two orders of the same values apart."""
+    c = F.col(c) if isinstance(c, str) else c
+    start = F.struct(F.lit(0).alias("i"), F.lit(0.0).alias("w"))
+    step = lambda acc, x: F.struct((acc["i"] + 1).alias("i"), (acc["w"] + (acc["i"] + 1) * x.cast("double")).alias("w"))
+    return F.when(F.size(c) > 0, F.aggregate(c, start, step, lambda acc: acc["w"]))

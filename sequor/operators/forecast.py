@@ -8,9 +8,10 @@ that Spark fits for all series at once:
   ``regr_slope`` / ``regr_intercept`` - algebraic aggregates with map-side
   partial aggregation, so a huge series is combined in many tasks;
 * window ridge v2 (M1): per (series, horizon) ridge regression of ``y_h`` on
-  all values of the flattened past x features window. The normal equations
-  are sums of products, aggregated by Spark like v1; only the small
-  per-(series, horizon) systems are solved with numpy in ``mapInPandas``;
+  all values of the flattened past x features window, from centred moments that
+  tasks take by lagged cross products and Spark merges
+  (:mod:`sequor.operators.moments`); only small systems per series are solved
+  with numpy;
 * lagged ridge: the same on the last ``lags`` values of the label base only.
 
 Scoring (M4) joins the model table to the windows on (series, horizon). The
@@ -31,6 +32,7 @@ from pyspark.sql import types as T
 
 from ..functions.arrays import array_last
 from ..params import SequenceSpec
+from .moments import merged, merged_moments, ridge_coefficients, row_moments, window_moments
 
 
 def _join_model(rows: DataFrame, model: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -76,14 +78,15 @@ def fit_linear(windows: DataFrame, spec: SequenceSpec) -> DataFrame:
 
 
 def predict_linear(windows: DataFrame, model: DataFrame, spec: SequenceSpec,
-                   keys: Sequence[str] = ()) -> DataFrame:
+                   keys: Sequence[str] = (), extra: Sequence[str] = ()) -> DataFrame:
     """M4: score windows with the per-series linear model.
 
     Series without a usable model (fewer than two distinct values) fall back
-    to persistence, so every horizon row gets a prediction.
+    to persistence, so every horizon row gets a prediction. ``extra``: further
+    model columns to keep.
     """
     h = horizon_rows(windows, spec, keys)
-    scored = _join_model(h, model.select(*spec.series, "horizon", "slope", "intercept"), [*spec.series, "horizon"])
+    scored = _join_model(h, model.select(*spec.series, "horizon", "slope", "intercept", *extra), [*spec.series, "horizon"])
     pred = F.when(
         F.col("slope").isNotNull() & F.col("intercept").isNotNull(),
         F.col("intercept") + F.col("slope") * F.col("last"),
@@ -227,42 +230,36 @@ def _window_values(spec: SequenceSpec) -> Column:
     return F.when((F.size(values) == spec.past * len(spec.features)) & ~bad, values)
 
 
-def window_normal_equations(windows: DataFrame, spec: SequenceSpec) -> DataFrame:
-    """Rows of the matrix ``Z'Z``, ``Z = [1, x_1 .. x_PK, y]``: one row per
-    (series, horizon, i) with ``z`` = the sums of ``z_i * z_j`` over all j.
+def _solved(parts: DataFrame, series: Sequence[str], future: int, ridge: float) -> DataFrame:
+    """``series..., horizon, coef, n_obs`` from parts of moments."""
+    if ridge <= 0:
+        raise ValueError("ridge must be > 0")
+    whole = merged_moments(parts, series)
+    out_schema = T.StructType([whole.schema[c] for c in series] + [
+        T.StructField("horizon", T.IntegerType()),
+        T.StructField("coef", T.ArrayType(T.DoubleType())),
+        T.StructField("n_obs", T.LongType()),
+    ])
 
-    Plain ``sum`` with partial aggregation, P*K + 2 narrow rows per anchor and
-    horizon. An anchor without all its values or without ``y_h`` is left out.
-    """
-    k = spec.past * len(spec.features) + 2
-    h = windows.select(*spec.series, _window_values(spec).alias("_x"),
-                       F.posexplode(spec.label_col).alias("horizon", "y"))
-    y = F.col("y").cast("double")
-    h = h.filter(F.col("_x").isNotNull() & y.isNotNull() & ~F.isnan(y) & (F.abs(y) < float("inf")))
-    h = h.select(*spec.series, (F.col("horizon") + 1).cast("int").alias("horizon"),
-                 F.concat(F.array(F.lit(1.0)), "_x", F.array(y)).alias("_z"))
-    h = h.select("*", F.posexplode("_z").alias("i", "_zi"))
-    sums = [F.sum(F.col("_zi") * F.get("_z", F.lit(j))).alias(f"z_{j}") for j in range(k)]
-    out = h.groupBy(*spec.series, "horizon", "i").agg(*sums)
-    return out.select(*spec.series, "horizon", "i", F.array(*[f"z_{j}" for j in range(k)]).alias("z"))
-
-
-def _solve_window(zz: np.ndarray, ridge: float) -> np.ndarray:
-    """Coefficients (intercept first) from ``Z'Z``. The penalty is ``ridge`` times
-    each value's variance, so scales don't matter; a constant value gets 0."""
-    n = zz[0, 0]
-    mean = zz[0, 1:] / n
-    cov = zz[1:, 1:] / n - np.outer(mean, mean)
-    var, square = np.diag(cov)[:-1], np.diag(zz)[1:-1] / n
-    varies = var > 1e-12 * square
-    scale = np.sqrt(np.where(varies, var, 1.0))
-    A = (cov[:-1, :-1] / np.outer(scale, scale))[np.ix_(varies, varies)]
-    coef = np.zeros(len(zz) - 1)
-    own = np.zeros(len(var))
-    own[varies] = np.linalg.solve(A + ridge * np.eye(len(A)), (cov[:-1, -1] / scale)[varies])
-    coef[1:] = own / scale
-    coef[0] = mean[-1] - coef[1:] @ mean[:-1]
-    return coef
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        held = {}
+        for h, n, mean, m2 in zip(pdf["h"], pdf["n"], pdf["mean"], pdf["m2"], strict=True):
+            held[h] = (int(n), np.asarray(mean, float), np.asarray(m2, float).reshape(len(mean), len(mean)))
+        rows = []
+        for h in range(1, future + 1):
+            m = held.get(h)
+            if 0 in held:
+                n, mean, m2 = held[0]
+                own = np.r_[np.arange(len(mean) - future), len(mean) - future + h - 1]
+                m = merged((n, mean[own], m2[np.ix_(own, own)]), m)
+            if m is not None:
+                fine = np.isfinite(m[1]).all() and np.isfinite(m[2]).all()
+                rows.append((h, ridge_coefficients(m, ridge).tolist() if fine else None, m[0]))
+        out = pd.concat([pdf[list(series)].iloc[:1]] * len(rows), ignore_index=True)
+        out["horizon"], out["coef"], out["n_obs"] = ([r[i] for r in rows] for i in range(3))
+        return out[out_schema.names]
+
+    return whole.groupBy(*series).applyInPandas(solve, out_schema)
 
 
 def fit_window_ridge(windows: DataFrame, spec: SequenceSpec, ridge: float = 1e-3) -> DataFrame:
@@ -270,28 +267,35 @@ def fit_window_ridge(windows: DataFrame, spec: SequenceSpec, ridge: float = 1e-3
     coef[0] is the intercept, then P values per feature in the order of ``spec.features``.
 
     Minimises the mean squared error plus ``ridge`` x the squared slopes of the
-    standardised values. ``coef`` is NULL where the sums overflow."""
-    if ridge <= 0:
-        raise ValueError("ridge must be > 0")
-    stats = window_normal_equations(windows, spec)
-    keys = [*spec.series, "horizon"]
-    whole = stats.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("i", "z"))).alias("_m"))
-    whole = whole.select(*keys, F.flatten(F.transform("_m", lambda r: r["z"])).alias("_m"))
-    out_schema = T.StructType([f for f in whole.schema.fields if f.name in keys] + [
-        T.StructField("coef", T.ArrayType(T.DoubleType())),
-        T.StructField("n_obs", T.LongType()),
-    ])
-    k = spec.past * len(spec.features) + 2
+    standardised values. An anchor without all its values or without ``y_h`` is left
+    out of horizon h. ``coef`` is NULL where the sums overflow."""
+    return _solved(window_moments(windows, spec), spec.series, spec.future, ridge)
+
+
+def fit_window_ridge_rows(df: DataFrame, spec: SequenceSpec, ridge: float = 1e-3, **plan_options) -> DataFrame:
+    """:func:`fit_window_ridge` of the windows of ``df``, from its rows: no window is built."""
+    return _solved(row_moments(df, spec, **plan_options), spec.series, spec.future, ridge)
 
-    def solve(batches):
-        for pdf in batches:
-            out = pdf[keys].copy()
-            mats = [np.asarray(m, dtype=float).reshape(k, k) for m in pdf["_m"]]
-            out["coef"] = [_solve_window(m, ridge).tolist() if np.isfinite(m).all() else None for m in mats]
-            out["n_obs"] = [round(m[0, 0]) for m in mats]
-            yield out[[f.name for f in out_schema.fields]]
 
-    return whole.mapInPandas(solve, out_schema)
+def normal_residuals(windows: DataFrame, model: DataFrame, spec: SequenceSpec, ridge: float, lags: int | None = None) -> DataFrame:
+    """How far a ridge model is from the normal equations of ``windows``: per (series, horizon) n_obs, y_mean,
+    pred_mean and ``gradient``, the largest slope of the objective, relative to the spread of value and label.
+
+    At the optimum both means agree and every slope is 0. ``lags``: the lagged model (its penalty isn't scaled)."""
+    values = _window_values(spec) if lags is None else F.array(*_lag_features(spec, lags))
+    h = windows.select(*spec.series, values.alias("_x"), F.posexplode(spec.label_col).alias("horizon", "y"))
+    h = h.filter("_x is not null").withColumn("horizon", (F.col("horizon") + 1).cast("int"))
+    keys = [*spec.series, "horizon"]
+    scored = _join_model(h, model.select(*keys, "coef"), keys)
+    dot = F.aggregate(F.zip_with("_x", F.slice("coef", 2, F.size("_x")), lambda x, b: x * b), F.get("coef", F.lit(0)), lambda acc, v: acc + v)
+    each = scored.withColumn("pred", dot).select(*keys, "y", "pred", (F.col("y") - F.col("pred")).alias("r"), "coef", F.posexplode("_x").alias("j", "x"))
+    each = each.withColumn("b", F.get("coef", F.col("j") + 1))
+    penalty = F.lit(ridge) * F.avg("b") * (F.var_pop("x") if lags is None else F.lit(1.0))
+    scale = F.stddev_pop("x") * F.stddev_pop("y")
+    slope = F.when(scale > 0, F.abs(F.covar_pop("x", "r") - penalty) / scale).otherwise(F.lit(0.0))
+    per = each.groupBy(*keys, "j").agg(F.count(F.lit(1)).alias("n_obs"), F.avg("y").alias("y_mean"), F.avg("pred").alias("pred_mean"), slope.alias("slope"))
+    return per.groupBy(*keys).agg(F.max("n_obs").alias("n_obs"), F.max("y_mean").alias("y_mean"), F.max("pred_mean").alias("pred_mean"),
+                                  F.max("slope").alias("gradient"))
 
 
 def predict_window_ridge(windows: DataFrame, model: DataFrame, spec: SequenceSpec,

@@ -268,8 +268,9 @@ def border_windows(blocks: DataFrame, spec: SequenceSpec, keys: list[str], trim:
     return trimmed.select(*W.output_columns(trimmed, spec))
 
 
-def _slices(blocks: DataFrame, spec: SequenceSpec, trim: bool) -> DataFrame:
-    """The anchors of ``blocks`` whose windows end inside the piece, cut from the block's arrays by index."""
+def anchor_span(blocks: DataFrame, spec: SequenceSpec, trim: bool) -> DataFrame:
+    """``blocks`` with ``_lo`` and ``_hi``, the first and last anchor (counted from the block's first) whose windows end
+    inside the piece and, if ``trim``, inside the series; blocks without one go."""
     past, future, shift = spec.past, spec.future, spec.shift
     first_rn = F.col(NB.OFFSET) + F.col("start") + 1
     lo = F.when(F.col("first") & (F.col(ORDINAL) > 1), F.lit(past - 1)).otherwise(F.lit(0)).cast("long")
@@ -279,7 +280,14 @@ def _slices(blocks: DataFrame, spec: SequenceSpec, trim: bool) -> DataFrame:
         lo = F.greatest(lo, F.lit(past) - first_rn)
         hi = F.least(hi, F.col(NB.N_) - F.lit(future + shift - 1) - first_rn)
         lo = lo + F.pmod(F.lit(past) - (first_rn + lo), F.lit(spec.step))
-    some = blocks.withColumn("_lo", lo).withColumn("_hi", hi).filter("_lo <= _hi")
+    return blocks.withColumns({"_lo": lo, "_hi": hi}).filter("_lo <= _hi")
+
+
+def _slices(blocks: DataFrame, spec: SequenceSpec, trim: bool) -> DataFrame:
+    """The anchors of :func:`anchor_span` with their windows, cut from the block's arrays by index."""
+    past, future, shift = spec.past, spec.future, spec.shift
+    first_rn = F.col(NB.OFFSET) + F.col("start") + 1
+    some = anchor_span(blocks, spec, trim)
     some = some.withColumn("_i", F.explode(F.sequence("_lo", "_hi", F.lit(spec.step if trim else 1).cast("long"))))
     at = F.col("before") + F.col("_i").cast("int")  # 0-based place of the anchor in the arrays
     place = {name: f"_v{j}" for j, (_, name) in enumerate(value_columns(spec))}
@@ -309,9 +317,10 @@ def _compacted(df: DataFrame, spec: SequenceSpec) -> DataFrame:
     return df.withColumns({c: F.array_compact(c) for c in (*spec.features, spec.label_col)})
 
 
-def range_windows(df: DataFrame, spec: SequenceSpec, block_rows: int, rows_per_range: int,
-                  trim: bool = True, rows: int | None = None) -> DataFrame:
-    """Sequence windows of every series of ``df`` by ranges and blocks of arrays."""
+def located_blocks(df: DataFrame, spec: SequenceSpec, block_rows: int, rows_per_range: int,
+                   rows: int | None = None) -> tuple[DataFrame, list[str], bool]:
+    """The block table of ``df`` with the place of each piece in its series; the names of its series columns;
+    and whether a series may lie in several pieces."""
     if block_rows < 1 or rows_per_range < 1:
         raise ValueError("rows per block and per range must be >= 1")
     reach = spec.past + spec.shift + spec.future - 2
@@ -327,12 +336,19 @@ def range_windows(df: DataFrame, spec: SequenceSpec, block_rows: int, rows_per_r
             break
         ranges = max(1, ranges // 2)
     blocks = NB.join_on(blocks, pieces.drop(COUNT), [*keys, PID], "inner", broadcast=known is not None)
+    return blocks, keys, known is None or any(r[LAST_ORDINAL] > 1 for r in known)
+
+
+def range_windows(df: DataFrame, spec: SequenceSpec, block_rows: int, rows_per_range: int,
+                  trim: bool = True, rows: int | None = None) -> DataFrame:
+    """Sequence windows of every series of ``df`` by ranges and blocks of arrays."""
+    blocks, keys, cut = located_blocks(df, spec, block_rows, rows_per_range, rows)
     if trim and spec.on_null != "keep":
         done = [_slices(blocks, spec, trim)]
     else:  # only blocks that hold a NULL pay for taking them out
         has = (F.element_at("zp", -1) > 0) | (F.element_at("zl", -1) > 0)
         done = [_slices(blocks.filter(~has), spec, trim), _compacted(_slices(blocks.filter(has), spec, trim), spec)]
-    if known is None or any(r[LAST_ORDINAL] > 1 for r in known):
+    if cut:
         done.append(border_windows(blocks, spec, keys, trim))
     out = done[0]
     for x in done[1:]:

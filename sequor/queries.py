@@ -82,8 +82,8 @@ _GLOBAL_EVENTS_SQL = f"SELECT 'all' AS stream, * FROM ({EVENTS_SERIES_SQL})"
     window_summary_sql(_GLOBAL_EVENTS_SQL, ["stream"], EV_ORDER, "s_ts", FEATS, "ohlc_close", 60, 3),
 )
 def q_sequence_windows_blocked(spark, sf):
-    """All events as ONE series, numbered in time buckets and windowed in
-    blocks of 2 000 anchors with halo (the plan for a series too long for a task)."""
+    """All events as ONE series, in ranges of about 1 000 rows cut into
+    blocks of arrays (the plan for a series too long for a task)."""
     spec = events_spec(60, 3).with_(series=("stream",))
     src = events_series(spark, sf).withColumn("stream", F.lit("all"))
     out = blocked.sequence_windows_blocked(src, spec, block_rows=2000, bucket_rows=1000)
@@ -241,14 +241,47 @@ SELECT symbol, event_id, row_number() OVER ({_WO}) AS rn,
 """,
 )
 def q_win_row_number_bucketed(spark, sf):
-    """W3, skew-safe two-phase form: series over 60 rows are numbered in time
-    buckets of about 16 rows and offsets; equals the one-task row_number."""
+    """W3, skew-safe form: series over 60 rows are numbered in ranges of about
+    16 rows and offsets; equals the one-task row_number."""
     from .plans.numbering import number_rows
 
     out = number_rows(events_series(spark, sf), ["symbol"], EV_ORDER, hot_rows=60, bucket_rows=16)
     return out.select("symbol", "event_id", "rn", "n")
 
 
+_NAN_TIME_SQL = """
+SELECT user_id AS symbol, event_id,
+       CASE WHEN event_id % 5 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(hour(ts) AS DOUBLE) END AS t
+FROM events"""
+
+
+@query(
+    "win_row_number_nan_time",
+    f"SELECT symbol, event_id, row_number() OVER (PARTITION BY symbol ORDER BY t ASC NULLS FIRST, event_id) AS rn, "
+    f"count(*) OVER (PARTITION BY symbol) AS n FROM ({_NAN_TIME_SQL})",
+)
+def q_win_row_number_nan_time(spark, sf):
+    """W3 by a time that is often NULL (first), NaN (last) or tied: series over 40 rows in ranges of about 10."""
+    from .plans.numbering import number_rows
+
+    t = F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.hour("s_ts").cast("double"))
+    ev = events_series(spark, sf).select("symbol", "event_id", t.alias("t"))
+    return number_rows(ev, ["symbol"], ["t", "event_id"], hot_rows=40, bucket_rows=10).select("symbol", "event_id", "rn", "n")
+
+
+@query(
+    "win_row_number_string_ties",
+    "SELECT user_id AS symbol, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_type ASC NULLS FIRST, props ASC NULLS FIRST, "
+    "event_id) AS rn, count(*) OVER (PARTITION BY user_id) AS n FROM events",
+)
+def q_win_row_number_string_ties(spark, sf):
+    """W3 by strings with many ties, split by the columns that break them."""
+    from .plans.numbering import number_rows
+
+    ev = table(spark, sf, "events").select(F.col("user_id").alias("symbol"), "event_type", "props", "event_id")
+    return number_rows(ev, ["symbol"], ["event_type", "props", "event_id"], hot_rows=40, bucket_rows=10).select("symbol", "event_id", "rn", "n")
+
+
 @query(
     "agg_series_count",
     "SELECT user_id AS symbol, count(*) AS n FROM events GROUP BY user_id",
@@ -390,7 +423,7 @@ def q_split_chronological(spark, sf):
 
 @query("split_chronological_bucketed", _SPLIT_SQL + "SELECT symbol, event_id, channel FROM split")
 def q_split_chronological_bucketed(spark, sf):
-    """T1 with every series over 40 rows numbered in time buckets (skew-safe path)."""
+    """T1 with every series over 40 rows numbered in ranges (skew-safe path)."""
     return _split_events(spark, sf, hot_rows=40, bucket_rows=8).select("symbol", "event_id", "channel")
 
 
@@ -860,15 +893,65 @@ def q_model_latest_version(spark, sf):
         "symbol", F.col("artifact.version").cast("bigint").alias("version"), "complete_versions")
 
 
-@query("fit_lagged_ridge")
+_DAY_SQL = """
+WITH src AS (SELECT strftime(ts, '%m-%d-%y') AS date, event_type AS symbol, ts, event_id, value AS v FROM events),
+num AS (SELECT date, symbol, v AS last, lead(v, 1) OVER w AS y1, lead(v, 2) OVER w AS y2, row_number() OVER w AS rn,
+               count(*) OVER (PARTITION BY date, symbol) AS n
+        FROM src WINDOW w AS (PARTITION BY date, symbol ORDER BY ts ASC NULLS FIRST, event_id)),
+anchors AS (SELECT * FROM num WHERE rn >= 4 AND rn <= n - 2 AND last IS NOT NULL AND y1 IS NOT NULL AND y2 IS NOT NULL),
+hz AS (SELECT date, symbol, last, 1 AS horizon, y1 AS y FROM anchors UNION ALL SELECT date, symbol, last, 2, y2 FROM anchors),
+fit AS (SELECT date, symbol, horizon, regr_slope(y, last) AS b, regr_intercept(y, last) AS a FROM hz GROUP BY ALL)
+SELECT date, symbol, 2::BIGINT AS version, count(*) AS n, round(avg(power(y - CASE WHEN isfinite(a + b * last) THEN a + b * last ELSE last END, 2)), 3) AS mse
+FROM hz JOIN fit USING (date, symbol, horizon) GROUP BY ALL
+"""
+
+
+@query("serve_latest_score", _DAY_SQL)
+def q_serve_latest_score(spark, sf):
+    """M5 to M6 to M4: models per (date, symbol) exported in two versions; windows are scored with the newest
+    committed version of their key (symbol: the event type)."""
+    from .params import SequenceSpec
+
+    ev = table(spark, sf, "events").select(format_mdy("ts").alias("date"), F.col("event_type").alias("symbol"), "ts", "event_id", F.col("value").alias("v"))
+    spec = SequenceSpec(series=("date", "symbol"), order=("ts", "event_id"), features=("v",), label="v", past=4, future=2)
+    win = W.sequence_windows(ev, spec)
+    model = FC.fit_linear(win, spec)
+    root = scratch_path(spark, "served-models")
+    RG.export_models(model.withColumn("intercept", F.lit(-1.0)), root, version=1)
+    RG.export_models(model, root, version=2)
+    scored = RG.score_latest(win, root, spec)
+    err = F.col("y") - F.col("pred")
+    return scored.groupBy("date", "symbol").agg(F.max("version").alias("version"), F.count(F.lit(1)).alias("n"), F.round(F.avg(err * err), 3).alias("mse"))
+
+
+_NORMAL_SQL = _ANCHORS_SQL + """, hz AS (
+  SELECT symbol, 1 AS horizon, y1 AS y FROM anchors UNION ALL SELECT symbol, 2, y2 FROM anchors UNION ALL SELECT symbol, 3, y3 FROM anchors)
+SELECT symbol, horizon, count(*) AS n_obs, round(avg(y), 4) AS y_mean, 0.0::DOUBLE AS bias, 0.0::DOUBLE AS gradient
+FROM hz GROUP BY symbol, horizon
+"""
+
+
+def _normal(win, model, spec, lags=None):
+    out = FC.normal_residuals(win, model, spec, 1e-3, lags)
+    return out.select("symbol", "horizon", "n_obs", F.round("y_mean", 4).alias("y_mean"), F.round(F.abs(F.col("pred_mean") - F.col("y_mean")), 6).alias("bias"),
+                      F.round("gradient", 6).alias("gradient"))
+
+
+@query("fit_window_ridge", _NORMAL_SQL)
+def q_fit_window_ridge(spark, sf):
+    """M1 v2: ridge regression on all values of the flattened window (8 steps of 7 features) per (series, horizon),
+    from lagged cross products of the rows. Checked by the normal equations on the windows: the mean prediction
+    is the mean label and no slope of the objective is left (tests also compare with numpy)."""
+    spec, win = _windows8(spark, sf)
+    model = FC.fit_window_ridge_rows(events_series(spark, sf), events_spec(8, 3))
+    return _normal(win, model, spec)
+
+
+@query("fit_lagged_ridge", _NORMAL_SQL)
 def q_fit_lagged_ridge(spark, sf):
-    """M1 v2: ridge regression on all values of the flattened window (8 steps of
-    7 features) per (series, horizon); sums in Spark, 56x56 solves in mapInPandas.
-    Rows-only check (tests compare with numpy on the raw windows)."""
+    """M1 v2, the lagged option: ridge regression on the last 4 values of the label, checked in the same way."""
     spec, win = _windows8(spark, sf)
-    model = FC.fit_window_ridge(win, spec)
-    return model.select("symbol", "horizon", "n_obs",
-                        F.transform("coef", lambda c: F.round(c, 6)).alias("coef"))
+    return _normal(win, FC.fit_lagged_ridge(win, spec, lags=4, ridge=1e-3), spec, lags=4)
 
 
 @query(
@@ -956,8 +1039,8 @@ _SKEW_ORDER = ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumb
 def q_sequence_windows_skewed_lineitem(spark, sf):
     """W4 under skew: ``lineitem`` keyed by return flag - one key holds about
     half of all rows, dates have day resolution. Keys above 10 000 rows take
-    the hot path (size-checked hot list, time buckets of ~4 000 rows split
-    further on the tie-break columns, blocks of 8 000 anchors with halo)."""
+    the hot path (size-checked hot list, ranges of about 4 000 rows of the full
+    order, blocks of arrays)."""
     spec = lineitem_spec(60, 3).with_(series=("l_returnflag",), order=tuple(_SKEW_ORDER))
     out = W.sequence_windows(lineitem_series(spark, sf), spec, plan="auto",
                              hot_rows=10_000, bucket_rows=4_000, block_rows=8_000)

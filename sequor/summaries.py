@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .functions.arrays import array_first, array_last, array_len, array_sum
+from .functions.arrays import array_first, array_last, array_len, array_moment, array_sum
 from .params import SequenceSpec
 
 DIGITS = 6
+MOMENT_DIGITS = 3
 
 
 def micros(col: str | Column) -> Column:
@@ -33,7 +34,8 @@ def window_summary(df: DataFrame, spec: SequenceSpec, keys: list[Column] | None
 
     Output columns: series keys, ``ts_us``, ``rn``, ``x_len``, ``x_first``,
     ``x_last`` (of the label base's past window), ``y_len``, ``y_first``,
-    ``y_last``, ``y_sum`` (label window) and ``sum_<feature>`` for each feature.
+    ``y_last``, ``y_sum`` (label window) and ``sum_<feature>`` for each feature;
+    ``pos_y`` and ``pos_<feature>``: sums of i * x_i, which depend on the order.
     """
     base = spec.label
     x = F.col(base)
@@ -50,6 +52,7 @@ def window_summary(df: DataFrame, spec: SequenceSpec, keys: list[Column] | None
         rounded(array_sum(y)).alias("y_sum"),
     ]
     cols += [rounded(array_sum(F.col(f))).alias(f"sum_{f}") for f in spec.features]
+    cols += [rounded(array_moment(c), MOMENT_DIGITS).alias(name) for name, c in [("pos_y", y), *[(f"pos_{f}", F.col(f)) for f in spec.features]]]
     return df.select(*cols)
 
 
@@ -71,7 +74,8 @@ def window_summary_sql(
 
     Window aggregates over row frames replace the arrays: ``count`` for the
     length (NULLs skipped like ``collect_list``), ``first_value`` /
-    ``last_value ... IGNORE NULLS`` for the ends, ``sum`` for the sum.
+    ``last_value ... IGNORE NULLS`` for the ends, ``sum`` for the sum. A value's place in
+    its window is its count in the series less the count before the frame.
     """
     part = ", ".join(series)
     ordr = ", ".join(f"{c} ASC NULLS FIRST" for c in order)
@@ -93,6 +97,11 @@ def window_summary_sql(
     ]
     sel += [f"round(sum({f}) OVER {wp}, {d}) AS sum_{f}" for f in features]
     sel += [f"count({f}) OVER {wp} AS len_{f}" for f in features]
+    m = MOMENT_DIGITS
+    upto = f"(wo ROWS BETWEEN UNBOUNDED PRECEDING AND {shift - 1} FOLLOWING)"
+    sel += [f"round(sum(c_{label} * {label}) OVER {wf} - count({label}) OVER {upto} * sum({label}) OVER {wf}, {m}) AS pos_y"]
+    sel += [f"round(sum(c_{f} * {f}) OVER {wp} - (c_{f} - count({f}) OVER {wp}) * sum({f}) OVER {wp}, {m}) AS pos_{f}" for f in features]
+    counted = [f"count({c}) OVER (PARTITION BY {part} ORDER BY {ordr} ROWS UNBOUNDED PRECEDING) AS c_{c}" for c in dict.fromkeys([*features, label])]
     keep = [f"rn >= {past}", f"rn <= n - {future + shift - 1}"]
     if step > 1:
         keep.append(f"(rn - {past}) % {step} = 0")
@@ -101,9 +110,10 @@ def window_summary_sql(
         keep += [f"len_{f} = {past}" for f in features]
     out_series = series_out if series_out is not None else series
     out = [*out_series, "ts_us", "rn", "x_len", "x_first", "x_last", "y_len", "y_first", "y_last", "y_sum"]
-    out += [f"sum_{f}" for f in features]
+    out += [f"sum_{f}" for f in features] + ["pos_y"] + [f"pos_{f}" for f in features]
     return (
-        f"WITH src AS ({source_sql}),\n"
+        f"WITH base AS ({source_sql}),\n"
+        f"src AS (SELECT *, {', '.join(counted)} FROM base),\n"
         f"win AS (SELECT {', '.join(sel)} FROM src\n"
         f"  WINDOW wo AS (PARTITION BY {part} ORDER BY {ordr}))\n"
         f"SELECT {', '.join(out)} FROM win WHERE {' AND '.join(keep)}"

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sequor.operators import forecast as FC
 from sequor.operators import registry as RG
@@ -51,7 +52,7 @@ def test_lagged_ridge_matches_numpy(win8):
 
 
 def test_window_ridge_fits_all_values_of_the_window(spark, win8):
-    from sequor.queries import q_fit_lagged_ridge
+    from sequor.queries import q_fit_window_ridge
 
     spec, win = win8
     ridge, size = 1e-3, spec.past * len(spec.features)
@@ -77,7 +78,7 @@ def test_window_ridge_fits_all_values_of_the_window(spark, win8):
     preds = FC.predict_window_ridge(win, spark.createDataFrame(fitted, FC.fit_window_ridge(win, spec).schema), spec)
     assert preds.count() == FC.predict_persistence(win, spec).count()
     assert mse(preds) < mse(FC.predict_lagged_ridge(win, FC.fit_lagged_ridge(win, spec), spec))
-    assert {len(r["coef"]) for r in q_fit_lagged_ridge(spark, SF001).collect()} == {size + 1}
+    assert all(r["gradient"] == 0.0 == r["bias"] for r in q_fit_window_ridge(spark, SF001).collect())
 
 
 def test_window_ridge_leaves_out_windows_with_missing_values(spark):
@@ -96,6 +97,65 @@ def test_window_ridge_leaves_out_windows_with_missing_values(spark):
     assert preds.first()["pred"] == preds.first()["last"]
 
 
+def _window_matrix(rows, spec):
+    """Design matrix and labels of one series' rows [K values each], by plain loops; the label is the first value."""
+    x, y = [], []
+    for a in range(spec.past - 1, len(rows) - spec.shift - spec.future + 1, spec.step):
+        x.append([rows[a - spec.past + 1 + p][f] for f in range(len(spec.features)) for p in range(spec.past)])
+        y.append([rows[a + spec.shift + h][0] for h in range(spec.future)])
+    return np.array(x, float), np.array(y, float)
+
+
+@pytest.mark.parametrize("past,future,shift,n", [(1, 1, 1, 40), (4, 2, 1, 60), (7, 3, 2, 300)])
+def test_run_moments_equal_direct_ones(past, future, shift, n):
+    from sequor.operators import moments as M
+    from sequor.params import SequenceSpec
+
+    rng = np.random.default_rng(past)
+    spec = SequenceSpec(series=("s",), order=("t",), features=("a", "b"), label="a", past=past, future=future, shift=shift)
+    rows = rng.normal(size=(n, 2)).cumsum(0) + [1e8, 5]
+    x, y = _window_matrix(rows, spec)
+    count, mean, m2 = M.of_block(rows, rows[:, 0], np.arange(past - 1, n - shift - future + 1), spec)[0]
+    z = np.c_[x, y]
+    assert count == len(z) and np.allclose(mean, z.mean(0), rtol=1e-12)
+    c = z - z.mean(0)
+    assert np.allclose(m2, c.T @ c, rtol=1e-6, atol=1e-5 * len(z))
+    a, b = M.direct(z[:11]), M.direct(z[11:])
+    both = M.merged(M.merged(None, a), b)
+    assert both[0] == count and np.allclose(both[2], m2, rtol=1e-6, atol=1e-5 * len(z))
+
+
+def test_window_ridge_from_rows(spark):
+    """Rows give the coefficients that windows give, for any ranges and blocks, with gaps and with means of 1e8."""
+    from sequor.params import SequenceSpec
+
+    rng = np.random.default_rng(4)
+    spec = SequenceSpec(series=("s",), order=("t",), features=("a", "b"), label="a", past=4, future=2)
+    rows, plain = [], {}
+    for s, n in (("x", 400), ("y", 30), (None, 90), ("short", 5)):
+        v = np.c_[1e8 + rng.normal(size=n).cumsum(), rng.normal(size=n)]
+        plain[s] = v
+        rows += [(s, i, float(v[i, 0]), float(v[i, 1])) for i in range(n)]
+    df = spark.createDataFrame(rows, "s string, t long, a double, b double").repartition(3)
+    model = {(r["s"], r["horizon"]): r for r in FC.fit_window_ridge_rows(df, spec, block_rows=40, rows_per_range=90).collect()}
+    assert set(model) == {(s, h) for s in ("x", "y", None) for h in (1, 2)}
+    for s in ("x", "y", None):
+        x, y = _window_matrix(plain[s].tolist(), spec)
+        mean, sd = x.mean(0), x.std(0)
+        z = (x - mean) / sd
+        for h in (1, 2):
+            own = y[:, h - 1]
+            slopes = np.linalg.solve(z.T @ z / len(z) + 1e-3 * np.eye(8), z.T @ (own - own.mean()) / len(z)) / sd
+            got = model[s, h]
+            assert got["n_obs"] == len(z) and np.allclose(got["coef"][1:], slopes, rtol=1e-4, atol=1e-6)
+    gaps = df.withColumn("a", F.when(F.col("t") % 37 == 5, F.lit(None)).when(F.col("t") % 41 == 3, F.lit(float("nan"))).otherwise(F.col("a")))
+    by_rows = {(r["s"], r["horizon"]): r for r in FC.fit_window_ridge_rows(gaps, spec, block_rows=30, rows_per_range=100).collect()}
+    by_windows = {(r["s"], r["horizon"]): r for r in FC.fit_window_ridge(W.sequence_windows(gaps, spec, plan="direct"), spec).collect()}
+    assert set(by_rows) == set(by_windows)
+    for k, r in by_rows.items():
+        assert r["n_obs"] == by_windows[k]["n_obs"] and np.allclose(r["coef"][1:], by_windows[k]["coef"][1:], rtol=1e-4, atol=1e-6), k
+
+
 def test_metrics_and_batch_loss(spark):
     df = spark.createDataFrame([(1, 0, 1.0, 2.0), (1, 0, 3.0, 3.0), (1, 1, 0.0, 2.0), (1, 1, 4.0, 2.0)],
                                "epoch int, batch_id int, y double, pred double")
@@ -146,3 +206,21 @@ def test_export_twice_and_stray_folders(spark, tmp_dir):
     got = RG.latest_complete_versions(listing, "saved_model.pb").collect()
     assert [(r["symbol"], r["version"]) for r in got] == [("a", 3)]
 
+
+
+def test_an_export_that_broke_off_is_never_served(spark, tmp_dir):
+    from sequor.params import SequenceSpec
+
+    root = tmp_dir + "/models"
+    spec = SequenceSpec(series=("date", "symbol"), order=("t",), features=("v",), label="v", past=1, future=1)
+    model = lambda slope, symbols: spark.createDataFrame(
+        [("d1", s, 1, slope, 0.0) for s in symbols], "date string, symbol string, horizon int, slope double, intercept double")
+    RG.export_models(model(2.0, ["a", "b"]), root, 1)
+    RG.export_models(model(3.0, ["a"]), root, 2)
+    RG.write_attempt(model(99.0, ["a", "b"]), root, 3)  # broke off before its commit
+    RG.write_attempt(model(98.0, ["a"]), root, 2)
+    RG.export_models(model(4.0, ["a"]), root, 2)  # again: replaces
+    win = spark.createDataFrame([("d1", s, [10.0], [0.0]) for s in ("a", "b", "c")], "date string, symbol string, v array<double>, v_label array<double>")
+    got = {r["symbol"]: (r["version"], r["pred"]) for r in RG.score_latest(win, root, spec).collect()}
+    assert got == {"a": (2, 40.0), "b": (1, 20.0), "c": (None, 10.0)}
+    assert sorted((r["version"], r["symbol"], r["slope"]) for r in RG.read_models(spark, root).collect()) == [(1, "a", 2.0), (1, "b", 2.0), (2, "a", 4.0)]
