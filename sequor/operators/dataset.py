@@ -8,7 +8,8 @@ is dropped), for a bounded number of steps. Here each of those is a column:
 * ``shuffle_key``- D1, ``md5(seed | epoch | record key)``: a full, fixed-seed
                    reshuffle per epoch that is the same on every engine and
                    under any partitioning (unlike ``rand(seed)``);
-* ``pos``        - 1-based position inside the epoch, by ``shuffle_key``;
+* ``pos``        - 1-based position inside the epoch, by ``shuffle_key`` (or by
+                   the record key in an unshuffled pass);
 * ``batch_id``   - D3, ``(pos - 1) div batch_size``, complete batches only;
 * ``step``       - global step ``(epoch - 1) * batches_per_epoch + batch_id``;
                    D4 keeps ``step < max_steps``.
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..params import DEBUG_STEPS, TrainingParams
 from ..plans.numbering import BUCKET, MAX_BROADCAST_HOT, number_bucketed
+from ..plans.ranges import number_ranges
 
 PROBE_DIGITS = 3
 
@@ -63,9 +65,15 @@ def batches(
     max_steps: int | None = None,
     debug: bool = False,
     rows_per_bucket: int = 1_000_000,
+    shuffle: bool = True,
 ) -> DataFrame:
     """``epoch, shuffle_key, pos, batch_id, step`` for every kept row.
 
+    Every column of ``df`` moves with its row, once per epoch, so feed narrow rows (the record key, or what a batch
+    needs of it) and join windows to the result. A step cap is applied before any row is copied: epochs that lie
+    beyond it are not made at all. ``shuffle=False`` is the plain pass: records in the order of ``key_cols``,
+    numbered once for all epochs, without a shuffle key.
+
     ``prefix_digits`` hex digits of the shuffle key make ``16 ** prefix_digits``
     uniform buckets per epoch for the two-phase numbering. By default one small
     job counts rows per (epoch, 3-digit bucket): within the collect bound and
@@ -75,6 +83,14 @@ def batches(
     about ``records / rows_per_bucket`` rows. ``max_steps`` (or
     ``debug=True`` for the debug cap) bounds the global step.
     """
+    B = params.batch_size
+    cap = DEBUG_STEPS if debug else (max_steps if max_steps is not None else params.max_steps)
+    epochs = params.epochs if epochs is None else epochs
+    if cap is not None:
+        epochs = min(epochs, epochs_within(df.count(), B, cap))
+    if not shuffle:
+        numbered = number_ranges(df, [], list(key_cols), rows_per_bucket, rn="pos", n="_sq_epoch_n")
+        return _batched(repeat_epochs(numbered, epochs), B, cap)
     shuffled = epoch_shuffle(df, key_cols, params, epochs)
     order = [SHUFFLE_KEY, *key_cols]
 
@@ -103,17 +119,26 @@ def batches(
         if not 1 <= prefix_digits <= 8:
             raise ValueError("prefix_digits must be in 1..8")
         numbered = number_bucketed(tag(prefix_digits), ["epoch"], order, rn="pos", total="_sq_epoch_n")
-    B = params.batch_size
-    per_epoch = F.floor(F.col("_sq_epoch_n") / F.lit(B)).cast("long")
-    batch_id = F.floor((F.col("pos") - F.lit(1)) / F.lit(B)).cast("long")
+    return _batched(numbered, B, cap).drop(BUCKET)
+
+
+def epochs_within(records: int, batch_size: int, cap: int) -> int:
+    """Epochs that hold a step below the cap; 1 at least, so that the result keeps its columns."""
+    per_epoch = records // batch_size
+    return max(1, -(-cap // per_epoch)) if per_epoch else 1
+
+
+def _batched(numbered: DataFrame, batch_size: int, cap: int | None) -> DataFrame:
+    """Batches and steps of numbered records (``epoch``, ``pos``, ``_sq_epoch_n``); incomplete batches go."""
+    per_epoch = F.floor(F.col("_sq_epoch_n") / F.lit(batch_size)).cast("long")
+    batch_id = F.floor((F.col("pos") - F.lit(1)) / F.lit(batch_size)).cast("long")
     out = numbered.withColumn("batch_id", batch_id).withColumn(
         "step", (F.col("epoch") - F.lit(1)).cast("long") * per_epoch + F.col("batch_id")
     )
     out = out.filter(F.col("batch_id") < per_epoch)
-    cap = DEBUG_STEPS if debug else (max_steps if max_steps is not None else params.max_steps)
     if cap is not None:
         out = out.filter(F.col("step") < F.lit(cap))
-    return out.drop(BUCKET, "_sq_epoch_n")
+    return out.drop("_sq_epoch_n")
 
 
 def bucket_digits(records: int, rows_per_bucket: int = 1_000_000) -> int:

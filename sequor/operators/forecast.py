@@ -115,6 +115,18 @@ def regression_metrics(preds: DataFrame, group_cols: Sequence[str] = (), rollup:
     return preds.agg(*aggs)
 
 
+def record_losses(windows: DataFrame, spec: SequenceSpec, keys: Sequence[str]) -> DataFrame:
+    """The squared errors of the persistence forecast per record: ``keys..., sse, terms``. Narrow rows to number in batches."""
+    errors = F.transform(spec.label_col, lambda y: (y - _last(spec)) * (y - _last(spec)))
+    return windows.select(*keys, F.aggregate(errors, F.lit(0.0), lambda acc, e: acc + e).alias("sse"), F.size(spec.label_col).alias("terms"))
+
+
+def record_batch_losses(records: DataFrame, batch_cols: Sequence[str] = ("epoch", "batch_id")) -> DataFrame:
+    """:func:`batch_losses` from the losses of records."""
+    per_batch = records.groupBy(*batch_cols).agg((F.sum("sse") / F.sum("terms")).alias("batch_loss"))
+    return per_batch.agg(F.avg("batch_loss").alias("loss"), F.count(F.lit(1)).alias("batches"))
+
+
 def batch_losses(preds_with_batch: DataFrame, batch_cols: Sequence[str] = ("epoch", "batch_id")) -> DataFrame:
     """A5: mean loss per batch (the estimator's ``loss``) and its average."""
     err = F.col("y") - F.col("pred")

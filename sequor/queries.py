@@ -702,6 +702,35 @@ def q_ds_step_cap(spark, sf):
     return out.select("symbol", "ts_us", "epoch", "pos", "batch_id", "step")
 
 
+@query(
+    "ds_batch_unshuffled",
+    _ANCHORS_SQL + """, pos AS (
+  SELECT symbol, ts_us, row_number() OVER (ORDER BY symbol, ts_us) AS pos, count(*) OVER () AS n FROM anchors)
+SELECT symbol, ts_us, e::INTEGER AS epoch, pos, (pos - 1) // 64 AS batch_id, (e - 1) * (n // 64) + (pos - 1) // 64 AS step
+FROM pos, (SELECT unnest([1, 2]) AS e) WHERE (pos - 1) // 64 < n // 64
+""",
+)
+def q_ds_batch_unshuffled(spark, sf):
+    """D3 without the shuffle: records in key order, numbered by ranges once for both epochs."""
+    out = DS.batches(_records(spark, sf), ["symbol", "ts_us"], TrainingParams(), epochs=2, shuffle=False, rows_per_bucket=2_000)
+    return out.select("symbol", "ts_us", "epoch", "pos", "batch_id", "step")
+
+
+@query(
+    "ds_batch_many_epochs",
+    _ANCHORS_SQL + """, rep AS (SELECT symbol, ts_us, unnest(range(1, 31))::INTEGER AS epoch FROM anchors),
+pos AS (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY md5(concat_ws('|', '13', CAST(epoch AS VARCHAR), CAST(symbol AS VARCHAR),
+               CAST(ts_us AS VARCHAR))), symbol, ts_us) AS pos, count(*) OVER (PARTITION BY epoch) AS n FROM rep)
+SELECT symbol, ts_us, epoch, pos, (pos - 1) // 64 AS batch_id, (epoch - 1) * (n // 64) + (pos - 1) // 64 AS step
+FROM pos WHERE (pos - 1) // 64 < n // 64
+""",
+)
+def q_ds_batch_many_epochs(spark, sf):
+    """D2 and D3 over 30 epochs."""
+    out = DS.batches(_records(spark, sf), ["symbol", "ts_us"], TrainingParams(epochs=30))
+    return out.select("symbol", "ts_us", "epoch", "pos", "batch_id", "step")
+
+
 # ---------------------------------------------------------------------------
 # M1-M6, A5 forecasting and registry
 # ---------------------------------------------------------------------------
@@ -996,9 +1025,8 @@ def q_eval_batch_loss(spark, sf):
     """A5: mean loss per batch (the estimator's ``loss``): persistence forecast,
     records in md5-shuffled batches of 64 (one epoch, last batch dropped)."""
     spec, win = _windows8(spark, sf)
-    b = DS.batches(win, ["symbol", "ts_us"], TrainingParams(epochs=1))
-    preds = FC.predict_persistence(b, spec, keys=["ts_us", "epoch", "batch_id"])
-    out = FC.batch_losses(preds)
+    records = FC.record_losses(win, spec, ["symbol", "ts_us"])  # no arrays move
+    out = FC.record_batch_losses(DS.batches(records, ["symbol", "ts_us"], TrainingParams(epochs=1)))
     return out.select(F.round("loss", 4).alias("loss"), "batches")
 
 

@@ -90,3 +90,20 @@ def test_bucket_digits():
     assert DS.bucket_digits(16 * 1_000_000 + 1) == 2
     assert DS.bucket_digits(10**12) == 5  # 10**12 / 16**5 = 0.95 M rows per bucket
     assert DS.bucket_digits(10**18) == 8
+
+
+def test_a_step_cap_makes_no_epoch_beyond_it(spark):
+    p = TrainingParams(batch_size=4, epochs=1000)
+    out = DS.batches(_recs(spark, 10), ["key"], p, max_steps=5)  # 2 steps an epoch
+    assert "sequence(1, 3" in out._jdf.queryExecution().optimizedPlan().toString() or out.agg(F.max("epoch")).first()[0] == 3
+    assert {r["step"] for r in out.collect()} == set(range(5))
+    assert DS.epochs_within(3, 4, 50) == 1 and DS.epochs_within(8, 4, 50) == 25
+
+
+def test_unshuffled_batches_keep_the_record_order(spark):
+    p = TrainingParams(batch_size=4, epochs=2)
+    out = DS.batches(_recs(spark, 11).repartition(3), ["key"], p, shuffle=False, rows_per_bucket=3).collect()
+    assert sorted((r["epoch"], r["key"], r["pos"], r["batch_id"], r["step"]) for r in out) == [
+        (e, k, k + 1, k // 4, (e - 1) * 2 + k // 4) for e in (1, 2) for k in range(8)]
+    capped = DS.batches(_recs(spark, 11), ["key"], p, shuffle=False, max_steps=3).collect()
+    assert {r["step"] for r in capped} == {0, 1, 2}
