@@ -14,10 +14,8 @@ that Spark fits for all series at once:
   with numpy;
 * lagged ridge: the same on the last ``lags`` values of the label base only.
 
-Scoring (M4) joins the model table to the windows on (series, horizon). The
-model table is collected only up to ``MAX_BROADCAST_HOT`` rows and then
-broadcast, so the (anchor x horizon) rows are never shuffled; beyond that
-bound it is a plain join that AQE broadcasts or splits when skewed.
+Scoring (M4) joins the model table to the windows on (series, horizon). Spark
+chooses the join by size in bytes: of the files of a stored model, or at run time.
 """
 
 from __future__ import annotations
@@ -38,13 +36,11 @@ from .moments import merged, merged_moments, ridge_coefficients, row_moments, wi
 def _join_model(rows: DataFrame, model: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of scored rows to the model table on ``keys`` (NULL-safe).
 
-    The model table is broadcast after a size check; otherwise the join is
-    left to AQE."""
-    from ..plans.numbering import bounded_local, join_on
+    No job runs while the plan is built. A stored model is broadcast by the size of its files; that of a
+    model still to be fitted is known when its stage has run, and AQE then broadcasts
+    it or splits the partitions of a hot series."""
+    from ..plans.numbering import join_on
 
-    local = bounded_local(model)
-    if local is not None:
-        return join_on(rows, local, keys, "left", broadcast=True)
     return join_on(rows, model, keys, "left")
 
 

@@ -199,6 +199,11 @@ def full_windows(spec: SequenceSpec, struct_form: bool) -> Column:
     return cond
 
 
+def anchor_metrics(windows: DataFrame, spec: SequenceSpec) -> list[Column]:
+    """The two A6 metrics that count anchors, over windows that aren't trimmed."""
+    return _metrics(spec, PAST in windows.columns)[2:]
+
+
 def _metrics(spec: SequenceSpec, struct_form: bool, rn: str = RN, n: str = N) -> list[Column]:
     """A6 metrics over a windowed frame (before trimming): series, series too
     short for any window, anchors with a full range and how many of those hold
@@ -296,12 +301,11 @@ def sequence_windows_observed(df: DataFrame, spec: SequenceSpec, plan: str = "au
     """:func:`sequence_windows` plus run metrics collected during the action.
 
     Returns ``(result, metrics_in, metrics_out)``; after the result is written,
-    ``metrics_in.get`` holds ``rows_in`` / ``null_time`` and ``metrics_out.get``
-    holds ``windows_out``; with ``plan="direct"`` ``metrics_in.get`` also holds
-    ``series``, ``short_series``, ``anchors_in_range`` and
-    ``anchors_with_null`` (the windows the NULL policy drops).
-    ``DataFrame.observe`` aggregates inside the same job, so no extra pass over
-    the data is made.
+    ``metrics_in.get`` holds ``rows_in`` / ``null_time``, ``series``, ``short_series``,
+    ``anchors_in_range`` and ``anchors_with_null`` (the windows the NULL policy
+    drops), added up over the branches of the plan; ``metrics_out.get`` holds
+    ``windows_out``. ``DataFrame.observe`` aggregates inside the same job, so no extra
+    pass over the data is made.
     """
     from pyspark.sql import Observation
 
@@ -311,26 +315,26 @@ def sequence_windows_observed(df: DataFrame, spec: SequenceSpec, plan: str = "au
         F.count(F.lit(1)).alias("rows_in"),
         F.sum(F.when(F.col(spec.time_col).isNull(), 1).otherwise(0)).alias("null_time"),
     )
-    obs_win = None
+    parts: list = []
     if plan == "direct":
-        obs_win = Observation(f"{name}_windows")
-        plan_options = {**plan_options, "observation": obs_win}
-    out = sequence_windows(src, spec, plan=plan, **plan_options)
+        parts.append(Observation(f"{name}_windows"))
+        out = sequence_windows(src, spec, plan=plan, observation=parts[0], **plan_options)
+    else:
+        out = sequence_windows(src, spec, plan=plan, metrics=parts, **plan_options)
     out = out.observe(obs_out, F.count(F.lit(1)).alias("windows_out"))
-    if obs_win is not None:
-        return out, _Merged(obs_in, obs_win), obs_out
-    return out, obs_in, obs_out
+    return out, _Merged(obs_in, *parts), obs_out
 
 
 class _Merged:
-    """Two observations read as one: ``.get`` merges their metrics."""
+    """Observations and counts read as one: ``.get`` adds up metrics of one name."""
 
     def __init__(self, *parts):
         self.parts = parts
 
     @property
     def get(self) -> dict:
-        merged = {}
+        total: dict = {}
         for p in self.parts:
-            merged.update(p.get)
-        return merged
+            for k, v in (p if isinstance(p, dict) else p.get).items():
+                total[k] = total.get(k, 0) + (v or 0)
+        return total

@@ -8,7 +8,7 @@ list has at most ``N / hot_rows`` entries and is broadcast only after a size che
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from ..operators import windows as W
 from ..params import SequenceSpec
@@ -29,10 +29,11 @@ def sequence_windows_blocked(
     block_rows: int = DEFAULT_BLOCK_ROWS,
     bucket_rows: int = NB.DEFAULT_BUCKET_ROWS,
     trim: bool = True,
+    metrics: list | None = None,
 ) -> DataFrame:
     """W5 for every series of ``df``: ranges of at most about ``bucket_rows`` rows,
     one task each, cut into blocks of ``block_rows`` anchors (one array per column)."""
-    return range_windows(_needed(df, spec), spec, block_rows, bucket_rows, trim)
+    return range_windows(_needed(df, spec), spec, block_rows, bucket_rows, trim, metrics=metrics)
 
 
 def sequence_windows_auto(
@@ -43,7 +44,7 @@ def sequence_windows_auto(
     bucket_rows: int = NB.DEFAULT_BUCKET_ROWS,
     max_hot_keys: int = NB.MAX_BROADCAST_HOT,
     trim: bool = True,
-    observation=None,
+    metrics: list | None = None,
 ) -> DataFrame:
     """Direct plan for ordinary series, blocks of arrays for hot ones.
 
@@ -52,8 +53,12 @@ def sequence_windows_auto(
     (:func:`sequor.plans.numbering.find_hot`). With none, the result is the
     plain direct plan. Otherwise the anti join removes hot rows *before* the
     direct plan's exchange, so a hot series is never hashed into one
-    partition. ``observation`` takes the run metrics of the direct branch.
+    partition. ``metrics`` gets what is to be added up to the run metrics.
     """
+    observation = None
+    if metrics is not None:
+        observation = Observation("direct")
+        metrics.append(observation)
     base = _needed(df, spec)
     series = list(spec.series)
     hot, small, rows = NB.find_hot(base, series, hot_rows, max_hot_keys)
@@ -63,4 +68,4 @@ def sequence_windows_auto(
     cold = W.sequence_windows_direct(
         NB.join_on(base, keys, series, "left_anti", broadcast=small), spec, trim=trim, observation=observation)
     hot_base = NB.join_on(base, keys, series, "left_semi", broadcast=small)
-    return cold.unionByName(range_windows(hot_base, spec, block_rows, bucket_rows, trim, rows))
+    return cold.unionByName(range_windows(hot_base, spec, block_rows, bucket_rows, trim, rows, metrics))

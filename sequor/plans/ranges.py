@@ -26,7 +26,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -238,7 +238,7 @@ def value_columns(spec: SequenceSpec) -> list[tuple[str, str]]:
     return keys + [("value", c) for c in dict.fromkeys([*spec.features, spec.label])]
 
 
-def border_windows(blocks: DataFrame, spec: SequenceSpec, keys: list[str], trim: bool) -> DataFrame:
+def border_windows(blocks: DataFrame, spec: SequenceSpec, keys: list[str], trim: bool, observation=None) -> DataFrame:
     """The windows that reach over the boundary of two pieces, from the rows beside it alone."""
     back, ahead = spec.past - 1, spec.shift + spec.future - 1
     values = [f"_v{j}" for j in range(len(value_columns(spec)))]
@@ -264,6 +264,8 @@ def border_windows(blocks: DataFrame, spec: SequenceSpec, keys: list[str], trim:
     exprs = W.window_expressions(spec.with_(nested=False), w)  # the values are in their final layout
     windows = rows.select(*[c for c in rows.columns if c not in spec.features],
                           *[e.alias(c) for c, e in exprs.items() if c not in (W.RN, W.N)]).filter("anchor")
+    if observation is not None:
+        windows = windows.observe(observation, *W.anchor_metrics(windows, spec))
     trimmed = W.apply_trims(windows, spec, trim=trim)
     return trimmed.select(*W.output_columns(trimmed, spec))
 
@@ -283,11 +285,27 @@ def anchor_span(blocks: DataFrame, spec: SequenceSpec, trim: bool) -> DataFrame:
     return blocks.withColumns({"_lo": lo, "_hi": hi}).filter("_lo <= _hi")
 
 
-def _slices(blocks: DataFrame, spec: SequenceSpec, trim: bool) -> DataFrame:
+def _span_metrics(spec: SequenceSpec) -> list[Column]:
+    """A6 metrics from the spans of blocks, without making their anchors."""
+    past, future, shift = spec.past, spec.future, spec.shift
+    anchors = F.sequence("_lo", "_hi", F.lit(spec.step).cast("long"))
+
+    def short(i: Column) -> Column:
+        at = F.col("before") + i.cast("int")
+        return (F.get("zp", at + 1) > F.get("zp", at - (past - 1))) | (F.get("zl", at + shift + future) > F.get("zl", at + shift))
+
+    has = (F.element_at("zp", -1) > 0) | (F.element_at("zl", -1) > 0)
+    return [F.sum(F.size(anchors)).alias("anchors_in_range"),
+            F.sum(F.when(has, F.size(F.filter(anchors, short))).otherwise(F.lit(0))).alias("anchors_with_null")]
+
+
+def _slices(blocks: DataFrame, spec: SequenceSpec, trim: bool, observation=None) -> DataFrame:
     """The anchors of :func:`anchor_span` with their windows, cut from the block's arrays by index."""
     past, future, shift = spec.past, spec.future, spec.shift
     first_rn = F.col(NB.OFFSET) + F.col("start") + 1
     some = anchor_span(blocks, spec, trim)
+    if observation is not None:
+        some = some.observe(observation, *_span_metrics(spec))
     some = some.withColumn("_i", F.explode(F.sequence("_lo", "_hi", F.lit(spec.step if trim else 1).cast("long"))))
     at = F.col("before") + F.col("_i").cast("int")  # 0-based place of the anchor in the arrays
     place = {name: f"_v{j}" for j, (_, name) in enumerate(value_columns(spec))}
@@ -318,9 +336,9 @@ def _compacted(df: DataFrame, spec: SequenceSpec) -> DataFrame:
 
 
 def located_blocks(df: DataFrame, spec: SequenceSpec, block_rows: int, rows_per_range: int,
-                   rows: int | None = None) -> tuple[DataFrame, list[str], bool]:
+                   rows: int | None = None, metrics: dict | None = None) -> tuple[DataFrame, list[str], bool]:
     """The block table of ``df`` with the place of each piece in its series; the names of its series columns;
-    and whether a series may lie in several pieces."""
+    and whether a series may lie in several pieces. ``metrics`` gets the number of series and of short ones."""
     if block_rows < 1 or rows_per_range < 1:
         raise ValueError("rows per block and per range must be >= 1")
     reach = spec.past + spec.shift + spec.future - 2
@@ -335,21 +353,38 @@ def located_blocks(df: DataFrame, spec: SequenceSpec, block_rows: int, rows_per_
         if ranges == 1 or not short:
             break
         ranges = max(1, ranges // 2)
+    if metrics is not None:
+        sizes = pieces.filter(F.col(ORDINAL) == 1)
+        short = F.col(NB.N_) < spec.past + spec.future + spec.shift - 1
+        got = sizes.agg(F.count(F.lit(1)), F.count(F.when(short, 1))).first()
+        metrics.update(series=got[0], short_series=got[1])
     blocks = NB.join_on(blocks, pieces.drop(COUNT), [*keys, PID], "inner", broadcast=known is not None)
     return blocks, keys, known is None or any(r[LAST_ORDINAL] > 1 for r in known)
 
 
 def range_windows(df: DataFrame, spec: SequenceSpec, block_rows: int, rows_per_range: int,
-                  trim: bool = True, rows: int | None = None) -> DataFrame:
-    """Sequence windows of every series of ``df`` by ranges and blocks of arrays."""
-    blocks, keys, cut = located_blocks(df, spec, block_rows, rows_per_range, rows)
+                  trim: bool = True, rows: int | None = None, metrics: list | None = None) -> DataFrame:
+    """Sequence windows of every series of ``df`` by ranges and blocks of arrays.
+
+    ``metrics`` gets what is to be added up to the run metrics: a dict, and an observation per branch."""
+    counts = {} if metrics is not None else None
+    blocks, keys, cut = located_blocks(df, spec, block_rows, rows_per_range, rows, counts)
+    if metrics is not None:
+        metrics.append(counts)
+
+    def observed(i: int):
+        if metrics is None or not trim:
+            return None
+        metrics.append(Observation(f"ranges_{i}"))
+        return metrics[-1]
+
     if trim and spec.on_null != "keep":
-        done = [_slices(blocks, spec, trim)]
+        done = [_slices(blocks, spec, trim, observed(0))]
     else:  # only blocks that hold a NULL pay for taking them out
         has = (F.element_at("zp", -1) > 0) | (F.element_at("zl", -1) > 0)
-        done = [_slices(blocks.filter(~has), spec, trim), _compacted(_slices(blocks.filter(has), spec, trim), spec)]
+        done = [_slices(blocks.filter(~has), spec, trim, observed(0)), _compacted(_slices(blocks.filter(has), spec, trim, observed(1)), spec)]
     if cut:
-        done.append(border_windows(blocks, spec, keys, trim))
+        done.append(border_windows(blocks, spec, keys, trim, observed(2)))
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)

@@ -1009,6 +1009,31 @@ def q_sink_tfrecord_roundtrip(spark, sf):
     )
 
 
+@query(
+    "obs_run_metrics",
+    f"""
+WITH src AS ({_NULLY_SQL}),
+num AS (SELECT symbol, row_number() OVER ({_WO}) AS rn, count(*) OVER (PARTITION BY symbol) AS n,
+               count(ohlc_close) OVER ({_WO} ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS x,
+               count(ohlc_close) OVER ({_WO} ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS y FROM src),
+a AS (SELECT *, rn >= 8 AND rn <= n - 3 AS inside FROM num)
+SELECT count(*) AS rows_in, 0::BIGINT AS null_time, count(*) FILTER (rn = 1) AS series,
+       count(*) FILTER (rn = 1 AND n < 11) AS short_series, count(*) FILTER (inside) AS anchors_in_range,
+       count(*) FILTER (inside AND (x < 8 OR y < 3)) AS anchors_with_null,
+       count(*) FILTER (inside AND x = 8 AND y = 3) AS windows_out
+FROM a
+""",
+)
+def q_obs_run_metrics(spark, sf):
+    """Run metrics of a routed plan, observed while it writes: series over 70 rows take ranges, the rest windows."""
+    spec = events_spec(8, 3)
+    out, m_in, m_out = W.sequence_windows_observed(_nully_events(spark, sf), spec, plan="auto", hot_rows=70, block_rows=16, bucket_rows=40)
+    out.write.format("noop").mode("overwrite").save()
+    got = {**m_in.get, **m_out.get}
+    names = ["rows_in", "null_time", "series", "short_series", "anchors_in_range", "anchors_with_null", "windows_out"]
+    return spark.createDataFrame([tuple(int(got[c]) for c in names)], ", ".join(f"{c} long" for c in names))
+
+
 @query(
     "eval_batch_loss",
     _ANCHORS_SQL + """, rec AS (

@@ -224,3 +224,15 @@ def test_an_export_that_broke_off_is_never_served(spark, tmp_dir):
     got = {r["symbol"]: (r["version"], r["pred"]) for r in RG.score_latest(win, root, spec).collect()}
     assert got == {"a": (2, 40.0), "b": (1, 20.0), "c": (None, 10.0)}
     assert sorted((r["version"], r["symbol"], r["slope"]) for r in RG.read_models(spark, root).collect()) == [(1, "a", 2.0), (1, "b", 2.0), (2, "a", 4.0)]
+
+
+def test_scoring_runs_no_job_while_the_plan_is_built(spark, win8):
+    spec, win = win8
+    model = FC.fit_linear(win, spec)
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        preds = FC.predict_linear(win, model, spec)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+        assert preds.count() == 3 * win.count()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -146,6 +146,11 @@ def test_observed_run_metrics(spark):
     out.write.format("noop").mode("overwrite").save()
     assert m_in.get["anchors_in_range"] == 850
     assert m_in.get["anchors_with_null"] == 850 - m_out.get["windows_out"] > 0
+    expected = {**m_in.get, **m_out.get}
+    for plan, kw in (("auto", {"hot_rows": 66, "block_rows": 9, "bucket_rows": 44}), ("blocked", {"block_rows": 9, "bucket_rows": 44}), ("auto", {})):
+        out, m_in, m_out = W.sequence_windows_observed(nully, events_spec(8, 3), plan=plan, name="routed", **kw)
+        out.write.format("noop").mode("overwrite").save()
+        assert {**m_in.get, **m_out.get} == expected, (plan, kw)
 
 
 def test_building_blocks_skew_safe_equal_direct(spark):
