@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.arrays import array_last
 from ..params import SequenceSpec
-from .moments import merged, merged_moments, ridge_coefficients, row_moments, window_moments
+from .moments import fewer_parts, merged, ridge_coefficients, row_moments, unpacked, window_moments
 
 
 def _join_model(rows: DataFrame, model: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -242,7 +242,8 @@ def _solved(parts: DataFrame, series: Sequence[str], future: int, ridge: float)
     """``series..., horizon, coef, n_obs`` from parts of moments."""
     if ridge <= 0:
         raise ValueError("ridge must be > 0")
-    whole = merged_moments(parts, series)
+    ways = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    whole = fewer_parts(parts, series, ways)
     out_schema = T.StructType([whole.schema[c] for c in series] + [
         T.StructField("horizon", T.IntegerType()),
         T.StructField("coef", T.ArrayType(T.DoubleType())),
@@ -252,7 +253,7 @@ def _solved(parts: DataFrame, series: Sequence[str], future: int, ridge: float)
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         held = {}
         for h, n, mean, m2 in zip(pdf["h"], pdf["n"], pdf["mean"], pdf["m2"], strict=True):
-            held[h] = (int(n), np.asarray(mean, float), np.asarray(m2, float).reshape(len(mean), len(mean)))
+            held[h] = merged(held.get(h), unpacked(n, mean, m2))
         rows = []
         for h in range(1, future + 1):
             m = held.get(h)

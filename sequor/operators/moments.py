@@ -27,8 +27,13 @@ from ..params import SequenceSpec
 
 Moments = tuple[int, np.ndarray, np.ndarray]
 SALTS = 32
-#: Series whose moments a task holds at once.
-MOST_HELD = 512
+#: Bytes of moments that a task holds at once.
+MOST_BYTES = 64 << 20
+
+
+def most_held(spec: SequenceSpec) -> int:
+    """Series whose moments a task holds at once."""
+    return max(1, MOST_BYTES // (8 * (spec.past * len(spec.features) + spec.future) ** 2))
 
 
 def merged(a: Moments | None, b: Moments | None) -> Moments | None:
@@ -113,14 +118,20 @@ def of_block(x: np.ndarray, label: np.ndarray, anchors: np.ndarray, spec: Sequen
 
 
 def _schema(series: Sequence[T.StructField]) -> T.StructType:
-    doubles = T.ArrayType(T.DoubleType())
-    return T.StructType([*series, T.StructField("h", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("mean", doubles), T.StructField("m2", doubles)])
+    return T.StructType([*series, T.StructField("h", T.IntegerType()), T.StructField("n", T.LongType()),
+                         T.StructField("mean", T.BinaryType()), T.StructField("m2", T.BinaryType())])
+
+
+def unpacked(n: int, mean: bytes, m2: bytes) -> Moments:
+    """Moments from a row: doubles, little-endian."""
+    m = np.frombuffer(mean, "<f8")
+    return int(n), m, np.frombuffer(m2, "<f8").reshape(len(m), len(m))
 
 
 def _batch(held: dict[tuple, Moments], schema: T.StructType, kinds: list[pa.DataType]) -> pa.RecordBatch:
     columns = [pa.array([k[i] for k in held], kind) for i, kind in enumerate(kinds)]
     columns += [pa.array([k[-1] for k in held], pa.int32()), pa.array([m[0] for m in held.values()], pa.int64())]
-    columns += [pa.array([m[i].ravel().tolist() for m in held.values()], pa.list_(pa.float64())) for i in (1, 2)]
+    columns += [pa.array([m[i].astype("<f8").tobytes() for m in held.values()], pa.binary()) for i in (1, 2)]
     return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
 
@@ -173,7 +184,7 @@ def window_moments(windows: DataFrame, spec: SequenceSpec) -> DataFrame:
                 for h, m in new.items():
                     if m is not None:
                         held[(*key, h)] = merged(held.get((*key, h)), m)
-            if len(held) > MOST_HELD:
+            if len(held) > most_held(spec):
                 yield _batch(held, schema, kinds)
                 held = {}
         if held:
@@ -213,7 +224,7 @@ def row_moments(df: DataFrame, spec: SequenceSpec, block_rows: int = 4_000, rows
                 key = tuple(b[c] for c in keys)
                 for h, m in of_block(x, label, anchors, spec).items():
                     held[(*key, h)] = merged(held.get((*key, h)), m)
-                if len(held) > MOST_HELD:
+                if len(held) > most_held(spec):
                     yield _batch(held, schema, kinds)
                     held = {}
         if held:
@@ -231,20 +242,21 @@ def _adder(keys: list[str], names: list[str]):
     def add(pdf):  # noqa: ANN001
         total: Moments | None = None
         for n, mean, m2 in zip(pdf["n"], pdf["mean"], pdf["m2"], strict=True):
-            total = merged(total, (int(n), np.asarray(mean, float), np.asarray(m2, float).reshape(len(mean), len(mean))))
+            total = merged(total, unpacked(n, mean, m2))
         out = pdf[keys].iloc[:1].copy()
-        out["n"], out["mean"], out["m2"] = total[0], [total[1].tolist()], [total[2].ravel().tolist()]
+        out["n"], out["mean"], out["m2"] = total[0], [total[1].tobytes()], [total[2].tobytes()]
         return out[names]
 
     return add
 
 
-def merged_moments(parts: DataFrame, series: Sequence[str]) -> DataFrame:
-    """One row per series and h. In two steps, so that no task gets the parts of a hot series from all others."""
-    schema, keys = parts.schema, [*series, "h"]
-    add = _adder(keys, schema.names)
-    salted = parts.withColumn("_salt", F.spark_partition_id() % SALTS)
-    return salted.groupBy(*keys, "_salt").applyInPandas(add, schema).groupBy(*keys).applyInPandas(add, schema)
+def fewer_parts(parts: DataFrame, series: Sequence[str], ways: int) -> DataFrame:
+    """At most SALTS rows per series and h where tasks may have made more, up to ``ways``: who merges the parts of a
+    hot series then gets few of them."""
+    if ways <= 2 * SALTS:
+        return parts
+    keys = [*series, "h"]
+    return parts.withColumn("_salt", F.spark_partition_id() % SALTS).groupBy(*keys, "_salt").applyInPandas(_adder(keys, parts.schema.names), parts.schema)
 
 
 def ridge_coefficients(m: Moments, ridge: float) -> np.ndarray:

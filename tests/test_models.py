@@ -125,8 +125,9 @@ def test_run_moments_equal_direct_ones(past, future, shift, n):
     assert both[0] == count and np.allclose(both[2], m2, rtol=1e-6, atol=1e-5 * len(z))
 
 
-def test_window_ridge_from_rows(spark):
+def test_window_ridge_from_rows(spark, monkeypatch):
     """Rows give the coefficients that windows give, for any ranges and blocks, with gaps and with means of 1e8."""
+    from sequor.operators import moments as M
     from sequor.params import SequenceSpec
 
     rng = np.random.default_rng(4)
@@ -148,6 +149,10 @@ def test_window_ridge_from_rows(spark):
             slopes = np.linalg.solve(z.T @ z / len(z) + 1e-3 * np.eye(8), z.T @ (own - own.mean()) / len(z)) / sd
             got = model[s, h]
             assert got["n_obs"] == len(z) and np.allclose(got["coef"][1:], slopes, rtol=1e-4, atol=1e-6)
+    monkeypatch.setattr(M, "SALTS", 1)  # parts are merged in two steps
+    monkeypatch.setattr(M, "MOST_BYTES", 1)
+    again = {(r["s"], r["horizon"]): r for r in FC.fit_window_ridge_rows(df, spec, block_rows=40, rows_per_range=90).collect()}
+    assert all(np.allclose(again[k]["coef"], r["coef"], rtol=1e-6) and again[k]["n_obs"] == r["n_obs"] for k, r in model.items())
     gaps = df.withColumn("a", F.when(F.col("t") % 37 == 5, F.lit(None)).when(F.col("t") % 41 == 3, F.lit(float("nan"))).otherwise(F.col("a")))
     by_rows = {(r["s"], r["horizon"]): r for r in FC.fit_window_ridge_rows(gaps, spec, block_rows=30, rows_per_range=100).collect()}
     by_windows = {(r["s"], r["horizon"]): r for r in FC.fit_window_ridge(W.sequence_windows(gaps, spec, plan="direct"), spec).collect()}
