@@ -78,7 +78,8 @@ def fit_evaluate_export(
     """
     fspec = spec.with_(series=tuple(s for s in spec.series if s != channel_col))
     model = FC.fit_linear(windows.filter(F.col(channel_col) == "train"), fspec)
-    RG.export_models(model, model_path, version)
+    exported = RG.export_models(model, model_path, version)
+    model = exported.filter(F.col("version") == version).drop("version", "created")  # fitted once: the rows as exported
     held_out = windows.filter(F.col(channel_col).isin("eval", "test"))
     preds = FC.predict_linear(held_out, model, fspec, keys=[*keys, channel_col])
     return FC.regression_metrics(preds, [channel_col])

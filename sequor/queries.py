@@ -71,7 +71,7 @@ def q_sequence_windows(spark, sf):
 def q_sequence_windows_p8(spark, sf):
     """W4 minimum slice: P=8, F=3 (850 / 8 500 / 85 000 rows)."""
     spec = events_spec(8, 3)
-    return window_summary(W.sequence_windows(events_series(spark, sf), spec, plan="direct"), spec)
+    return window_summary(W.sequence_windows(events_series(spark, sf), spec, plan="auto"), spec)
 
 
 _GLOBAL_EVENTS_SQL = f"SELECT 'all' AS stream, * FROM ({EVENTS_SERIES_SQL})"
@@ -124,9 +124,10 @@ def q_sequence_windows_lineitem(spark, sf):
     ),
 )
 def q_win_stride_shift(spark, sf):
-    """Every 5th anchor, label starting 2 rows after the anchor."""
+    """Every 5th anchor, label starting 2 rows after the anchor; series over 70 rows take ranges."""
     spec = events_spec(60, 3, step=5, shift=2)
-    return window_summary(W.sequence_windows(events_series(spark, sf), spec, plan="direct"), spec)
+    out = W.sequence_windows(events_series(spark, sf), spec, plan="auto", hot_rows=70, block_rows=16, bucket_rows=40)
+    return window_summary(out, spec)
 
 
 # NULL handling: the value of an 'error' event counts as missing.
@@ -148,7 +149,7 @@ def _nully_events(spark, sf):
 def q_win_null_keep(spark, sf):
     """Reference behaviour: NULLs vanish from windows, short windows survive."""
     spec = events_spec(8, 3, on_null="keep")
-    return window_summary(W.sequence_windows(_nully_events(spark, sf), spec, plan="direct"), spec)
+    return window_summary(W.sequence_windows(_nully_events(spark, sf), spec, plan="auto"), spec)
 
 
 @query(
@@ -327,7 +328,7 @@ def _flagship_sql_no_keys() -> str:
 def q_proj_drop_keys(spark, sf):
     """Records without series key, time index or row number (keep_keys=False)."""
     spec = events_spec(60, 3, keep_keys=False)
-    out = W.sequence_windows(events_series(spark, sf), spec, plan="direct")
+    out = W.sequence_windows(events_series(spark, sf), spec, plan="auto")
     assert out.columns == FEATS + [spec.label_col], out.columns
     y = spec.label_col
     return out.select(
@@ -349,7 +350,7 @@ def q_proj_feature_label(spark, sf):
     from .operators.projections import split_features_label
 
     spec = events_spec(60, 3)
-    rec = W.sequence_windows(events_series(spark, sf), spec, plan="direct")
+    rec = W.sequence_windows(events_series(spark, sf), spec, plan="auto")
     out = split_features_label(rec, spec, keys=["symbol", "s_ts"])
     return out.select(
         "symbol", micros("s_ts").alias("ts_us"),
@@ -397,7 +398,7 @@ from .params import TrainingParams  # noqa: E402
 from .session import scratch_path  # noqa: E402
 from .sources.csv_series import series_schema  # noqa: E402
 from .sources.layout import read_layout  # noqa: E402
-from .sources.sinks import to_record_layout, write_sequences, write_series_csv  # noqa: E402
+from .sources.sinks import to_record_layout, write_plain_tree, write_sequences, write_series_csv  # noqa: E402
 from .sources.tables import table  # noqa: E402
 
 _SPLIT_SQL = f"""
@@ -535,6 +536,58 @@ def q_sink_csv_roundtrip(spark, sf):
     )
 
 
+# the plain tree holds a file per series and day, so its series are the five event types
+_PLAIN_SQL = _SPLIT_SQL.replace("user_id AS symbol", "event_type AS symbol") + f""", lay AS (
+  SELECT {_DIR_CASE} AS channel, strftime(s_ts, '%m-%d-%y') AS date, symbol, s_ts,
+         {", ".join(f"CAST(CAST({f} AS FLOAT) AS DOUBLE) AS {f}" for f in FEATS)}
+  FROM split)
+"""
+
+
+def _write_plain(spark, sf) -> str:
+    ev = events_series(spark, sf, symbol="event_type")
+    sp = split_chronological(ev, ["symbol"], EV_ORDER, TrainingParams())
+    tree = sp.withColumns({
+        "channel": PJ.channel_dir("channel"), "data_type": F.lit("price"), "exchange": F.lit("bn"), "date": format_mdy("s_ts")})
+    root = scratch_path(spark, "plain-tree")
+    write_plain_tree(tree, root, ts_format=_TS_FMT)
+    return root
+
+
+@query(
+    "src_plain_tree",
+    _PLAIN_SQL + f"SELECT channel, date, symbol, epoch_us(s_ts) AS ts_us, round(ohlc_close, {D}) AS close, "
+    f"round(ohlc_pcr, {D}) AS pcr, round(cmmc_max, {D}) AS cmmc FROM lay WHERE channel IN ('train', 'evaluation')",
+)
+def q_src_plain_tree(spark, sf):
+    """S4/F5, plain spelling: ``<channel>/<data_type>/<exchange>/<date>/<symbol>.csv`` files read by one scan of the
+    selected channels, the five parts taken from the path of each row's file."""
+    root = _write_plain(spark, sf)
+    df = read_layout(spark, root, channel=["train", "eval"], data_type="price", exchange="bn", ts_format=_TS_FMT)
+    return df.select(
+        "channel", "date", "symbol", micros("s_ts").alias("ts_us"), rounded(F.col("ohlc_close")).alias("close"),
+        rounded(F.col("ohlc_pcr")).alias("pcr"), rounded(F.col("cmmc_max")).alias("cmmc"))
+
+
+@query(
+    "job_transform_tree",
+    window_summary_sql("SELECT * FROM (" + _PLAIN_SQL + "SELECT * FROM lay) WHERE channel = 'train'",
+                       ["channel", "date", "symbol"], ["s_ts"], "s_ts", FEATS, "ohlc_close", 20, 3, step=2),
+)
+def q_job_transform_tree(spark, sf):
+    """The whole transform: every series file of the train channel of a plain tree becomes float32 sequence records
+    (one series per file), written as Parquet by channel and date, and read back."""
+    from .plans.jobs import transform_tree
+
+    spec = events_spec(20, 3, step=2).with_(order=("s_ts",))
+    path = scratch_path(spark, "transformed")
+    transform_tree(spark, _write_plain(spark, sf), path, spec, series_schema(), channel="train",
+                   data_type="price", exchange="bn", ts_format=_TS_FMT)
+    back = spark.read.parquet(path)
+    flat = back.withColumns({c: F.flatten(c).cast("array<double>") for c in [*FEATS, spec.label_col]})
+    return window_summary(flat, spec, keys=[F.col(c) for c in ("channel", "date", "symbol")])
+
+
 _F32_SQL = EVENTS_SERIES_SQL.replace("value AS ohlc_close", "CAST(CAST(value AS FLOAT) AS DOUBLE) AS ohlc_close")
 
 

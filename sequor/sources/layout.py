@@ -54,6 +54,12 @@ def parts_from_path(path: Column) -> dict[str, Column]:
     }
 
 
+def file_path() -> Column:
+    """The path of a row's file as it is spelled on disk: the hidden column holds a URI, whose percent-encoding is
+    undone here (a plus stands for itself in it)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def _glob_part(value: str | Sequence[str] | None) -> str:
     if value is None:
         return "*"
@@ -94,9 +100,7 @@ def read_layout(
              _glob_part(dates), f"*.{ext}"]
         )
         df = read_series_csv(spark, glob, schema=schema, ts_format=ts_format, quarantine=quarantine)
-        # the path is a URI: undo its percent-encoding, in which a plus stands for itself
-        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        return df.withColumns(parts_from_path(path))
+        return df.withColumns(parts_from_path(file_path()))
     if layout == "hive":
         data_fields = [f for f in schema.fields if f.name != "_corrupt_record"]
         data_fields.append(T.StructField("symbol", T.StringType(), True))

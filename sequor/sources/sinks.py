@@ -3,6 +3,8 @@
 * :func:`write_series_csv` - raw series as header CSV in the Hive spelling of
   the series tree (one directory per channel / data_type / exchange / date /
   symbol), readable back with :func:`sequor.sources.layout.read_layout`.
+* :func:`write_plain_tree` - the same rows as ``<channel>/<data_type>/<exchange>/<date>/<symbol>.csv``, one
+  file per series and day, for readers that walk the tree by name.
 * :func:`write_sequences` - sequence records as Parquet, partitioned by the
   given columns, with dynamic partition overwrite (re-running one date
   replaces only that date).
@@ -20,6 +22,7 @@ are too large (a hot date never becomes one task) and coalesces small ones;
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +31,7 @@ from pyspark.sql import types as T
 from ..functions.arrays import wrap_elements
 from ..params import DEFAULT_FEATURES, DEFAULT_INDEX_COL, SequenceSpec
 from .csv_series import DEFAULT_TS_FORMAT
-from .layout import TREE_COLS
+from .layout import LAYOUT_COLS, TREE_COLS
 
 
 def write_series_csv(
@@ -66,6 +69,64 @@ def write_series_csv(
     )
 
 
+def _moved_name(relative: str) -> str:
+    """``channel=c/data_type=t/exchange=e/date=d/symbol=s/part-x.csv`` -> ``c/t/e/d/s.csv``."""
+    values = [unquote(part.split("=", 1)[1]) for part in relative.split("/")[:-1]]
+    if any("/" in v or ":" in v or v in (".", "..", "__HIVE_DEFAULT_PARTITION__") for v in values):
+        raise ValueError(f"not a name in a plain tree: {values}")
+    return "/".join(values) + ".csv"
+
+
+def write_plain_tree(
+    df: DataFrame,
+    root: str,
+    ts_format: str = DEFAULT_TS_FORMAT,
+    index_col: str = DEFAULT_INDEX_COL,
+    features: Sequence[str] = DEFAULT_FEATURES,
+) -> int:
+    """S5, plain spelling: one header CSV per (channel, data_type, exchange, date, symbol); returns the files written.
+
+    Spark's partitioned writer makes one file per series and day, its rows in time order, in a staging folder
+    beside ``root``; once that job has committed, the driver gives each file its name in the tree (a rename of
+    names alone: no row passes it) and takes the place of an earlier file of that name. The number of renames is
+    the number of files, so for millions of series-days :func:`write_series_csv` is the one to use. A file is
+    written by one task, which streams it. NULL or empty tree parts, and parts with a slash or colon, raise ``ValueError``
+    before any file is moved; a job that breaks off earlier leaves ``root`` as it was.
+    """
+    spark = df.sparkSession
+    staging = f"{root.rstrip('/')}.staging"
+    out = df.select(index_col, *features, *LAYOUT_COLS).repartition(*LAYOUT_COLS)
+    (
+        out.sortWithinPartitions(*LAYOUT_COLS, index_col).write.mode("overwrite")
+        .option("header", True)
+        .option("timestampFormat", ts_format)
+        .option("timestampNTZFormat", ts_format)
+        .partitionBy(*LAYOUT_COLS)
+        .csv(staging)
+    )
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    base = path(staging)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    below = fs.makeQualified(base).toString() + "/"
+    moves, files = [], fs.listFiles(base, True)
+    while files.hasNext():
+        file = files.next().getPath()
+        if file.getName().startswith("part-"):
+            moves.append((file, _moved_name(file.toString()[len(below):])))
+    made = set()
+    for file, name in moves:
+        to = path(f"{root.rstrip('/')}/{name}")
+        if to.getParent().toString() not in made:
+            fs.mkdirs(to.getParent())
+            made.add(to.getParent().toString())
+        if fs.exists(to):
+            fs.delete(to, False)
+        if not fs.rename(file, to):
+            raise OSError(f"could not move {file} to {to}")
+    fs.delete(base, True)
+    return len(moves)
+
+
 RECORD_TYPE = T.ArrayType(T.ArrayType(T.FloatType()))
 
 

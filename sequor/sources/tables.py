@@ -33,8 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def events_series(spark: SparkSession, sf_dir: str, error_value_missing: bool = False) -> DataFrame:
-    """``events`` projected into the raw-series layout (doubles, not float32).
+def events_series(spark: SparkSession, sf_dir: str, error_value_missing: bool = False, symbol: str = "user_id") -> DataFrame:
+    """``events`` projected into the raw-series layout (doubles, not float32), one series per ``symbol`` value.
 
     ``error_value_missing`` turns the value of 'error' events into NULL, which
     gives real data with gaps for the NULL policies.
@@ -44,7 +44,7 @@ def events_series(spark: SparkSession, sf_dir: str, error_value_missing: bool =
     if error_value_missing:
         close = F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(close)
     return ev.select(
-        F.col("user_id").alias("symbol"),
+        F.col(symbol).alias("symbol"),
         F.col("ts").alias("s_ts"),
         F.col("event_id"),
         close.alias("ohlc_close"),

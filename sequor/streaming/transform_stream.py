@@ -14,7 +14,6 @@ restarted query resumes where it stopped.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,7 +21,7 @@ from ..operators.windows import sequence_windows
 from ..params import SequenceSpec
 from ..session import ensure_checkpoint_dir
 from ..sources.csv_series import DEFAULT_TS_FORMAT
-from ..sources.layout import LAYOUT_COLS, parts_from_path
+from ..sources.layout import LAYOUT_COLS, file_path, parts_from_path
 from ..sources.sinks import to_record_layout, write_sequences
 
 
@@ -38,7 +37,7 @@ def series_file_stream(spark: SparkSession, root: str, schema: T.StructType, ts_
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.csv(f"{root.rstrip('/')}/*/*/*/*/*.{ext}")
-    return df.withColumns(parts_from_path(F.col("_metadata.file_path")))
+    return df.withColumns(parts_from_path(file_path()))
 
 
 def start_transform_stream(
@@ -59,7 +58,7 @@ def start_transform_stream(
     sink_root = sink_root.rstrip("/")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        windows = sequence_windows(batch, spec, plan="direct")
+        windows = sequence_windows(batch, spec)  # counts the files' rows first: a long file takes ranges
         records = to_record_layout(windows, spec, keep=[*LAYOUT_COLS, spec.time_col, "rn"])
         write_sequences(records, f"{sink_root}/batch_id={batch_id}", mode="overwrite")
 

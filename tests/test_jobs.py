@@ -46,3 +46,15 @@ def test_fit_evaluate_export(spark, tmp_dir):
     assert set(metrics) <= {"eval", "test"} and all(r["n"] > 0 for r in metrics.values())
     models = spark.read.parquet(f"{tmp_dir}/models")
     assert {r[0] for r in models.select("version").distinct().collect()} == {7}
+
+
+def test_metrics_come_from_the_exported_fit(spark, tmp_dir):
+    """The held-out rows are scored with the rows as exported; nothing of the fit is in that plan."""
+    ev = events_series(spark, SF001)
+    sp = split_chronological(ev, ["symbol"], ["s_ts", "event_id"], TrainingParams())
+    spec = events_spec(8, 3).with_(series=("symbol", "channel"))
+    win = W.sequence_windows(sp, spec).withColumn("ts_us", F.col("rn"))
+    first = fit_evaluate_export(win, spec, f"{tmp_dir}/models", 1, keys=("ts_us",))
+    assert "regr_slope" not in first._jdf.queryExecution().optimizedPlan().toString()
+    again = fit_evaluate_export(win, spec, f"{tmp_dir}/models", 2, keys=("ts_us",))
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, again.collect()))

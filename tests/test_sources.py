@@ -8,7 +8,7 @@ from sequor.operators import projections as PJ
 from sequor.params import SequenceSpec
 from sequor.sources.csv_series import read_series_csv, series_schema
 from sequor.sources.layout import read_layout
-from sequor.sources.sinks import to_record_layout, write_sequences, write_series_csv
+from sequor.sources.sinks import to_record_layout, write_plain_tree, write_sequences, write_series_csv
 from sequor.operators import windows as W
 
 from .conftest import write_micro_csv
@@ -45,6 +45,38 @@ def test_plain_tree_selection_is_a_glob(spark, tmp_dir):
     assert len(files) == 2
 
 
+PLAIN = "s_ts string, a double, b double, symbol string, channel string, data_type string, exchange string, date string"
+
+
+def _plain_rows(spark, symbols, n=4):
+    rows = [(f"2020-05-13 00:00:0{i}", float(i) if i != 2 else None, 10.0 * i, s, ch, "price", "bn", "05-13-20")
+            for i in reversed(range(n)) for s in symbols for ch in ("train", "validation")]
+    return spark.createDataFrame(rows, PLAIN).withColumn("s_ts", F.col("s_ts").cast("timestamp_ntz"))
+
+
+def test_written_plain_tree_is_read_back(spark, tmp_dir):
+    root, names = f"{tmp_dir}/tree", ["ada", "a b", "x#1", "50%", "p+q", "k=v", "été"]
+    assert write_plain_tree(_plain_rows(spark, names), root, features=("a", "b")) == 2 * len(names)
+    with open(f"{root}/train/price/bn/05-13-20/ada.csv") as fh:  # header, time order, blank for NULL
+        assert fh.read().split("\n")[:4] == ["s_ts,a,b", "2020-05-13 00:00:00,0.0,0.0", "2020-05-13 00:00:01,1.0,10.0", "2020-05-13 00:00:02,,20.0"]
+    back = read_layout(spark, root, schema=series_schema(("a", "b")))
+    got = {(r["channel"], r["symbol"]): (r["n"], r["na"]) for r in
+           back.groupBy("channel", "symbol").agg(F.count("*").alias("n"), F.count("a").alias("na")).collect()}
+    assert got == {(ch, s): (4, 3) for ch in ("train", "validation") for s in names}
+    # again with fewer rows: files of the same name are replaced, others stay
+    write_plain_tree(_plain_rows(spark, ["ada"], n=2), root, features=("a", "b"))
+    back = read_layout(spark, root, schema=series_schema(("a", "b")), channel="train")
+    assert {r["symbol"]: r["count"] for r in back.groupBy("symbol").count().collect()} == {s: 2 if s == "ada" else 4 for s in names}
+
+
+@pytest.mark.parametrize("bad", [None, "", "a/b", "c:d", ".."])
+def test_plain_tree_refuses_names_that_are_no_file_names(spark, tmp_dir, bad):
+    with pytest.raises(ValueError):
+        write_plain_tree(_plain_rows(spark, ["ada", bad]), f"{tmp_dir}/tree", features=("a", "b"))
+    with pytest.raises(FileNotFoundError):
+        read_layout(spark, f"{tmp_dir}/tree", schema=series_schema(("a", "b")))
+
+
 def test_missing_path_raises(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
         read_series_csv(spark, f"{tmp_dir}/nothing/*.csv")
