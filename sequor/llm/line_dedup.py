@@ -3,8 +3,11 @@
 Every long line becomes one narrow row (two 64-bit hashes of its key, document,
 position). The rows are range-partitioned by (hash, document) and sorted by
 (hash, document, position), so a key that a third of all documents hold is
-spread over many partitions; each partition streams the first occurrence per
-document and pre-aggregates per hash before the small second shuffle. What comes
+spread over many partitions. Each partition numbers the occurrences of a key in a
+document as they pass in that order and lets the first through; these are counted
+per hash, in the partition first, before the small second shuffle. The hashes found
+in enough documents are written: their size on disk tells Spark whether to broadcast
+them to the narrow rows, and where not, its skew join splits a hot hash. What comes
 back per document is not text but a run-length compressed keep bitmap.
 
 Defined cases. Null or empty text: one empty line. A null id counts as one
@@ -34,6 +37,18 @@ def _lower_ascii(key: Column) -> Column:
     return F.lower(F.when(F.octet_length(key) == F.length(key), key).otherwise(latin))
 
 
+def first_occurrences(keyed: DataFrame) -> DataFrame:
+    """Of rows (h1, h2, doc, pos) the first of every hash and document. The range partitioning and the sort are
+    those that the window asks for, so neither is made twice, and rows only pass by."""
+    stream = (
+        keyed.select("h1", "h2", "doc", "pos")
+        .repartitionByRange("h1", "h2", "doc")
+        .sortWithinPartitions("h1", "h2", "doc", "pos")
+    )
+    nth = F.row_number().over(Window.partitionBy("h1", "h2", "doc").orderBy("pos"))
+    return stream.withColumn("nth", nth).filter("nth = 1").drop("nth")
+
+
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """For every document that loses a line: ``doc``, ``row_key`` (hash of its
@@ -50,16 +65,11 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     h1, h2 = two_hashes(_lower_ascii(F.col("key")))
     keyed = stored(keyed.select(h1.alias("h1"), h2.alias("h2"), "doc", "rk", "n_lines", "pos"), "line-keys")
 
-    first = (
-        keyed.select("h1", "h2", "doc", "pos")
-        .repartitionByRange("h1", "h2", "doc")
-        .sortWithinPartitions("h1", "h2", "doc", "pos")
-        .groupBy("h1", "h2", "doc").agg(F.min("pos").alias("pos"))
-    )
     shared = (
-        first.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper"))
+        first_occurrences(keyed).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper"))
         .filter(F.col("n_docs") >= min_docs).drop("n_docs")
     )
+    shared = stored(shared, "shared-lines")
     gone = keyed.join(shared, ["h1", "h2"]).filter(~F.col("doc").eqNullSafe(F.col("keeper")))
 
     per_row = Window.partitionBy("doc", "rk")
@@ -89,29 +99,29 @@ def kept_text(text: Column, keep_runs: Column) -> Column:
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the bitmap columns of each row beside its own (null: nothing dropped)."""
-    d, b = docs.alias("d"), bitmaps.alias("b")
-    text = F.coalesce(F.col(f"d.{text_col}"), F.lit(""))
-    on = F.col(f"d.{id_col}").eqNullSafe(F.col("b.doc")) & (row_key(text) == F.col("b.row_key"))
-    return d.join(b, on, "left").select("d.*", F.col("b.n_dropped").alias("_n_dropped"), F.col("b.keep_runs").alias("_keep_runs"))
+    """Every row of ``docs`` as the struct ``row``, whose names can't clash with the bitmap columns beside it:
+    n_dropped and keep_runs (null: nothing dropped)."""
+    d = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), row_key(F.coalesce(F.col(text_col), F.lit(""))).alias("rk"))
+    on = F.col("id").eqNullSafe(F.col("doc")) & (F.col("rk") == F.col("row_key"))
+    return d.join(bitmaps, on, "left").select("row", "n_dropped", "keep_runs")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
     """``docs`` with the dropped lines taken out of the text, same columns."""
     both = apply_bitmaps(docs, keep_bitmaps(docs, id_col, text_col, **rule), id_col, text_col)
-    text = F.when(F.col("_keep_runs").isNull(), F.col(text_col)).otherwise(
-        kept_text(F.coalesce(F.col(text_col), F.lit("")), F.col("_keep_runs")))
-    return both.withColumn(text_col, text).select(*[f"`{c}`" for c in docs.columns])
+    old = F.col("row")[text_col]  # a null text has one short line, so it never has a bitmap
+    text = F.when(F.col("keep_runs").isNull(), old).otherwise(kept_text(old, F.col("keep_runs")))
+    return both.select(*[(text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame) -> DataFrame:
     """The digest of query op3: one row per document."""
     both = apply_bitmaps(docs.select("doc_id", "text"), keep_bitmaps(docs))
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = F.coalesce(F.col("row")["text"], F.lit(""))
     return both.select(
-        "doc_id", F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
-        F.coalesce(F.col("_n_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.sha2(kept_text(text, F.col("_keep_runs")), 256).alias("kept_sha256"))
+        F.col("row")["doc_id"].alias("doc_id"), F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
+        F.coalesce(F.col("n_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.sha2(kept_text(text, F.col("keep_runs")), 256).alias("kept_sha256"))
 
 
 SQL = """

@@ -74,6 +74,26 @@ def test_line_dedup(docs, empty):
     assert line_dedup.line_dedup(docs).columns == docs.columns
 
 
+def test_line_dedup_sorts_once_and_streams_first_occurrences(spark):
+    rows = [(h, 0, d, p) for h in range(3) for d in (1, 2, None) for p in (9, 4, 4, 7)]
+    first = line_dedup.first_occurrences(spark.createDataFrame(rows, "h1 long, h2 long, doc long, pos int"))
+    _same(first.collect(), [(h, 0, d, 4) for h in range(3) for d in (1, 2, None)])
+    plan = first.groupBy("h1").agg(F.count("*"), F.max("doc"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning(") == 1 and plan.count("hashpartitioning(") == 1  # the latter: of the counts
+    # pos is used by nothing but the sort, which stays, and by the window that asks for it
+    assert len(re.findall(r"Sort \[h1#\d+L ASC.*pos#\d+ ASC", plan)) == 1 and "row_number() windowspecdefinition(h1" in plan
+
+
+def test_line_dedup_clashing_names(spark):
+    line = "a line of forty code points and more, in six documents"
+    rows = [(i, f"{line}\nown {i}", 5, "x", i, "r") for i in range(6)]
+    names = "doc_id long, text string, _n_dropped int, _keep_runs string, keep_runs int, row string"
+    df = spark.createDataFrame(rows, names).withColumns({"n_dropped": F.lit(1), "id": F.lit(2), "rk": F.lit("k"), "doc": F.lit(0)})
+    got = line_dedup.line_dedup(df)
+    assert got.columns == df.columns
+    _same(got.collect(), [(i, f"{line}\nown {i}" if i == 5 else f"own {i}", 5, "x", i, "r", 1, 2, "k", 0) for i in range(6)])
+
+
 def test_line_dedup_bitmaps_are_runs(docs):
     for r in line_dedup.keep_bitmaps(docs).collect():
         runs = [(x["start"], x["len"]) for x in r["keep_runs"]]
