@@ -6,8 +6,9 @@
 2. Anchors are counted by gram; those that occur once are done. An anchor's context is all bytes
    that a window holding it can reach. Equal contexts are collapsed before any text is moved, by
    128 bits of hash: what occurs twice as a whole is repeated as a whole.
-3. Grams with several different contexts go, one copy of each context, to shards by gram. A shard
-   is sorted by external induced sorting (:mod:`.induced`), which streams suffixes with their common
+3. A window of LENGTH bytes around an anchor holds ``SIDE`` bytes before it and its gram, or ``SIDE`` + GRAM bytes from it
+   on. So only contexts that share one of these two strings with another context can share a window: all others
+   are done. One copy of each context that is left goes to shards by gram. A shard is sorted by external induced sorting (:mod:`.induced`), which streams suffixes with their common
    prefixes: neighbours that share LENGTH bytes and lie at different places are repeated.
 4. Spans found in a context go to all anchors that have it, are merged per document, and cut out.
 
@@ -37,6 +38,7 @@ from .induced import CLAMP, suffixes
 LENGTH = 200
 GRAM = 32
 REACH = LENGTH - GRAM  # how far before an anchor a window that selects it can begin
+SIDE = REACH // 2  # a window has so many bytes before its anchor, or so many after its gram
 SHARD_BYTES = 4 << 20
 _PIECE = 1 << 20
 _PLACE_BITS = 28
@@ -48,9 +50,9 @@ _ODD = _rng.integers(0, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1
 assert LENGTH <= CLAMP
 
 
-def gram_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all GRAM-byte and of all 128-byte strings."""
-    h, width, k, short = _BYTE[data], 1, 0, None
+def gram_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of all GRAM-byte, 64-byte and 128-byte strings."""
+    h, width, k, short, middle = _BYTE[data], 1, 0, None, None
     while width < 128:
         if len(h) <= width:
             h = h[:0]
@@ -60,7 +62,9 @@ def gram_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         width, k = 2 * width, k + 1
         if width == GRAM:
             short = h
-    return (mixed(short) if short is not None else h), h
+        if width == 64:
+            middle = h
+    return (mixed(short) if short is not None else h), (middle if middle is not None else h), h
 
 
 def window_least(v: np.ndarray, width: int) -> np.ndarray:
@@ -76,12 +80,12 @@ def window_least(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Places of the anchors of texts that lie end to end (``ends``: where each ends), the hashes
-    of their grams, and the hashes of all 128-byte strings."""
-    short, long = gram_hashes(data)
+    of their grams, and the hashes of all 64-byte and 128-byte strings."""
+    short, middle, long = gram_hashes(data)
     if len(data) < LENGTH:
-        return np.zeros(0, np.int64), short[:0], long
+        return np.zeros(0, np.int64), short[:0], middle, long
     v = (short & ~_PLACE) | np.arange(len(short), dtype=np.uint64)
     for e in ends.tolist():  # grams across two texts select nothing
         v[max(e - GRAM + 1, 0) : e] = _LAST
@@ -89,7 +93,7 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     least = least[np.r_[True, least[1:] != least[:-1]]]
     at = (least[least != _LAST] & _PLACE).astype(np.int64)
     at = at[np.r_[True, at[1:] != at[:-1]]] if len(at) else at
-    return at, short[at], long
+    return at, short[at], middle, long
 
 
 def context_hashes(long: np.ndarray, lo: np.ndarray, hi: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -99,19 +103,32 @@ def context_hashes(long: np.ndarray, lo: np.ndarray, hi: np.ndarray, before: np.
     return mixed(h + before.astype(np.uint64) * _ODD[11] + size.astype(np.uint64) * _ODD[12])
 
 
+def side_hashes(middle: np.ndarray, at: np.ndarray, before: np.ndarray, after: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the SIDE bytes before an anchor with its gram, and of the SIDE + GRAM bytes from it on. Where a
+    text has fewer, no window holds that string: the context's own hash, which nothing else has, stands for it."""
+    width = SIDE + GRAM
+    both = []
+    for lo, whole, k in ((at - SIDE, before >= SIDE, 13), (at, after >= width, 14)):
+        lo = np.where(whole, lo, 0)
+        h = mixed(middle[lo] * _ODD[k] + middle[np.where(whole, lo + width - 64, 0)] * _ODD[15]) if len(at) else context
+        both.append(np.where(whole, h, context))
+    return both[0], both[1]
+
+
 def _of_batch(batch: pa.RecordBatch) -> Iterator[tuple]:
-    """(row, place, gram, context, before, after) arrays of the anchors of a batch."""
+    """(row, place, gram, context, before, after, left, right) arrays of the anchors of a batch."""
     for first, part in chunks(batch.column("t"), _PIECE):
         data, starts = text_buffer(part)
         if len(part) == 1 and len(data) > 2 * _PIECE:
             yield from _of_long(first, data)
             continue
-        at, gram, long = anchors(data, starts[1:])
+        at, gram, middle, long = anchors(data, starts[1:])
         row = np.searchsorted(starts, at, side="right") - 1
         before, after = np.minimum(at - starts[row], REACH), np.minimum(starts[row + 1] - at, LENGTH)
         ok = before + after >= LENGTH
         at, gram, row, before, after = (x[ok] for x in (at, gram, row, before, after))
-        yield first + row, at - starts[row], gram, context_hashes(long, at - before, at + after, before), before, after
+        context = context_hashes(long, at - before, at + after, before)
+        yield first + row, at - starts[row], gram, context, before, after, *side_hashes(middle, at, before, after, context)
 
 
 def _of_long(row: int, data: np.ndarray) -> Iterator[tuple]:
@@ -119,7 +136,7 @@ def _of_long(row: int, data: np.ndarray) -> Iterator[tuple]:
     seen, margin = -1, 2 * LENGTH
     for base in range(0, len(data), _PIECE):
         lo, hi = max(base - margin, 0), min(base + _PIECE + margin, len(data))
-        at, gram, long = anchors(data[lo:hi], np.array([hi - lo]))
+        at, gram, middle, long = anchors(data[lo:hi], np.array([hi - lo]))
         place = at + lo
         before, after = np.minimum(place, REACH), np.minimum(len(data) - place, LENGTH)
         # those that the piece before has given, or that the next one gives with its whole context
@@ -127,23 +144,25 @@ def _of_long(row: int, data: np.ndarray) -> Iterator[tuple]:
         at, place, gram, before, after = (x[ok] for x in (at, place, gram, before, after))
         if len(place):
             seen = int(place[-1])
-            yield np.full(len(at), row), place, gram, context_hashes(long, at - before, at + after, before), before, after
+            context = context_hashes(long, at - before, at + after, before)
+            yield np.full(len(at), row), place, gram, context, before, after, *side_hashes(middle, at, before, after, context)
 
 
 def find_anchors(rows: DataFrame) -> DataFrame:
-    """fp, ctx, doc, rk, pos, before, after of every anchor of the rows (doc, rk, t)."""
+    """fp, ctx, doc, rk, pos, before, after, left, right of every anchor of the rows (doc, rk, t)."""
     kind = rows.schema["doc"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, place, gram, context, before, after in _of_batch(batch):
+            for row, place, gram, context, before, after, left, right in _of_batch(batch):
                 own = batch.select(["doc", "rk"]).take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), *own.columns,
-                    pa.array(place, pa.int64()), pa.array(before, pa.int16()), pa.array(after, pa.int16())],
-                    names=["fp", "ctx", "doc", "rk", "pos", "before", "after"])
+                    pa.array(place, pa.int64()), pa.array(before, pa.int16()), pa.array(after, pa.int16()),
+                    pa.array(left.view(np.int64)), pa.array(right.view(np.int64))],
+                    names=["fp", "ctx", "doc", "rk", "pos", "before", "after", "left", "right"])
 
-    return rows.mapInArrow(run, f"fp long, ctx long, doc {kind}, rk long, pos long, before short, after short")
+    return rows.mapInArrow(run, f"fp long, ctx long, doc {kind}, rk long, pos long, before short, after short, left long, right long")
 
 
 class Shard:
@@ -244,12 +263,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     every = stored(find_anchors(rows), "repeats-anchors")
     twice = every.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("fp")
     again = stored(every.join(twice, "fp"), "repeats-again")
-    kinds = again.groupBy("fp", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "rk", "pos", "before", "after")).alias("r"))
+    kinds = again.groupBy("fp", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "rk", "pos", "before", "after", "left", "right")).alias("r"))
     kinds = stored(kinds.select("fp", "ctx", "n", "r.*"), "repeats-contexts")
     whole = kinds.filter("n > 1").select("fp", "ctx", F.lit(0).cast("long").alias("lo"), (F.col("before") + F.col("after")).cast("long").alias("hi"))
 
-    several = kinds.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("fp")
-    several = stored(kinds.join(several, "fp"), "repeats-several")
+    sides = kinds.select(F.explode(F.array_distinct(F.array("left", "right"))).alias("side"))
+    sides = stored(sides.groupBy("side").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("side", F.lit(True).alias("shared")), "repeats-sides")
+    by_left, by_right = (sides.select(F.col("side").alias(c), F.col("shared").alias(f"by_{c}")) for c in ("left", "right"))
+    several = kinds.join(by_left, "left", "left").join(by_right, "right", "left").filter("by_left or by_right")
+    several = stored(several.select("fp", "ctx", "n", "doc", "rk", "pos", "before", "after"), "repeats-several")
     shards = max(1, -(-several.count() * (REACH + LENGTH) // SHARD_BYTES))
     first = F.col("pos") - F.col("before")
     wanted = several.groupBy("doc", "rk").agg(F.collect_list(F.struct("fp", "ctx", "n", first.alias("first"), (F.col("before") + F.col("after")).alias("size"))).alias("w"))
