@@ -8,7 +8,8 @@
    128 bits of hash: what occurs twice as a whole is repeated as a whole.
 3. A window of LENGTH bytes around an anchor holds ``SIDE`` bytes before it and its gram, or ``SIDE`` + GRAM bytes from it
    on. So only contexts that share one of these two strings with another context can share a window: all others
-   are done. One copy of each context that is left goes to shards by gram. A shard is sorted by external induced sorting (:mod:`.induced`), which streams suffixes with their common
+   are done, and of one that shares a single side only the bytes that its windows on that side reach are
+   needed. One copy of each context that is left goes to shards by gram. A shard is sorted by external induced sorting (:mod:`.induced`), which streams suffixes with their common
    prefixes: neighbours that share LENGTH bytes and lie at different places are repeated.
 4. Spans found in a context go to all anchors that have it, are merged per document, and cut out.
 
@@ -170,7 +171,7 @@ class Shard:
 
     def __init__(self):
         self.file, self.size = tempfile.TemporaryFile(), 0
-        self.columns: list[list[np.ndarray]] = [[], [], [], [], []]  # length, fp, ctx, copies, place of the first byte
+        self.columns: list[list[np.ndarray]] = [[], [], [], [], [], []]  # length, fp, ctx, copies, place of the first byte, bytes skipped
         self.rows: dict = {}
         self.row: list[int] = []
 
@@ -180,21 +181,21 @@ class Shard:
         joined = b"".join(d.translate(table) + b"\x01" for d in data)
         self.file.write(joined)
         self.size += len(joined)
-        got = [np.array([len(d) for d in data], np.int64), *(batch.column(c).to_numpy() for c in ("fp", "ctx", "n", "first"))]
+        got = [np.array([len(d) for d in data], np.int64), *(batch.column(c).to_numpy() for c in ("fp", "ctx", "n", "first", "skip"))]
         for own, x in zip(self.columns, got, strict=True):
             own.append(x)
         for key in zip(batch.column("doc").to_pylist(), batch.column("rk").to_pylist(), strict=True):
             self.row.append(self.rows.setdefault(key, len(self.rows)))
 
     def spans(self) -> pa.RecordBatch | None:
-        """fp, ctx and where repeated bytes lie in contexts that occur once, counted from their first byte."""
+        """fp, ctx and where repeated bytes lie in contexts that occur once, counted from the first byte of the whole context."""
         if not self.size:
             return None
         self.file.write(b"\x00" * (1 + CLAMP + 8))
         self.file.flush()
         n = self.size + 1
         text = np.memmap(self.file, np.uint8, "r", shape=(n + CLAMP + 8,))
-        length, fp, ctx, copies, first = (np.concatenate(c) for c in self.columns)
+        length, fp, ctx, copies, first, skip = (np.concatenate(c) for c in self.columns)
         starts = np.cumsum(length + 1) - (length + 1)
         row = np.array(self.row, np.int64)
         mark = np.zeros(n, bool)
@@ -237,12 +238,12 @@ class Shard:
         tails = np.r_[heads[1:], len(at)] - 1
         own = own[heads]
         return pa.RecordBatch.from_arrays([
-            pa.array(fp[own]), pa.array(ctx[own]), pa.array(at[heads] - starts[own]),
-            pa.array(at[tails] - starts[own] + LENGTH)], names=["fp", "ctx", "lo", "hi"])
+            pa.array(fp[own]), pa.array(ctx[own]), pa.array(at[heads] - starts[own] + skip[own]),
+            pa.array(at[tails] - starts[own] + skip[own] + LENGTH)], names=["fp", "ctx", "lo", "hi"])
 
 
 def sorted_spans(contexts: DataFrame, shards: int) -> DataFrame:
-    """Spans (fp, ctx, lo, hi) found by sorting each shard of contexts (fp, ctx, n, doc, rk, first, bytes)."""
+    """Spans (fp, ctx, lo, hi) found by sorting each shard of contexts (fp, ctx, n, doc, rk, first, skip, bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = Shard()
@@ -271,14 +272,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sides = stored(sides.groupBy("side").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("side", F.lit(True).alias("shared")), "repeats-sides")
     by_left, by_right = (sides.select(F.col("side").alias(c), F.col("shared").alias(f"by_{c}")) for c in ("left", "right"))
     several = kinds.join(by_left, "left", "left").join(by_right, "right", "left").filter("by_left or by_right")
-    several = stored(several.select("fp", "ctx", "n", "doc", "rk", "pos", "before", "after"), "repeats-several")
+    lead = F.when(F.col("by_left"), F.col("before")).otherwise(F.least(F.col("before").cast("int"), F.lit(SIDE)))
+    tail = F.when(F.col("by_right"), F.col("after")).otherwise(F.least(F.col("after").cast("int"), F.lit(SIDE + GRAM)))
+    several = several.select("fp", "ctx", "n", "doc", "rk", (F.col("pos") - lead).alias("first"),
+                             (F.col("before") - lead).cast("long").alias("skip"), (lead + tail).alias("size"))
+    several = stored(several, "repeats-several")
     shards = max(1, -(-several.count() * (REACH + LENGTH) // SHARD_BYTES))
-    first = F.col("pos") - F.col("before")
-    wanted = several.groupBy("doc", "rk").agg(F.collect_list(F.struct("fp", "ctx", "n", first.alias("first"), (F.col("before") + F.col("after")).alias("size"))).alias("w"))
+    wanted = several.groupBy("doc", "rk").agg(F.collect_list(F.struct("fp", "ctx", "n", "first", "skip", "size")).alias("w"))
     d, w = rows.alias("d"), wanted.alias("w")
     both = d.join(w, F.col("d.doc").eqNullSafe(F.col("w.doc")) & (F.col("d.rk") == F.col("w.rk")))
     both = both.select("d.doc", "d.rk", F.encode("t", "UTF-8").alias("b"), "w.w")
-    cut = F.transform("w", lambda x: F.struct(x["fp"].alias("fp"), x["ctx"].alias("ctx"), x["n"].alias("n"), x["first"].alias("first"),
+    cut = F.transform("w", lambda x: F.struct(x["fp"].alias("fp"), x["ctx"].alias("ctx"), x["n"].alias("n"), x["first"].alias("first"), x["skip"].alias("skip"),
                                               F.substring(F.col("b"), (x["first"] + 1).cast("int"), x["size"].cast("int")).alias("bytes")))
     contexts = both.select("doc", "rk", F.explode(cut).alias("c")).select("doc", "rk", "c.*")
     found = stored(sorted_spans(contexts, shards), "repeats-sorted").unionByName(whole)
