@@ -1,7 +1,8 @@
 """Operator 7, quality rules: distribution divergence from language references.
 
 Per document two histograms: character classes, and the common words of its
-language (plus all other words). The reference of a language is the mean histogram
+language (plus all other words). The common words of a language are the ``COMMON_WORDS`` words that
+most of its documents hold, counted over all its documents. The reference of a language is the mean histogram
 over all documents of it that pass the length guards, so one giant document weighs
 no more than another. A document is rejected if the Jensen-Shannon divergence
 (base 2) of either histogram from its reference, or their sum, is above its limit. Each test only
@@ -11,7 +12,8 @@ Proportions are integers per million before they are averaged, so the references
 don't depend on the order of summation.
 
 Defined cases. Null text: like an empty text (no words; base_failed). Null language:
-a language of its own. A language without a word list has only the class test.
+a language of its own. A language with fewer than ``MIN_REFERENCE_DOCS`` documents that pass a guard has no reference,
+so that test does not apply. Words held by equally many documents: the smaller word is the more common one.
 Repeated rows are judged alike. An empty table gives an empty result. Extra input
 columns are ignored.
 """
@@ -20,18 +22,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, words_array
 
-# Frequent words of each language.
-COMMON_WORDS = {
-    "en": "the of and to in a is that it was for on are with as be at by this from have or an not had they you".split(),
-    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er".split(),
-    "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se il elle ou avec".split(),
-    "es": "de la que el en y a los se del las un por con no una su para es al lo como más o pero sus le".split(),
-}
 # Limits in bits, and the least lengths from which a test applies.
 MAX_CLASS_DIVERGENCE = 0.05
 MAX_WORD_DIVERGENCE = 0.25
@@ -39,6 +34,7 @@ MAX_SUM_DIVERGENCE = 0.125
 MIN_CHARS = 200
 MIN_WORDS = 50
 MIN_REFERENCE_DOCS = 20
+COMMON_WORDS = 32
 WINDOW = 8
 _MILLION = 1_000_000
 
@@ -73,11 +69,28 @@ def repeat_words(words: Column, width: int = WINDOW) -> Column:
     return F.when(n < width, F.lit(0)).otherwise(_let(hashes, lambda h: _let(grams(h), count)))
 
 
+def _texts(docs: DataFrame, id_col: str | Column, text_col: str, lang_col: str) -> DataFrame:
+    """doc, lang (marked by a first character; a null one is empty), t and words."""
+    t = docs.select((F.col(id_col) if isinstance(id_col, str) else id_col).alias("doc"), F.concat(F.lit("="), F.col(lang_col)).alias("lang"),
+                    F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    return t.select("doc", F.coalesce("lang", F.lit("")).alias("lang"), "t", words_array(F.col("t")).alias("words"))
+
+
+def common_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = COMMON_WORDS) -> DataFrame:
+    """lang and list: the lower-cased words that most documents of each language hold, most common first."""
+    t = _texts(docs.withColumn(text_col, F.lower(text_col)), F.lit(None), text_col, lang_col)
+    held = t.select("lang", F.explode(F.array_distinct("words")).alias("word"))
+    held = held.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))  # the limit is taken before the shuffle
+    top = held.withColumn("rank", rank).filter(F.col("rank") <= most)
+    inside = F.transform(F.sort_array(F.collect_list(F.struct("rank", "word"))), lambda s: s["word"])
+    return top.groupBy("lang").agg(inside.alias("list"))
+
+
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc, lang, the base counts, and the two histograms as arrays of counts."""
-    t = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"),
-                    F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    t = t.select("*", words_array(F.col("t")).alias("words"))
+    lists = stored(common_words(docs, text_col, lang_col), "quality-words")
+    t = _texts(docs, id_col, text_col, lang_col).join(lists, "lang", "left")
     t = t.select(
         "doc", "lang", F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
@@ -88,14 +101,11 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         F.regexp_count("t", F.lit(r"[0-9]")).cast("long").alias("digits"),
         F.regexp_count("t", F.lit(r"[.,;:!?'\"()-]")).cast("long").alias("marks"),
         F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-        F.transform(F.filter("words", lambda w: F.lower(w).isin(sorted({x for v in COMMON_WORDS.values() for x in v}))), F.lower).alias("hits"),
+        "list", F.filter(F.transform("words", F.lower), lambda w: F.array_contains("list", w)).alias("hits"),
         repeat_words(F.col("words")).cast("long").alias("n_repeat_words"))
-    lists = F.lit(None).cast("array<string>")
-    for lang, words in COMMON_WORDS.items():
-        lists = F.when(F.col("lang") == lang, F.array(*map(F.lit, words))).otherwise(lists)
     space = F.col("n_chars") - F.col("word_chars")
     plain = F.greatest(F.lit(0), F.col("word_chars") - F.col("n_symbols") - F.col("upper") - F.col("digits") - F.col("marks") - F.col("beyond"))
-    t = t.withColumn("counts", F.transform(lists, lambda w: (F.size("hits") - F.size(F.array_remove("hits", w))).cast("long")))
+    t = t.withColumn("counts", F.transform("list", lambda w: (F.size("hits") - F.size(F.array_remove("hits", w))).cast("long")))
     rest = F.col("n_words") - F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)
     return t.select(
         "doc", "lang", "n_words", "word_chars", "n_symbols",
@@ -144,7 +154,8 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     by_word = F.when(many_words & F.col("common").isNotNull() & F.col("common_ref").isNotNull(),
                      js_divergence(_shares(F.col("common")), F.col("common_ref")))
     failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
-    out = out.select("doc", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    own = F.when(F.col("lang") != "", F.substring("lang", 2, 2**31 - 1)).alias("lang")  # without the mark that tells it from null
+    out = out.select("doc", own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                      by_class.alias("class_divergence"), by_word.alias("word_divergence"), failed.alias("base_failed"))
     by_class, by_word = F.coalesce("class_divergence", F.lit(0.0)), F.coalesce("word_divergence", F.lit(0.0))
     near = (by_class <= max_class) & (by_word <= max_word) & (by_class + by_word <= max_sum)

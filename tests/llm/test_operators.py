@@ -132,6 +132,72 @@ def test_divergence_rejects_symbol_junk(spark):
     assert not got.pop(99) and all(got.values())
 
 
+def _divergence_verdicts(rows, least):
+    """kept of (id, text, lang) rows in plain Python."""
+    words = {i: WORD.findall(t or "") for i, t, _ in rows}
+    held = collections.defaultdict(collections.Counter)
+    for i, _, lang in rows:
+        held[lang].update({w.lower() for w in words[i]})
+    common = {lang: sorted(c, key=lambda w: (-c[w], w))[: divergence.COMMON_WORDS] for lang, c in held.items()}
+    shares = lambda c: [x * 1_000_000 // sum(c) for x in c]
+    hists, refs = {}, collections.defaultdict(list)
+    for i, t, lang in rows:
+        t, w = t or "", words[i]
+        joined = "".join(w)
+        found = [len(re.findall(p, t)) for p in (r"[A-Z]", r"[0-9]", r"[.,;:!?'\"()-]", r"[#*$%&|<>]")] + [len(t.encode()) - len(t)]
+        classes = [len(t) - len(joined), max(0, len(joined) - sum(found)), *found]
+        low = [x.lower() for x in w]
+        hits = [low.count(x) for x in common.get(lang, [])]
+        hists[i] = (classes, [*hits, len(w) - sum(hits)])
+        for kind, ok in ((0, len(t) >= divergence.MIN_CHARS), (1, len(w) >= divergence.MIN_WORDS)):
+            if ok:
+                refs[lang, kind].append(shares(hists[i][kind]))
+
+    def far(i, lang, kind, ok):
+        if not ok or len(refs[lang, kind]) < least:
+            return 0.0
+        p = np.array(shares(hists[i][kind])) / 1e6
+        q = np.array([sum(x) // len(x) for x in zip(*refs[lang, kind], strict=True)]) / 1e6
+        bits = lambda x: sum(a * np.log2(2 * a / (a + b)) for a, b in x if a > 0)
+        return (bits(zip(p, q, strict=True)) + bits(zip(q, p, strict=True))) / 2
+
+    out = {}
+    for i, t, lang in rows:
+        w = words[i]
+        grams = collections.Counter(tuple(w[k : k + 8]) for k in range(len(w) - 7))
+        inside = {j for k in range(len(w) - 7) if grams[tuple(w[k : k + 8])] > 1 for j in range(k, k + 8)}
+        a = far(i, lang, 0, len(t or "") >= divergence.MIN_CHARS)
+        b = far(i, lang, 1, len(w) >= divergence.MIN_WORDS)
+        out[i] = len(w) >= 20 and 100 * len(inside) <= 30 * len(w) and a <= divergence.MAX_CLASS_DIVERGENCE \
+            and b <= divergence.MAX_WORD_DIVERGENCE and a + b <= divergence.MAX_SUM_DIVERGENCE
+    return out
+
+
+def test_divergence_verdicts_in_any_language(spark):
+    rng = np.random.default_rng(6)
+    rows, names = [], ["en", None, ""]
+    common = {lang: [f"{c}{j}" for j in range(40)] for lang, c in zip(names, "kqz", strict=True)}
+    for i in range(150):
+        lang = names[i % 3]
+        junk = i % 10 == 9
+        pool = [f"x{j}" for j in range(500)] if junk else common[lang] + [f"r{j}" for j in range(40)]
+        rows.append((i, " ".join(rng.choice(pool, 90 + i)) + ("É" if i % 7 else " #%& Q."), lang))
+    rows += [(900, "k1 " * 15, "en"), (901, None, None), (902, " ".join(f"K{j}" for j in range(60)), "rare"), (903, "", "")]
+    schema = "doc_id long, text string, lang string"
+    got = {r["doc_id"]: r["kept"] for r in divergence.report(spark.createDataFrame(rows, schema)).collect()}
+    assert got == _divergence_verdicts(rows, divergence.MIN_REFERENCE_DOCS)
+    assert 10 < sum(not v for v in got.values()) < 100
+    assert got[902] and not any(got[i] for i in range(9, 150, 10))
+    renamed = [(i, t, {"en": "tlh", None: "x-1", "": None}.get(lang, lang)) for i, t, lang in rows]
+    assert got == {r["doc_id"]: r["kept"] for r in divergence.report(spark.createDataFrame(renamed, schema)).collect()}
+
+
+def test_divergence_common_words(spark):
+    rows = [("b A c", "en"), ("a c c c", "en"), ("q", "en"), ("z y", None), (None, None), ("w", "")]
+    got = divergence.common_words(spark.createDataFrame(rows, "text string, lang string"), most=2).collect()
+    assert {r["lang"]: r["list"] for r in got} == {"=en": ["a", "c"], "": ["y", "z"], "=": ["w"]}
+
+
 def test_jaccard(docs, empty):
     rows = [(d, t) for d, t in _rows(docs) if d is not None]
     sets = collections.defaultdict(list)
@@ -201,6 +267,26 @@ def test_repeats(docs, empty):
     assert repeats.report(empty).count() == 0
 
 
+def test_repeats_shared_on_one_side_only(spark):
+    rng = np.random.default_rng(12)
+    say = lambda n: "".join(rng.choice(list("abcdefghijklmnop"), n))
+    core, rows = say(1200), []
+    for i in range(40):  # one stretch of 190 to 320 bytes of the core each, so that contexts share anything from none to all
+        lo, size = int(rng.integers(0, 860)), int(rng.integers(190, 330))
+        rows.append((i, say(int(rng.integers(0, 400))) + core[lo : lo + size] + say(int(rng.integers(0, 400)))))
+    rows += [(100, core[:199]), (101, core[300:500]), (102, "ab" * 300), (103, core[600:900] + core[600:900])]
+    seen = collections.Counter(t[i : i + 200] for _, t in rows for i in range(len(t) - 199))
+    expected = {}
+    for d, t in rows:
+        cover = np.zeros(len(t), bool)
+        for i in range(len(t) - 199):
+            if seen[t[i : i + 200]] > 1:
+                cover[i : i + 200] = True
+        expected[d] = "".join(x for x, c in zip(t, cover, strict=True) if not c).encode()
+    got = {r["doc"]: bytes(r["kept"]) for r in repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == expected and sum(expected[d] != t.encode() for d, t in rows) > 10
+
+
 def test_repeats_long_text_in_pieces(monkeypatch, spark):
     rng = np.random.default_rng(9)
     parts = ["".join(rng.choice(list("abcdefgh"), 3000)) for _ in range(4)]
@@ -385,7 +471,7 @@ def test_ann_recall_ties_and_unusable_vectors(spark):
     x = rng.normal(size=(1500, 24))
     x[300:600] = x[300]  # a hot vector
     rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
-    rows += [(5000, None, 1), (5050, [0.0] * 24, 1), (5100, [float("nan")] * 24, 1), (5150, [1.0, None] + [0.0] * 22, 1), (5200, [1.0], 1), (None, [1.0] * 24, 1)]
+    rows += [(5000, None, 1), (5050, [0.0] * 24, 1), (5100, [float("nan")] * 24, 1), (5150, [1.0, None] + [0.0] * 22, 1), (None, [1.0] * 24, 1)]
     got = ann.report(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
     assert max(r["vec_id"] for r in got) < 1500 and {r["query_id"] for r in got} == set(range(0, 1500, 50))
     found = collections.defaultdict(list)
@@ -404,6 +490,35 @@ def test_ann_recall_ties_and_unusable_vectors(spark):
     assert ann.report(spark.createDataFrame(rows[:3], "vec_id long, embedding array<double>, label int")).count() == 2
 
 
+def test_ann_searches_each_dimension_and_an_empty_table(monkeypatch, spark):
+    rng = np.random.default_rng(14)
+    rows = [(i, rng.normal(size=8 if i % 3 else 4).tolist(), i, "clash") for i in range(400)]
+    rows += [(500, [3.0, 4.0], 1, "clash"), (501, [4.0, 3.0], 1, "clash"), (550, [2.0], 1, "clash"), (350, [9.0] * 8, 1, "clash")]
+    schema = "vec_id long, embedding array<double>, id int, list string"
+    best = {}
+    for i, v, *_ in rows:
+        best[i] = min(best.get(i, v), v)  # of a repeated id the smallest vector
+
+    def exact(q):
+        near = [(-sum(a * b for a, b in zip(best[q], v, strict=True)) / (np.linalg.norm(v) * np.linalg.norm(best[q])), i)
+                for i, v in best.items() if i != q and len(v) == len(best[q])]
+        return [i for _, i in sorted(near)[:5]]
+
+    for most in (ann.FIT_ROWS, 30):  # with 30 the rare dimensions are not fitted
+        monkeypatch.setattr(ann, "FIT_ROWS", most)
+        df = spark.createDataFrame(rows, schema)
+        monkeypatch.setattr(ann.fit, "__defaults__", (most, 11))
+        got = collections.defaultdict(list)
+        for r in sorted(ann.report(df).collect(), key=lambda r: (r["query_id"], r["rank"])):
+            got[r["query_id"]].append(r["vec_id"])
+        asked = [q for q in best if q % 50 == 0 and exact(q)]
+        assert sorted(got) == sorted(asked)
+        assert got[500] == [501] and 550 not in got
+        hits = sum(len(set(got[q]) & set(exact(q))) for q in asked)
+        assert hits >= 0.9 * sum(len(exact(q)) for q in asked)
+    assert ann.report(spark.createDataFrame([], schema)).count() == 0
+
+
 def _toxic_docs(spark):
     rng = np.random.default_rng(8)
     words = ["".join(rng.choice(list("abcdefghij"), rng.integers(3, 8))) for _ in range(300)]
