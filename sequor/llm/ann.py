@@ -1,8 +1,8 @@
 """Operator 6, approximate nearest neighbours: adaptive dimension scan over probed lists.
 
-An inverted file: k-means centroids, fitted with a random rotation on a bounded sample
-(``FIT_ROWS``), split all vectors into lists; every row is indexed. A query probes the nearest
-lists. Within a list the rotated vectors are scanned in blocks of columns: after each block
+An inverted file for each dimension: k-means centroids, fitted with a random rotation on a bounded sample
+(``FIT_ROWS`` over all dimensions), split all vectors into lists; every row is indexed. A dimension so rare that the
+sample holds none of it is one list. A query probes the nearest lists of its own dimension. Within a list the rotated vectors are scanned in blocks of columns: after each block
 a hypothesis test compares the partial distance, scaled up to all columns, with the
 fifth-best distance so far, and abandons the candidate when its true distance is
 almost surely larger (a rotation makes partial distances concentrate). Survivors get
@@ -12,9 +12,8 @@ Lists are cut into blocks of about ``BLOCK_ROWS`` rows and queries into blocks o
 same size, so the work of a task is bounded when a list is hot (a vector with very
 many copies, say). The fitted parameters have a fixed size and are broadcast.
 
-Defined cases. Vectors that are null, zero, of another than the most frequent
-dimension, or holding null or non-finite components take no part; nor do rows
-with a null id. Of rows that repeat an id the smallest vector counts. Ties go to the smaller id. Fewer
+Defined cases. Vectors that are null, zero, or holding null or non-finite components take no part; nor do rows
+with a null id. A cosine needs equal dimensions, so candidates are the vectors of the query's own. Of rows that repeat an id the smallest vector counts. Ties go to the smaller id. Fewer
 than k candidates: all of them. An empty table gives an empty result. Extra input columns are
 ignored.
 """
@@ -47,6 +46,7 @@ _STEP = 512  # candidates scanned before the bound is taken anew
 class Index:
     rotation: np.ndarray
     centroids: np.ndarray
+    first: int  # the number of its first list; lists of all dimensions are numbered on
     sizes: np.ndarray | None = None
 
     def directions(self, x: np.ndarray) -> np.ndarray:
@@ -73,21 +73,28 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     rows = vectors.select(F.col(id_col).alias("id"), v.alias("v")).filter(F.col("id").isNotNull() & F.col("v").isNotNull())
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     rows = rows.filter(~bad & F.exists("v", lambda x: x != 0))
-    rows = rows.groupBy("id").agg(F.min("v").alias("v"))
-    dims = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1)
-    return rows.join(F.broadcast(dims.select("dim")), F.size("v") == F.col("dim")).drop("dim")
+    return rows.groupBy("id").agg(F.min("v").alias("v"))
 
 
-def fit(rows: DataFrame, n_rows: int, most: int = FIT_ROWS, seed: int = 11) -> Index:
-    """Rotation and centroids from at most ``most`` vectors."""
+def fit(rows: DataFrame, n_rows: int, most: int = FIT_ROWS, seed: int = 11) -> dict[int, Index]:
+    """An index for each dimension among at most ``most`` vectors."""
     some = bounded_sample(rows, "id", most)
     got = rows.join(F.broadcast(some), "id").orderBy("id").select("v").toPandas()["v"]
-    x = np.array([np.asarray(v) for v in got]) if len(got) else np.zeros((0, 1))
+    kinds: dict[int, list] = {}
+    for v in got:
+        kinds.setdefault(len(v), []).append(np.asarray(v))
+    fitted, first = {}, 0
+    for dim in sorted(kinds):
+        fitted[dim] = _fitted(np.array(kinds[dim]), n_rows * len(kinds[dim]) // len(got), first, seed)
+        first += len(fitted[dim].centroids)
+    return fitted
+
+
+def _fitted(x: np.ndarray, n_rows: int, first: int, seed: int) -> Index:
+    """Rotation and centroids from sampled vectors of one dimension that has about ``n_rows``."""
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.normal(size=(x.shape[1], x.shape[1])))[0]
-    index = Index(rotation, np.zeros((1, x.shape[1])))
-    if not len(x):
-        return index
+    index = Index(rotation, np.zeros((1, x.shape[1])), first)
     u = np.unique(index.directions(x).round(12), axis=0)  # copies would pull centroids together
     u = u[rng.permutation(len(u))]
     lists = max(1, min(MOST_LISTS, int(np.sqrt(n_rows)), len(u) // 8))
@@ -101,9 +108,17 @@ def fit(rows: DataFrame, n_rows: int, most: int = FIT_ROWS, seed: int = 11) -> I
     return index
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    n = len(column)
-    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, -1) if n else np.zeros((0, 1))
+def _by_dimension(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
+    """dimension, rows and their vectors as a matrix, for each dimension in a batch of (id, v)."""
+    size = batch.column("v").value_lengths().to_numpy()
+    for dim in np.unique(size).tolist():
+        part = batch if (size == dim).all() else batch.take(pa.array(np.flatnonzero(size == dim)))
+        yield dim, part, part.column("v").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
+
+
+def _index_of(fitted: dict[int, Index], dim: int) -> Index:
+    """The index of a dimension; one list, numbered below zero, if none was fitted."""
+    return fitted.get(dim) or Index(np.eye(dim), np.zeros((1, dim)), -dim, np.zeros(1))
 
 
 def exact_cosine(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -150,32 +165,31 @@ def search(vectors: DataFrame, query_filter, id_col: str = "vec_id", vec_col: st
     Column over the column ``id``) selects, among all other rows."""
     rows = stored(usable(vectors, id_col, vec_col), "ann-rows")
     n = rows.count()
-    index = fit(rows, n)
+    indexes = fit(rows, n)
     sc = rows.sparkSession.sparkContext
     kind = rows.schema["id"].dataType.simpleString()
-    fitted = sc.broadcast(index)
+    fitted = sc.broadcast(indexes)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = fitted.value
         for batch in batches:
-            u = index.directions(_matrix(batch.column("v")))
-            lists = index.nearness(u).argmin(axis=1) if len(u) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.int32())], names=["id", "v", "list"])
+            for dim, part, x in _by_dimension(batch):
+                index = _index_of(fitted.value, dim)
+                lists = index.nearness(index.directions(x)).argmin(axis=1) + index.first
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists, pa.int32())], names=["id", "v", "list"])
 
     listed = stored(rows.mapInArrow(assign, f"id {kind}, v array<double>, list int"), "ann-lists")
-    counts = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}  # one row per list
-    index.sizes = np.array([counts.get(i, 0) for i in range(len(index.centroids))])
-    probing = sc.broadcast(index)
+    counts = {r["list"]: r["count"] for r in listed.filter("list >= 0").groupBy("list").count().collect()}  # one row per fitted list
+    for index in indexes.values():
+        index.sizes = np.array([counts.get(index.first + i, 0) for i in range(len(index.centroids))])
+    probing = sc.broadcast(indexes)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = probing.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            lists = index.probes(index.directions(_matrix(batch.column("v"))), share, least, k)
-            at = np.repeat(np.arange(batch.num_rows), [len(x) for x in lists])
-            own = batch.select(["id", "v"]).take(pa.array(at))
-            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.concatenate(lists), pa.int32())], names=["id", "v", "list"])
+            for dim, part, x in _by_dimension(batch):
+                index = _index_of(probing.value, dim)
+                lists = index.probes(index.directions(x), share, least, k)
+                own = part.select(["id", "v"]).take(pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in lists])))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.concatenate(lists) + index.first, pa.int32())], names=["id", "v", "list"])
 
     queries = rows.filter(query_filter)
     q_blocks = -(-max(queries.count(), 1) // BLOCK_ROWS)
@@ -190,8 +204,9 @@ def search(vectors: DataFrame, query_filter, id_col: str = "vec_id", vec_col: st
         if not len(left) or not len(right):
             return pd.DataFrame({"query": [], "id": [], "score": []})
         left = left.sort_values("id")
-        got = search_block(probing.value, left["id"].to_numpy(), np.stack(left["v"]).astype(float),
-                           right["id"].to_numpy(), np.stack(right["v"]).astype(float), k)
+        x = np.stack(left["v"]).astype(float)
+        index = _index_of(probing.value, x.shape[1])
+        got = search_block(index, left["id"].to_numpy(), x, right["id"].to_numpy(), np.stack(right["v"]).astype(float), k)
         return pd.DataFrame(got, columns=["query", "id", "score"])
 
     keys = ["list", "b", "qb"]
