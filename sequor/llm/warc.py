@@ -238,7 +238,7 @@ def read_back(captures: DataFrame, index: DataFrame, folder: str) -> DataFrame:
     payload_digest (computed from the payload read), record_type, refers_to."""
     tops = sorted((json.loads(r["first"]), r["file"]) for r in index.select("first", "file").collect())
     kind = captures.schema["page"].dataType.simpleString()
-    keys = captures.select("key", "page", "digest").repartitionByRange("key", "digest").sortWithinPartitions("key", "digest")
+    keys = captures.select("key", "page", "digest").repartitionByRange("key", "page", "digest").sortWithinPartitions("key", "page", "digest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, responses = CaptureIndex(folder, tops), _Recent(256)
