@@ -36,3 +36,29 @@ def test_ranges_that_share_a_task(spark, few_tasks):
     windows = lambda df: {(r["symbol"], r["rn"]): (r["ohlc_close"], r[spec.label_col]) for r in df.collect()}
     hot = W.sequence_windows(ev, spec, plan="auto", hot_rows=20, block_rows=16, bucket_rows=20)
     assert windows(hot) == windows(W.sequence_windows(ev, spec, plan="direct"))
+
+
+def test_summaries_add_up_like_the_lambdas(spark):
+    """Sums of whole Arrow columns equal the left-to-right sums of each array, to the last bit."""
+    import random
+
+    import pyarrow as pa
+
+    from sequor.functions.arrays import array_moment, array_sum, list_sums
+
+    r = random.Random(4)
+    some = [[r.uniform(-1e6, 1e6) for _ in range(60)] for _ in range(200)]
+    mixed = some[:5] + [[], None, [float("nan"), 1.0], [float("inf"), 2.0], [1.0, None], [-0.0], some[6][:7]]
+    for lists in (some, mixed, [], [[], []]):
+        df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i long, x array<double>")
+        ref = {row["i"]: (repr(row["s"]), repr(row["m"])) for row in df.select("i", array_sum("x").alias("s"), array_moment("x").alias("m")).collect()}
+        s, m = list_sums(pa.array(lists, pa.list_(pa.float64())))
+        assert {i: (repr(a), repr(b)) for i, (a, b) in enumerate(zip(s.to_pylist(), m.to_pylist()))} == ref
+
+
+def test_window_summary_runs_no_lambda_per_element(spark):
+    from sequor.summaries import window_summary
+
+    spec = events_spec(8, 3)
+    plan = window_summary(W.sequence_windows(events_series(spark, SF001), spec), spec)._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate(" not in plan and "lambda" not in plan
