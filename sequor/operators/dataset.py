@@ -31,6 +31,8 @@ from ..plans.numbering import BUCKET, MAX_BROADCAST_HOT, number_bucketed
 from ..plans.ranges import number_ranges
 
 PROBE_DIGITS = 3
+#: Rows that a task copies for all epochs together.
+COPIED_ROWS = 4_000_000
 
 SHUFFLE_KEY = "shuffle_key"
 
@@ -76,9 +78,9 @@ def batches(
 
     ``prefix_digits`` hex digits of the shuffle key make ``16 ** prefix_digits``
     uniform buckets per epoch for the two-phase numbering. By default one small
-    job counts rows per (epoch, 3-digit bucket): within the collect bound and
-    with buckets of at most ``rows_per_bucket`` rows those counts give the
-    offsets directly; otherwise the digits are sized so a bucket holds about
+    job counts rows per (epoch, bucket) of up to 3 digits, as many as the collect
+    bound allows: with buckets of at most ``rows_per_bucket`` rows those counts give the
+    offsets directly and the rows move once; otherwise the digits are sized so a bucket holds about
     ``rows_per_bucket`` rows, which also keeps the per-epoch offsets table at
     about ``records / rows_per_bucket`` rows. ``max_steps`` (or
     ``debug=True`` for the debug cap) bounds the global step.
@@ -91,26 +93,33 @@ def batches(
     if not shuffle:
         numbered = number_ranges(df, [], list(key_cols), rows_per_bucket, rn="pos", n="_sq_epoch_n")
         return _batched(repeat_epochs(numbered, epochs), B, cap)
-    shuffled = epoch_shuffle(df, key_cols, params, epochs)
+    repeated = repeat_epochs(df, epochs)
+    key = shuffle_key(F.col("epoch"), key_cols, params.seed)
     order = [SHUFFLE_KEY, *key_cols]
 
-    def tag(digits: int) -> DataFrame:
-        return shuffled.withColumn(BUCKET, F.conv(F.substring(SHUFFLE_KEY, 1, digits), 16, 10).cast("long"))
+    def bucket(digits: int) -> Column:
+        return F.conv(F.substring(key, 1, digits), 16, 10).cast("long").alias(BUCKET)
+
+    def dealt(rows: DataFrame, digits: int) -> DataFrame:
+        """Rows by (epoch, bucket): the key itself doesn't move, it is taken again where the rows arrive."""
+        return rows.select("*", bucket(digits)).repartition("epoch", BUCKET).withColumn(SHUFFLE_KEY, key)
 
     numbered = None
     if prefix_digits is None:
-        # One small job: counts per (epoch, 3-hex-digit bucket). When that
-        # table is within the collect bound and its buckets are not too big,
-        # it gives the offsets directly (broadcast, one data shuffle);
-        # otherwise it sizes the buckets for the general path.
-        tagged = tag(PROBE_DIGITS)
-        counts_q = tagged.groupBy("epoch", BUCKET).agg(F.count(F.lit(1)).alias("_sq_c"))
-        rows = counts_q.limit(MAX_BROADCAST_HOT + 1).collect()
-        if len(rows) <= MAX_BROADCAST_HOT:
-            per_epoch_n = max([0] + [sum(r["_sq_c"] for r in rows if r["epoch"] == e) for e in {r["epoch"] for r in rows}])
-            if per_epoch_n <= rows_per_bucket * 16 ** PROBE_DIGITS:
+        # One small job: counts per (epoch, bucket) of as many digits as the collect bound allows. When its
+        # buckets are not too big, they give the offsets directly (broadcast, one data shuffle);
+        # otherwise the counts size the buckets for the general path.
+        digits = probe_digits(epochs)
+        if digits:
+            counts_q = repeated.select("epoch", bucket(digits)).groupBy("epoch", BUCKET).agg(F.count(F.lit(1)).alias("_sq_c"))
+            rows = counts_q.collect()  # at most epochs * 16 ** digits
+            per_epoch_n = sum(r["_sq_c"] for r in rows if r["epoch"] == 1)  # each epoch holds all records
+            if per_epoch_n <= rows_per_bucket * 16 ** digits:
                 counts = df.sparkSession.createDataFrame(rows, counts_q.schema)
-                numbered = number_bucketed(tagged, ["epoch"], order, rn="pos", total="_sq_epoch_n", counts=counts)
+                tasks = -(-per_epoch_n * epochs // COPIED_ROWS)
+                if tasks > df.sparkSession.sparkContext.defaultParallelism:  # copies of few large partitions would spill as they are dealt
+                    repeated = repeat_epochs(df.repartition(tasks, *key_cols), epochs)
+                numbered = number_bucketed(dealt(repeated, digits), ["epoch"], order, rn="pos", total="_sq_epoch_n", counts=counts)
             prefix_digits = bucket_digits(per_epoch_n, rows_per_bucket)
         else:
             # sized by the records of an epoch (each epoch holds them all), never by the probe's table
@@ -118,10 +127,16 @@ def batches(
     if numbered is None:
         if not 1 <= prefix_digits <= 8:
             raise ValueError("prefix_digits must be in 1..8")
-        numbered = number_bucketed(tag(prefix_digits), ["epoch"], order, rn="pos", total="_sq_epoch_n")
+        tagged = repeated.select("*", key.alias(SHUFFLE_KEY), bucket(prefix_digits))
+        numbered = number_bucketed(tagged, ["epoch"], order, rn="pos", total="_sq_epoch_n")
     return _batched(numbered, B, cap).drop(BUCKET)
 
 
+def probe_digits(epochs: int) -> int:
+    """Hex digits of the probe: its table has at most ``epochs * 16 ** digits`` rows, within the collect bound."""
+    return max(d for d in range(PROBE_DIGITS + 1) if d == 0 or epochs * 16 ** d <= MAX_BROADCAST_HOT)
+
+
 def epochs_within(records: int, batch_size: int, cap: int) -> int:
     """Epochs that hold a step below the cap; 1 at least, so that the result keeps its columns."""
     per_epoch = records // batch_size

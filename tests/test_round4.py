@@ -62,3 +62,22 @@ def test_window_summary_runs_no_lambda_per_element(spark):
     spec = events_spec(8, 3)
     plan = window_summary(W.sequence_windows(events_series(spark, SF001), spec), spec)._jdf.queryExecution().executedPlan().toString()
     assert "aggregate(" not in plan and "lambda" not in plan
+
+
+def test_many_epochs_move_narrow_rows_once(spark):
+    """Beyond the probe's table of 3 digits rows still move once, without their key."""
+    from sequor.operators import dataset as DS
+    from sequor.params import TrainingParams
+
+    assert DS.probe_digits(2) == 3 and DS.probe_digits(30) == 2 and DS.probe_digits(400) == 1 and DS.probe_digits(10**5) == 0
+    df = spark.range(100).select(F.col("id").alias("k"))
+    for epochs in (30, 400):
+        out = DS.batches(df, ["k"], TrainingParams(epochs=epochs, batch_size=8))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(epoch") == 1 and "SortMergeJoin" not in plan
+        moved = plan[plan.index("Exchange hashpartitioning(epoch"):]
+        assert "md5" not in plan[: plan.index("Exchange hashpartitioning(epoch")].split("Window")[0] and "shuffle_key" not in moved
+    got = out.filter("epoch in (1, 399)").collect()
+    for e in (1, 399):
+        mine = sorted((r["pos"], r["shuffle_key"], r["k"]) for r in got if r["epoch"] == e)
+        assert [p for p, _, _ in mine] == list(range(1, 97)) and [k for _, k, _ in mine] == sorted(k for _, k, _ in mine)
