@@ -81,3 +81,32 @@ def test_many_epochs_move_narrow_rows_once(spark):
     for e in (1, 399):
         mine = sorted((r["pos"], r["shuffle_key"], r["k"]) for r in got if r["epoch"] == e)
         assert [p for p, _, _ in mine] == list(range(1, 97)) and [k for _, k, _ in mine] == sorted(k for _, k, _ in mine)
+
+
+def test_tfrecord_tasks_hold_few_records():
+    """Reading holds a bounded list of records, and checks all of them."""
+    import io
+
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from sequor.sources import tfrecord as TR
+
+    recs = [bytes([i % 250]) * (i % 40) for i in range(1300)]
+    blob = TR.frame_records(recs)
+    lists = list(TR.read_records(io.BytesIO(blob)))
+    assert [len(x) for x in lists] == [512, 512, 276] and [r for x in lists for r in x] == recs
+    assert max(sum(map(len, x)) for x in TR.read_records(io.BytesIO(blob), batch_bytes=100)) < 140
+    for bad in (blob[:-1], blob[:-20] + b"x" + blob[-19:]):
+        with pytest.raises(ValueError):
+            list(TR.read_records(io.BytesIO(bad)))
+    import tempfile
+
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.ArrayType(T.ArrayType(T.FloatType())))])
+    path = tempfile.mkdtemp()
+    batch = pa.RecordBatch.from_pylist([{"k": i if i % 3 else None, "v": [[float(i)], [0.5]]} for i in range(1100)])
+    writer = TR.TFRecordWriter(path, schema, True, 512)
+    writer.commit([writer.write(iter([batch]))])
+    reader = TR.TFRecordReader(path, schema, True)
+    got = [b for p in reader.partitions() for b in reader.read(p)]
+    assert [b.num_rows for b in got] == [512, 512, 76] and [r for b in got for r in b.to_pylist()] == batch.to_pylist()
