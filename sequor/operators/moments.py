@@ -28,7 +28,9 @@ from ..params import SequenceSpec
 Moments = tuple[int, np.ndarray, np.ndarray]
 SALTS = 32
 #: Bytes of moments that a task holds at once.
-MOST_BYTES = 64 << 20
+MOST_BYTES = 8 << 20
+#: Blocks whose columns are Python objects at once.
+MOST_BLOCKS = 256
 
 
 def most_held(spec: SequenceSpec) -> int:
@@ -211,7 +213,7 @@ def row_moments(df: DataFrame, spec: SequenceSpec, block_rows: int = 4_000, rows
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, Moments] = {}
         kinds: list[pa.DataType] = []
-        for batch in batches:
+        for batch in (b.slice(lo, MOST_BLOCKS) for b in batches for lo in range(0, b.num_rows, MOST_BLOCKS)):
             kinds = [batch.column(i).type for i in range(k)]
             own = batch.drop_columns([c for c in batch.schema.names if c.startswith("_v")]).to_pylist()
             for i, b in enumerate(own):

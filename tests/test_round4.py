@@ -110,3 +110,10 @@ def test_tfrecord_tasks_hold_few_records():
     reader = TR.TFRecordReader(path, schema, True)
     got = [b for p in reader.partitions() for b in reader.read(p)]
     assert [b.num_rows for b in got] == [512, 512, 76] and [r for b in got for r in b.to_pylist()] == batch.to_pylist()
+
+
+def test_moments_held_by_a_task_stay_small():
+    from sequor.operators import moments as M
+
+    spec = events_spec(8, 3)
+    assert M.most_held(spec) * 8 * (8 * 7 + 3) ** 2 <= 8 << 20
