@@ -2,16 +2,17 @@
 
 1. Every window of ``LENGTH`` bytes selects the smallest of its hashed ``GRAM``-byte grams, by content alone: two
    equal windows select the same gram at the same place. The selected grams (about one in 85 bytes)
-   are anchors; a repeated window has an anchor whose gram occurs as an anchor again.
-2. Anchors are counted by gram; those that occur once are done. An anchor's context is all bytes
-   that a window holding it can reach. Equal contexts are collapsed before any text is moved, by
-   128 bits of hash: what occurs twice as a whole is repeated as a whole.
+   are anchors; a repeated window has an anchor whose gram occurs as an anchor again. An anchor's context is the bytes of the
+   windows that select it, so that each window lies in one context.
+2. Anchors are dealt once, by gram, without any text; those whose gram occurs once are done. Equal contexts are known by
+   128 bits of hash: what occurs twice as a whole is repeated as a whole. Of equal ones that a task meets in one piece of
+   text, one is dealt by gram, so that a frequent string is no large group.
 3. A window of LENGTH bytes around an anchor holds ``SIDE`` bytes before it and its gram, or ``SIDE`` + GRAM bytes from it
    on. So only contexts that share one of these two strings with another context can share a window: all others
    are done, and of one that shares a single side only the bytes that its windows on that side reach are
    needed. One copy of each context that is left goes to shards by gram. A shard is sorted by external induced sorting (:mod:`.induced`), which streams suffixes with their common
    prefixes: neighbours that share LENGTH bytes and lie at different places are repeated.
-4. Spans found in a context go to all anchors that have it, are merged per document, and cut out.
+4. Repeated contexts and the spans found in single ones are merged per document, and cut out.
 
 Sharding by content is what lets shards be sorted apart: both places of a match are in the shard of
 each gram they share. A shard above memory is spooled to disk by its sort.
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import row_key, stored
@@ -81,20 +82,23 @@ def window_least(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the anchors of texts that lie end to end (``ends``: where each ends), the hashes
-    of their grams, and the hashes of all 64-byte and 128-byte strings."""
+def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Places of the anchors of texts that lie end to end (``ends``: where each ends), where the first window that
+    selects each begins and the last one ends, the hashes of their grams, and the hashes of all 64-byte and 128-byte strings."""
     short, middle, long = gram_hashes(data)
     if len(data) < LENGTH:
-        return np.zeros(0, np.int64), short[:0], middle, long
+        none = np.zeros(0, np.int64)
+        return none, none, none, short[:0], middle, long
     v = (short & ~_PLACE) | np.arange(len(short), dtype=np.uint64)
     for e in ends.tolist():  # grams across two texts select nothing
         v[max(e - GRAM + 1, 0) : e] = _LAST
     least = window_least(v, REACH + 1)
-    least = least[np.r_[True, least[1:] != least[:-1]]]
-    at = (least[least != _LAST] & _PLACE).astype(np.int64)
-    at = at[np.r_[True, at[1:] != at[:-1]]] if len(at) else at
-    return at, short[at], middle, long
+    lo = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])  # windows that select the same place are neighbours
+    hi = np.r_[lo[1:], len(least)] - 1 + LENGTH
+    some = least[lo] != _LAST
+    lo, hi = lo[some], hi[some]
+    at = (least[lo] & _PLACE).astype(np.int64)
+    return at, lo, hi, short[at], middle, long
 
 
 def context_hashes(long: np.ndarray, lo: np.ndarray, hi: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -106,7 +110,7 @@ def context_hashes(long: np.ndarray, lo: np.ndarray, hi: np.ndarray, before: np.
 
 def side_hashes(middle: np.ndarray, at: np.ndarray, before: np.ndarray, after: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of the SIDE bytes before an anchor with its gram, and of the SIDE + GRAM bytes from it on. Where a
-    text has fewer, no window holds that string: the context's own hash, which nothing else has, stands for it."""
+    context has fewer, no window of it holds that string: the context's own hash, which nothing else has, stands for it."""
     width = SIDE + GRAM
     both = []
     for lo, whole, k in ((at - SIDE, before >= SIDE, 13), (at, after >= width, 14)):
@@ -123,10 +127,10 @@ def _of_batch(batch: pa.RecordBatch) -> Iterator[tuple]:
         if len(part) == 1 and len(data) > 2 * _PIECE:
             yield from _of_long(first, data)
             continue
-        at, gram, middle, long = anchors(data, starts[1:])
+        at, lo, hi, gram, middle, long = anchors(data, starts[1:])
         row = np.searchsorted(starts, at, side="right") - 1
-        before, after = np.minimum(at - starts[row], REACH), np.minimum(starts[row + 1] - at, LENGTH)
-        ok = before + after >= LENGTH
+        before, after = at - np.maximum(lo, starts[row]), np.minimum(hi, starts[row + 1]) - at
+        ok = before + after >= LENGTH  # others are selected by windows across two texts alone
         at, gram, row, before, after = (x[ok] for x in (at, gram, row, before, after))
         context = context_hashes(long, at - before, at + after, before)
         yield first + row, at - starts[row], gram, context, before, after, *side_hashes(middle, at, before, after, context)
@@ -134,36 +138,49 @@ def _of_batch(batch: pa.RecordBatch) -> Iterator[tuple]:
 
 def _of_long(row: int, data: np.ndarray) -> Iterator[tuple]:
     """The same for one long text, piece by piece."""
-    seen, margin = -1, 2 * LENGTH
+    margin = 2 * LENGTH  # holds all windows of the anchors of a piece
     for base in range(0, len(data), _PIECE):
         lo, hi = max(base - margin, 0), min(base + _PIECE + margin, len(data))
-        at, gram, middle, long = anchors(data[lo:hi], np.array([hi - lo]))
-        place = at + lo
-        before, after = np.minimum(place, REACH), np.minimum(len(data) - place, LENGTH)
-        # those that the piece before has given, or that the next one gives with its whole context
-        ok = (place > seen) & (before + after >= LENGTH) & (at >= before) & (at + after <= hi - lo) & ((place < base + _PIECE) | (hi == len(data)))
-        at, place, gram, before, after = (x[ok] for x in (at, place, gram, before, after))
-        if len(place):
-            seen = int(place[-1])
-            context = context_hashes(long, at - before, at + after, before)
-            yield np.full(len(at), row), place, gram, context, before, after, *side_hashes(middle, at, before, after, context)
+        at, first, last, gram, middle, long = anchors(data[lo:hi], np.array([hi - lo]))
+        ok = (at + lo >= base) & (at + lo < base + _PIECE)
+        at, first, last, gram = (x[ok] for x in (at, first, last, gram))
+        before, after = at - first, last - at
+        if len(at):
+            context = context_hashes(long, first, last, before)
+            yield np.full(len(at), row), at + lo, gram, context, before, after, *side_hashes(middle, at, before, after, context)
+
+
+def dealt(gram: np.ndarray, context: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What to deal anchors by, and how many equal contexts (2: or more) are known by then. The first of equal ones is
+    dealt by its gram and stands for the others; these are known to be repeated and are dealt anywhere, by ``seed``."""
+    order = np.argsort(context, kind="stable")
+    g, c = gram[order], context[order]
+    later = np.r_[False, (g[1:] == g[:-1]) & (c[1:] == c[:-1])][: len(order)]
+    copies = np.empty(len(order), np.int32)
+    copies[order] = 1 + (later | np.r_[later[1:], False][: len(order)])
+    fp = gram.copy()
+    fp[order[later]] = mixed(seed[order[later]])
+    return fp, copies
 
 
 def find_anchors(rows: DataFrame) -> DataFrame:
-    """fp, ctx, doc, rk, pos, before, after, left, right of every anchor of the rows (doc, rk, t)."""
+    """fp, ctx, doc, rk, pos, before, after, left, right, copies of every anchor of the rows (doc, rk, t). left and right
+    are cut to 32 bits, as they only tell contexts of one gram apart that may share bytes; fp and copies as in ``dealt``."""
     kind = rows.schema["doc"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, place, gram, context, before, after, left, right in _of_batch(batch):
                 own = batch.select(["doc", "rk"]).take(pa.array(row))
+                rk = own.column("rk").to_numpy().view(np.uint64)
+                gram, copies = dealt(gram, context, rk + place.astype(np.uint64) * _ODD[13] + row.astype(np.uint64) * _ODD[14])
                 yield pa.RecordBatch.from_arrays([
                     pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), *own.columns,
                     pa.array(place, pa.int64()), pa.array(before, pa.int16()), pa.array(after, pa.int16()),
-                    pa.array(left.view(np.int64)), pa.array(right.view(np.int64))],
-                    names=["fp", "ctx", "doc", "rk", "pos", "before", "after", "left", "right"])
+                    pa.array(left.astype(np.uint32).view(np.int32)), pa.array(right.astype(np.uint32).view(np.int32)), pa.array(copies)],
+                    names=["fp", "ctx", "doc", "rk", "pos", "before", "after", "left", "right", "copies"])
 
-    return rows.mapInArrow(run, f"fp long, ctx long, doc {kind}, rk long, pos long, before short, after short, left long, right long")
+    return rows.mapInArrow(run, f"fp long, ctx long, doc {kind}, rk long, pos long, before short, after short, left int, right int, copies int")
 
 
 class Shard:
@@ -171,7 +188,7 @@ class Shard:
 
     def __init__(self):
         self.file, self.size = tempfile.TemporaryFile(), 0
-        self.columns: list[list[np.ndarray]] = [[], [], [], [], [], []]  # length, fp, ctx, copies, place of the first byte, bytes skipped
+        self.columns: list[list[np.ndarray]] = [[], [], []]  # length, copies, place of the first byte
         self.rows: dict = {}
         self.row: list[int] = []
 
@@ -181,21 +198,22 @@ class Shard:
         joined = b"".join(d.translate(table) + b"\x01" for d in data)
         self.file.write(joined)
         self.size += len(joined)
-        got = [np.array([len(d) for d in data], np.int64), *(batch.column(c).to_numpy() for c in ("fp", "ctx", "n", "first", "skip"))]
+        got = [np.array([len(d) for d in data], np.int64), *(batch.column(c).to_numpy() for c in ("n", "first"))]
         for own, x in zip(self.columns, got, strict=True):
             own.append(x)
+        self.kind = batch.schema.field("doc").type
         for key in zip(batch.column("doc").to_pylist(), batch.column("rk").to_pylist(), strict=True):
             self.row.append(self.rows.setdefault(key, len(self.rows)))
 
     def spans(self) -> pa.RecordBatch | None:
-        """fp, ctx and where repeated bytes lie in contexts that occur once, counted from the first byte of the whole context."""
+        """doc, rk, s, e: where repeated bytes lie in the documents of the contexts that occur once."""
         if not self.size:
             return None
         self.file.write(b"\x00" * (1 + CLAMP + 8))
         self.file.flush()
         n = self.size + 1
         text = np.memmap(self.file, np.uint8, "r", shape=(n + CLAMP + 8,))
-        length, fp, ctx, copies, first, skip = (np.concatenate(c) for c in self.columns)
+        length, copies, first = (np.concatenate(c) for c in self.columns)
         starts = np.cumsum(length + 1) - (length + 1)
         row = np.array(self.row, np.int64)
         mark = np.zeros(n, bool)
@@ -237,13 +255,16 @@ class Shard:
         heads = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (at[1:] - at[:-1] > LENGTH)])
         tails = np.r_[heads[1:], len(at)] - 1
         own = own[heads]
+        place, keys = first[own] - starts[own], list(self.rows)
+        doc, rk = zip(*(keys[r] for r in row[own].tolist()), strict=True)
         return pa.RecordBatch.from_arrays([
-            pa.array(fp[own]), pa.array(ctx[own]), pa.array(at[heads] - starts[own] + skip[own]),
-            pa.array(at[tails] - starts[own] + skip[own] + LENGTH)], names=["fp", "ctx", "lo", "hi"])
+            pa.array(doc, self.kind), pa.array(rk, pa.int64()), pa.array(at[heads] + place),
+            pa.array(at[tails] + place + LENGTH)], names=["doc", "rk", "s", "e"])
 
 
 def sorted_spans(contexts: DataFrame, shards: int) -> DataFrame:
-    """Spans (fp, ctx, lo, hi) found by sorting each shard of contexts (fp, ctx, n, doc, rk, first, skip, bytes)."""
+    """Spans (doc, rk, s, e) found by sorting each shard of contexts (fp, n, doc, rk, first, bytes)."""
+    kind = contexts.schema["doc"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = Shard()
@@ -254,42 +275,42 @@ def sorted_spans(contexts: DataFrame, shards: int) -> DataFrame:
         if got is not None:
             yield got
 
-    return contexts.repartition(shards, "fp").mapInArrow(run, "fp long, ctx long, lo long, hi long")
+    return contexts.repartition(shards, "fp").mapInArrow(run, f"doc {kind}, rk long, s long, e long")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, rk and spans (array<struct<s,e>> in bytes, neither sorted nor merged) of rows with repeated strings."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc"), row_key(text).alias("rk"), text.alias("t"))
-    every = stored(find_anchors(rows), "repeats-anchors")
-    twice = every.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("fp")
-    again = stored(every.join(twice, "fp"), "repeats-again")
-    kinds = again.groupBy("fp", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "rk", "pos", "before", "after", "left", "right")).alias("r"))
-    kinds = stored(kinds.select("fp", "ctx", "n", "r.*"), "repeats-contexts")
-    whole = kinds.filter("n > 1").select("fp", "ctx", F.lit(0).cast("long").alias("lo"), (F.col("before") + F.col("after")).cast("long").alias("hi"))
-
-    sides = kinds.select(F.explode(F.array_distinct(F.array("left", "right"))).alias("side"))
-    sides = stored(sides.groupBy("side").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("side", F.lit(True).alias("shared")), "repeats-sides")
-    by_left, by_right = (sides.select(F.col("side").alias(c), F.col("shared").alias(f"by_{c}")) for c in ("left", "right"))
-    several = kinds.join(by_left, "left", "left").join(by_right, "right", "left").filter("by_left or by_right")
+    # every window below keeps to the one exchange by gram
+    order = ["doc", "rk", "pos"]
+    grams = Window.partitionBy("fp").orderBy("ctx", *order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    alike = Window.partitionBy("fp", "ctx").orderBy(*order)
+    again = find_anchors(rows).repartition("fp").withColumn("c", F.sum("copies").over(grams)).filter("c > 1").drop("c")
+    again = again.withColumn("n", F.sum("copies").over(alike.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    again = again.withColumn("one", F.row_number().over(alike) == 1)
+    for side in ("left", "right"):
+        same = Window.partitionBy("fp", side)
+        again = again.withColumn(f"by_{side}", F.min("ctx").over(same) < F.max("ctx").over(same)).drop(side)
+    # of equal contexts, one copy goes to the sort
+    again = again.withColumn("sort", F.expr("one AND (by_left OR by_right)")).filter("n > 1 OR sort").drop("one", "ctx", "copies")
+    again = stored(again, "repeats-again")
+    whole = again.filter("n > 1").select("doc", "rk", (F.col("pos") - F.col("before")).alias("s"), (F.col("pos") + F.col("after")).alias("e"))
+
+    several = again.filter("sort")
     lead = F.when(F.col("by_left"), F.col("before")).otherwise(F.least(F.col("before").cast("int"), F.lit(SIDE)))
     tail = F.when(F.col("by_right"), F.col("after")).otherwise(F.least(F.col("after").cast("int"), F.lit(SIDE + GRAM)))
-    several = several.select("fp", "ctx", "n", "doc", "rk", (F.col("pos") - lead).alias("first"),
-                             (F.col("before") - lead).cast("long").alias("skip"), (lead + tail).alias("size"))
-    several = stored(several, "repeats-several")
-    shards = max(1, -(-several.count() * (REACH + LENGTH) // SHARD_BYTES))
-    wanted = several.groupBy("doc", "rk").agg(F.collect_list(F.struct("fp", "ctx", "n", "first", "skip", "size")).alias("w"))
+    several = several.select("fp", "n", "doc", "rk", (F.col("pos") - lead).alias("first"), (lead + tail).alias("size"))
+    shards = max(1, -(-(several.agg(F.sum("size")).first()[0] or 0) // SHARD_BYTES))
+    wanted = several.groupBy("doc", "rk").agg(F.collect_list(F.struct("fp", "n", "first", "size")).alias("w"))
     d, w = rows.alias("d"), wanted.alias("w")
     both = d.join(w, F.col("d.doc").eqNullSafe(F.col("w.doc")) & (F.col("d.rk") == F.col("w.rk")))
     both = both.select("d.doc", "d.rk", F.encode("t", "UTF-8").alias("b"), "w.w")
-    cut = F.transform("w", lambda x: F.struct(x["fp"].alias("fp"), x["ctx"].alias("ctx"), x["n"].alias("n"), x["first"].alias("first"), x["skip"].alias("skip"),
+    cut = F.transform("w", lambda x: F.struct(x["fp"].alias("fp"), x["n"].alias("n"), x["first"].alias("first"),
                                               F.substring(F.col("b"), (x["first"] + 1).cast("int"), x["size"].cast("int")).alias("bytes")))
     contexts = both.select("doc", "rk", F.explode(cut).alias("c")).select("doc", "rk", "c.*")
     found = stored(sorted_spans(contexts, shards), "repeats-sorted").unionByName(whole)
-
-    own = again.join(found, ["fp", "ctx"])
-    start = F.col("pos") - F.col("before")
-    return own.groupBy("doc", "rk").agg(F.collect_set(F.struct((start + F.col("lo")).alias("s"), (start + F.col("hi")).alias("e"))).alias("spans"))
+    return found.groupBy("doc", "rk").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -287,6 +287,55 @@ def test_repeats_shared_on_one_side_only(spark):
     assert got == expected and sum(expected[d] != t.encode() for d, t in rows) > 10
 
 
+def test_repeats_each_window_lies_in_one_context(monkeypatch):
+    rng = np.random.default_rng(21)
+    say = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    texts = [say(5000), "", say(199), say(200), None, "é" * 150, "ab" * 400, say(31), say(700), "z" * 260]
+    size = [len((t or "").encode()) for t in texts]
+    for piece in (1 << 20, 600):  # the second: long texts piece by piece
+        monkeypatch.setattr(repeats, "_PIECE", piece)
+        begun = collections.Counter()
+        for row, place, _, _, before, after, *_ in repeats._of_batch(pa.record_batch({"t": pa.array(texts)})):
+            for r, p, b, a in zip(row.tolist(), place.tolist(), before.tolist(), after.tolist(), strict=True):
+                begun.update((r, i) for i in range(p - b, p + a - repeats.LENGTH + 1))
+        assert begun == collections.Counter((r, i) for r, n in enumerate(size) for i in range(n - repeats.LENGTH + 1))
+
+
+def test_repeats_deals_a_frequent_string_apart(spark):
+    rng = np.random.default_rng(23)
+    say = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    often, twin = say(600), say(500)
+    rows = [(i, say(60) + often + say(60) + often) for i in range(300)] + [(i, twin) for i in range(300)] + [(999, say(2000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = repeats.find_anchors(docs.select(docs.doc_id.alias("doc"), F.xxhash64("text").alias("rk"), docs.text.alias("t")))
+    # in each task: one of every context that is equal as a whole
+    assert found.groupBy("fp", "ctx").count().agg(F.max("count")).first()[0] <= 2
+    got = {(r["doc_id"], r["n_bytes"]): r["n_removed"] for r in repeats.report(docs).collect()}
+    assert got[999, 2000] == 0
+    assert all(got[i, 500] == 500 and 1200 <= got[i, 1320] <= 1220 for i in range(300))
+
+
+def test_repeats_of_alike_rows_and_null_ids(spark):
+    rng = np.random.default_rng(22)
+    say = lambda n: "".join(rng.choice(list("abcdefghijklmnop"), n))
+    core, alone = say(900), say(900)
+    # whole contexts of a twice, one side of them in c and d; rows alike in id and text; ids null or used twice
+    rows = [("a", core), ("b", core), ("c", say(300) + core[:450]), ("d", core[430:] + say(300)), ("e", alone), ("e", alone), ("e", say(500)),
+            (None, say(100) + core[200:420]), (None, None), (None, say(400))]
+    seen = collections.Counter(t[i : i + 200] for _, t in rows if t for i in range(len(t) - 199))
+    expected = []
+    for d, t in rows:
+        cover = np.zeros(len(t or ""), bool)
+        for i in range(len(cover) - 199):
+            if seen[t[i : i + 200]] > 1:
+                cover[i : i + 200] = True
+        kept = bytes(x for x, c in zip((t or "").encode(), cover, strict=True) if not c)
+        expected.append((d, len(cover), len(cover) - len(kept), int(np.diff(np.r_[0, cover.astype(int)]).clip(0).sum()), hashlib.sha256(kept).hexdigest()))
+    got = repeats.report(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter(expected)
+    assert sum(x[2] > 0 for x in expected) == 7
+
+
 def test_repeats_long_text_in_pieces(monkeypatch, spark):
     rng = np.random.default_rng(9)
     parts = ["".join(rng.choice(list("abcdefgh"), 3000)) for _ in range(4)]
