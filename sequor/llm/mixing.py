@@ -8,7 +8,8 @@ so no source misses its target by sampling noise. The slots are mapped from
 these counts (``slots``): a source numbers its slots shard after shard, and its
 slot i takes block perm(i mod blocks) of it, perm being a permutation of its own
 for each pass; the sources' slots of a shard are permuted within it. Slots and
-blocks are then joined by (source, block).
+blocks are then joined by (source, block), both sides shuffled: a block has at most
+``block_words`` pieces and a slot per pass, so no key is large.
 
 ``mixed`` returns the shards with the words of their slots in place, ``mix`` the
 documents resampled by them, ``taken`` the words drawn of each row.
@@ -151,6 +152,12 @@ def pieces(places: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return out.withColumns({"lo": lo - start, "len": hi - lo})
 
 
+def with_draws(parts: DataFrame, draws: DataFrame, how: str = "inner") -> DataFrame:
+    """``parts`` (rows of :func:`pieces`) with the rows of ``draws`` for their block. Spark takes the
+    exploded slots for as small as the counts they come from and would broadcast all of them."""
+    return parts.join(draws.hint("merge"), ["sk", "block"], how)
+
+
 def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per input row: doc, size, source_size, target, taken (words in the mix, repeats counted)."""
@@ -158,7 +165,7 @@ def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     targets = stored(source_targets(rows), "mix-targets")
     places = placed(rows, rows.count())
     times = slots(targets, block_words).groupBy("sk", "block").agg(F.count(F.lit(1)).alias("times"))
-    got = pieces(places, block_words).join(times, ["sk", "block"], "left")
+    got = with_draws(pieces(places, block_words), times, "left")
     got = got.groupBy("sk", "start", "doc", "size").agg(F.coalesce(F.sum(F.col("len") * F.col("times")), F.lit(0)).alias("taken"))
     none = rows.filter("size = 0").select("sk", "doc", "size", F.lit(0).cast("long").alias("taken"))
     both = got.select("sk", "doc", "size", "taken").unionByName(none)
