@@ -191,7 +191,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     without words aren't drawn. ``mixed`` has the same words by shard and slot."""
     rows = stored(sized(docs, id_col, text_col, source_col), "mix-sizes")
     targets = stored(source_targets(rows), "mix-targets")
-    got = pieces(placed(rows, rows.count()), block_words).join(slots(targets, block_words), ["sk", "block"])
+    got = with_draws(pieces(placed(rows, rows.count()), block_words), slots(targets, block_words))
     got = got.groupBy("sk", "doc", "rk", "start", "size", "pass").agg(
         F.sum("len").alias("n"), F.sort_array(F.collect_list(F.struct("lo", "len"))).alias("runs"))
     whole = F.col("_row")[text_col]
@@ -212,7 +212,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     parts = pieces(placed(rows, rows.count()), block_words)
     # the words before it in the block: a row's place among the slot's parts
     part = F.col("start") + F.col("lo") - F.col("block") * block_words
-    got = parts.withColumn("part", part).join(slots(targets, block_words, shard_slots), ["sk", "block"])
+    got = with_draws(parts.withColumn("part", part), slots(targets, block_words, shard_slots))
     got = got.groupBy("sk", "doc", "rk", "start").agg(F.collect_list(F.struct("shard", "slot", "part", "lo", "len")).alias("runs"))
     text = lambda w, r: F.array_join(F.slice(w, (r["lo"] + 1).cast("int"), r["len"].cast("int")), " ")
     # the outer lambda binds the words, so that a text is split once and not for each of its runs

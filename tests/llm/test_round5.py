@@ -14,7 +14,7 @@ def word_docs(spark):
     return spark.createDataFrame([*rows, rows[5], (None, "no id " * 9, "a"), (300, None, "a")], "doc_id long, text string, source string").repartition(4)
 
 
-@pytest.mark.parametrize("made", [mixing.taken])
+@pytest.mark.parametrize("made", [mixing.taken, mixing.mix, mixing.mixed])
 def test_mixing_does_not_broadcast_a_row_per_slot(spark, word_docs, made):
     """Blocks of one word: over 20000 slots, from counts of a few dozen rows."""
     out = made(word_docs, block_words=1)
